@@ -35,6 +35,14 @@ def popular_tags(counts: DataFrame, min_count: int) -> DataFrame:
     return counts.filter(F.col("n") >= F.lit(min_count))
 
 
+def popular_tags_by_share(counts: DataFrame, n_tracks: int, share_denominator: int) -> DataFrame:
+    """Tags carried by at least 1/``share_denominator`` of ``n_tracks`` tracks.
+
+    Integer arithmetic (n * d >= tracks), so the cut is exact on any engine.
+    """
+    return counts.filter(F.col("n") * F.lit(share_denominator) >= F.lit(n_tracks))
+
+
 def with_clean_names(tags: DataFrame, tag_col: str = "tag") -> DataFrame:
     """Adds ``clean_tag``, the file-safe name used for per-tag outputs."""
     return tags.withColumn("clean_tag", clean_tag_name(F.col(tag_col)))

@@ -26,7 +26,7 @@ from tagloom.operators import summary as SU
 from tagloom.operators import tags as T
 from tagloom.operators import train as TR
 from tagloom.plans import stages as G
-from tagloom.plans.stages import FEATS, MIN_COUNT, SEED, with_ctes
+from tagloom.plans.stages import FEATS, SEED, SHARE_DEN, with_ctes
 from tagloom.sources import legacy_text as LT
 from tagloom.sources import testdata as td
 
@@ -84,13 +84,13 @@ def q_clean_tag_names(spark, sf):
 @query(
     "untrained_tags",
     with_ctes(G.SQL_TRACKS, G.SQL_COUNTS)
-    + f"SELECT p.tag, p.n FROM popular p WHERE p.tag NOT IN (SELECT tag FROM counts WHERE n >= {2 * MIN_COUNT})",
+    + f"SELECT p.tag, p.n FROM popular p WHERE p.tag NOT IN "
+    f"(SELECT tag FROM counts WHERE n * {SHARE_DEN // 2} >= (SELECT n_tracks FROM ntracks))",
 )
 def q_untrained_tags(spark, sf):
     # "trained" = tags a previous run with twice the cut-off already covered
-    c = G.counts(spark, sf)
-    trained = T.popular_tags(c, 2 * MIN_COUNT).select("tag")
-    return T.untrained_tags(T.popular_tags(c, MIN_COUNT), trained)
+    trained = G.popular(spark, sf, SHARE_DEN // 2).select("tag")
+    return T.untrained_tags(G.popular(spark, sf), trained)
 
 
 # ---------------------------------------------------------------------------
@@ -555,12 +555,12 @@ def q_parse_metric_lines(spark, sf):
 _SUMMARY_CHAIN_SQL = _areas_sql("prediction")[:-1] + "," + _METRICS_SQL.strip("\n") + f"""
 , summary AS (
   SELECT c.tag, c.n AS song_count, m.auroc, m.auprc, m.train_seconds
-  FROM counts c JOIN metrics m ON m.tag = c.tag WHERE c.n >= {MIN_COUNT})
+  FROM popular c JOIN metrics m ON m.tag = c.tag)
 """
 
 
 def _summary(spark, sf) -> DataFrame:
-    return SU.summarize_models(G.counts(spark, sf), _metrics(spark, sf), MIN_COUNT)
+    return SU.summarize_models(G.popular(spark, sf), _metrics(spark, sf))
 
 
 @query(

@@ -1,5 +1,314 @@
-"""Queries checked by row count only (training, persistence, source round trips)."""
+"""End-to-end jobs, and the catalogue queries that are checked by row count.
+
+Jobs (each takes the caller's session and paths):
+
+* ``ingest_text_job``     legacy text lines -> typed store partitioned by letter
+* ``ingest_files_job``    per-track binary files -> typed store
+* ``tag_count_job``       typed store -> tag counts (+ run-time row)
+* ``train_job``           tracks + tag counts -> weights and per-tag metrics for
+                          every popular tag in one batched run (+ run time)
+* ``predict_job``         tracks + weights -> ranked tags per track
+* ``summarize_job``       tag counts + metrics -> summary CSV, means, quartiles
+
+Row-checked queries (``JOB_QUERIES``) exercise the trainers, persistence and
+the sources on the given tables, writing into the shared checkpoint folder.
+"""
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tagloom.config import DEFAULT_MIN_COUNT, DEFAULT_SEED, shared_dir
+from tagloom.functions.vectors import round_sig, round_sig_sql
+from tagloom.operators import labels as L
+from tagloom.operators import metrics as M
+from tagloom.operators import scaling
+from tagloom.operators import score as SC
+from tagloom.operators import summary as SU
+from tagloom.operators import tags as T
+from tagloom.operators import train as TR
+from tagloom.plans import stages as G
+from tagloom.plans.catalog import _SUMMARY_CHAIN_SQL, ORACLE_SQL
+from tagloom.plans.stages import FEATS, SEED, with_ctes
+from tagloom.sources import binary as B
+from tagloom.sources import legacy_text as LT
+from tagloom.sources import sinks as K
+from tagloom.sources import sqlite as SQ
+from tagloom.sources import testdata as td
+
+# ---------------------------------------------------------------------------
+# Jobs
+# ---------------------------------------------------------------------------
+
+
+def ingest_text_job(spark: SparkSession, text_glob: str, out: str, feature_names: Sequence[str]) -> DataFrame:
+    """Parse legacy text into the typed store; returns the rejected lines."""
+    parsed = LT.read_track_text(spark, text_glob)
+    typed = LT.features_to_columns(parsed, feature_names).withColumn("letter", F.substring("track_id", 3, 1))
+    K.write_track_store(typed.filter("parse_ok").drop("parse_ok"), out)
+    return parsed.filter(~F.col("parse_ok"))
+
+
+def ingest_files_job(spark: SparkSession, root: str, out: str, decoder=B.json_lines_decoder, glob: str = "*.h5",
+                     feature_names: Sequence[str] = td.PART_FEATURES) -> None:
+    tracks = B.read_track_files(spark, root, decoder, glob, feature_names)
+    K.write_track_store(tracks.drop("source_file"), out)
+
+
+def tag_count_job(spark: SparkSession, tracks: DataFrame, out: str, run_times: str | None = None) -> DataFrame:
+    started = time.time()
+    counts = T.tag_counts(tracks)
+    K.write_tag_counts(counts, out)
+    if run_times:
+        K.append_run_time(spark, run_times, "tag_count", started)
+    return spark.read.parquet(out)
+
+
+def train_and_evaluate(
+    examples: DataFrame,
+    feature_cols: Sequence[str],
+    loss: str = "hinge",
+    iterations: int = 100,
+    score: str = "label",
+    step: float = 1.0,
+    reg: float = 0.01,
+) -> tuple[DataFrame, DataFrame]:
+    """(model, metrics) for every tag of ``examples`` in one batched run.
+
+    ``score="label"`` evaluates the thresholded 0/1 predictions (so AUROC is
+    balanced accuracy, as in the published numbers); ``"margin"`` the raw margin.
+    """
+    model = TR.train_linear_all_tags(examples, feature_cols, loss=loss, iterations=iterations, step=step, reg=reg)
+    w = TR.weights_table(model, feature_cols)
+    test = examples.filter(F.col("split") == "test")
+    kind = "svm" if loss == "hinge" else "logistic"
+    pred = SC.with_prediction(SC.with_margin(test, w, feature_cols), kind)
+    scored = pred.withColumn("score", F.col("prediction") if score == "label" else F.col("margin"))
+    areas = M.curve_areas(scored)
+    metrics = areas.join(model.select("tag", "train_seconds", "iterations", "converged"), "tag")
+    return model, metrics
+
+
+def train_job(
+    spark: SparkSession,
+    tracks: DataFrame,
+    counts: DataFrame,
+    feature_cols: Sequence[str],
+    out: str,
+    min_count: int = DEFAULT_MIN_COUNT,
+    mode: str = "substring",
+    loss: str = "hinge",
+    iterations: int = 100,
+    seed: int = DEFAULT_SEED,
+    skip_trained: bool = True,
+) -> DataFrame:
+    """Train every popular tag not yet trained; write weights and metrics per tag."""
+    started = time.time()
+    popular = T.popular_tags(counts, min_count)
+    if skip_trained:
+        try:
+            done = spark.read.parquet(f"{out}/metrics").select("tag")
+            popular = T.untrained_tags(popular, done)
+        except Exception:  # noqa: BLE001 - first run: no metrics yet
+            pass
+    scaled = scaling.standard_scale(tracks, feature_cols)
+    examples = L.labelled_examples(scaled, popular, feature_cols, mode=mode, seed=seed)
+    model, metrics = train_and_evaluate(examples, feature_cols, loss, iterations)
+    K.write_weights(model, f"{out}/weights")
+    K.write_metrics(metrics, f"{out}/metrics")
+    K.append_run_time(spark, f"{out}/run_times", "train", started)
+    return spark.read.parquet(f"{out}/metrics")
+
+
+def predict_job(tracks: DataFrame, model: DataFrame, feature_cols: Sequence[str], top_k: int | None = None) -> DataFrame:
+    """Ranked tags for every track; scaling must match the training features."""
+    return SC.score_all_tags(tracks, TR.weights_table(model, feature_cols), feature_cols, top_k=top_k)
+
+
+def summarize_job(spark: SparkSession, counts: DataFrame, metrics: DataFrame, out: str, min_count: int) -> DataFrame:
+    summary = SU.summarize_models(counts, metrics, min_count).select(
+        "tag", "song_count", "auroc", "auprc", "train_seconds"
+    )
+    K.write_summary_csv(summary, f"{out}/summary_csv")
+    K.write_summary_csv(SU.summary_rounded(summary), f"{out}/summary_rounded_csv")
+    return K.read_summary_csv(spark, f"{out}/summary_csv")
+
+
+# ---------------------------------------------------------------------------
+# Row-checked queries on the given tables
+# ---------------------------------------------------------------------------
+
 JOB_QUERIES: dict = {}
+JOB_ORACLE_SQL: dict = {}
+
+_FEATS_SQL = ", ".join(f"{round_sig_sql(c, 8)} AS {c}" for c in FEATS)
+
+
+def job_query(name: str, sql: str | None = None):
+    def register(fn):
+        JOB_QUERIES[name] = fn
+        if sql is not None:
+            JOB_ORACLE_SQL[name] = sql
+        return fn
+
+    return register
+
+
+def _trained(spark, sf, loss):
+    ex = G.examples(spark, sf)
+    model, metrics = train_and_evaluate(ex, FEATS, loss=loss)
+    return model, metrics
+
+
+@job_query("train_svm_all_tags")
+def q_train_svm_all_tags(spark, sf):
+    """Batched hinge-loss SGD for every popular tag, evaluated on the hold-out."""
+    _, metrics = _trained(spark, sf, "hinge")
+    return metrics.select("tag", "n_pos", "n_neg", "auroc", "auprc", "iterations", "converged")
+
+
+@job_query("train_logistic_all_tags")
+def q_train_logistic_all_tags(spark, sf):
+    _, metrics = _trained(spark, sf, "logistic")
+    return metrics.select("tag", "n_pos", "n_neg", "auroc", "auprc", "iterations", "converged")
+
+
+def _one_tag_examples(spark, sf, tag: str | None = None):
+    ex = G.examples(spark, sf)
+    if tag is None:
+        # the most frequent popular tag (one driver-side value)
+        top = G.popular(spark, sf).orderBy(F.desc("n"), "tag").first()
+        tag = top["tag"] if top is not None else ""
+    return ex.filter(F.col("tag") == tag)
+
+
+def _one_tag(spark, sf, model: str):
+    ex = _one_tag_examples(spark, sf)
+    train = ex.filter(F.col("split") == "train")
+    test = ex.filter(F.col("split") == "test")
+    pm = TR.train_one_tag(train, FEATS, model=model, scale=False)
+    pred = TR.margins_from_pipeline(pm, test)
+    scored = pred.withColumn("score", F.col("prediction"))
+    return M.curve_areas(scored).join(M.confusion_report(pred), "tag")
+
+
+@job_query("train_one_tag_logistic")
+def q_train_one_tag_logistic(spark, sf):
+    """pyspark.ml LogisticRegression (L-BFGS, no regularisation) for one tag."""
+    return _one_tag(spark, sf, "logistic")
+
+
+@job_query("train_one_tag_svm")
+def q_train_one_tag_svm(spark, sf):
+    """pyspark.ml LinearSVC for one tag."""
+    return _one_tag(spark, sf, "svm")
+
+
+@job_query("model_round_trip")
+def q_model_round_trip(spark, sf):
+    """Scaler and classifier saved as one PipelineModel, loaded, and applied."""
+    from pyspark.ml import PipelineModel
+
+    ex = _one_tag_examples(spark, sf)
+    pm = TR.train_one_tag(ex.filter(F.col("split") == "train"), FEATS, model="logistic", scale=True)
+    path = shared_dir(spark, "model")
+    pm.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    return TR.margins_from_pipeline(loaded, ex.filter(F.col("split") == "test")).select(
+        "tag", "track_id", "y", "margin", "prediction"
+    )
+
+
+def _rounded_features(df: DataFrame) -> list:
+    return [round_sig(F.col(c), 8).alias(c) for c in FEATS]
+
+
+@job_query("partitioned_store_round_trip", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, letter, " + _FEATS_SQL
+           + " FROM tracks WHERE letter = (SELECT min(letter) FROM tracks)")
+def q_partitioned_store_round_trip(spark, sf):
+    """Typed store written partitioned by letter; one letter read back (partition pruning)."""
+    path = shared_dir(spark, "store")
+    K.write_track_store(G.tracks(spark, sf), path)
+    letter = G.tracks(spark, sf).agg(F.min("letter")).first()[0]
+    got = K.read_track_store(spark, path, letter)
+    return got.select("track_id", "letter", *_rounded_features(got))
+
+
+@job_query("text_glob_scan", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, array_to_string(tags, '|') AS tags, "
+           + _FEATS_SQL + " FROM tracks WHERE letter IN ('0', '1', '2', '3', '4', '5', '6', '7')")
+def q_text_glob_scan(spark, sf):
+    """Legacy text lines in letter folders, scanned by a folder glob and parsed."""
+    path = shared_dir(spark, "text")
+    lines = LT.format_track_lines(G.tracks(spark, sf), FEATS)
+    lines.write.mode("overwrite").partitionBy("letter").text(path)
+    parsed = LT.features_to_columns(LT.read_track_text(spark, f"{path}/letter=[0-7]"), FEATS)
+    return parsed.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(parsed))
+
+
+@job_query("sqlite_round_trip", sql=ORACLE_SQL["labels_join_features"])
+def q_sqlite_round_trip(spark, sf):
+    """Artist tags and track-artist edges in SQLite files -> track labels -> features."""
+    base = shared_dir(spark, "sqlite")
+    SQ.write_sqlite(td.artist_tags(spark, sf), f"{base}/artist_term", "artist_mbtag")
+    SQ.write_sqlite(td.track_artist(spark, sf), f"{base}/track_metadata", "songs")
+    at = SQ.read_sqlite(spark, f"{base}/artist_term", "artist_mbtag", ["artist_id", "mbtag"])
+    ta = SQ.read_sqlite(spark, f"{base}/track_metadata", "songs", ["artist_id", "track_id"])
+    labels = L.track_labels(ta, L.artist_has_tag(at, G.ARTIST_TAGSTRING))
+    j = L.labels_with_features(labels, td.order_tracks(spark, sf))
+    return j.select("track_id", "y", *[round_sig(F.col(c), 8).alias(c) for c in td.ORDER_FEATURES])
+
+
+@job_query("binary_ingest", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, array_to_string(tags, '|') AS tags, "
+           + _FEATS_SQL + " FROM tracks")
+def q_binary_ingest(spark, sf):
+    """Track files (JSON-lines stand-in for HDF5) -> binaryFile scan -> decoded rows."""
+    path = shared_dir(spark, "files")
+    t = G.tracks(spark, sf).select("track_id", "tags", F.array(*FEATS).alias("features"), "letter")
+    t.write.mode("overwrite").partitionBy("letter").json(path)
+    got = B.read_track_files(spark, path, B.json_lines_decoder, "*.json", FEATS)
+    return got.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(got))
+
+
+@job_query("csv_round_trip", sql=_SUMMARY_CHAIN_SQL + "SELECT tag, song_count, round(auroc, 2) AS auroc, "
+           "round(auprc, 2) AS auprc, CAST(NULL AS DOUBLE) AS train_seconds FROM summary")
+def q_csv_round_trip(spark, sf):
+    """Per-tag summary written as one CSV with a header and read back with a schema."""
+    path = shared_dir(spark, "csv")
+    p = G.test_predictions(spark, sf).withColumn("score", F.col("prediction"))
+    metrics = M.curve_areas(p).withColumn("train_seconds", F.lit(None).cast("double"))
+    summary = SU.summarize_models(G.popular(spark, sf), metrics).select(
+        "tag", "song_count", "auroc", "auprc", "train_seconds"
+    )
+    K.write_summary_csv(SU.summary_rounded(summary), path)
+    return K.read_summary_csv(spark, path)
+
+
+@job_query("metric_files_scan", sql=_SUMMARY_CHAIN_SQL.replace(", summary AS", ", unused AS")
+           + "SELECT replace(replace(tag, ' ', '_'), '\\', '') AS clean_tag, round(auroc, 6) AS auroc, "
+           "round(auprc, 6) AS auprc, train_seconds FROM metrics")
+def q_metric_files_scan(spark, sf):
+    """Three metric lines per tag in per-tag folders, read in one scan and pivoted."""
+    path = shared_dir(spark, "results")
+    p = G.test_predictions(spark, sf).withColumn("score", F.col("prediction"))
+    metrics = M.curve_areas(p).withColumn("train_seconds", (F.col("n_pos") + F.col("n_neg")))
+    lines = LT.format_metric_lines(metrics).join(
+        T.with_clean_names(metrics.select("tag")), "tag"
+    )
+    K.write_metric_text(lines, path)
+    m = LT.read_metric_files(spark, path, tag_col="clean_tag")
+    return m.select("clean_tag", F.round("auroc", 6).alias("auroc"), F.round("auprc", 6).alias("auprc"), "train_seconds")
+
+
+@job_query("run_time_log")
+def q_run_time_log(spark, sf):
+    """Tag counts job with its run time appended to the run-time log."""
+    base = shared_dir(spark, "runs")
+    tag_count_job(spark, G.tracks(spark, sf), f"{base}/tags", f"{base}/run_times")
+    return spark.read.parquet(f"{base}/run_times").select("job")
+
+
+__all__ = ["JOB_ORACLE_SQL", "JOB_QUERIES", "SEED"]

@@ -15,7 +15,7 @@ from tagloom.operators import scaling, score, tags
 from tagloom.sources import testdata as td
 
 # Fixed parameters of the catalogue queries.
-MIN_COUNT = 50          # popularity cut-off at test-data scale
+SHARE_DEN = 40          # popular: carried by at least 1/40 of all tracks
 SEED = 42
 TRAIN_FRACTION = 0.7
 ARTIST_TAGSTRING = "urgent"
@@ -35,8 +35,12 @@ def counts(spark: SparkSession, sf: str) -> DataFrame:
     return tags.tag_counts(tracks(spark, sf))
 
 
-def popular(spark: SparkSession, sf: str) -> DataFrame:
-    return tags.popular_tags(counts(spark, sf), MIN_COUNT)
+def n_tracks(spark: SparkSession, sf: str) -> int:
+    return td.read_table(spark, sf, "part").count()
+
+
+def popular(spark: SparkSession, sf: str, share_den: int = SHARE_DEN) -> DataFrame:
+    return tags.popular_tags_by_share(counts(spark, sf), n_tracks(spark, sf), share_den)
 
 
 def scaled(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +75,8 @@ SQL_COUNTS = f"""
 counts AS (
   SELECT tag, CAST(count(*) AS BIGINT) AS n
   FROM (SELECT unnest(tags) AS tag FROM tracks) WHERE tag IS NOT NULL GROUP BY tag),
-popular AS (SELECT tag, n FROM counts WHERE n >= {MIN_COUNT})"""
+ntracks AS (SELECT count(*) AS n_tracks FROM tracks),
+popular AS (SELECT tag, n FROM counts WHERE n * {SHARE_DEN} >= (SELECT n_tracks FROM ntracks))"""
 
 
 def sql_scaled() -> str:

@@ -150,14 +150,21 @@ def parse_metric_lines(lines: DataFrame, tag_col: str = "tag", value_col: str =
     )
 
 
-def read_metric_files(spark: SparkSession, results_dir: str) -> DataFrame:
+def read_metric_files(spark: SparkSession, results_dir: str, tag_col: str = "tag") -> DataFrame:
     """Metric lines of every tag folder under ``results_dir``, tag = folder name.
 
     One text scan with the file path from ``_metadata``; no per-tag reads.
     """
     raw = spark.read.text(f"{results_dir.rstrip('/')}/*").select("value", "_metadata.file_path")
-    tag = F.regexp_extract("file_path", r"/([^/]+)/[^/]+$", 1)
-    return parse_metric_lines(raw.select(tag.alias("tag"), "value"))
+    def unescape(c):
+        return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+    # file_path is a URI: undo its escaping first.
+    folder = unescape(F.regexp_extract("file_path", r"/([^/]+)/[^/]+$", 1))
+    # Partitioned writes name folders ``clean_tag=<escaped value>``.
+    partition_value = unescape(F.regexp_extract(folder, r"^clean_tag=(.*)$", 1))
+    tag = F.when(folder.startswith("clean_tag="), partition_value).otherwise(folder)
+    return parse_metric_lines(raw.select(tag.alias(tag_col), "value"), tag_col=tag_col)
 
 
 # ---------------------------------------------------------------------------

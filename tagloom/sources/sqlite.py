@@ -1,0 +1,198 @@
+"""SQLite tables as a Spark data source (Python Data Source API).
+
+Read: ``spark.read.format("sqlite").option("path", p).option("table", t).load()``
+where ``p`` is a ``.db`` file or a folder of them. The driver only asks each
+file for its rowid range; the rows are read by the tasks, one input partition
+per file and rowid range (``rowsPerPartition``), so nothing passes through
+the driver and a lost task re-reads just its range.
+
+Write: ``df.write.format("sqlite").option("path", folder).option("table", t)``
+-- each task writes its own ``part-NNNNN.db`` file (SQLite takes one writer
+per file), and a folder of parts reads back as one table.
+"""
+
+from __future__ import annotations
+
+import glob
+import os
+import sqlite3
+from dataclasses import dataclass
+
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceWriter,
+    InputPartition,
+    WriterCommitMessage,
+)
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+_SQLITE_TYPES = {"INTEGER": LongType(), "INT": LongType(), "BIGINT": LongType(), "REAL": DoubleType(),
+                 "DOUBLE": DoubleType(), "FLOAT": DoubleType(), "TEXT": StringType(), "BOOLEAN": BooleanType()}
+
+
+def _spark_to_sqlite(dt) -> str:
+    if isinstance(dt, LongType) or dt.typeName() in ("integer", "short", "byte"):
+        return "INTEGER"
+    if isinstance(dt, DoubleType) or dt.typeName() == "float":
+        return "REAL"
+    if isinstance(dt, BooleanType):
+        return "INTEGER"
+    return "TEXT"
+
+
+def _db_files(path: str) -> list[str]:
+    if os.path.isdir(path):
+        return sorted(glob.glob(os.path.join(path, "*.db")))
+    return [path]
+
+
+def _quote(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+@dataclass
+class RowidRange(InputPartition):
+    file: str
+    lo: int
+    hi: int
+
+
+class SqliteReader(DataSourceReader):
+    def __init__(self, options: dict, schema: StructType):
+        self.path = options["path"]
+        self.table = options["table"]
+        self.rows_per_partition = int(options.get("rowsPerPartition", 1_000_000))
+        self.schema = schema
+
+    def partitions(self):
+        parts = []
+        for f in _db_files(self.path):
+            with sqlite3.connect(f"file:{f}?mode=ro", uri=True) as con:
+                lo, hi = con.execute(f"SELECT min(rowid), max(rowid) FROM {_quote(self.table)}").fetchone()
+            if lo is None:
+                continue
+            start = lo
+            while start <= hi:
+                end = min(hi, start + self.rows_per_partition - 1)
+                parts.append(RowidRange(f, start, end))
+                start = end + 1
+        return parts or [RowidRange("", 0, -1)]
+
+    def read(self, partition: RowidRange):
+        if not partition.file:
+            return
+        cols = ", ".join(_quote(f.name) for f in self.schema.fields)
+        sql = f"SELECT {cols} FROM {_quote(self.table)} WHERE rowid BETWEEN ? AND ? ORDER BY rowid"
+        con = sqlite3.connect(f"file:{partition.file}?mode=ro", uri=True)
+        try:
+            cur = con.execute(sql, (partition.lo, partition.hi))
+            while True:
+                rows = cur.fetchmany(10_000)
+                if not rows:
+                    break
+                yield from rows
+        finally:
+            con.close()
+
+
+@dataclass
+class SqliteCommit(WriterCommitMessage):
+    file: str
+    rows: int
+
+
+class SqliteWriter(DataSourceWriter):
+    def __init__(self, options: dict, schema: StructType, overwrite: bool):
+        self.path = options["path"]
+        self.table = options["table"]
+        self.schema = schema
+        self.overwrite = overwrite
+
+    def write(self, iterator):
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        pid = ctx.partitionId() if ctx else 0
+        os.makedirs(self.path, exist_ok=True)
+        final = os.path.join(self.path, f"part-{pid:05d}.db")
+        tmp = final + f".attempt-{ctx.attemptNumber() if ctx else 0}"
+        if os.path.exists(tmp):
+            os.remove(tmp)
+        cols = ", ".join(f"{_quote(f.name)} {_spark_to_sqlite(f.dataType)}" for f in self.schema.fields)
+        marks = ", ".join("?" for _ in self.schema.fields)
+        n = 0
+        con = sqlite3.connect(tmp)
+        try:
+            con.execute(f"CREATE TABLE {_quote(self.table)} ({cols})")
+            batch = []
+            for row in iterator:
+                batch.append(tuple(row))
+                if len(batch) >= 10_000:
+                    con.executemany(f"INSERT INTO {_quote(self.table)} VALUES ({marks})", batch)
+                    n += len(batch)
+                    batch = []
+            if batch:
+                con.executemany(f"INSERT INTO {_quote(self.table)} VALUES ({marks})", batch)
+                n += len(batch)
+            con.commit()
+        finally:
+            con.close()
+        os.replace(tmp, final)
+        return SqliteCommit(final, n)
+
+
+class SqliteDataSource(DataSource):
+    """``format("sqlite")`` with options ``path``, ``table`` and optional ``rowsPerPartition``."""
+
+    @classmethod
+    def name(cls):
+        return "sqlite"
+
+    def schema(self):
+        f = _db_files(self.options["path"])[0]
+        with sqlite3.connect(f"file:{f}?mode=ro", uri=True) as con:
+            info = con.execute(f"PRAGMA table_info({_quote(self.options['table'])})").fetchall()
+        return StructType(
+            [StructField(c[1], _SQLITE_TYPES.get((c[2] or "TEXT").upper(), StringType()), True) for c in info]
+        )
+
+    def reader(self, schema: StructType):
+        return SqliteReader(self.options, schema)
+
+    def writer(self, schema: StructType, overwrite: bool):
+        return SqliteWriter(self.options, schema, overwrite)
+
+
+def register(spark) -> None:
+    spark.dataSource.register(SqliteDataSource)
+
+
+def read_sqlite(spark, path: str, table: str, columns: list[str] | None = None, rows_per_partition: int = 1_000_000):
+    """Scan a SQLite table (file or folder of part files); ``columns`` projects."""
+    register(spark)
+    reader = (
+        spark.read.format("sqlite")
+        .option("path", path)
+        .option("table", table)
+        .option("rowsPerPartition", str(rows_per_partition))
+    )
+    if columns:
+        # The projection goes into the SQLite SELECT through the read schema.
+        full = SqliteDataSource({"path": path, "table": table}).schema()
+        by_name = {f.name: f for f in full.fields}
+        reader = reader.schema(StructType([by_name[c] for c in columns]))
+    return reader.load()
+
+
+def write_sqlite(df, path: str, table: str) -> None:
+    """Write ``df`` as a folder of SQLite part files, one per task."""
+    register(df.sparkSession)
+    df.write.format("sqlite").option("path", path).option("table", table).mode("append").save()
