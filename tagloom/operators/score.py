@@ -49,7 +49,8 @@ def class_mean_weights(examples: DataFrame, feature_cols: Sequence[str], group_c
 def with_margin(df: DataFrame, weights: DataFrame, feature_cols: Sequence[str], group_col: str = "tag") -> DataFrame:
     """Adds ``margin`` = w . x + bias, weights joined by tag (one row per tag)."""
     wc = weight_cols(feature_cols)
-    joined = df.join(weights.select(group_col, *wc, "bias"), group_col)
+    # One row per tag (bounded by the popular-tag count): the build side.
+    joined = df.join(F.broadcast(weights.select(group_col, *wc, "bias")), group_col)
     return joined.withColumn("margin", dot_columns(wc, list(feature_cols)) + F.col("bias")).drop(*wc, "bias")
 
 

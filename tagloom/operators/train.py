@@ -28,9 +28,11 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,31 @@ from tagloom.functions.vectors import dot_columns
 LOSSES = ("hinge", "logistic")
 
 
+def _gradient_sql(train_view: str, weights_view: str, feature_cols: Sequence[str], loss: str, group_col: str) -> str:
+    """One iteration's gradient as SQL text over two views (fixed per training run)."""
+    q = [f"`{c}`" for c in feature_cols]
+    margin = " + ".join(f"w.`w_{c}` * t.{x}" for c, x in zip(feature_cols, q)) + " + w.w_bias"
+    if loss == "hinge":
+        mult = "CASE WHEN s * m < 1.0 THEN -s ELSE 0.0 END"
+        row_loss = "CASE WHEN s * m < 1.0 THEN 1.0 - s * m ELSE 0.0 END"
+    elif loss == "logistic":
+        mult = "1.0 / (1.0 + exp(-m)) - y"
+        # log(1 + exp(-m)) for y = 1, log(1 + exp(m)) for y = 0
+        row_loss = "log1p(exp(-s * m))"
+    else:
+        raise ValueError(f"unknown loss {loss!r}")
+    cols = ", ".join(f"t.{x}" for x in q)
+    sums = ", ".join(f"sum(_mult * {x}) AS `g_{c}`" for c, x in zip(feature_cols, q))
+    # The weight table has one row per tag (count-checked by the trainer):
+    # it is always the build side of the join, never the training rows.
+    return f"""
+SELECT `{group_col}`, count(1) AS n, {sums}, sum(_mult) AS g_bias, sum(_loss) AS loss_sum
+FROM (SELECT `{group_col}`, {", ".join(q)}, {mult} AS _mult, {row_loss} AS _loss
+      FROM (SELECT /*+ BROADCAST(w) */ t.`{group_col}`, {cols}, t.y, t.y * 2.0 - 1.0 AS s, {margin} AS m
+            FROM {train_view} t JOIN {weights_view} w ON t.`{group_col}` = w.`{group_col}`))
+GROUP BY `{group_col}`"""
+
+
 def gradient_sums(
     train: DataFrame,
     weights: DataFrame,
@@ -61,34 +88,35 @@ def gradient_sums(
     ``weights`` holds (tag, w_<feature>..., w_bias). This is one iteration's
     distributed work; it is also exposed as a query on its own.
     """
-    wc = [f"w_{c}" for c in feature_cols]
-    j = train.join(weights.select(group_col, *wc, "w_bias"), group_col)
-    margin = dot_columns(wc, list(feature_cols)) + F.col("w_bias")
-    if loss == "hinge":
-        s = F.col("y") * 2.0 - 1.0
-        mult = F.when(s * margin < 1.0, -s).otherwise(F.lit(0.0))
-        row_loss = F.when(s * margin < 1.0, 1.0 - s * margin).otherwise(F.lit(0.0))
-    elif loss == "logistic":
-        mult = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) - F.col("y")
-        # log(1 + exp(-m)) for y = 1, log(1 + exp(m)) for y = 0
-        row_loss = F.log1p(F.exp(F.when(F.col("y") == 1.0, -margin).otherwise(margin)))
-    else:
-        raise ValueError(f"unknown loss {loss!r}")
-    j = j.withColumn("_mult", mult).withColumn("_loss", row_loss)
-    return j.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col("_mult") * F.col(c)).alias(f"g_{c}") for c in feature_cols],
-        F.sum("_mult").alias("g_bias"),
-        F.sum("_loss").alias("loss_sum"),
-    )
+    spark = train.sparkSession
+    suffix = uuid.uuid4().hex[:12]
+    tv, wv = f"_tagloom_train_{suffix}", f"_tagloom_w_{suffix}"
+    train.createOrReplaceTempView(tv)
+    weights.createOrReplaceTempView(wv)
+    try:
+        # spark.sql analyses eagerly, so the views can be dropped afterwards.
+        return spark.sql(_gradient_sql(tv, wv, feature_cols, loss, group_col))
+    finally:
+        spark.catalog.dropTempView(tv)
+        spark.catalog.dropTempView(wv)
 
 
 def _weights_frame(spark, state: dict[str, np.ndarray], feature_cols: Sequence[str], group_col: str) -> DataFrame:
+    """The current weights as a local relation (exact size, no job to build it)."""
     fields = [T.StructField(group_col, T.StringType(), False)]
     fields += [T.StructField(f"w_{c}", T.DoubleType(), False) for c in feature_cols]
     fields.append(T.StructField("w_bias", T.DoubleType(), False))
-    rows = [(tag, *[float(v) for v in w]) for tag, w in state.items()]
-    return spark.createDataFrame(rows, T.StructType(fields))
+    tags = list(state)
+    mat = np.vstack([state[t] for t in tags]) if tags else np.zeros((0, len(feature_cols) + 1))
+    pdf = pd.DataFrame(mat, columns=[f.name for f in fields[1:]])
+    pdf.insert(0, group_col, tags)
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")  # Arrow turns a pandas frame into a LocalRelation
+    try:
+        return spark.createDataFrame(pdf, T.StructType(fields))
+    finally:
+        spark.conf.set(key, before)
 
 
 def _materialize(df: DataFrame, checkpoint: bool) -> DataFrame:
@@ -126,6 +154,10 @@ def train_linear_all_tags(
         train = train.filter(F.col("split") == split)
     train = train.select(group_col, F.col("y").cast("double").alias("y"), *[F.col(c).cast("double") for c in feature_cols])
     train = _materialize(train, checkpoint)
+    suffix = uuid.uuid4().hex[:12]
+    tv, wv = f"_tagloom_train_{suffix}", f"_tagloom_w_{suffix}"
+    train.createOrReplaceTempView(tv)
+    step_sql = _gradient_sql(tv, wv, feature_cols, loss, group_col)
     try:
         tags = [r[0] for r in train.select(group_col).distinct().collect()]
         if len(tags) > MAX_BROADCAST_TAGS:
@@ -142,8 +174,8 @@ def train_linear_all_tags(
         for t in range(1, iterations + 1):
             if not active:
                 break
-            wdf = _weights_frame(spark, active, feature_cols, group_col)
-            grads = gradient_sums(train, wdf, feature_cols, loss, group_col).collect()
+            _weights_frame(spark, active, feature_cols, group_col).createOrReplaceTempView(wv)
+            grads = spark.sql(step_sql).collect()
             eta = step / math.sqrt(t)
             seen = set()
             for r in grads:
@@ -175,6 +207,8 @@ def train_linear_all_tags(
         )
         return spark.createDataFrame(rows, schema)
     finally:
+        spark.catalog.dropTempView(tv)
+        spark.catalog.dropTempView(wv)
         train.unpersist()
 
 
