@@ -61,10 +61,14 @@ DEFAULT_TRAIN_FRACTION = 0.7
 
 DEFAULT_SEED = 42
 
-# Largest tag table broadcast to every task; above it the shuffle-based plans
-# are used.
+# Largest tag table broadcast to every task for a hash join; above it the
+# shuffle-based plans are used.
 MAX_BROADCAST_TAGS = 200_000
 
+# Largest tag table for a nested-loop plan (every track tested against every
+# tag: cost grows with tracks x tags); above it only equi-join plans are used.
+MAX_NESTED_LOOP_TAGS = 5_000
+
 # Largest weight matrix (tags x features) shipped to tasks for scoring.
 MAX_SCORING_WEIGHTS = 8_000_000
 

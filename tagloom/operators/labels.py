@@ -8,17 +8,20 @@ Match modes:
 * ``exact``: the tag is one of the track's tags.
 
 Plans. The tag list is the popular-tag table (bounded by total tag
-occurrences / cut-off). Its row count is checked before it is broadcast:
+occurrences / cut-off). Its row count is checked before a plan is chosen:
 
-* exact: explode + equi join (broadcast hash join when small, shuffle join
-  otherwise) -- no pair is ever tested that is not in the output;
-* substring, tag list within the bound: broadcast nested-loop join of the
-  tracks against the tag list;
-* substring, tag list above the bound: every substring of a track's tags with
-  a length some tag has is exploded and equi-joined to the tag list.
+* exact: explode + equi join (broadcast hash join up to MAX_BROADCAST_TAGS,
+  shuffle join above, where AQE splits a hot tag) -- no pair is tested that
+  is not in the output;
+* substring, up to MAX_NESTED_LOOP_TAGS tags: broadcast nested-loop join of
+  the tracks against the tag list (cost tracks x tags, so the bound is low);
+* substring, above it: every substring of a track's tags with a length some
+  tag has is exploded and equi-joined to the tag list.
 
 Negatives are never materialised in full: examples keep the positives plus a
-hash-drawn sample of negatives, found by a range condition on the draw.
+hash-drawn sample of negatives. With a small tag list this is one
+nested-loop pass; above the bound the draw is bucketed and equi-joined to the
+buckets each tag's fraction covers (a range join without a nested loop).
 """
 
 from __future__ import annotations
@@ -28,12 +31,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.config import DEFAULT_SEED, DEFAULT_TRAIN_FRACTION, MAX_BROADCAST_TAGS
+from tagloom.config import DEFAULT_SEED, DEFAULT_TRAIN_FRACTION, MAX_BROADCAST_TAGS, MAX_NESTED_LOOP_TAGS
 from tagloom.operators.sampling import negative_fraction, with_sample_draws
 from tagloom.operators.tags import explode_tags
 
 MATCH_MODES = ("exact", "substring", "substring_ci")
 
+# Separator for the joined tag text of a track. A tag without this character
+# cannot match across two elements, so a substring test on the joined text
+# equals "some element contains the tag" -- and it stays in generated code,
+# where a lambda over the array would be interpreted row by row.
+TAG_SEP = "\u0000"
+
 
 def tag_match(tags: Column, tag: Column, mode: str = "substring") -> Column:
     """Boolean column: does the tag list ``tags`` carry ``tag`` under ``mode``."""
@@ -46,6 +55,15 @@ def tag_match(tags: Column, tag: Column, mode: str = "substring") -> Column:
     raise ValueError(f"unknown match mode {mode!r}")
 
 
+def _with_match_keys(tracks: DataFrame, tag_list: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Track side gets ``_tt`` (joined tag text), tag side ``_tk`` (the needle)."""
+    text = F.concat_ws(TAG_SEP, F.col("tags"))
+    needle = F.col("tag")
+    if mode == "substring_ci":
+        text, needle = F.lower(text), F.lower(needle)
+    return tracks.withColumn("_tt", text), tag_list.withColumn("_tk", needle)
+
+
 def _substring_pairs_by_explode(tracks: DataFrame, tag_list: DataFrame, mode: str, id_col: str) -> DataFrame:
     """Shuffle plan for substring labels when the tag list is too big to broadcast."""
     ci = mode == "substring_ci"
@@ -71,18 +89,17 @@ def positive_pairs(
     mode: str = "substring",
     id_col: str = "track_id",
     max_broadcast_tags: int = MAX_BROADCAST_TAGS,
+    max_nested_loop_tags: int = MAX_NESTED_LOOP_TAGS,
 ) -> DataFrame:
     """(tag, track_id) for every track that carries a tag of ``tags``."""
     tag_list = tags.select("tag").distinct()
     n_tags = tag_list.count()
-    small = n_tags <= max_broadcast_tags
     if mode == "exact":
-        right = F.broadcast(tag_list) if small else tag_list
+        right = F.broadcast(tag_list) if n_tags <= max_broadcast_tags else tag_list
         return explode_tags(tracks, id_col).join(right, "tag").select("tag", id_col)
-    if small:
-        t = tracks.select(id_col, "tags")
-        cond = tag_match(t["tags"], tag_list["tag"], mode)
-        return t.join(F.broadcast(tag_list), cond).select("tag", id_col)
+    if n_tags <= min(max_nested_loop_tags, max_broadcast_tags):
+        t, k = _with_match_keys(tracks.select(id_col, "tags"), tag_list, mode)
+        return t.join(F.broadcast(k), F.col("_tt").contains(F.col("_tk"))).select("tag", id_col)
     return _substring_pairs_by_explode(tracks, tag_list, mode, id_col)
 
 
@@ -125,6 +142,7 @@ def labelled_examples(
     id_col: str = "track_id",
     max_broadcast_tags: int = MAX_BROADCAST_TAGS,
     buckets: int = 4096,
+    max_nested_loop_tags: int = MAX_NESTED_LOOP_TAGS,
 ) -> DataFrame:
     """examples(tag, track_id, y, split, <features>): rebalanced and split.
 
@@ -135,16 +153,23 @@ def labelled_examples(
     counts = class_counts(tracks, tags, mode, id_col, ratio, max_broadcast_tags).select("tag", "fraction")
     drawn = with_sample_draws(tracks.select(id_col, "tags", *feature_cols), id_col, seed)
     n_tags = counts.count()
-    if n_tags <= max_broadcast_tags:
+    if n_tags <= min(max_nested_loop_tags, max_broadcast_tags):
         # One pass: nested loop against the broadcast tag list; a pair is kept
         # if it is a positive or its draw falls under the tag's fraction.
-        match = tag_match(drawn["tags"], counts["tag"], mode)
-        joined = drawn.join(F.broadcast(counts), match | (drawn["u"] < counts["fraction"]))
-        out = joined.withColumn("y", tag_match(F.col("tags"), F.col("tag"), mode).cast("double"))
+        if mode == "exact":
+            match = F.array_contains(F.col("tags"), F.col("tag"))
+            t, k = drawn, counts
+        else:
+            match = F.col("_tt").contains(F.col("_tk"))
+            t, k = _with_match_keys(drawn, counts, mode)
+        joined = t.join(F.broadcast(k), match | (F.col("u") < F.col("fraction")))
+        out = joined.withColumn("y", match.cast("double"))
     else:
         # Positives by the shuffle plan; negatives by a bucketed range join on
         # the draw: tag t covers buckets [0, ceil(fraction * B)).
-        pos = positive_pairs(tracks, counts, mode, id_col, max_broadcast_tags).withColumn("y", F.lit(1.0))
+        pos = positive_pairs(tracks, counts, mode, id_col, max_broadcast_tags, max_nested_loop_tags).withColumn(
+            "y", F.lit(1.0)
+        )
         b = F.lit(buckets)
         tag_buckets = counts.withColumn(
             "_b", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("fraction") * b).cast("int") - 1, F.lit(0))))

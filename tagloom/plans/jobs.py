@@ -312,3 +312,42 @@ def q_run_time_log(spark, sf):
 
 
 __all__ = ["JOB_ORACLE_SQL", "JOB_QUERIES", "SEED"]
+
+
+# ---------------------------------------------------------------------------
+# Streaming: incremental ingest and running tag counts
+# ---------------------------------------------------------------------------
+
+
+def _stream_source(spark, sf) -> str:
+    """Legacy text lines of every track, as files in a fresh source folder."""
+    src = shared_dir(spark, "stream-src")
+    LT.format_track_lines(G.tracks(spark, sf), FEATS).select("value").write.mode("overwrite").text(src)
+    return src
+
+
+@job_query("streaming_ingest", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, array_to_string(tags, '|') AS tags, "
+           + _FEATS_SQL + " FROM tracks")
+def q_streaming_ingest(spark, sf):
+    """File stream of legacy text -> typed store (availableNow, checkpointed)."""
+    from tagloom.streaming.ingest import stream_text_ingest
+
+    src = _stream_source(spark, sf)
+    store = shared_dir(spark, "stream-store")
+    q = stream_text_ingest(spark, src, store, shared_dir(spark, "stream-ckpt"), FEATS,
+                           letter_expr=F.substring(F.md5("track_id"), 1, 1), max_files=4)
+    q.awaitTermination()
+    got = spark.read.parquet(store)
+    return got.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(got))
+
+
+@job_query("streaming_tag_counts", sql=ORACLE_SQL["tag_counts"])
+def q_streaming_tag_counts(spark, sf):
+    """Streaming aggregation of tag counts over the ingested files."""
+    from tagloom.streaming.ingest import stream_tag_counts
+
+    src = _stream_source(spark, sf)
+    out = shared_dir(spark, "stream-counts")
+    q = stream_tag_counts(spark, src, out, shared_dir(spark, "stream-counts-ckpt"), max_files=4)
+    q.awaitTermination()
+    return spark.read.parquet(out)
