@@ -66,6 +66,21 @@ def confusion_report(
     )
 
 
+def confusion_report_lines(report: DataFrame, group_col: str = "tag") -> DataFrame:
+    """(tag, line_no, line): the confusion report as readable text lines."""
+    lines = F.array(
+        F.struct(F.lit(0).alias("line_no"), F.format_string(
+            "0 | n = %d | Recall = %s | Precision = %s", "n0", "recall0", "precision0").alias("line")),
+        F.struct(F.lit(1).alias("line_no"), F.format_string(
+            "1 | n = %d | Recall = %s | Precision = %s", "n1", "recall1", "precision1").alias("line")),
+        F.struct(F.lit(2).alias("line_no"), F.format_string("Test Error = %s", "test_error").alias("line")),
+        F.struct(F.lit(3).alias("line_no"), F.format_string("Positive Rate = %s", "positive_rate").alias("line")),
+        F.struct(F.lit(4).alias("line_no"), F.format_string("Mean Label = %s", "mean_label").alias("line")),
+        F.struct(F.lit(5).alias("line_no"), F.format_string("Mean Prediction = %s", "mean_prediction").alias("line")),
+    )
+    return report.select(group_col, F.inline(lines))
+
+
 def curve_areas(
     scored: DataFrame,
     group_col: str = "tag",

@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from tagloom.functions.text import clean_tag_name
 
 
+def tags_frame(spark, tags: list[str]) -> DataFrame:
+    """A fixed tag list (e.g. ["rock", "hip hop", "country"]) as a tag table."""
+    return spark.createDataFrame([(t,) for t in tags], "tag string")
+
+
+def preview(df: DataFrame, n: int = 4, enabled: bool = False, label: str = "") -> None:
+    """Log the first ``n`` rows when ``enabled`` (verbose runs); a no-op otherwise."""
+    if enabled:
+        import logging
+
+        logging.getLogger("tagloom").info("%s%s", f"{label}: " if label else "", df.limit(n).collect())
+
+
 def explode_tags(tracks: DataFrame, id_col: str = "track_id", tags_col: str = "tags") -> DataFrame:
     """(track_id, tag), one row per distinct tag of a track. Empty lists give no rows."""
     return tracks.select(id_col, F.explode(F.array_distinct(F.col(tags_col))).alias("tag")).filter(

@@ -176,6 +176,21 @@ def q_parse_tag_count_lines_legacy(spark, sf):
     return LT.parse_tag_count_lines(LT.format_tag_count_lines(G.counts(spark, sf)), legacy=True)
 
 
+_LEGACY_LABELS_SQL = (
+    with_ctes(G.SQL_TRACKS, G.SQL_COUNTS, _TRACK_LINE_SQL)
+    + "SELECT p.tag, string_split(l.value, chr(39))[2] AS track_id, CAST(1 AS DOUBLE) AS y, "
+    "CAST(len(string_split(regexp_extract_all(l.value, '\\[.*?\\]', 0)[2], ',')) AS BIGINT) AS n_features "
+    "FROM lines l JOIN popular p ON contains(regexp_extract_all(l.value, '\\[.*?\\]', 0)[1], p.tag)"
+)
+
+
+@query("legacy_line_labels", _LEGACY_LABELS_SQL)
+def q_legacy_line_labels(spark, sf):
+    lines = LT.format_track_lines(G.tracks(spark, sf), FEATS)
+    lab = LT.legacy_line_labels(lines, G.popular(spark, sf))
+    return lab.select("tag", "track_id", "y", F.size("features").cast("bigint").alias("n_features"))
+
+
 # ---------------------------------------------------------------------------
 # Labels
 # ---------------------------------------------------------------------------

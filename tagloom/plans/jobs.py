@@ -351,3 +351,52 @@ def q_streaming_tag_counts(spark, sf):
     q = stream_tag_counts(spark, src, out, shared_dir(spark, "stream-counts-ckpt"), max_files=4)
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------------------
+# One tag, with the old command's options as keyword arguments
+# ---------------------------------------------------------------------------
+
+
+def one_tag_job(
+    spark: SparkSession,
+    tracks: DataFrame,
+    feature_cols: Sequence[str],
+    tag: str = "rock",
+    model: str = "logistic",
+    step: float = 1.0,
+    iterations: int = 100,
+    holdout: float = 0.1,
+    intercept: bool = True,
+    mode: str = "substring_ci",
+    seed: int = DEFAULT_SEED,
+    verbose: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Train and evaluate one tag with SGD; returns (model, confusion report).
+
+    Options mirror the old one-tag command: tag string, model (svm/logistic),
+    step, iterations, hold-out share, intercept. Arguments are validated.
+    """
+    if str(model).lower() not in ("logistic", "svm"):
+        raise ValueError("model must be 'logistic' or 'svm'")
+    if not 0.0 < holdout < 1.0:
+        raise ValueError("holdout must be greater than 0 and less than 1")
+    loss = "hinge" if str(model).lower() == "svm" else "logistic"
+    tags_df = T.tags_frame(spark, [tag.lower() if mode == "substring_ci" else tag])
+    scaled = scaling.standard_scale(tracks, feature_cols)
+    ex = L.labelled_examples(scaled, tags_df, feature_cols, mode=mode, seed=seed, ratio="prior",
+                             train_fraction=1.0 - holdout)
+    T.preview(ex, enabled=verbose, label="examples")
+    fitted = TR.train_linear_all_tags(ex, feature_cols, loss=loss, iterations=iterations, step=step,
+                                      intercept=intercept)
+    test = ex.filter(F.col("split") == "test")
+    kind = "svm" if loss == "hinge" else "logistic"
+    pred = SC.with_prediction(SC.with_margin(test, TR.weights_table(fitted, feature_cols), feature_cols), kind)
+    return fitted, M.confusion_report(pred)
+
+
+@job_query("one_tag_sgd_report")
+def q_one_tag_sgd_report(spark, sf):
+    """One tag ('brand#1', case-folded substring) with logistic SGD, old defaults."""
+    fitted, report = one_tag_job(spark, G.tracks(spark, sf), FEATS, tag="Brand#1", iterations=30)
+    return report

@@ -181,3 +181,26 @@ def parse_track_info(lines: DataFrame, value_col: str = "value") -> DataFrame:
         F.get(parts, 2).alias("artist"),
         F.get(parts, 3).alias("title"),
     )
+
+
+def legacy_line_labels(lines: DataFrame, tags: DataFrame, value_col: str = "value") -> DataFrame:
+    """(tag, track_id, y, features) for the positive lines of every tag, the older way.
+
+    The label is a case-sensitive substring test on the *printed* tag list
+    (first lazily matched bracket group, quotes and separators included); the
+    id is the text between the first two single quotes; the vector is the
+    second bracket group. ``tags`` is a small table (one row per tag, checked
+    by the caller) and is broadcast; the per-tag loop over all lines becomes
+    one nested-loop pass that emits only the positives (negatives are every
+    other line of the tag).
+    """
+    v = F.col(value_col)
+    groups = F.regexp_extract_all(v, F.lit(BRACKET_GROUP_PATTERN), 0)
+    parsed = lines.select(
+        F.get(F.split(v, "'"), 1).alias("track_id"),
+        F.get(groups, 0).alias("_tags_text"),
+        parse_number_list(F.coalesce(F.get(groups, 1), F.lit(""))).alias("features"),
+    )
+    hit = F.col("_tags_text").contains(F.col("tag"))
+    joined = parsed.join(F.broadcast(tags.select("tag")), hit, "inner")
+    return joined.select("tag", "track_id", F.lit(1.0).alias("y"), "features")
