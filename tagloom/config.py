@@ -100,3 +100,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    directory and read it back: later passes scan the written table (column
+    pruning, no recomputation of the upstream joins and aggregates), and the
+    lineage is cut, so a lost executor does not replay the upstream work."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

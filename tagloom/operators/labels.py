@@ -189,15 +189,15 @@ def labelled_examples(
 
 
 def artist_tag_lists(artist_tags: DataFrame) -> DataFrame:
-    """(artist_id, tags): sorted distinct tags per artist, joined by ','.
+    """(artist_id, tags, n_tags): sorted distinct tags per artist, joined by ','.
 
-    Rows are de-duplicated first and ``collect_set`` merges map-side, so a
-    list never holds more than the artist's distinct tags.
+    One shuffle: ``collect_set`` de-duplicates map-side (partial sets merge),
+    so no list ever holds more than the artist's distinct tags.
     """
-    dedup = artist_tags.select("artist_id", "mbtag").filter(F.col("mbtag").isNotNull()).distinct()
-    return dedup.groupBy("artist_id").agg(
-        F.array_join(F.array_sort(F.collect_set("mbtag")), ",").alias("tags"),
-        F.count(F.lit(1)).alias("n_tags"),
+    tags = artist_tags.select("artist_id", "mbtag").filter(F.col("mbtag").isNotNull())
+    grouped = tags.groupBy("artist_id").agg(F.array_sort(F.collect_set("mbtag")).alias("_set"))
+    return grouped.select(
+        "artist_id", F.array_join("_set", ",").alias("tags"), F.size("_set").cast("bigint").alias("n_tags")
     )
 
 

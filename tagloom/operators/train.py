@@ -120,7 +120,11 @@ def _weights_frame(spark, state: dict[str, np.ndarray], feature_cols: Sequence[s
 
 
 def _materialize(df: DataFrame, checkpoint: bool) -> DataFrame:
-    """Cut the lineage (reliable checkpoint in the shared folder) and cache."""
+    """Cut the lineage (reliable checkpoint in the shared folder) and cache.
+
+    ``checkpoint=False`` is for inputs that already are a written table: the
+    cached rows then recompute from that table's scan after a lost executor.
+    """
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.config import DEFAULT_MIN_COUNT, DEFAULT_SEED, shared_dir
+from tagloom.config import DEFAULT_MIN_COUNT, DEFAULT_SEED, materialize, shared_dir
 from tagloom.functions.vectors import round_sig, round_sig_sql
 from tagloom.operators import labels as L
 from tagloom.operators import metrics as M
@@ -82,7 +82,11 @@ def train_and_evaluate(
     ``score="label"`` evaluates the thresholded 0/1 predictions (so AUROC is
     balanced accuracy, as in the published numbers); ``"margin"`` the raw margin.
     """
-    model = TR.train_linear_all_tags(examples, feature_cols, loss=loss, iterations=iterations, step=step, reg=reg)
+    # Both splits are read (train by the trainer, test here): write the
+    # examples once instead of labelling every track twice.
+    examples = materialize(examples, "examples")
+    model = TR.train_linear_all_tags(examples, feature_cols, loss=loss, iterations=iterations, step=step, reg=reg,
+                                     checkpoint=False)
     w = TR.weights_table(model, feature_cols)
     test = examples.filter(F.col("split") == "test")
     kind = "svm" if loss == "hinge" else "logistic"
@@ -115,7 +119,7 @@ def train_job(
             popular = T.untrained_tags(popular, done)
         except Exception:  # noqa: BLE001 - first run: no metrics yet
             pass
-    scaled = scaling.standard_scale(tracks, feature_cols)
+    scaled = scaling.standard_scale(materialize(tracks, "tracks"), feature_cols)
     examples = L.labelled_examples(scaled, popular, feature_cols, mode=mode, seed=seed)
     model, metrics = train_and_evaluate(examples, feature_cols, loss, iterations)
     K.write_weights(model, f"{out}/weights")
@@ -383,12 +387,13 @@ def one_tag_job(
         raise ValueError("holdout must be greater than 0 and less than 1")
     loss = "hinge" if str(model).lower() == "svm" else "logistic"
     tags_df = T.tags_frame(spark, [tag.lower() if mode == "substring_ci" else tag])
-    scaled = scaling.standard_scale(tracks, feature_cols)
+    scaled = scaling.standard_scale(materialize(tracks, "tracks"), feature_cols)
     ex = L.labelled_examples(scaled, tags_df, feature_cols, mode=mode, seed=seed, ratio="prior",
                              train_fraction=1.0 - holdout)
+    ex = materialize(ex, "examples")
     T.preview(ex, enabled=verbose, label="examples")
     fitted = TR.train_linear_all_tags(ex, feature_cols, loss=loss, iterations=iterations, step=step,
-                                      intercept=intercept)
+                                      intercept=intercept, checkpoint=False)
     test = ex.filter(F.col("split") == "test")
     kind = "svm" if loss == "hinge" else "logistic"
     pred = SC.with_prediction(SC.with_margin(test, TR.weights_table(fitted, feature_cols), feature_cols), kind)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.config import materialize
 from tagloom.functions.hashing import unit_hash_sql
 from tagloom.operators import labels as L
 from tagloom.operators import scaling, score, tags
@@ -43,13 +44,20 @@ def popular(spark: SparkSession, sf: str, share_den: int = SHARE_DEN) -> DataFra
     return tags.popular_tags_by_share(counts(spark, sf), n_tracks(spark, sf), share_den)
 
 
-def scaled(spark: SparkSession, sf: str) -> DataFrame:
-    return scaling.standard_scale(tracks(spark, sf), FEATS)
+def scaled(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
+    t = materialize(tracks(spark, sf), "tracks") if stored else tracks(spark, sf)
+    return scaling.standard_scale(t, FEATS)
 
 
 def examples(spark: SparkSession, sf: str, mode: str = "substring", ratio: str = "balanced") -> DataFrame:
+    """Examples from the tracks written once to the shared folder.
+
+    Building examples reads the tracks several times (scaler fit, counts,
+    positives, the labelling pass); each read of the written table replaces a
+    recomputation of the line-item aggregation.
+    """
     return L.labelled_examples(
-        scaled(spark, sf), popular(spark, sf), FEATS, mode=mode, seed=SEED, ratio=ratio,
+        scaled(spark, sf, stored=True), popular(spark, sf), FEATS, mode=mode, seed=SEED, ratio=ratio,
         train_fraction=TRAIN_FRACTION,
     )
 
@@ -59,7 +67,8 @@ def weights(ex: DataFrame) -> DataFrame:
 
 
 def test_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    ex = examples(spark, sf)
+    # both splits are read: the examples are written once, not labelled twice
+    ex = materialize(examples(spark, sf), "examples")
     w = weights(ex)
     test = ex.filter(F.col("split") == "test")
     return score.with_prediction(score.with_margin(test, w, FEATS), "svm")

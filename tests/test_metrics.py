@@ -60,3 +60,17 @@ def test_confusion_report(spark):
     assert r.recall1 == 0.75 and r.precision1 == 0.6 and r.recall0 == 4 / 6 and r.precision0 == 0.8
     assert r.accuracy == 0.7 and abs(r.test_error - 0.3) < 1e-12 and r.positive_rate == 0.4
     assert r.mean_prediction == 0.5
+
+
+def test_hot_tag_and_repartition(spark):
+    """One tag holds far more rows than the others; buckets and partitioning do not change results."""
+    rnd = random.Random(11)
+    rows = [("hot", float(rnd.random() < 0.4), rnd.gauss(0, 1)) for _ in range(3000)]
+    rows += [(t, float(rnd.random() < 0.5), rnd.gauss(0, 1)) for t in ("a", "b") for _ in range(100)]
+    df = spark.createDataFrame(rows, "tag string, y double, score double")
+    base = {r.tag: (r.auroc, r.auprc, r.n_pos, r.n_neg) for r in M.curve_areas(df, buckets=1).collect()}
+    for b, parts in ((16, 3), (64, 11)):
+        got = {r.tag: (r.auroc, r.auprc, r.n_pos, r.n_neg) for r in M.curve_areas(df.repartition(parts), buckets=b).collect()}
+        for t in base:
+            assert got[t][2:] == base[t][2:]
+            assert abs(got[t][0] - base[t][0]) < 1e-12 and abs(got[t][1] - base[t][1]) < 1e-12
