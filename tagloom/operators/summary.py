@@ -55,3 +55,24 @@ def prediction_report_lines(ranked: DataFrame, name_width: int = 28) -> DataFram
     """(track_id, rank, line): ``tag padded to width | margin`` per ranked tag."""
     line = F.format_string(f"%-{name_width}s | %.6f", F.col("tag"), F.col("margin"))
     return ranked.select("track_id", "rank", line.alias("line"))
+
+
+def prediction_report(ranked: DataFrame, info: DataFrame, name_width: int = 28) -> DataFrame:
+    """(track_id, line_no, line): header from the track info, then ranked tags.
+
+    ``ranked`` holds (track_id, tag, margin, rank) and ``info`` (track_id,
+    artist, title); the info is joined on the key, once per track.
+    """
+    header = info.select(
+        "track_id",
+        F.inline(F.array(
+            F.struct(F.lit(-5).alias("line_no"), F.concat(F.lit("TRACK ID: "), F.col("track_id")).alias("line")),
+            F.struct(F.lit(-4).alias("line_no"), F.concat(F.lit("ARTIST: "), F.col("artist")).alias("line")),
+            F.struct(F.lit(-3).alias("line_no"), F.concat(F.lit("SONG TITLE: "), F.col("title")).alias("line")),
+            F.struct(F.lit(-2).alias("line_no"), F.lit("GENRE TAG".ljust(name_width) + " | SVM MARGIN").alias("line")),
+            F.struct(F.lit(-1).alias("line_no"), F.lit("-" * (name_width + 1) + "+" + "-" * 29).alias("line")),
+        )),
+    )
+    tracks = ranked.select("track_id").distinct()
+    body = prediction_report_lines(ranked, name_width).select("track_id", F.col("rank").alias("line_no"), "line")
+    return header.join(tracks, "track_id", "left_semi").unionByName(body)

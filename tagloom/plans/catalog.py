@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.config import METRIC_AUPRC_PREFIX, METRIC_AUROC_PREFIX, METRIC_TIME_PREFIX
+from tagloom.config import METRIC_AUPRC_PREFIX, METRIC_AUROC_PREFIX, METRIC_TIME_PREFIX, materialize
 from tagloom.functions.hashing import unit_hash_sql
 from tagloom.functions.text import clean_tag_name
 from tagloom.functions.vectors import round_sig, round_sig_sql
@@ -472,6 +472,31 @@ def q_prediction_report_lines(spark, sf):
     return SU.prediction_report_lines(ranked)
 
 
+@query(
+    "prediction_report",
+    _SCORE_ALL_SQL + _SAMPLED_TRACK_SQL + ", " + td.TRACK_INFO_SQL.strip("\n") + """
+, info AS (SELECT string_split(value, '<SEP>')[1] AS track_id, string_split(value, '<SEP>')[3] AS artist,
+                  string_split(value, '<SEP>')[4] AS title FROM track_info_lines)
+SELECT i.track_id, h.line_no, h.line FROM info i JOIN picked p ON p.track_id = i.track_id,
+  LATERAL (SELECT * FROM (VALUES (-5, 'TRACK ID: ' || i.track_id), (-4, 'ARTIST: ' || i.artist),
+                                 (-3, 'SONG TITLE: ' || i.title),
+                                 (-2, 'GENRE TAG                    | SVM MARGIN'),
+                                 (-1, '-----------------------------+-----------------------------')) AS v(line_no, line)) h
+UNION ALL
+SELECT r.track_id, r.rank AS line_no, printf('%-28s | %.6f', r.tag, r.margin) AS line
+FROM ranked r JOIN picked p ON p.track_id = r.track_id""",
+)
+def q_prediction_report(spark, sf):
+    t = G.tracks(spark, sf)
+    letter = S.sample_one(t.select("letter").distinct(), "letter", SEED)
+    one = S.sample_one(t.join(letter, "letter", "left_semi"), "track_id", SEED).select("track_id")
+    ex = materialize(G.examples(spark, sf), "examples")
+    chosen = G.scaled(spark, sf).join(one, "track_id", "left_semi")
+    ranked = SC.score_all_tags(chosen, G.weights(ex), FEATS)
+    info = LT.parse_track_info(td.track_info_lines(spark, sf))
+    return SU.prediction_report(ranked, info).select("track_id", F.col("line_no").cast("int").alias("line_no"), "line")
+
+
 _PRED_CHAIN = [*G.sql_examples_chain(), G.sql_weights(), G.sql_test_pred()]
 
 

@@ -405,3 +405,21 @@ def q_one_tag_sgd_report(spark, sf):
     """One tag ('brand#1', case-folded substring) with logistic SGD, old defaults."""
     fitted, report = one_tag_job(spark, G.tracks(spark, sf), FEATS, tag="Brand#1", iterations=30)
     return report
+
+
+@job_query("train_job_end_to_end")
+def q_train_job_end_to_end(spark, sf):
+    """Train every popular tag, write weights/metrics/run times, summarise to CSV.
+
+    A second run over the same output trains nothing: every tag already has
+    results (anti join against the metrics table).
+    """
+    out = shared_dir(spark, "train-job")
+    tracks = G.tracks(spark, sf)
+    counts = T.tag_counts(tracks)
+    min_count = -(-G.n_tracks(spark, sf) // G.SHARE_DEN)  # ceil(n / 40): the catalogue's cut-off
+    metrics = train_job(spark, tracks, counts, FEATS, out, min_count=min_count)
+    again = train_job(spark, tracks, counts, FEATS, out, min_count=min_count)
+    if again.count() != metrics.count():
+        raise RuntimeError("second run changed the stored metrics")
+    return summarize_job(spark, counts, spark.read.parquet(f"{out}/metrics"), out, min_count)
