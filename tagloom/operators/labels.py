@@ -90,10 +90,15 @@ def positive_pairs(
     id_col: str = "track_id",
     max_broadcast_tags: int = MAX_BROADCAST_TAGS,
     max_nested_loop_tags: int = MAX_NESTED_LOOP_TAGS,
+    n_tags: int | None = None,
 ) -> DataFrame:
-    """(tag, track_id) for every track that carries a tag of ``tags``."""
+    """(tag, track_id) for every track that carries a tag of ``tags``.
+
+    ``n_tags`` (the distinct tag count) is counted here unless the caller has it.
+    """
     tag_list = tags.select("tag").distinct()
-    n_tags = tag_list.count()
+    if n_tags is None:
+        n_tags = tag_list.count()
     if mode == "exact":
         right = F.broadcast(tag_list) if n_tags <= max_broadcast_tags else tag_list
         return explode_tags(tracks, id_col).join(right, "tag").select("tag", id_col)
@@ -110,6 +115,8 @@ def class_counts(
     id_col: str = "track_id",
     ratio: str = "balanced",
     max_broadcast_tags: int = MAX_BROADCAST_TAGS,
+    max_nested_loop_tags: int = MAX_NESTED_LOOP_TAGS,
+    n_tags: int | None = None,
 ) -> DataFrame:
     """(tag, n_total, n_positive, positive_rate, fraction) per tag.
 
@@ -117,7 +124,9 @@ def class_counts(
     from the sparse positive pairs with a map-side combined count.
     """
     n_total = tracks.count()
-    pos = positive_pairs(tracks, tags, mode, id_col, max_broadcast_tags).groupBy("tag").agg(
+    pos = positive_pairs(
+        tracks, tags, mode, id_col, max_broadcast_tags, max_nested_loop_tags, n_tags
+    ).groupBy("tag").agg(
         F.count(F.lit(1)).alias("n_positive")
     )
     out = tags.select("tag").distinct().join(pos, "tag", "left").fillna(0, ["n_positive"])
@@ -150,9 +159,11 @@ def labelled_examples(
     below the tag's fraction; ``split`` comes from a second draw ``v`` of the
     track, so a track is in the same part for every tag.
     """
-    counts = class_counts(tracks, tags, mode, id_col, ratio, max_broadcast_tags).select("tag", "fraction")
+    n_tags = tags.select("tag").distinct().count()
+    counts = class_counts(
+        tracks, tags, mode, id_col, ratio, max_broadcast_tags, max_nested_loop_tags, n_tags
+    ).select("tag", "fraction")
     drawn = with_sample_draws(tracks.select(id_col, "tags", *feature_cols), id_col, seed)
-    n_tags = counts.count()
     if n_tags <= min(max_nested_loop_tags, max_broadcast_tags):
         # One pass: nested loop against the broadcast tag list; a pair is kept
         # if it is a positive or its draw falls under the tag's fraction.
@@ -167,9 +178,9 @@ def labelled_examples(
     else:
         # Positives by the shuffle plan; negatives by a bucketed range join on
         # the draw: tag t covers buckets [0, ceil(fraction * B)).
-        pos = positive_pairs(tracks, counts, mode, id_col, max_broadcast_tags, max_nested_loop_tags).withColumn(
-            "y", F.lit(1.0)
-        )
+        pos = positive_pairs(
+            tracks, counts, mode, id_col, max_broadcast_tags, max_nested_loop_tags, n_tags
+        ).withColumn("y", F.lit(1.0))
         b = F.lit(buckets)
         tag_buckets = counts.withColumn(
             "_b", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("fraction") * b).cast("int") - 1, F.lit(0))))
