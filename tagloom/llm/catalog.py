@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, exact_dedup, pii, sharding
+from tagloom.llm import bpe, decontaminate, exact_dedup, pii, repeats, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,34 @@ FROM t WINDOW w AS (PARTITION BY t)
 """
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS_SQL} AS w FROM benchmark),
+s AS (SELECT item, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item, k, w[i + 1:i + k] AS win FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS i FROM s)),
+grams AS (
+  SELECT rid, i, k, w[i + 1:i + k] AS win
+  FROM (SELECT rid, w, k, unnest(range(0, len(w) - k + 1)) AS i
+        FROM d, (SELECT DISTINCT k FROM s) WHERE len(w) >= k)),
+hits AS (SELECT g.rid, g.i, g.k, x.item FROM grams g JOIN wins x ON g.win = x.win),
+n AS (SELECT rid, count(*) AS n_hit
+      FROM (SELECT DISTINCT rid, unnest(range(i, i + k)) AS at FROM hits) GROUP BY rid),
+m AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (rid) LEFT JOIN m USING (rid)
+"""
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
@@ -92,14 +120,36 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), ranks)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 13], ' ') AS win
+      FROM (SELECT doc_id, w, unnest(range(0, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+o AS (SELECT win, min(doc_id) AS owner FROM g GROUP BY win),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM g JOIN o USING (win) WHERE owner < doc_id),
+k AS (SELECT doc_id, count(*) AS n_words, count(r.pos) AS n_removed,
+             coalesce(string_agg(x.word, ' ' ORDER BY x.pos) FILTER (r.pos IS NULL), '') AS kept
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM d) x
+      LEFT JOIN r USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op4_pii": op4_pii,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op4_pii": _op4_sql()}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_pii": _op4_sql(), "op9_repeats": OP9_SQL}

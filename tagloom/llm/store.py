@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: JVM and Python form of the white space that the contracts name.
-SPACE_RUN = r"[\x20\x09-\x0D]+"
+#: Spark's setting that lets go of a query's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -26,23 +28,39 @@ def shared_base(spark: SparkSession) -> str:
     return base
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a fresh shared folder and read back. This cuts
-    the lineage: a lost executor costs a reread of its files, no recomputation."""
+    the lineage: a lost executor costs a reread of its files, no recomputation,
+    and the shuffles behind the table are no longer needed on disk."""
     spark = df.sparkSession
     path = f"{shared_base(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def removed(df: DataFrame) -> None:
-    """Delete the files of a table made by ``stored`` that no later frame reads."""
-    base = f"{shared_base(df.sparkSession)}/llm/"
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if at(folder).toUri().getPath().startswith(at(base).toUri().getPath()):
-            at(folder).getFileSystem(conf).delete(at(folder), True)
+def removed(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``stored`` that no later frame reads."""
+    for df in tables:
+        base = f"{shared_base(df.sparkSession)}/llm/"
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        at = jvm.org.apache.hadoop.fs.Path
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if at(folder).toUri().getPath().startswith(at(base).toUri().getPath()):
+                at(folder).getFileSystem(conf).delete(at(folder), True)
 
 
 def text_or_empty(text_col: str):
