@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, pii, repeats, sharding
+from tagloom.llm import bpe, decontaminate, exact_dedup, nearjoin, pii, quality, repeats, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ FROM d LEFT JOIN n USING (rid) LEFT JOIN m USING (rid)
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
@@ -113,6 +117,30 @@ def _op4_sql() -> str:
     return f"{head}{', '.join(ctes)} SELECT doc_id, {counts}, sha256({base}) AS base_sha256, {every} AS spans FROM d {joins}"
 
 
+def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + k], ' ') AS s
+      FROM (SELECT doc_id, w, least(len(w), 5) AS k, unnest(range(0, len(w) - least(len(w), 5) + 1)) AS i
+            FROM d WHERE len(w) > 0)),
+t AS (SELECT doc_id, list_sort(list(s)) AS s FROM g GROUP BY doc_id),
+c AS (SELECT s, min(doc_id) AS set_id, count(*) AS n_copies, len(s) AS n FROM t GROUP BY s),
+e AS (SELECT set_id, n, unnest(s) AS s FROM c),
+p AS (SELECT x.set_id AS a, y.set_id AS b FROM e x JOIN e y ON x.s = y.s AND x.set_id <> y.set_id
+      GROUP BY x.set_id, y.set_id, x.n, y.n HAVING 9 * count(*) >= 4 * (x.n + y.n)),
+r AS (SELECT set_id, set_id AS root FROM c UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.set_id),
+m AS (SELECT set_id, min(root) AS class_id FROM r GROUP BY set_id),
+k AS (SELECT a AS set_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT d.doc_id, coalesce(m.class_id, d.doc_id) AS class_id, coalesce(c.set_id, d.doc_id) AS set_id,
+       coalesce(c.n_copies, 1) AS n_copies, coalesce(k.n_links, 0) AS n_links
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN c ON c.s = t.s
+LEFT JOIN m ON m.set_id = c.set_id LEFT JOIN k ON k.set_id = c.set_id
+"""
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -147,9 +175,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_quality": op3_quality,
     "op4_pii": op4_pii,
+    "op7_near_join": op7_near_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_pii": _op4_sql(), "op9_repeats": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_pii": _op4_sql(), "op7_near_join": OP7_SQL, "op9_repeats": OP9_SQL}
