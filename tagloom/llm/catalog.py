@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, nearjoin, pii, quality, repeats, sharding
+from tagloom.llm import bpe, decontaminate, exact_dedup, licenses, nearjoin, pii, quality, repeats, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +117,37 @@ def _op4_sql() -> str:
     return f"{head}{', '.join(ctes)} SELECT doc_id, {counts}, sha256({base}) AS base_sha256, {every} AS spans FROM d {joins}"
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
+def _op6_sql() -> str:
+    """Blocks by brute force: each run of as many words as a template has."""
+    texts = [(t, label, True) for t, label in licenses.PHRASES.items()]
+    texts += [(t, label, False) for t, label in licenses.TEMPLATES.items()]
+    values = ", ".join(f"({i}, '{t}', '{label}', {phrase})" for i, (t, label, phrase) in enumerate(texts))
+    top, of = licenses.THRESHOLD.as_integer_ratio()
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS_SQL} AS w FROM documents),
+t AS (SELECT tid, label, phrase, string_split(body, ' ') AS words, list_distinct(string_split(body, ' ')) AS k
+      FROM (VALUES {values}) AS v(tid, body, label, phrase)),
+b AS (SELECT rid, tid, label, phrase, words, k, i, w[i + 1:i + len(words)] AS x
+      FROM (SELECT rid, w, tid, label, phrase, words, k, unnest(range(0, len(w))) AS i FROM d, t
+            WHERE len(list_intersect(w, k)) * {of} >= {top} * len(k))),
+m AS (SELECT rid, tid, label, phrase, i, len(list_intersect(x, k)) / len(k) AS share FROM b
+      WHERE CASE WHEN phrase THEN x = words ELSE len(list_intersect(x, k)) * {of} >= {top} * len(k) END),
+a AS (SELECT rid, count(*) FILTER (phrase) AS n_base, min(i) FILTER (phrase) AS first_word,
+             max(i) FILTER (phrase) AS last_word, max(share) AS score,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM m GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN a USING (rid)
+"""
+
+
 def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -177,9 +208,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
+    "op6_licenses": op6_licenses,
     "op7_near_join": op7_near_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_pii": _op4_sql(), "op7_near_join": OP7_SQL, "op9_repeats": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_pii": _op4_sql(), "op6_licenses": _op6_sql(), "op7_near_join": OP7_SQL, "op9_repeats": OP9_SQL}
