@@ -295,12 +295,12 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return rows.mapInArrow(batches, f"doc_id {kind}, ids array<int>, data binary, text string")
 
 
-def round_trip_digest(
-    docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text"
+def round_trip(
+    docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
-    """Encoding and decoding in one pass that sends only digests back: ``doc_id``,
-    ``n_tokens``, ``ids_sha256``, ``decoded_sha256``. Ids that don't decode to the
-    text's bytes end the job."""
+    """Encoding and decoding in one pass: ``doc_id``, ``n_tokens``, ``ids_sha256``,
+    ``decoded_sha256`` and, on request, ``ids``. Null texts are empty. Ids that
+    don't decode to the text's bytes end the job."""
     shared = _share(docs.sparkSession, ranks)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,13 +316,14 @@ def round_trip_digest(
                 wide, tell = ids.astype("<u4"), bounds.tolist()
                 ids_sha = [hashlib.sha256(wide[a:b]).hexdigest() for a, b in pairwise(tell)]
                 out_sha = [hashlib.sha256(data[a:b]).hexdigest() for a, b in pairwise(stop)]
-                first = batch.column(0).slice(at, len(some))
+                cols = [batch.column(0).slice(at, len(some)), pa.array(np.diff(bounds)), pa.array(ids_sha), pa.array(out_sha)]
+                if with_ids:
+                    cols.append(pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(ids.astype(np.int32))))
                 at += len(some)
-                yield pa.RecordBatch.from_arrays(
-                    [first, pa.array(np.diff(bounds)), pa.array(ids_sha), pa.array(out_sha)], names
-                )
+                yield pa.RecordBatch.from_arrays(cols, names)
 
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(batches, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return rows.mapInArrow(batches, schema)

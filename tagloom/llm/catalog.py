@@ -8,13 +8,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, licenses, nearjoin, pii, quality, repeats, sharding
+from tagloom.llm import bpe, decontaminate, exact_dedup, licenses, nearjoin, pii, quality, repeats, sharding, wrappers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def rank_file() -> str:
+    """The public vocabulary that documents are encoded by."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -117,6 +124,10 @@ def _op4_sql() -> str:
     return f"{head}{', '.join(ctes)} SELECT doc_id, {counts}, sha256({base}) AS base_sha256, {every} AS spans FROM d {joins}"
 
 
+def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(table(spark, sf_dir, "documents"))
 
@@ -149,7 +160,7 @@ FROM d LEFT JOIN a USING (rid)
 
 
 def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearjoin.near_duplicates(table(spark, sf_dir, "documents"))
+    return nearjoin.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
 OP7_SQL = f"""
@@ -173,10 +184,7 @@ LEFT JOIN m ON m.set_id = c.set_id LEFT JOIN k ON k.set_id = c.set_id
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.round_trip_digest(table(spark, sf_dir, "documents"), ranks)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.read_ranks(rank_file()))
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,6 +216,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
+    "op5_extract": op5_extract,
     "op6_licenses": op6_licenses,
     "op7_near_join": op7_near_join,
     "op8_byte_bpe": op8_byte_bpe,

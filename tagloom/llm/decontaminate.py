@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.store import removed, stored, text_or_empty
+from tagloom.llm.store import fresh, removed, stored, text_or_empty
 
 WINDOW_WORDS = 10
 #: Windows that are broadcast at most (about 0.2 KB each); more are joined by shuffle.
@@ -105,6 +105,29 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id
     return hits
 
 
+def _key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), text_or_empty(text_col))
+
+
+def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, doc_id, words). Rows are told apart by their id and text, so a
+    repeated or null id is safe."""
+    return docs.select(
+        _key(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), words(text_or_empty(text_col)).alias("words")
+    )
+
+
+def without_benchmark(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no benchmark window occurs."""
+    hits = find_windows(_worded(docs, id_col, text_col), benchmark)
+    hit = stored(hits.select(F.col("key").alias("_hit"), F.col("doc_id").alias("_id")).distinct(), "hits")
+    key = fresh(docs, "_key")
+    rows = docs.withColumn(key, _key(id_col, text_col))
+    return rows.join(hit, (rows[key] == hit["_hit"]) & rows[id_col].eqNullSafe(hit["_id"]), "left_anti").drop(key)
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -121,11 +144,7 @@ def decontaminate(
     than a window is one window. Rows that repeat an id and a text get the same
     row each; other columns are not read.
     """
-    text = text_or_empty(text_col)
-    # Rows are told apart by their id and text, so a repeated or null id is safe.
-    rows = docs.select(
-        F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).alias("doc_id"), words(text).alias("words")
-    )
+    rows = _worded(docs, id_col, text_col)
     hits = find_windows(rows, benchmark, item_col, item_text_col)
     mine = Window.partitionBy("key", "doc_id").orderBy("start", "end")
     reached = F.max("end").over(mine.rowsBetween(Window.unboundedPreceding, -1))

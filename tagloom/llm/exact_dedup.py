@@ -18,7 +18,7 @@ from math import ceil, log2
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.store import partitions, removed, stored, text_or_empty
+from tagloom.llm.store import fresh, partitions, removed, stored, text_or_empty
 
 #: Distinct texts that a bucket holds before it splits.
 CAPACITY = 50_000
@@ -109,3 +109,14 @@ def exact_dedup(
         "bucket",
         F.col("chain").cast("long").alias("chain"),
     )
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
+    sha = fresh(docs, "_sha")
+    kept = exact_dedup(docs, id_col, text_col).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    rows = docs.withColumn(sha, F.sha2(normalised(text_col), 256))
+    same = (rows[sha] == kept["_kept_sha"]) & rows[id_col].eqNullSafe(kept["_kept_id"])
+    # Rows that repeat an id and a text all match; one of them stays.
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, sha]).drop(sha)

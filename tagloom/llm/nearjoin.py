@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.components import components
-from tagloom.llm.store import removed, stored, text_or_empty
+from tagloom.llm.store import fresh, removed, stored, text_or_empty
 from tagloom.llm.wordarrays import ALNUM, Words, joined_hashes, mixed, slices
 
 SHINGLE = 5
@@ -273,6 +273,11 @@ def _members(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(batches, "group long, blocks long, block long, id long, shingles array<long>")
 
 
+def _node(id_col: str, text_col: str):
+    unnamed = F.shiftrightunsigned(F.xxhash64(text_or_empty(text_col)), 2) + F.lit(UNNAMED)
+    return F.coalesce(F.col(id_col).cast("long"), unnamed)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``; ``class_id``, the least id that links of
     similarity 0.8 or more connect it to; ``set_id``, the least id with the same
@@ -284,11 +289,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its own with no links. Rows that repeat an id count as copies; an id must
     not stand for two texts. Rows with a null id take part under a number of
     their text above ``UNNAMED``, which is theirs as a class only where no row with
-    an id is in the class.
+    an id is in the class. ``node`` is the id or that number.
     """
-    text = text_or_empty(text_col)
-    unnamed = F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(UNNAMED)
-    node = F.coalesce(F.col(id_col).cast("long"), unnamed)
+    node, text = _node(id_col, text_col), text_or_empty(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), node.alias("node"), text.alias("text"))
     base = stored(_sketches(rows), "sketches")
     worded = base.filter("n > 0")
@@ -338,4 +341,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce("id", "node").alias("set_id"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.col("node").alias("node"),
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, with the least id of each class."""
+    kept = near_duplicates(docs, id_col, text_col).filter("node = class_id").select(F.col("node").alias("_kept"))
+    node = fresh(docs, "_node")
+    rows = docs.withColumn(node, _node(id_col, text_col))
+    return rows.join(kept, rows[node] == kept["_kept"], "left_semi").dropDuplicates([node]).drop(node)

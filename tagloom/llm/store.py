@@ -67,6 +67,14 @@ def text_or_empty(text_col: str):
     return F.coalesce(F.col(text_col), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session, the least number of tasks to deal to."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
