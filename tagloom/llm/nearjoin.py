@@ -129,8 +129,9 @@ def _leaves(sets: DataFrame) -> list[DataFrame]:
         deep = shared.filter(F.col("n") > BUCKET)
         first = F.xxhash64("path", F.get("tokens", F.lit(2 * level + 2)))
         second = F.xxhash64("path", F.lit(1), F.get("tokens", F.lit(2 * level + 3)))
-        children = F.when(F.pmod("path", F.lit(4)) == 0, F.array(first, second)).otherwise(F.array(first))
-        state = deep.select("id", "tokens", F.explode(children).alias("path"))
+        state = deep.select("id", "tokens", first.alias("path")).unionByName(
+            deep.filter(F.pmod("path", F.lit(4)) == 0).select("id", "tokens", second.alias("path"))
+        )
     return out
 
 
