@@ -4,10 +4,12 @@ A phrase is ``WINDOW`` consecutive words. Every window has an anchor, the
 shingle of ``SHINGLE`` words in it whose hash is least, so equal windows have
 equal anchors and about one word in five starts an anchor. Windows whose anchor
 occurs in one row only can't repeat. For the others the passages around their
-anchors are gathered by anchor, equal passages are combined, and each shard of
-anchors confirms which phrases start in several documents, compiles them into an
-Aho-Corasick automaton and streams its passages through it. The places that the
-automata report go back to the documents, which drop the covered words.
+anchors are gathered by anchor and equal passages are combined. A passage that
+is the only one of its anchor repeats as a whole or not at all, which its count
+confirms. Where passages differ around an anchor, each shard of anchors confirms
+which phrases start in several documents, compiles them into Aho-Corasick
+automata and streams its passages through them. The places found go back to the
+documents, which drop the covered words.
 
 An anchor that many rows share does not gather its passages: these are cut into
 single phrases with keys of their own, so that equal ones combine before the
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.store import removed, stored, text_or_empty
@@ -31,7 +33,7 @@ WINDOW, SHINGLE = 13, 5
 #: Rows that share an anchor before its passages are cut into single phrases.
 FREQUENT = 1000
 #: Passages that one automaton is compiled from at least, whole anchors each.
-AUTOMATON_PASSAGES = 20_000
+AUTOMATON_PASSAGES = 2_000
 #: What a null id counts as.
 LAST_ID = (1 << 63) - 1
 
@@ -48,12 +50,13 @@ class Anchors:
         if not len(starts):
             return
         order = joined_hashes(self.hashes, shingle)
-        least, where = order[starts].copy(), starts.copy()
+        m = len(order) - (window - shingle)  # windows of all words, also across rows
+        least, step = order[:m].copy(), np.zeros(m, np.int8)
         for k in range(1, window - shingle + 1):
-            other = order[starts + k]
-            less = other < least
-            least[less] = other[less]
-            where[less] = starts[less] + k
+            other = order[k : k + m]
+            step[other < least] = k
+            np.minimum(least, other, out=least)
+        least, where = least[starts], starts + step[starts]
         # Where the anchor moves, or the row changes, another run of windows begins.
         new = np.ones(len(starts), bool)
         new[1:] = (where[1:] != where[:-1]) | (starts[1:] != starts[:-1] + 1)
@@ -250,14 +253,17 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shingle: int = SHING
     )
     removed(shared)
     order = F.coalesce("doc_id", F.lit(LAST_ID))
-    distinct = stored(
-        occurrences.groupBy("key", "passage").agg(F.min(order).alias("owner"), F.max(order).alias("last")),
-        "distinct",
-    )
-    sharded = distinct.select("key", "passage", "owner", "last").repartition("key").sortWithinPartitions("key")
-    places = stored(
-        _located(sharded, window).select("key", F.xxhash64("passage").alias("sid"), "offsets", "owners"), "places"
-    )
+    combined = occurrences.groupBy("key", "passage").agg(F.min(order).alias("owner"), F.max(order).alias("last"))
+    # A key has FREQUENT passages at most: more frequent anchors are cut.
+    alike = F.count(F.lit(1)).over(Window.partitionBy("key")).alias("alike")
+    distinct = stored(combined.select("key", "passage", "owner", "last", alike), "distinct")
+    mixed_keys = distinct.filter("alike > 1").select("key", "passage", "owner", "last")
+    dealt = mixed_keys.repartition("key").sortWithinPartitions("key")
+    sid = F.xxhash64("passage").alias("sid")
+    starts = F.sequence(F.lit(0), F.size(F.split("passage", " ")) - window)
+    alone = distinct.filter("alike = 1 AND owner < last").select("key", sid, starts.alias("offsets"), "owner")
+    whole = alone.select("key", "sid", "offsets", F.transform("offsets", lambda _: F.col("owner")).alias("owners"))
+    places = stored(whole.unionByName(_located(dealt, window).select("key", sid, "offsets", "owners")), "places")
     removed(distinct)
     found = occurrences.select("rid", "doc_id", "start", "key", "sid").join(places, ["key", "sid"])
     earlier = F.filter(

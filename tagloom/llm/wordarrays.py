@@ -80,16 +80,16 @@ class Words:
         return len(self.starts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+        """A 64-bit hash of each word's bytes: a polynomial, by differences of its
+        running sum over all bytes, shifted back to the word's start."""
         if not len(self):
             return np.zeros(0, _U)
-        sizes = self.ends - self.starts
-        at = spread(self.starts, sizes)
-        place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        power, inverse = _powers(len(self.data))
         with np.errstate(over="ignore"):
-            power = np.cumprod(np.full(int(sizes.max()), _STEP))
-            x = (self.data[at].astype(_U) + _U(1)) * power[place]
-            return mixed(np.add.reduceat(x, np.cumsum(sizes) - sizes) + sizes.astype(_U))
+            total = np.zeros(len(self.data) + 1, _U)
+            np.cumsum((self.data + _ONE) * power[: len(self.data)], out=total[1:])
+            x = (total[self.ends] - total[self.starts]) * inverse[self.starts]
+            return mixed(x + (self.ends - self.starts).astype(_U))
 
     def runs(self, n: int) -> np.ndarray:
         """Where ``n`` consecutive words of one row start."""
@@ -98,6 +98,27 @@ class Words:
         return np.flatnonzero(self.row[n - 1 :] == self.row[: len(self) - n + 1])
 
 
+_ONE = np.uint16(1)
+_TABLES: list[np.ndarray] = [np.ones(0, _U), np.ones(0, _U)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _STEP and of its inverse modulo 2^64, at least ``n`` of each; kept
+    for slices of the usual size."""
+    if n <= len(_TABLES[0]):
+        return _TABLES[0], _TABLES[1]
+    size = max(n, 2 * SLICE_BYTES)
+    made = []
+    for base in (_STEP, _U(pow(int(_STEP), -1, 1 << 64))):
+        table = np.full(size, base, _U)
+        table[0] = 1
+        with np.errstate(over="ignore"):
+            made.append(np.cumprod(table, out=table))
+    if size <= 8 * SLICE_BYTES:
+        _TABLES[:] = made
+    return made[0], made[1]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """``x`` (uint64) scrambled so that all bits depend on all."""
     with np.errstate(over="ignore"):
