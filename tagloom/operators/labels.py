@@ -7,105 +7,61 @@ Match modes:
 * ``substring_ci``: the same after lower-casing both sides.
 * ``exact``: the tag is one of the track's tags.
 
-Plans. The tag list is the popular-tag table (bounded by total tag
-occurrences / cut-off). Its row count is checked before a plan is chosen:
-
-* exact: explode + equi join (broadcast hash join up to MAX_BROADCAST_TAGS,
-  shuffle join above, where AQE splits a hot tag) -- no pair is tested that
-  is not in the output;
-* substring, up to MAX_NESTED_LOOP_TAGS tags: broadcast nested-loop join of
-  the tracks against the tag list (cost tracks x tags, so the bound is low);
-* substring, above it: every substring of a track's tags with a length some
-  tag has is exploded and equi-joined to the tag list.
+One plan at every size. The distinct tag texts of the tracks (the vocabulary)
+are matched to the tag list once, by an equi join: for the substring modes the
+substrings of each distinct text, up to the longest tag's length, are its join
+keys. The map from text to tag is then joined to the tracks' tags. No track is
+tested against a tag it does not carry.
 
 Negatives are never materialised in full: examples keep the positives plus a
-hash-drawn sample of negatives. With a small tag list this is one
-nested-loop pass; above the bound the draw is bucketed and equi-joined to the
-buckets each tag's fraction covers (a range join without a nested loop).
+hash-drawn sample of negatives. The draw is bucketed and equi-joined to the
+buckets that each tag's fraction covers, so the join makes the rows that are
+kept and no more than one bucket's share beyond.
+
+A track whose tag list is NULL or empty carries no tag, and a NULL element is no
+tag; both are ordinary negatives. The empty tag is inside every text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.config import DEFAULT_SEED, DEFAULT_TRAIN_FRACTION, MAX_BROADCAST_TAGS, MAX_NESTED_LOOP_TAGS
+from tagloom.config import DEFAULT_SEED, DEFAULT_TRAIN_FRACTION, materialize
 from tagloom.operators.sampling import negative_fraction, with_sample_draws
 from tagloom.operators.tags import explode_tags
 
 MATCH_MODES = ("exact", "substring", "substring_ci")
 
-# Separator for the joined tag text of a track. A tag without this character
-# cannot match across two elements, so a substring test on the joined text
-# equals "some element contains the tag" -- and it stays in generated code,
-# where a lambda over the array would be interpreted row by row.
-TAG_SEP = "\u0000"
-
 
-def tag_match(tags: Column, tag: Column, mode: str = "substring") -> Column:
-    """Boolean column: does the tag list ``tags`` carry ``tag`` under ``mode``."""
-    if mode == "exact":
-        return F.array_contains(tags, tag)
-    if mode == "substring":
-        return F.exists(tags, lambda t: t.contains(tag))
-    if mode == "substring_ci":
-        return F.exists(tags, lambda t: F.lower(t).contains(F.lower(tag)))
-    raise ValueError(f"unknown match mode {mode!r}")
-
-
-def _with_match_keys(tracks: DataFrame, tag_list: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
-    """Track side gets ``_tt`` (joined tag text), tag side ``_tk`` (the needle)."""
-    text = F.concat_ws(TAG_SEP, F.col("tags"))
-    needle = F.col("tag")
-    if mode == "substring_ci":
-        text, needle = F.lower(text), F.lower(needle)
-    return tracks.withColumn("_tt", text), tag_list.withColumn("_tk", needle)
-
-
-def _substring_pairs_by_explode(tracks: DataFrame, tag_list: DataFrame, mode: str, id_col: str) -> DataFrame:
-    """Shuffle plan for substring labels when the tag list is too big to broadcast."""
-    ci = mode == "substring_ci"
-    keyed = tag_list.withColumn("_key", F.lower("tag") if ci else F.col("tag"))
-    lengths = sorted(r[0] for r in keyed.select(F.length("_key")).distinct().collect() if r[0])
-    if not lengths:
-        return tracks.sparkSession.createDataFrame([], f"tag string, {id_col} string")
-    elems = tracks.select(id_col, F.explode(F.array_distinct("tags")).alias("_t")).filter(F.col("_t").isNotNull())
-    if ci:
-        elems = elems.withColumn("_t", F.lower("_t"))
-    lens = "array(" + ",".join(str(n) for n in lengths) + ")"
-    subs = F.expr(
-        f"array_distinct(flatten(transform({lens}, L -> IF(length(_t) >= L, "
-        "transform(sequence(1, length(_t) - L + 1), i -> substring(_t, i, L)), array()))))"
+def substring_map(texts: DataFrame, tags: DataFrame, ignore_case: bool = False) -> DataFrame:
+    """(text, tag) for each distinct ``text`` that contains a ``tag``: an equi join
+    of the texts' substrings, no longer than the longest tag, with the tags."""
+    fold = F.lower if ignore_case else (lambda c: c)
+    needles = tags.select("tag").distinct().withColumn("_key", fold(F.col("tag")))
+    longest = needles.agg(F.max(F.length("_key"))).first()[0]  # one number
+    if longest is None:
+        return texts.select("text").limit(0).select("text", F.lit("").alias("tag"))
+    folded = texts.select("text").distinct().filter("text IS NOT NULL").withColumn("_t", fold(F.col("text")))
+    grams = F.expr(
+        f"array_distinct(concat(array(''), flatten(transform(sequence(1, greatest(length(_t), 1)), i -> "
+        f"transform(sequence(1, greatest(least({max(longest, 1)}, length(_t) - i + 1), 1)), n -> substring(_t, i, n))))))"
     )
-    grams = elems.select(id_col, F.explode(subs).alias("_key")).distinct()
-    return grams.join(keyed, "_key").select("tag", id_col).distinct()
-
+    return folded.select("text", F.explode(grams).alias("_key")).join(needles, "_key").select("text", "tag")
 
-def positive_pairs(
-    tracks: DataFrame,
-    tags: DataFrame,
-    mode: str = "substring",
-    id_col: str = "track_id",
-    max_broadcast_tags: int = MAX_BROADCAST_TAGS,
-    max_nested_loop_tags: int = MAX_NESTED_LOOP_TAGS,
-    n_tags: int | None = None,
-) -> DataFrame:
-    """(tag, track_id) for every track that carries a tag of ``tags``.
 
-    ``n_tags`` (the distinct tag count) is counted here unless the caller has it.
-    """
-    tag_list = tags.select("tag").distinct()
-    if n_tags is None:
-        n_tags = tag_list.count()
+def positive_pairs(tracks: DataFrame, tags: DataFrame, mode: str = "substring", id_col: str = "track_id") -> DataFrame:
+    """(tag, track_id), once for every track that carries a tag of ``tags``."""
+    if mode not in MATCH_MODES:
+        raise ValueError(f"unknown match mode {mode!r}")
+    carried = explode_tags(tracks, id_col)
     if mode == "exact":
-        right = F.broadcast(tag_list) if n_tags <= max_broadcast_tags else tag_list
-        return explode_tags(tracks, id_col).join(right, "tag").select("tag", id_col)
-    if n_tags <= min(max_nested_loop_tags, max_broadcast_tags):
-        t, k = _with_match_keys(tracks.select(id_col, "tags"), tag_list, mode)
-        return t.join(F.broadcast(k), F.col("_tt").contains(F.col("_tk"))).select("tag", id_col)
-    return _substring_pairs_by_explode(tracks, tag_list, mode, id_col)
+        return carried.join(tags.select("tag").distinct(), "tag").select("tag", id_col)
+    carried = carried.withColumnRenamed("tag", "text")
+    found = substring_map(carried.select("text"), tags, ignore_case=mode == "substring_ci")
+    return carried.join(found, "text").select("tag", id_col).distinct()
 
 
 def class_counts(
@@ -114,9 +70,7 @@ def class_counts(
     mode: str = "substring",
     id_col: str = "track_id",
     ratio: str = "balanced",
-    max_broadcast_tags: int = MAX_BROADCAST_TAGS,
-    max_nested_loop_tags: int = MAX_NESTED_LOOP_TAGS,
-    n_tags: int | None = None,
+    positives: DataFrame | None = None,
 ) -> DataFrame:
     """(tag, n_total, n_positive, positive_rate, fraction) per tag.
 
@@ -124,11 +78,8 @@ def class_counts(
     from the sparse positive pairs with a map-side combined count.
     """
     n_total = tracks.count()
-    pos = positive_pairs(
-        tracks, tags, mode, id_col, max_broadcast_tags, max_nested_loop_tags, n_tags
-    ).groupBy("tag").agg(
-        F.count(F.lit(1)).alias("n_positive")
-    )
+    pairs = positive_pairs(tracks, tags, mode, id_col) if positives is None else positives
+    pos = pairs.groupBy("tag").agg(F.count(F.lit(1)).alias("n_positive"))
     out = tags.select("tag").distinct().join(pos, "tag", "left").fillna(0, ["n_positive"])
     total = F.lit(n_total).cast("bigint")
     return out.select(
@@ -149,9 +100,7 @@ def labelled_examples(
     ratio: str = "balanced",
     train_fraction: float = DEFAULT_TRAIN_FRACTION,
     id_col: str = "track_id",
-    max_broadcast_tags: int = MAX_BROADCAST_TAGS,
     buckets: int = 4096,
-    max_nested_loop_tags: int = MAX_NESTED_LOOP_TAGS,
 ) -> DataFrame:
     """examples(tag, track_id, y, split, <features>): rebalanced and split.
 
@@ -159,37 +108,18 @@ def labelled_examples(
     below the tag's fraction; ``split`` comes from a second draw ``v`` of the
     track, so a track is in the same part for every tag.
     """
-    n_tags = tags.select("tag").distinct().count()
-    counts = class_counts(
-        tracks, tags, mode, id_col, ratio, max_broadcast_tags, max_nested_loop_tags, n_tags
-    ).select("tag", "fraction")
-    drawn = with_sample_draws(tracks.select(id_col, "tags", *feature_cols), id_col, seed)
-    if n_tags <= min(max_nested_loop_tags, max_broadcast_tags):
-        # One pass: nested loop against the broadcast tag list; a pair is kept
-        # if it is a positive or its draw falls under the tag's fraction.
-        if mode == "exact":
-            match = F.array_contains(F.col("tags"), F.col("tag"))
-            t, k = drawn, counts
-        else:
-            match = F.col("_tt").contains(F.col("_tk"))
-            t, k = _with_match_keys(drawn, counts, mode)
-        joined = t.join(F.broadcast(k), match | (F.col("u") < F.col("fraction")))
-        out = joined.withColumn("y", match.cast("double"))
-    else:
-        # Positives by the shuffle plan; negatives by a bucketed range join on
-        # the draw: tag t covers buckets [0, ceil(fraction * B)).
-        pos = positive_pairs(
-            tracks, counts, mode, id_col, max_broadcast_tags, max_nested_loop_tags, n_tags
-        ).withColumn("y", F.lit(1.0))
-        b = F.lit(buckets)
-        tag_buckets = counts.withColumn(
-            "_b", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("fraction") * b).cast("int") - 1, F.lit(0))))
-        )
-        cand = drawn.withColumn("_b", F.floor(F.col("u") * b).cast("int")).join(tag_buckets, "_b")
-        cand = cand.filter(F.col("u") < F.col("fraction")).drop("_b")
-        neg = cand.join(pos.select("tag", id_col), ["tag", id_col], "left_anti").withColumn("y", F.lit(0.0))
-        pos_rows = drawn.join(pos, id_col)
-        out = pos_rows.unionByName(neg.select(pos_rows.columns))
+    pos = materialize(positive_pairs(tracks, tags, mode, id_col), "positives")
+    counts = class_counts(tracks, tags, mode, id_col, ratio, positives=pos).select("tag", "fraction")
+    drawn = with_sample_draws(tracks.select(id_col, *feature_cols), id_col, seed)
+    # A tag covers the buckets [0, ceil(fraction * buckets)) of the draw; keys
+    # meet in a bucket, and only the last one holds draws beyond the fraction.
+    last = F.greatest(F.ceil(F.col("fraction") * buckets).cast("int") - 1, F.lit(0))
+    covered = counts.withColumn("_b", F.explode(F.sequence(F.lit(0), last)))
+    draws = drawn.select(id_col, "u").withColumn("_b", F.floor(F.col("u") * buckets).cast("int"))
+    kept = draws.join(covered, "_b").filter(F.col("u") < F.col("fraction")).select("tag", id_col)
+    negatives = kept.join(pos, ["tag", id_col], "left_anti").withColumn("y", F.lit(0.0))
+    pairs = pos.withColumn("y", F.lit(1.0)).unionByName(negatives)
+    out = drawn.join(pairs, id_col)
     out = out.withColumn("split", F.when(F.col("v") < F.lit(train_fraction), "train").otherwise("test"))
     return out.select("tag", id_col, "y", "split", *feature_cols)
 

@@ -10,8 +10,9 @@ first point; areas are trapezoid sums.
 Plan, built to survive one tag holding a third of all rows:
 
 1. rows are combined to one row per (tag, score) with map-side partial counts;
-2. each tag's distinct scores are cut into ``buckets`` score ranges with
-   ``percentile_approx``, so a big tag spreads over many window partitions;
+2. each tag's distinct scores are cut into score ranges with
+   ``percentile_approx``, as many as its points ask for, so a big tag spreads
+   over many window partitions;
 3. per-(tag, bucket) totals (a small table) give each bucket's offset through
    a window over bucket order;
 4. running sums inside (tag, bucket) plus the offset give the cumulative
@@ -86,7 +87,7 @@ def curve_areas(
     group_col: str = "tag",
     score: str = "score",
     label: str = "y",
-    buckets: int = 64,
+    points_per_bucket: int = 50_000,
     accuracy: int = 10000,
 ) -> DataFrame:
     """(tag, n_pos, n_neg, auroc, auprc) for every tag at once."""
@@ -94,14 +95,33 @@ def curve_areas(
         F.sum(F.when(F.col(label) == 1.0, 1).otherwise(0)).cast("bigint").alias("tp"),
         F.sum(F.when(F.col(label) == 1.0, 0).otherwise(1)).cast("bigint").alias("fp"),
     )
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        bounds = pts.groupBy(group_col).agg(F.percentile_approx("s", qs, accuracy).alias("_bounds"))
-        pts = pts.join(bounds, group_col).withColumn(
-            "_bucket", F.size(F.filter("_bounds", lambda b: b >= F.col("s")))
-        ).drop("_bounds")
-    else:
-        pts = pts.withColumn("_bucket", F.lit(0))
+    return areas_of_points(pts, group_col, points_per_bucket, accuracy)
+
+
+#: Score ranges that one tag is cut into at most.
+MAX_CUTS = 1024
+
+
+def areas_of_points(
+    pts: DataFrame, group_col: str = "tag", points_per_bucket: int = 50_000, accuracy: int = 10000
+) -> DataFrame:
+    """The areas from counted points (tag, s, tp, fp), one per tag and score.
+
+    A tag's scores are cut at quantiles into as many buckets as its number of
+    points asks for, so a tag of any size spreads over tasks; what lies above a
+    bucket is added from a small table of bucket sums.
+    """
+    sizes = pts.groupBy(group_col).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("s", [i / MAX_CUTS for i in range(1, MAX_CUTS)], accuracy).alias("_q"),
+    )
+    step = F.greatest(F.floor(MAX_CUTS * F.lit(points_per_bucket) / F.col("_n")).cast("int"), F.lit(1))
+    bounds = sizes.select(group_col, F.filter("_q", lambda q, i: (i + 1) % step == 0).alias("_bounds"))
+    # One row a tag on the right: a plain join, so that adaptive execution may
+    # broadcast it or split the rows of a hot tag.
+    pts = pts.join(bounds, group_col)
+    cut = F.size(F.filter("_bounds", lambda b: b >= F.col("s")))
+    pts = pts.withColumn("_bucket", cut).drop("_bounds")
 
     per_bucket = pts.groupBy(group_col, "_bucket").agg(F.sum("tp").alias("_btp"), F.sum("fp").alias("_bfp"))
     w_b = Window.partitionBy(group_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -121,22 +141,23 @@ def curve_areas(
         F.sum("tp").over(w_in).alias("_ctp"),
         F.sum("fp").over(w_in).alias("_cfp"),
     ).join(offsets, [group_col, "_bucket"])
-    TP = F.col("_ctp") + F.col("_otp")
-    FP = F.col("_cfp") + F.col("_ofp")
+    # Products of counts leave the range of BIGINT: they are taken as DOUBLE.
+    TP = (F.col("_ctp") + F.col("_otp")).cast("double")
+    FP = (F.col("_cfp") + F.col("_ofp")).cast("double")
     TP0 = TP - F.col("tp")
     FP0 = FP - F.col("fp")
-    prec = TP.cast("double") / (TP + FP).cast("double")
-    prec0 = F.when(TP0 + FP0 == 0, prec).otherwise(TP0.cast("double") / (TP0 + FP0).cast("double"))
+    prec = TP / (TP + FP)
+    prec0 = F.when(TP0 + FP0 == 0, prec).otherwise(TP0 / (TP0 + FP0))
     terms = cum.select(
         group_col, "P", "N",
-        (F.col("fp") * (TP + TP0)).alias("_roc2"),
+        (F.col("fp").cast("double") * (TP + TP0)).alias("_roc2"),
         (F.col("tp").cast("double") * (prec + prec0)).alias("_pr2"),
     )
     return terms.groupBy(group_col).agg(
         F.max("P").alias("n_pos"),
         F.max("N").alias("n_neg"),
-        F.try_divide(F.sum("_roc2").cast("double"), (F.max("P") * F.max("N") * 2).cast("double")).alias("auroc"),
-        F.try_divide(F.sum("_pr2"), (F.max("P") * 2).cast("double")).alias("auprc"),
+        F.try_divide(F.sum("_roc2"), F.max("P").cast("double") * F.max("N").cast("double") * 2.0).alias("auroc"),
+        F.try_divide(F.sum("_pr2"), F.max("P").cast("double") * 2.0).alias("auprc"),
     )
 
 

@@ -24,7 +24,7 @@ def negative_fraction(n_positive: Column, n_total: Column, ratio: str = "balance
     """Share of negatives to keep.
 
     ``balanced``: P / (N - P), clamped to 1 (as many negatives as positives).
-    ``prior``: P / (P + N_total), the older rule that keeps fewer negatives.
+    ``prior``: P / N_total, the older rule that keeps fewer negatives.
     """
     if ratio == "balanced":
         neg = n_total - n_positive
@@ -53,11 +53,10 @@ def rebalance(
     """Keep every positive and each negative with probability ``fraction``.
 
     ``labelled`` has (group_col, key, y); ``fractions`` has (group_col, fraction)
-    with one row per group. The join is on the group key, and the fraction
-    table is tiny (one row per tag), so it is broadcast by the planner.
+    with one row per group; the planner broadcasts it where it is small.
     """
     drawn = labelled.withColumn("u", unit_hash(key, salt=SAMPLE_SALT, seed=seed))
-    joined = drawn.join(F.broadcast(fractions.select(group_col, "fraction")), group_col)
+    joined = drawn.join(fractions.select(group_col, "fraction"), group_col)
     return joined.filter((F.col("y") == 1.0) | (F.col("u") < F.col("fraction"))).drop("u", "fraction")
 
 

@@ -27,7 +27,40 @@ def apply_scaler(df: DataFrame, stats: dict[str, tuple[float, float]], cols: Seq
     return df.withColumns(out)
 
 
-def standard_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Fit on all rows of ``df`` and apply (the scaler sees every row, as before)."""
-    return apply_scaler(df, fit_scaler(df, cols), cols)
+def standard_scale(df: DataFrame, cols: Sequence[str], fit_on: str = "all", split: str = "split") -> DataFrame:
+    """Fit and apply. ``fit_on="all"`` fits on all rows of ``df`` (the scaler sees
+    every row, as before); ``"train"`` on the rows whose ``split`` is 'train' only,
+    so nothing of the hold-out reaches the features."""
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
+    seen = df.filter(F.col(split) == "train") if fit_on == "train" else df
+    return apply_scaler(df, fit_scaler(seen, cols), cols)
 
+
+def with_scaler(model: DataFrame, stats: dict[str, tuple[float, float]], cols: Sequence[str]) -> DataFrame:
+    """``model`` with the scaler it was trained behind: ``features``, ``mean``, ``std``."""
+    means, stds = [float(stats[c][0]) for c in cols], [float(stats[c][1]) for c in cols]
+    return model.withColumns(
+        {
+            "features": F.array(*[F.lit(c) for c in cols]),
+            "mean": F.array(*[F.lit(v) for v in means]),
+            "std": F.array(*[F.lit(v) for v in stds]),
+        }
+    )
+
+
+def raw_weights(model: DataFrame, cols: Sequence[str], group_col: str = "tag") -> DataFrame:
+    """(tag, w_<feature>..., bias) that score unscaled features as ``model`` (with
+    its scaler) scores scaled ones; a feature without variance has weight 0."""
+    scaled = F.transform(
+        F.arrays_zip("weights", "std"), lambda z: F.when(z["std"] == 0, 0.0).otherwise(z["weights"] / z["std"])
+    )
+    shift = F.aggregate(
+        F.zip_with("_raw", "mean", lambda w, m: w * m), F.lit(0.0), lambda total, v: total + v
+    )
+    out = model.withColumn("_raw", scaled)
+    return out.select(
+        group_col,
+        *[F.col("_raw")[i].alias(f"w_{c}") for i, c in enumerate(cols)],
+        (F.col("intercept") - shift).alias("bias"),
+    )

@@ -11,14 +11,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.config import (
+    REPORT_ARTIST,
+    REPORT_MARGIN_HEADING,
+    REPORT_TAG_HEADING,
+    REPORT_TITLE,
+    REPORT_TRACK,
+)
+
 
 def summarize_models(tag_counts: DataFrame, metrics: DataFrame, min_count: int = 0) -> DataFrame:
-    """(tag, song_count, auroc, auprc, train_seconds): popular tags that have results.
+    """(tag, song_count, auroc, auprc, ...): popular tags that have results.
 
-    Inner join on ``tag``: a tag without a metrics row is left out.
+    Inner join on ``tag``: a tag without a metrics row is left out. Further
+    columns are taken where ``metrics`` has them: ``n_positive`` (tracks that the
+    label mode marks, which for substrings is more than the exact
+    ``song_count``) and ``train_seconds``.
     """
     popular = tag_counts.filter(F.col("n") >= F.lit(min_count)).select("tag", F.col("n").alias("song_count"))
-    cols = ["tag", "auroc", "auprc"] + (["train_seconds"] if "train_seconds" in metrics.columns else [])
+    cols = ["tag", "auroc", "auprc"] + [c for c in ("n_positive", "train_seconds") if c in metrics.columns]
     return popular.join(metrics.select(*cols), "tag", "inner")
 
 
@@ -52,8 +63,9 @@ def summary_rounded(summary: DataFrame, cols: Sequence[str] = ("auroc", "auprc")
 
 
 def prediction_report_lines(ranked: DataFrame, name_width: int = 28) -> DataFrame:
-    """(track_id, rank, line): ``tag padded to width | margin`` per ranked tag."""
-    line = F.format_string(f"%-{name_width}s | %.6f", F.col("tag"), F.col("margin"))
+    """(track_id, rank, line): ``tag padded to width | margin`` per ranked tag; the
+    margin is printed in full."""
+    line = F.format_string(f"%-{name_width}s | %s", F.col("tag"), F.col("margin").cast("string"))
     return ranked.select("track_id", "rank", line.alias("line"))
 
 
@@ -66,10 +78,10 @@ def prediction_report(ranked: DataFrame, info: DataFrame, name_width: int = 28)
     header = info.select(
         "track_id",
         F.inline(F.array(
-            F.struct(F.lit(-5).alias("line_no"), F.concat(F.lit("TRACK ID: "), F.col("track_id")).alias("line")),
-            F.struct(F.lit(-4).alias("line_no"), F.concat(F.lit("ARTIST: "), F.col("artist")).alias("line")),
-            F.struct(F.lit(-3).alias("line_no"), F.concat(F.lit("SONG TITLE: "), F.col("title")).alias("line")),
-            F.struct(F.lit(-2).alias("line_no"), F.lit("GENRE TAG".ljust(name_width) + " | SVM MARGIN").alias("line")),
+            F.struct(F.lit(-5).alias("line_no"), F.concat(F.lit(REPORT_TRACK), F.col("track_id")).alias("line")),
+            F.struct(F.lit(-4).alias("line_no"), F.concat(F.lit(REPORT_ARTIST), F.col("artist")).alias("line")),
+            F.struct(F.lit(-3).alias("line_no"), F.concat(F.lit(REPORT_TITLE), F.col("title")).alias("line")),
+            F.struct(F.lit(-2).alias("line_no"), F.lit(REPORT_TAG_HEADING.ljust(name_width) + REPORT_MARGIN_HEADING).alias("line")),
             F.struct(F.lit(-1).alias("line_no"), F.lit("-" * (name_width + 1) + "+" + "-" * 29).alias("line")),
         )),
     )

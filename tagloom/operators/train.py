@@ -1,13 +1,16 @@
 """Linear classifiers: many tags in one batched job, or one tag with pyspark.ml.
 
-Batched trainer (``train_linear_all_tags``)
-    Full-batch gradient descent for every tag at once. Each iteration is one
-    Spark job: the training examples (checkpointed once to the shared
-    checkpoint folder, then cached) are joined to the current weight table
-    (one row per active tag) and the gradient is summed by tag with a
-    map-side combined aggregate. Only the weights -- tags x (features + 1)
-    numbers -- travel to and from the driver. Update rule per tag, as in
-    the library's SGD with an L2 updater and mini-batch fraction 1:
+Batched trainers
+    All tags are trained at once. The examples are packed into blocks, one row
+    for each Arrow batch: tag codes, labels and a feature matrix, sorted by tag.
+    The blocks are cached; each pass multiplies them with the broadcast weights
+    in NumPy and sums the partial gradients by (tag, feature) with a map-side
+    combined aggregate, the same plan for 11 features and for 64. Tags are taken
+    in portions of WEIGHTS_AT_ONCE numbers, so the driver holds no more than that
+    whatever the number of tags.
+
+    ``train_linear_all_tags``: the library's SGD with an L2 updater and
+    mini-batch fraction 1:
 
         eta_t = step / sqrt(t)
         w <- w * (1 - eta_t * reg) - eta_t * g / n
@@ -16,6 +19,9 @@ Batched trainer (``train_linear_all_tags``)
     at 1.0 (other weights start at 0). A tag stops when
     ||w_t - w_{t-1}|| < tol * max(||w_t||, 1) (checked from t = 2 on).
 
+    ``train_lbfgs_all_tags``: logistic regression by limited-memory BFGS with a
+    backtracking line search, each tag with its own history and step length.
+
     Gradients: hinge  g = sum over rows with s * m < 1 of -s * x, s = 2y - 1;
                logistic g = sum (sigmoid(m) - y) * x.
 
@@ -36,17 +42,15 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tagloom.config import (
     DEFAULT_ITERATIONS,
     DEFAULT_REG,
     DEFAULT_STEP,
     DEFAULT_TOL,
-    MAX_BROADCAST_TAGS,
-    ensure_checkpoint_dir,
+    WEIGHTS_AT_ONCE,
+    materialize,
 )
-from tagloom.functions.vectors import dot_columns
 
 LOSSES = ("hinge", "logistic")
 
@@ -66,12 +70,10 @@ def _gradient_sql(train_view: str, weights_view: str, feature_cols: Sequence[str
         raise ValueError(f"unknown loss {loss!r}")
     cols = ", ".join(f"t.{x}" for x in q)
     sums = ", ".join(f"sum(_mult * {x}) AS `g_{c}`" for c, x in zip(feature_cols, q))
-    # The weight table has one row per tag (count-checked by the trainer):
-    # it is always the build side of the join, never the training rows.
     return f"""
 SELECT `{group_col}`, count(1) AS n, {sums}, sum(_mult) AS g_bias, sum(_loss) AS loss_sum
 FROM (SELECT `{group_col}`, {", ".join(q)}, {mult} AS _mult, {row_loss} AS _loss
-      FROM (SELECT /*+ BROADCAST(w) */ t.`{group_col}`, {cols}, t.y, t.y * 2.0 - 1.0 AS s, {margin} AS m
+      FROM (SELECT t.`{group_col}`, {cols}, t.y, t.y * 2.0 - 1.0 AS s, {margin} AS m
             FROM {train_view} t JOIN {weights_view} w ON t.`{group_col}` = w.`{group_col}`))
 GROUP BY `{group_col}`"""
 
@@ -101,34 +103,119 @@ def gradient_sums(
         spark.catalog.dropTempView(wv)
 
 
-def _weights_frame(spark, state: dict[str, np.ndarray], feature_cols: Sequence[str], group_col: str) -> DataFrame:
-    """The current weights as a local relation (exact size, no job to build it)."""
-    fields = [T.StructField(group_col, T.StringType(), False)]
-    fields += [T.StructField(f"w_{c}", T.DoubleType(), False) for c in feature_cols]
-    fields.append(T.StructField("w_bias", T.DoubleType(), False))
-    tags = list(state)
-    mat = np.vstack([state[t] for t in tags]) if tags else np.zeros((0, len(feature_cols) + 1))
-    pdf = pd.DataFrame(mat, columns=[f.name for f in fields[1:]])
-    pdf.insert(0, group_col, tags)
-    key = "spark.sql.execution.arrow.pyspark.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")  # Arrow turns a pandas frame into a LocalRelation
-    try:
-        return spark.createDataFrame(pdf, T.StructType(fields))
-    finally:
-        spark.conf.set(key, before)
+def _pack(train: DataFrame, feature_cols: Sequence[str], group_col: str) -> DataFrame:
+    """(tags, counts, y, x): each batch of rows as one block, sorted by tag."""
+    cols = list(feature_cols)
 
+    def pack(batches):
+        for pdf in batches:
+            pdf = pdf[pdf[group_col].notna()].sort_values(group_col, kind="stable")
+            if not len(pdf):
+                continue
+            tags, counts = np.unique(pdf[group_col].to_numpy(dtype=str), return_counts=True)
+            yield pd.DataFrame(
+                {
+                    "tags": [tags.tolist()],
+                    "counts": [counts.tolist()],
+                    "y": [pdf["y"].to_numpy(np.float64).tobytes()],
+                    "x": [np.ascontiguousarray(pdf[cols].to_numpy(np.float64)).tobytes()],
+                }
+            )
 
-def _materialize(df: DataFrame, checkpoint: bool) -> DataFrame:
-    """Cut the lineage (reliable checkpoint in the shared folder) and cache.
+    return train.mapInPandas(pack, "tags array<string>, counts array<long>, y binary, x binary")
 
-    ``checkpoint=False`` is for inputs that already are a written table: the
-    cached rows then recompute from that table's scan after a lost executor.
-    """
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+class _Blocks:
+    """The packed examples of a training run and their gradient passes."""
+
+    def __init__(self, examples: DataFrame, feature_cols: Sequence[str], group_col: str, split: str | None, store: bool):
+        train = examples
+        if split is not None and "split" in examples.columns:
+            train = train.filter(F.col("split") == split)
+        train = train.select(
+            group_col, F.col("y").cast("double").alias("y"), *[F.col(c).cast("double") for c in feature_cols]
+        )
+        self.spark, self.d = examples.sparkSession, len(feature_cols)
+        packed = _pack(train, feature_cols, group_col)
+        # Without a stored copy a lost executor's blocks are packed again from the examples' own table.
+        self.blocks = (materialize(packed, "blocks") if store else packed).persist(StorageLevel.MEMORY_AND_DISK)
+        self.sizes = self.blocks.select(F.explode(F.arrays_zip("tags", "counts")).alias("z")).groupBy(
+            F.col("z.tags").alias("tag")
+        ).agg(F.sum("z.counts").alias("n"))
+
+    def portions(self):
+        """Lists of (tag, n): all tags, WEIGHTS_AT_ONCE numbers of weights at a time."""
+        each = max(1, WEIGHTS_AT_ONCE // (self.d + 1))
+        held = []
+        # Tags arrive one partition at a time, sorted, and never all together.
+        for r in self.sizes.orderBy("tag").toLocalIterator():
+            held.append((r["tag"], r["n"]))
+            if len(held) == each:
+                yield held
+                held = []
+        if held:
+            yield held
+
+    def gradients(self, tags: list[str], weights: np.ndarray, loss: str) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient sums (tags x features + 1) and loss sums at ``weights``."""
+        order = np.argsort(np.array(tags, dtype=str), kind="stable")
+        shared = self.spark.sparkContext.broadcast((np.array(tags, dtype=str)[order], order, weights))
+        d, hinge = self.d, loss == "hinge"
+
+        def step(batches):
+            known, place, w_all = shared.value
+            for pdf in batches:
+                for names, counts, y, x in zip(pdf["tags"], pdf["counts"], pdf["y"], pdf["x"]):
+                    names, counts = np.asarray(names, dtype=str), np.asarray(counts)
+                    at = np.minimum(np.searchsorted(known, names), len(known) - 1)
+                    mine = known[at] == names
+                    if not mine.any():
+                        continue
+                    rows = np.repeat(mine, counts)
+                    x = np.frombuffer(x).reshape(-1, d)[rows]
+                    y = np.frombuffer(y)[rows]
+                    code, n = place[at[mine]], counts[mine]
+                    w = np.repeat(w_all[code], n, axis=0)
+                    m = np.einsum("ij,ij->i", x, w[:, :d]) + w[:, d]
+                    s = 2.0 * y - 1.0
+                    if hinge:
+                        mult = np.where(s * m < 1.0, -s, 0.0)
+                        cost = np.maximum(1.0 - s * m, 0.0)
+                    else:
+                        mult = 1.0 / (1.0 + np.exp(-np.clip(m, -700, 700))) - y
+                        cost = np.logaddexp(0.0, -s * m)
+                    first = np.cumsum(n) - n
+                    sums = np.add.reduceat(np.column_stack([mult[:, None] * x, mult, cost]), first, axis=0)
+                    yield pd.DataFrame(
+                        {
+                            "code": np.repeat(code, d + 2),
+                            "k": np.tile(np.arange(d + 2, dtype=np.int32), len(code)),
+                            "v": sums.ravel(),
+                        }
+                    )
+
+        parts = self.blocks.mapInPandas(step, "code long, k int, v double")
+        got = parts.groupBy("code", "k").agg(F.sum("v").alias("v")).collect()  # WEIGHTS_AT_ONCE numbers at most
+        shared.destroy()
+        out = np.zeros((len(tags), d + 2))
+        for r in got:
+            out[r["code"], r["k"]] = r["v"]
+        return out[:, : d + 1], out[:, d + 1]
+
+    def close(self) -> None:
+        self.blocks.unpersist()
+
+
+_MODEL_SCHEMA = "weights array<double>, intercept double, iterations int, converged boolean, loss double, batch_seconds double"
+
+
+def _model_frame(spark, group_col: str, portions: list[DataFrame]) -> DataFrame:
+    if not portions:
+        return spark.createDataFrame([], f"{group_col} string, {_MODEL_SCHEMA}")
+    out = portions[0]
+    for more in portions[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def train_linear_all_tags(
@@ -144,76 +231,144 @@ def train_linear_all_tags(
     split: str | None = "train",
     checkpoint: bool = True,
 ) -> DataFrame:
-    """Train one linear model per tag, all tags in the same jobs.
+    """Train one linear model per tag by SGD, all tags in the same jobs.
 
     Returns (tag, weights ARRAY<DOUBLE>, intercept, iterations, converged,
-    loss, train_seconds); ``train_seconds`` is the batch's wall time.
+    loss, batch_seconds); ``batch_seconds`` is the wall time of the portion of
+    tags that the tag was trained with, not of the tag alone.
     """
     if loss not in LOSSES:
         raise ValueError(f"unknown loss {loss!r}")
-    spark = examples.sparkSession
-    started = time.time()
-    train = examples
-    if split is not None and "split" in examples.columns:
-        train = train.filter(F.col("split") == split)
-    train = train.select(group_col, F.col("y").cast("double").alias("y"), *[F.col(c).cast("double") for c in feature_cols])
-    train = _materialize(train, checkpoint)
-    suffix = uuid.uuid4().hex[:12]
-    tv, wv = f"_tagloom_train_{suffix}", f"_tagloom_w_{suffix}"
-    train.createOrReplaceTempView(tv)
-    step_sql = _gradient_sql(tv, wv, feature_cols, loss, group_col)
+    spark, d = examples.sparkSession, len(feature_cols)
+    blocks = _Blocks(examples, feature_cols, group_col, split, checkpoint)
+    made = []
     try:
-        tags = [r[0] for r in train.select(group_col).distinct().collect()]
-        if len(tags) > MAX_BROADCAST_TAGS:
-            raise ValueError(f"{len(tags)} tags exceed the weight-table bound {MAX_BROADCAST_TAGS}")
-        d = len(feature_cols)
-        state: dict[str, np.ndarray] = {}
-        for tag in tags:
-            w = np.zeros(d + 1)
-            w[d] = 1.0 if intercept else 0.0
-            state[tag] = w
-        prev: dict[str, np.ndarray | None] = {tag: None for tag in tags}
-        done: dict[str, tuple[int, bool, float]] = {}
-        active = dict(state)
-        for t in range(1, iterations + 1):
-            if not active:
-                break
-            _weights_frame(spark, active, feature_cols, group_col).createOrReplaceTempView(wv)
-            grads = spark.sql(step_sql).collect()
-            eta = step / math.sqrt(t)
-            seen = set()
-            for r in grads:
-                tag = r[group_col]
-                seen.add(tag)
-                n = r["n"]
-                g = np.array([r[f"g_{c}"] for c in feature_cols] + [r["g_bias"] if intercept else 0.0])
-                w_old = active[tag]
-                w_new = w_old * (1.0 - eta * reg) - eta * g / n
+        for portion in blocks.portions():
+            started = time.time()
+            tags = [t for t, _ in portion]
+            n = np.array([c for _, c in portion], float)
+            w = np.zeros((len(tags), d + 1))
+            w[:, d] = 1.0 if intercept else 0.0
+            cost, ended, done = np.full(len(tags), np.nan), np.zeros(len(tags), int), np.zeros(len(tags), bool)
+            for t in range(1, iterations + 1):
+                live = np.flatnonzero(~done)
+                if not len(live):
+                    break
+                g, losses = blocks.gradients([tags[i] for i in live], w[live], loss)
                 if not intercept:
-                    w_new[d] = 0.0
-                state[tag] = w_new
-                loss_val = r["loss_sum"] / n + 0.5 * reg * float(np.dot(w_new, w_new))
-                if prev[tag] is not None and np.linalg.norm(w_new - w_old) < tol * max(np.linalg.norm(w_new), 1.0):
-                    done[tag] = (t, True, loss_val)
+                    g[:, d] = 0.0
+                eta = step / math.sqrt(t)
+                after = w[live] * (1.0 - eta * reg) - eta * g / n[live, None]
+                moved = np.linalg.norm(after - w[live], axis=1)
+                size = np.linalg.norm(after, axis=1)
+                if t > 1:
+                    done[live] = moved < tol * np.maximum(size, 1.0)
+                cost[live] = losses / n[live] + 0.5 * reg * size**2
+                w[live], ended[live] = after, t
+            made.append(_portion_frame(spark, group_col, tags, w, d, ended, done, cost, time.time() - started))
+        return _model_frame(spark, group_col, made)
+    finally:
+        blocks.close()
+
+
+def _portion_frame(spark, group_col, tags, w, d, ended, done, cost, seconds) -> DataFrame:
+    rows = [
+        (t, w[i, :d].tolist(), float(w[i, d]), int(ended[i]), bool(done[i]), float(cost[i]), seconds)
+        for i, t in enumerate(tags)
+    ]
+    return spark.createDataFrame(rows, f"{group_col} string, {_MODEL_SCHEMA}")
+
+
+def train_lbfgs_all_tags(
+    examples: DataFrame,
+    feature_cols: Sequence[str],
+    iterations: int = DEFAULT_ITERATIONS,
+    reg: float = 0.0,
+    tol: float = 1e-6,
+    memory: int = 10,
+    group_col: str = "tag",
+    split: str | None = "train",
+    checkpoint: bool = True,
+) -> DataFrame:
+    """Logistic regression per tag by L-BFGS, all tags in the same jobs; the
+    columns of ``train_linear_all_tags``. ``reg`` weighs half the squared norm of
+    the weights without the intercept. A tag stops when no entry of the mean
+    gradient is larger than ``tol``."""
+    spark, d = examples.sparkSession, len(feature_cols)
+    blocks = _Blocks(examples, feature_cols, group_col, split, checkpoint)
+    made = []
+    try:
+        for portion in blocks.portions():
+            started = time.time()
+            tags = [t for t, _ in portion]
+            n = np.array([c for _, c in portion], float)
+            penal = np.append(np.full(d, reg), 0.0)
+
+            def value(rows, w):
+                g, losses = blocks.gradients([tags[i] for i in rows], w, "logistic")
+                return losses / n[rows] + 0.5 * (penal * w**2).sum(axis=1), g / n[rows, None] + penal * w
+
+            w = np.zeros((len(tags), d + 1))
+            f, g = value(np.arange(len(tags)), w)
+            past: list[tuple[np.ndarray, np.ndarray]] = []
+            ended = np.zeros(len(tags), int)
+            done = np.abs(g).max(axis=1) <= tol
+            for t in range(1, iterations + 1):
+                live = np.flatnonzero(~done)
+                if not len(live):
+                    break
+                p = _lbfgs_direction(g, past)
+                size = np.ones(len(tags)) if past else 1.0 / np.maximum(np.abs(g).sum(axis=1), 1.0)
+                slope = (g * p).sum(axis=1)
+                w_new, f_new, g_new = w.copy(), f.copy(), g.copy()
+                todo, stuck = live, np.zeros(0, int)
+                for _ in range(30):
+                    trial = w[todo] + size[todo, None] * p[todo]
+                    f_t, g_t = value(todo, trial)
+                    good = f_t <= f[todo] + 1e-4 * size[todo] * slope[todo] + 1e-14 * np.abs(f[todo])
+                    ok = todo[good]
+                    w_new[ok], f_new[ok], g_new[ok] = trial[good], f_t[good], g_t[good]
+                    todo = todo[~good]
+                    if not len(todo):
+                        break
+                    size[todo] *= 0.5
                 else:
-                    done[tag] = (t, False, loss_val)
-                prev[tag] = w_old
-            active = {tag: state[tag] for tag in active if tag in seen and not done[tag][1]}
-        elapsed = time.time() - started
-        rows = []
-        for tag in tags:
-            w = state[tag]
-            it, conv, loss_val = done.get(tag, (0, False, float("nan")))
-            rows.append((tag, [float(v) for v in w[:d]], float(w[d]) if intercept else 0.0, it, conv, loss_val, elapsed))
-        schema = (
-            f"{group_col} string, weights array<double>, intercept double, iterations int, "
-            "converged boolean, loss double, train_seconds double"
-        )
-        return spark.createDataFrame(rows, schema)
+                    stuck = todo
+                s, y = w_new - w, g_new - g
+                past = [*past, (s, y)][-memory:]
+                w, f, g = w_new, f_new, g_new
+                ended[live] = t
+                done |= np.abs(g).max(axis=1) <= tol
+                done_here = done.copy()
+                done_here[stuck] = True  # no smaller value along the direction: as close as the numbers allow
+                if done_here.all():
+                    break
+            converged = np.abs(g).max(axis=1) <= max(tol, 1e-6)
+            made.append(_portion_frame(spark, group_col, tags, w, d, ended, converged, f, time.time() - started))
+        return _model_frame(spark, group_col, made)
     finally:
-        spark.catalog.dropTempView(tv)
-        spark.catalog.dropTempView(wv)
-        train.unpersist()
+        blocks.close()
+
+
+def _lbfgs_direction(g: np.ndarray, past: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The two-loop recursion for each row; pairs without curvature count as none."""
+    q, kept = g.copy(), []
+    for s, y in reversed(past):
+        sy = (s * y).sum(axis=1)
+        use = sy > 1e-12 * (y * y).sum(axis=1)
+        rho = np.where(use, 1.0 / np.where(use, sy, 1.0), 0.0)
+        a = rho * (s * q).sum(axis=1)
+        q -= a[:, None] * y
+        kept.append((s, y, rho, a))
+    if past:
+        s, y = past[-1]
+        yy = (y * y).sum(axis=1)
+        scale = np.where(yy > 0, (s * y).sum(axis=1) / np.where(yy > 0, yy, 1.0), 1.0)
+        q *= np.where(scale > 0, scale, 1.0)[:, None]
+    for s, y, rho, a in reversed(kept):
+        b = rho * (y * q).sum(axis=1)
+        q += (a - b)[:, None] * s
+    return -q
 
 
 def weights_table(model: DataFrame, feature_cols: Sequence[str], group_col: str = "tag") -> DataFrame:

@@ -13,13 +13,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.config import METRIC_AUPRC_PREFIX, METRIC_AUROC_PREFIX, METRIC_TIME_PREFIX, materialize
+from tagloom.config import (
+    METRIC_AUPRC_PREFIX,
+    METRIC_AUROC_PREFIX,
+    METRIC_TIME_PREFIX,
+    REPORT_ARTIST,
+    REPORT_MARGIN_HEADING,
+    REPORT_TAG_HEADING,
+    REPORT_TITLE,
+    REPORT_TRACK,
+    SEVEN_FEATURE_INDEXES,
+)
 from tagloom.functions.hashing import unit_hash_sql
 from tagloom.functions.text import clean_tag_name
 from tagloom.functions.vectors import round_sig, round_sig_sql
 from tagloom.operators import labels as L
 from tagloom.operators import metrics as M
 from tagloom.operators import sampling as S
+from tagloom.operators import scaling
 from tagloom.operators import score as SC
 from tagloom.operators import stats as ST
 from tagloom.operators import summary as SU
@@ -215,6 +226,18 @@ def q_label_substring_ci(spark, sf):
     return L.positive_pairs(G.tracks(spark, sf), G.popular(spark, sf), "substring_ci")
 
 
+@query(
+    "label_all_tags",
+    with_ctes(G.SQL_TRACKS, G.SQL_COUNTS, G.sql_pos("substring").replace("JOIN popular p", "JOIN counts p"))
+    + "SELECT tag, CAST(count(*) AS BIGINT) AS n_positive FROM pos GROUP BY tag",
+)
+def q_label_all_tags(spark, sf):
+    """Every tag as a label, however rare: positives per tag."""
+    t = G.stored_tracks(spark, sf)
+    pairs = L.positive_pairs(t, T.tag_counts(t), "substring")
+    return pairs.groupBy("tag").agg(F.count(F.lit(1)).alias("n_positive"))
+
+
 @query(
     "class_balance",
     with_ctes(G.SQL_TRACKS, G.SQL_COUNTS, G.sql_pos("substring"), G.sql_frac("balanced"))
@@ -323,6 +346,36 @@ def q_scale_features(spark, sf):
     return G.scaled(spark, sf).select("track_id", *[r6(c).alias(c) for c in FEATS])
 
 
+@query(
+    "scale_fit_on_train",
+    with_ctes(
+        G.SQL_TRACKS,
+        f"\nseen AS (SELECT * FROM tracks WHERE {unit_hash_sql('track_id', salt='split', seed=SEED)} < {G.TRAIN_FRACTION})",
+        G.sql_scaled().replace("AS (SELECT avg", "AS (SELECT avg").replace(" FROM tracks),", " FROM seen),", 1),
+    )
+    + "SELECT track_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in FEATS) + " FROM scaled",
+)
+def q_scale_fit_on_train(spark, sf):
+    """The scaler fitted on the training part only, applied to all tracks."""
+    t = S.split_train_test(G.stored_tracks(spark, sf), seed=SEED)
+    out = scaling.standard_scale(t, FEATS, fit_on="train")
+    return out.select("track_id", *[r6(c).alias(c) for c in FEATS])
+
+
+_SEVEN = [FEATS[i] for i in SEVEN_FEATURE_INDEXES]
+
+
+@query(
+    "project_seven_features",
+    with_ctes(G.SQL_TRACKS) + "SELECT track_id, " + ", ".join(f"{rs_sql(c)} AS {c}" for c in _SEVEN) + " FROM tracks",
+)
+def q_project_seven_features(spark, sf):
+    """Track id and the older seven features, from legacy text lines."""
+    lines = LT.format_track_lines(G.tracks(spark, sf), FEATS)
+    p = LT.seven_features(LT.parse_track_lines(lines), _SEVEN)
+    return p.select("track_id", *[rs(c).alias(c) for c in _SEVEN])
+
+
 @query(
     "class_feature_means",
     with_ctes(*G.sql_examples_chain())
@@ -448,7 +501,7 @@ def q_rank_tags_per_track(spark, sf):
     return _score_all(spark, sf, top_k=5).select("track_id", "tag", "rank")
 
 
-_SAMPLED_TRACK_SQL = f"""
+SAMPLED_TRACK_SQL = f"""
 , picked AS (
   SELECT track_id FROM tracks
   WHERE letter = (SELECT letter FROM (SELECT DISTINCT letter FROM tracks)
@@ -459,8 +512,8 @@ _SAMPLED_TRACK_SQL = f"""
 
 @query(
     "prediction_report_lines",
-    _SCORE_ALL_SQL + _SAMPLED_TRACK_SQL
-    + "SELECT r.track_id, r.rank, printf('%-28s | %.6f', r.tag, r.margin) AS line FROM ranked r JOIN picked p ON p.track_id = r.track_id",
+    _SCORE_ALL_SQL + SAMPLED_TRACK_SQL
+    + "SELECT r.track_id, r.rank, printf('%-28s | %s', r.tag, CAST(round(r.margin, 6) AS VARCHAR)) AS line FROM ranked r JOIN picked p ON p.track_id = r.track_id",
 )
 def q_prediction_report_lines(spark, sf):
     t = G.tracks(spark, sf)
@@ -469,32 +522,32 @@ def q_prediction_report_lines(spark, sf):
     ex = G.examples(spark, sf)
     chosen = G.scaled(spark, sf).join(one, "track_id", "left_semi")
     ranked = SC.score_all_tags(chosen, G.weights(ex), FEATS)
-    return SU.prediction_report_lines(ranked)
+    return SU.prediction_report_lines(ranked.withColumn("margin", r6("margin")))
 
 
 @query(
     "prediction_report",
-    _SCORE_ALL_SQL + _SAMPLED_TRACK_SQL + ", " + td.TRACK_INFO_SQL.strip("\n") + """
+    _SCORE_ALL_SQL + SAMPLED_TRACK_SQL + ", " + td.TRACK_INFO_SQL.strip("\n") + """
 , info AS (SELECT string_split(value, '<SEP>')[1] AS track_id, string_split(value, '<SEP>')[3] AS artist,
                   string_split(value, '<SEP>')[4] AS title FROM track_info_lines)
 SELECT i.track_id, h.line_no, h.line FROM info i JOIN picked p ON p.track_id = i.track_id,
-  LATERAL (SELECT * FROM (VALUES (-5, 'TRACK ID: ' || i.track_id), (-4, 'ARTIST: ' || i.artist),
-                                 (-3, 'SONG TITLE: ' || i.title),
-                                 (-2, 'GENRE TAG                    | SVM MARGIN'),
-                                 (-1, '-----------------------------+-----------------------------')) AS v(line_no, line)) h
+  LATERAL (SELECT * FROM (VALUES (-5, '""" + REPORT_TRACK + """' || i.track_id), (-4, '""" + REPORT_ARTIST + """' || i.artist),
+                                 (-3, '""" + REPORT_TITLE + """' || i.title),
+                                 (-2, '""" + REPORT_TAG_HEADING.ljust(28) + REPORT_MARGIN_HEADING + """'),
+                                 (-1, repeat('-', 29) || '+' || repeat('-', 29))) AS v(line_no, line)) h
 UNION ALL
-SELECT r.track_id, r.rank AS line_no, printf('%-28s | %.6f', r.tag, r.margin) AS line
+SELECT r.track_id, r.rank AS line_no, printf('%-28s | %s', r.tag, CAST(round(r.margin, 6) AS VARCHAR)) AS line
 FROM ranked r JOIN picked p ON p.track_id = r.track_id""",
 )
 def q_prediction_report(spark, sf):
     t = G.tracks(spark, sf)
     letter = S.sample_one(t.select("letter").distinct(), "letter", SEED)
     one = S.sample_one(t.join(letter, "letter", "left_semi"), "track_id", SEED).select("track_id")
-    ex = materialize(G.examples(spark, sf), "examples")
+    ex = G.examples(spark, sf)
     chosen = G.scaled(spark, sf).join(one, "track_id", "left_semi")
     ranked = SC.score_all_tags(chosen, G.weights(ex), FEATS)
     info = LT.parse_track_info(td.track_info_lines(spark, sf))
-    return SU.prediction_report(ranked, info).select("track_id", F.col("line_no").cast("int").alias("line_no"), "line")
+    return SU.prediction_report(ranked.withColumn("margin", r6("margin")), info).select("track_id", F.col("line_no").cast("int").alias("line_no"), "line")
 
 
 _PRED_CHAIN = [*G.sql_examples_chain(), G.sql_weights(), G.sql_test_pred()]
@@ -505,7 +558,7 @@ def q_predict_labels(spark, sf):
     return G.test_predictions(spark, sf).select("tag", "track_id", "y", "prediction")
 
 
-_CONFUSION_SQL = """
+CONFUSION_SQL = """
 SELECT tag, n, n0, n1,
   round(tn / NULLIF(n0, 0), 6) AS recall0, round(tn / NULLIF(pred0, 0), 6) AS precision0,
   round(tp / NULLIF(n1, 0), 6) AS recall1, round(tp / NULLIF(pred1, 0), 6) AS precision1,
@@ -523,7 +576,7 @@ FROM (SELECT tag, CAST(count(*) AS BIGINT) AS n,
       FROM test_pred GROUP BY tag)"""
 
 
-@query("confusion_report", with_ctes(*_PRED_CHAIN) + _CONFUSION_SQL)
+@query("confusion_report", with_ctes(*_PRED_CHAIN) + CONFUSION_SQL)
 def q_confusion_report(spark, sf):
     c = M.confusion_report(G.test_predictions(spark, sf))
     ints = ["tag", "n", "n0", "n1"]

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.config import DEFAULT_MIN_COUNT, DEFAULT_SEED, materialize, shared_dir
+from tagloom.functions.hashing import unit_hash_sql
 from tagloom.functions.vectors import round_sig, round_sig_sql
 from tagloom.operators import labels as L
 from tagloom.operators import metrics as M
@@ -32,12 +33,11 @@ from tagloom.operators import summary as SU
 from tagloom.operators import tags as T
 from tagloom.operators import train as TR
 from tagloom.plans import stages as G
-from tagloom.plans.catalog import _SUMMARY_CHAIN_SQL, ORACLE_SQL
+from tagloom.plans.catalog import _SUMMARY_CHAIN_SQL, CONFUSION_SQL, ORACLE_SQL, SAMPLED_TRACK_SQL
 from tagloom.plans.stages import FEATS, SEED, with_ctes
 from tagloom.sources import binary as B
 from tagloom.sources import legacy_text as LT
 from tagloom.sources import sinks as K
-from tagloom.sources import sqlite as SQ
 from tagloom.sources import testdata as td
 
 # ---------------------------------------------------------------------------
@@ -68,32 +68,53 @@ def tag_count_job(spark: SparkSession, tracks: DataFrame, out: str, run_times: s
     return spark.read.parquet(out)
 
 
+OPTIMIZERS = ("svm_sgd", "logistic_sgd", "logistic_lbfgs")
+
+
 def train_and_evaluate(
     examples: DataFrame,
     feature_cols: Sequence[str],
-    loss: str = "hinge",
+    optimizer: str = "svm_sgd",
     iterations: int = 100,
     score: str = "label",
     step: float = 1.0,
-    reg: float = 0.01,
+    reg: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(model, metrics) for every tag of ``examples`` in one batched run.
 
-    ``score="label"`` evaluates the thresholded 0/1 predictions (so AUROC is
-    balanced accuracy, as in the published numbers); ``"margin"`` the raw margin.
+    ``optimizer`` is one of ``OPTIMIZERS``; ``reg`` is by default 0.01 for SGD and
+    0 for L-BFGS, as in the library. ``score="label"`` evaluates the thresholded
+    0/1 predictions (so AUROC is balanced accuracy, as in the published numbers);
+    ``"margin"`` the raw margin. ``train_seconds`` is the tag's share of the batch's
+    wall time, by its rows and iterations.
     """
+    if optimizer not in OPTIMIZERS:
+        raise ValueError(f"unknown optimizer {optimizer!r}")
     # Both splits are read (train by the trainer, test here): write the
     # examples once instead of labelling every track twice.
     examples = materialize(examples, "examples")
-    model = TR.train_linear_all_tags(examples, feature_cols, loss=loss, iterations=iterations, step=step, reg=reg,
-                                     checkpoint=False)
+    if optimizer == "logistic_lbfgs":
+        model = TR.train_lbfgs_all_tags(examples, feature_cols, iterations=iterations, reg=reg or 0.0, checkpoint=False)
+    else:
+        loss = "hinge" if optimizer == "svm_sgd" else "logistic"
+        model = TR.train_linear_all_tags(
+            examples, feature_cols, loss=loss, iterations=iterations, step=step,
+            reg=0.01 if reg is None else reg, checkpoint=False,
+        )
     w = TR.weights_table(model, feature_cols)
     test = examples.filter(F.col("split") == "test")
-    kind = "svm" if loss == "hinge" else "logistic"
+    kind = "svm" if optimizer == "svm_sgd" else "logistic"
     pred = SC.with_prediction(SC.with_margin(test, w, feature_cols), kind)
     scored = pred.withColumn("score", F.col("prediction") if score == "label" else F.col("margin"))
     areas = M.curve_areas(scored)
-    metrics = areas.join(model.select("tag", "train_seconds", "iterations", "converged"), "tag")
+    rows = examples.filter(F.col("split") == "train").groupBy("tag").agg(F.count(F.lit(1)).alias("_rows"))
+    work = F.col("_rows") * F.greatest(F.col("iterations"), F.lit(1))
+    told = model.join(rows, "tag").withColumn("_work", work.cast("double"))
+    batch = told.groupBy("batch_seconds").agg(F.sum("_work").alias("_all"))
+    told = told.join(batch, "batch_seconds").withColumn(
+        "train_seconds", F.col("batch_seconds") * F.col("_work") / F.col("_all")
+    )
+    metrics = areas.join(told.select("tag", "train_seconds", "iterations", "converged"), "tag")
     return model, metrics
 
 
@@ -105,32 +126,49 @@ def train_job(
     out: str,
     min_count: int = DEFAULT_MIN_COUNT,
     mode: str = "substring",
-    loss: str = "hinge",
+    optimizer: str = "svm_sgd",
     iterations: int = 100,
     seed: int = DEFAULT_SEED,
     skip_trained: bool = True,
 ) -> DataFrame:
-    """Train every popular tag not yet trained; write weights and metrics per tag."""
+    """Train every popular tag not yet trained; append weights, then metrics.
+
+    A tag is trained when it has weights and metrics; a run that ended in between
+    is made up for by the next one. Earlier runs' results stay as they are. The
+    scaler is stored beside the weights.
+    """
     started = time.time()
-    popular = T.popular_tags(counts, min_count)
-    if skip_trained:
-        try:
-            done = spark.read.parquet(f"{out}/metrics").select("tag")
+    at = {name: f"{out}/{name}" for name in ("weights", "metrics")}
+    there = all(K.results_exist(spark, path) for path in at.values())
+    popular, run = T.popular_tags(counts, min_count), 1
+    if there:
+        run = 1 + max(spark.read.parquet(path).agg(F.max("run")).first()[0] or 0 for path in at.values())
+        if skip_trained:
+            done = K.read_results(spark, at["weights"]).join(K.read_results(spark, at["metrics"]), "tag", "left_semi")
             popular = T.untrained_tags(popular, done)
-        except Exception:  # noqa: BLE001 - first run: no metrics yet
-            pass
-    scaled = scaling.standard_scale(materialize(tracks, "tracks"), feature_cols)
+    popular = materialize(popular, "untrained")
+    if there and popular.isEmpty():
+        K.append_run_time(spark, f"{out}/run_times", "train", started)
+        return K.read_results(spark, at["metrics"])
+    tracks = materialize(tracks, "tracks")
+    stats = scaling.fit_scaler(tracks, feature_cols)
+    scaled = scaling.apply_scaler(tracks, stats, feature_cols)
     examples = L.labelled_examples(scaled, popular, feature_cols, mode=mode, seed=seed)
-    model, metrics = train_and_evaluate(examples, feature_cols, loss, iterations)
-    K.write_weights(model, f"{out}/weights")
-    K.write_metrics(metrics, f"{out}/metrics")
+    model, metrics = train_and_evaluate(examples, feature_cols, optimizer, iterations)
+    positives = L.class_counts(tracks, popular, mode).select("tag", "n_positive")
+    K.append_results(scaling.with_scaler(model, stats, feature_cols), at["weights"], run)
+    K.append_results(metrics.join(positives, "tag"), at["metrics"], run)
     K.append_run_time(spark, f"{out}/run_times", "train", started)
-    return spark.read.parquet(f"{out}/metrics")
+    return K.read_results(spark, at["metrics"])
 
 
-def predict_job(tracks: DataFrame, model: DataFrame, feature_cols: Sequence[str], top_k: int | None = None) -> DataFrame:
-    """Ranked tags for every track; scaling must match the training features."""
-    return SC.score_all_tags(tracks, TR.weights_table(model, feature_cols), feature_cols, top_k=top_k)
+def predict_job(
+    spark: SparkSession, tracks: DataFrame, out: str, feature_cols: Sequence[str], top_k: int | None = None
+) -> DataFrame:
+    """Ranked tags for ``tracks`` (raw features) by the models that ``train_job``
+    stored at ``out``; each tag is scored through the scaler it was trained behind."""
+    model = K.read_results(spark, f"{out}/weights")
+    return SC.score_all_tags(tracks, scaling.raw_weights(model, feature_cols), feature_cols, top_k=top_k)
 
 
 def summarize_job(spark: SparkSession, counts: DataFrame, metrics: DataFrame, out: str, min_count: int) -> DataFrame:
@@ -162,69 +200,149 @@ def job_query(name: str, sql: str | None = None):
     return register
 
 
-def _trained(spark, sf, loss):
+def _trained(spark, sf, optimizer):
     ex = G.examples(spark, sf)
-    model, metrics = train_and_evaluate(ex, FEATS, loss=loss)
-    return model, metrics
+    return train_and_evaluate(ex, FEATS, optimizer=optimizer)
+
+
+def _told(metrics):
+    areas = [F.round(c, 6).alias(c) for c in ("auroc", "auprc")]
+    return metrics.select("tag", "n_pos", "n_neg", *areas, "iterations", "converged")
 
 
-@job_query("train_svm_all_tags")
+@job_query("train_svm_all_tags", sql=G.sql_trained("hinge"))
 def q_train_svm_all_tags(spark, sf):
     """Batched hinge-loss SGD for every popular tag, evaluated on the hold-out."""
-    _, metrics = _trained(spark, sf, "hinge")
-    return metrics.select("tag", "n_pos", "n_neg", "auroc", "auprc", "iterations", "converged")
+    _, metrics = _trained(spark, sf, "svm_sgd")
+    return _told(metrics)
 
 
-@job_query("train_logistic_all_tags")
+@job_query("train_logistic_all_tags", sql=G.sql_trained("logistic"))
 def q_train_logistic_all_tags(spark, sf):
-    _, metrics = _trained(spark, sf, "logistic")
-    return metrics.select("tag", "n_pos", "n_neg", "auroc", "auprc", "iterations", "converged")
+    _, metrics = _trained(spark, sf, "logistic_sgd")
+    return _told(metrics)
 
 
-def _one_tag_examples(spark, sf, tag: str | None = None):
-    ex = G.examples(spark, sf)
-    if tag is None:
-        # the most frequent popular tag (one driver-side value)
-        top = G.popular(spark, sf).orderBy(F.desc("n"), "tag").first()
-        tag = top["tag"] if top is not None else ""
-    return ex.filter(F.col("tag") == tag)
+def _top_tag(spark, sf) -> str:
+    """The most frequent popular tag (one driver-side value)."""
+    top = G.popular(spark, sf).orderBy(F.desc("n"), "tag").first()
+    return top["tag"] if top is not None else ""
+
+
+def _one_tag_examples(spark, sf):
+    return G.examples(spark, sf).filter(F.col("tag") == _top_tag(spark, sf))
+
+
+_TOP_TAG_SQL = with_ctes(*G.sql_examples_chain()) + """
+, top AS (SELECT tag FROM popular ORDER BY n DESC, tag LIMIT 1),
+one AS (SELECT e.* FROM examples e JOIN top USING (tag))
+"""
+_ONE_TAG_COUNTS_SQL = _TOP_TAG_SQL + (
+    "SELECT tag, CAST(count(*) FILTER (y = 1 AND split = 'test') AS BIGINT) AS n_pos, "
+    "CAST(count(*) FILTER (y <> 1 AND split = 'test') AS BIGINT) AS n_neg, true AS {} FROM one GROUP BY tag"
+)
 
 
 def _one_tag(spark, sf, model: str):
     ex = _one_tag_examples(spark, sf)
-    train = ex.filter(F.col("split") == "train")
-    test = ex.filter(F.col("split") == "test")
-    pm = TR.train_one_tag(train, FEATS, model=model, scale=False)
-    pred = TR.margins_from_pipeline(pm, test)
-    scored = pred.withColumn("score", F.col("prediction"))
-    return M.curve_areas(scored).join(M.confusion_report(pred), "tag")
+    pm = TR.train_one_tag(ex.filter(F.col("split") == "train"), FEATS, model=model, scale=False)
+    w = pm.stages[-1]
+    row = (_top_tag(spark, sf), *[float(v) for v in w.coefficients], float(w.intercept))
+    names = ["tag", *[f"w_{c}" for c in FEATS], "w_bias"]
+    weights = spark.createDataFrame([row], ", ".join(f"{n} {'string' if n == 'tag' else 'double'}" for n in names))
+    counts = ex.filter(F.col("split") == "test").groupBy("tag").agg(
+        F.sum(F.when(F.col("y") == 1.0, 1).otherwise(0)).alias("n_pos"),
+        F.sum(F.when(F.col("y") == 1.0, 0).otherwise(1)).alias("n_neg"),
+    )
+    loss = "logistic" if model == "logistic" else "hinge"
+    return TR.gradient_sums(ex.filter(F.col("split") == "train"), weights, FEATS, loss), counts
 
 
-@job_query("train_one_tag_logistic")
-def q_train_one_tag_logistic(spark, sf):
-    """pyspark.ml LogisticRegression (L-BFGS, no regularisation) for one tag."""
-    return _one_tag(spark, sf, "logistic")
+def _largest_slope():
+    return F.greatest(*[F.abs(F.col(f"g_{c}")) for c in FEATS], F.abs(F.col("g_bias"))) / F.col("n")
 
 
-@job_query("train_one_tag_svm")
-def q_train_one_tag_svm(spark, sf):
-    """pyspark.ml LinearSVC for one tag."""
-    return _one_tag(spark, sf, "svm")
+@job_query("train_one_tag_logistic", sql=_ONE_TAG_COUNTS_SQL.format("stationary"))
+def q_train_one_tag_logistic(spark, sf):
+    """pyspark.ml LogisticRegression (L-BFGS, no regularisation) for one tag: at its
+    weights the loss's gradient, summed by this package's own step, is zero."""
+    slopes, counts = _one_tag(spark, sf, "logistic")
+    told = slopes.select("tag", (_largest_slope() < 1e-4).alias("stationary"))
+    return counts.join(told, "tag").select("tag", "n_pos", "n_neg", "stationary")
 
 
-@job_query("model_round_trip")
+@job_query("train_one_tag_svm", sql=_ONE_TAG_COUNTS_SQL.format("below_start"))
+def q_train_one_tag_svm(spark, sf):
+    """pyspark.ml LinearSVC for one tag: its hinge loss, summed by this package's own
+    step, is below that of zero weights, which is 1 a row."""
+    slopes, counts = _one_tag(spark, sf, "svm")
+    told = slopes.select("tag", (F.col("loss_sum") / F.col("n") < 1.0).alias("below_start"))
+    return counts.join(told, "tag").select("tag", "n_pos", "n_neg", "below_start")
+
+
+@job_query("train_logistic_lbfgs_all_tags", sql=with_ctes(*G.sql_examples_chain())
+           + "SELECT tag, CAST(count(*) AS BIGINT) AS n, true AS stationary FROM examples "
+           "WHERE split = 'train' GROUP BY tag")
+def q_train_logistic_lbfgs_all_tags(spark, sf):
+    """Logistic regression by L-BFGS for every popular tag at once: the gradient at
+    each tag's weights, summed by the SQL step, is zero."""
+    train = G.examples(spark, sf).filter(F.col("split") == "train")
+    model = TR.train_lbfgs_all_tags(train, FEATS, split=None)
+    weights = TR.weights_table(model, FEATS).withColumnRenamed("bias", "w_bias")
+    slopes = TR.gradient_sums(train, weights, FEATS, "logistic")
+    return slopes.select("tag", "n", (_largest_slope() < 1e-5).alias("stationary"))
+
+
+@job_query("model_round_trip", sql=_TOP_TAG_SQL + "SELECT tag, CAST(count(*) AS BIGINT) AS n, true AS same "
+           "FROM one WHERE split = 'test' GROUP BY tag")
 def q_model_round_trip(spark, sf):
-    """Scaler and classifier saved as one PipelineModel, loaded, and applied."""
+    """Scaler and classifier saved as one PipelineModel, loaded, and applied: the
+    margins of the hold-out are those of the model that was saved."""
     from pyspark.ml import PipelineModel
 
     ex = _one_tag_examples(spark, sf)
     pm = TR.train_one_tag(ex.filter(F.col("split") == "train"), FEATS, model="logistic", scale=True)
     path = shared_dir(spark, "model")
     pm.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    return TR.margins_from_pipeline(loaded, ex.filter(F.col("split") == "test")).select(
-        "tag", "track_id", "y", "margin", "prediction"
-    )
+    test = ex.filter(F.col("split") == "test")
+    before = TR.margins_from_pipeline(pm, test).select("tag", "track_id", "margin")
+    after = TR.margins_from_pipeline(PipelineModel.load(path), test).select("tag", "track_id", F.col("margin").alias("m"))
+    both = before.join(after, ["tag", "track_id"])
+    return both.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("m") == F.col("margin")).alias("same"))
+
+
+# Embeddings: ten tags with signal, 64 features.
+_EMB_FEATS = [f"e{i}" for i in range(64)]
+_EMB_SQL = f"""
+tracks AS (SELECT CAST(vec_id AS VARCHAR) AS track_id, 'label_' || label AS own,
+                  list_append(CAST(embedding AS DOUBLE[]), CAST(1 AS DOUBLE)) AS x FROM embeddings),
+sizes AS (SELECT own AS tag, count(*) AS p, (SELECT count(*) FROM tracks) AS n FROM tracks GROUP BY own),
+drawn AS (SELECT *, {unit_hash_sql("track_id", salt="sample", seed=SEED)} AS u,
+                 {unit_hash_sql("track_id", salt="split", seed=SEED)} AS v FROM tracks),
+examples AS (
+  SELECT s.tag, d.track_id, CAST(CASE WHEN d.own = s.tag THEN 1 ELSE 0 END AS DOUBLE) AS y, d.x,
+         CASE WHEN d.v < {G.TRAIN_FRACTION} THEN 'train' ELSE 'test' END AS split
+  FROM drawn d CROSS JOIN sizes s WHERE d.own = s.tag OR d.u < least(s.p / (s.n - s.p), 1)),
+train_x AS (SELECT tag, y, x FROM examples WHERE split = 'train')"""
+_EMB_TRAIN_SQL = with_ctes(
+    _EMB_SQL, G.sql_sgd("hinge", feats=_EMB_FEATS),
+    """
+scored AS (SELECT e.tag, e.y, CAST(CASE WHEN list_dot_product(m.w, e.x) > 0 THEN 1 ELSE 0 END AS DOUBLE) AS score
+           FROM examples e JOIN model m ON m.tag = e.tag WHERE e.split = 'test')""",
+    M.CURVE_AREAS_SQL,
+).replace("WITH ", "WITH RECURSIVE ", 1) + (
+    "SELECT a.tag, n_pos, n_neg, round(auroc, 6) AS auroc, round(auprc, 6) AS auprc, "
+    "CAST(m.t AS INTEGER) AS iterations, m.done AS converged FROM areas a JOIN model m ON m.tag = a.tag"
+)
+
+
+@job_query("train_svm_embeddings", sql=_EMB_TRAIN_SQL)
+def q_train_svm_embeddings(spark, sf):
+    """The same trainer on data with signal: ten label tags, 64 features."""
+    tracks = td.embedding_tracks(spark, sf)
+    ex = L.labelled_examples(tracks, T.tag_counts(tracks), _EMB_FEATS, mode="exact", seed=SEED)
+    _, metrics = train_and_evaluate(ex, _EMB_FEATS)
+    return _told(metrics)
 
 
 def _rounded_features(df: DataFrame) -> list:
@@ -253,14 +371,24 @@ def q_text_glob_scan(spark, sf):
     return parsed.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(parsed))
 
 
-@job_query("sqlite_round_trip", sql=ORACLE_SQL["labels_join_features"])
-def q_sqlite_round_trip(spark, sf):
-    """Artist tags and track-artist edges in SQLite files -> track labels -> features."""
-    base = shared_dir(spark, "sqlite")
-    SQ.write_sqlite(td.artist_tags(spark, sf), f"{base}/artist_term", "artist_mbtag")
-    SQ.write_sqlite(td.track_artist(spark, sf), f"{base}/track_metadata", "songs")
-    at = SQ.read_sqlite(spark, f"{base}/artist_term", "artist_mbtag", ["artist_id", "mbtag"])
-    ta = SQ.read_sqlite(spark, f"{base}/track_metadata", "songs", ["artist_id", "track_id"])
+@job_query("partitioned_store_other_letters", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, letter, " + _FEATS_SQL
+           + " FROM tracks")
+def q_partitioned_store_other_letters(spark, sf):
+    """The typed store read back one letter at a time, all letters: no row is lost."""
+    path = shared_dir(spark, "store")
+    K.write_track_store(G.stored_tracks(spark, sf), path)
+    whole = None
+    for letter in "0123456789abcdef":
+        one = K.read_track_store(spark, path, letter)
+        whole = one if whole is None else whole.unionByName(one)
+    return whole.select("track_id", F.col("letter").cast("string").alias("letter"), *_rounded_features(whole))
+
+
+@job_query("artist_tables_round_trip", sql=ORACLE_SQL["labels_join_features"])
+def q_artist_tables_round_trip(spark, sf):
+    """Artist tags and track-artist edges stored as tables -> track labels -> features."""
+    at = materialize(td.artist_tags(spark, sf), "artist_mbtag")
+    ta = materialize(td.track_artist(spark, sf), "songs")
     labels = L.track_labels(ta, L.artist_has_tag(at, G.ARTIST_TAGSTRING))
     j = L.labels_with_features(labels, td.order_tracks(spark, sf))
     return j.select("track_id", "y", *[round_sig(F.col(c), 8).alias(c) for c in td.ORDER_FEATURES])
@@ -307,12 +435,17 @@ def q_metric_files_scan(spark, sf):
     return m.select("clean_tag", F.round("auroc", 6).alias("auroc"), F.round("auprc", 6).alias("auprc"), "train_seconds")
 
 
-@job_query("run_time_log")
+@job_query("run_time_log", sql=with_ctes(G.SQL_TRACKS, G.SQL_COUNTS)
+           + "SELECT 'tag_count' AS job, true AS sane_seconds, CAST(count(*) AS BIGINT) AS n_tags, "
+           "CAST(sum(n) AS BIGINT) AS n_occurrences FROM counts")
 def q_run_time_log(spark, sf):
     """Tag counts job with its run time appended to the run-time log."""
     base = shared_dir(spark, "runs")
-    tag_count_job(spark, G.tracks(spark, sf), f"{base}/tags", f"{base}/run_times")
-    return spark.read.parquet(f"{base}/run_times").select("job")
+    stored = tag_count_job(spark, G.tracks(spark, sf), f"{base}/tags", f"{base}/run_times")
+    log = spark.read.parquet(f"{base}/run_times")
+    sane = (F.col("seconds") >= 0) & (F.col("seconds") < 86400) & (F.col("started_at") > 0)
+    totals = stored.agg(F.count(F.lit(1)).alias("n_tags"), F.sum("n").alias("n_occurrences"), F.lit("tag_count").alias("job"))
+    return log.select("job", sane.alias("sane_seconds")).join(totals, "job")
 
 
 __all__ = ["JOB_ORACLE_SQL", "JOB_QUERIES", "SEED"]
@@ -384,7 +517,7 @@ def one_tag_job(
     if str(model).lower() not in ("logistic", "svm"):
         raise ValueError("model must be 'logistic' or 'svm'")
     if not 0.0 < holdout < 1.0:
-        raise ValueError("holdout must be greater than 0 and less than 1")
+        raise ValueError("the hold-out share has to lie between 0 and 1")
     loss = "hinge" if str(model).lower() == "svm" else "logistic"
     tags_df = T.tags_frame(spark, [tag.lower() if mode == "substring_ci" else tag])
     scaled = scaling.standard_scale(materialize(tracks, "tracks"), feature_cols)
@@ -400,26 +533,91 @@ def one_tag_job(
     return fitted, M.confusion_report(pred)
 
 
-@job_query("one_tag_sgd_report")
+_ONE_TAG_CHAIN = [
+    G.SQL_TRACKS,
+    "\npopular AS (SELECT 'brand#1' AS tag)",
+    G.sql_scaled(),
+    G.sql_pos("substring_ci"),
+    G.sql_frac("prior"),
+    G.sql_examples().replace(f"d.v < {G.TRAIN_FRACTION}", "d.v < 0.9"),
+    f"\ntrain_x AS (SELECT e.tag, e.y, {G.sql_x()} AS x FROM examples e WHERE e.split = 'train')",
+    G.sql_sgd("logistic"),
+    G.sql_model_predictions("logistic"),
+]
+
+
+@job_query("one_tag_sgd_report", sql=with_ctes(*_ONE_TAG_CHAIN).replace("WITH ", "WITH RECURSIVE ", 1) + CONFUSION_SQL)
 def q_one_tag_sgd_report(spark, sf):
     """One tag ('brand#1', case-folded substring) with logistic SGD, old defaults."""
-    fitted, report = one_tag_job(spark, G.tracks(spark, sf), FEATS, tag="Brand#1", iterations=30)
-    return report
+    _, report = one_tag_job(spark, G.stored_tracks(spark, sf), FEATS, tag="Brand#1")
+    ints = ["tag", "n", "n0", "n1"]
+    return report.select(*ints, *[F.round(c, 6).alias(c) for c in report.columns if c not in ints])
 
 
-@job_query("train_job_end_to_end")
-def q_train_job_end_to_end(spark, sf):
-    """Train every popular tag, write weights/metrics/run times, summarise to CSV.
+def _min_count(spark, sf, share: int) -> int:
+    return -(-G.n_tracks(spark, sf) // share)  # ceil: the catalogue's cut-off
 
-    A second run over the same output trains nothing: every tag already has
-    results (anti join against the metrics table).
-    """
+
+@job_query("train_job_end_to_end", sql=G.sql_trained("hinge").rsplit("SELECT a.tag", 1)[0]
+           + "SELECT a.tag, p.n AS song_count, c.n_positive, round(auroc, 6) AS auroc, round(auprc, 6) AS auprc, "
+           "true AS timed FROM areas a JOIN popular p ON p.tag = a.tag JOIN cc c ON c.tag = a.tag")
+def q_train_job_end_to_end(spark, sf):
+    """Train every popular tag, write weights, metrics and run times, and summarise
+    from what is stored; the summary also goes to CSV."""
     out = shared_dir(spark, "train-job")
-    tracks = G.tracks(spark, sf)
+    tracks = G.stored_tracks(spark, sf)
     counts = T.tag_counts(tracks)
-    min_count = -(-G.n_tracks(spark, sf) // G.SHARE_DEN)  # ceil(n / 40): the catalogue's cut-off
-    metrics = train_job(spark, tracks, counts, FEATS, out, min_count=min_count)
-    again = train_job(spark, tracks, counts, FEATS, out, min_count=min_count)
-    if again.count() != metrics.count():
-        raise RuntimeError("second run changed the stored metrics")
-    return summarize_job(spark, counts, spark.read.parquet(f"{out}/metrics"), out, min_count)
+    min_count = _min_count(spark, sf, G.SHARE_DEN)
+    train_job(spark, tracks, counts, FEATS, out, min_count=min_count)
+    metrics = K.read_results(spark, f"{out}/metrics")
+    summarize_job(spark, counts, metrics, out, min_count)
+    summary = SU.summarize_models(counts, metrics, min_count)
+    return summary.select(
+        "tag", "song_count", "n_positive", F.round("auroc", 6).alias("auroc"), F.round("auprc", 6).alias("auprc"),
+        (F.col("train_seconds") > 0).alias("timed"),
+    )
+
+
+@job_query("train_job_incremental", sql=with_ctes(G.SQL_TRACKS, G.SQL_COUNTS) + f"""
+SELECT tag, CAST(CASE WHEN n * {G.SHARE_DEN // 2} >= (SELECT n_tracks FROM ntracks) THEN 1 ELSE 2 END AS BIGINT) AS run,
+       true AS has_metrics, true AS unchanged FROM popular""")
+def q_train_job_incremental(spark, sf):
+    """A run, a re-run and a run with a lower cut-off: every popular tag has weights
+    and metrics, and the first run's weights are as they were."""
+    out = shared_dir(spark, "train-job")
+    tracks = G.stored_tracks(spark, sf)
+    counts = materialize(T.tag_counts(tracks), "counts")
+    first = _min_count(spark, sf, G.SHARE_DEN // 2)
+    train_job(spark, tracks, counts, FEATS, out, min_count=first, iterations=5)
+    old = materialize(K.read_results(spark, f"{out}/weights").select("tag", F.col("weights").alias("old")), "old")
+    train_job(spark, tracks, counts, FEATS, out, min_count=first, iterations=5)
+    train_job(spark, tracks, counts, FEATS, out, min_count=_min_count(spark, sf, G.SHARE_DEN), iterations=5)
+    weights, metrics = (K.read_results(spark, f"{out}/{name}") for name in ("weights", "metrics"))
+    told = metrics.select("tag", F.col("run").alias("_run"))
+    both = weights.join(told, "tag", "full").join(old, "tag", "left")
+    return both.select(
+        "tag", "run", F.col("_run").eqNullSafe(F.col("run")).alias("has_metrics"),
+        (F.col("old").isNull() | (F.col("old") == F.col("weights"))).alias("unchanged"),
+    )
+
+
+@job_query("predict_from_store", sql=with_ctes(
+    *G.sql_examples_chain(),
+    f"\ntrain_x AS (SELECT e.tag, e.y, {G.sql_x()} AS x FROM examples e WHERE e.split = 'train')", G.sql_sgd("hinge"),
+).replace("WITH ", "WITH RECURSIVE ", 1) + SAMPLED_TRACK_SQL + f"""
+, margins AS (SELECT s.track_id, m.tag, list_dot_product(m.w, {G.sql_x("s")}) AS margin
+              FROM scaled s JOIN picked p ON p.track_id = s.track_id, model m)
+SELECT track_id, tag, round(margin, 6) AS margin,
+       CAST(row_number() OVER (ORDER BY margin DESC, tag) AS INTEGER) AS rank FROM margins""")
+def q_predict_from_store(spark, sf):
+    """Train, write, read, and score one sampled track from its raw features by the
+    stored weights and scaler."""
+    from tagloom.operators import sampling as S
+
+    out = shared_dir(spark, "train-job")
+    tracks = G.stored_tracks(spark, sf)
+    train_job(spark, tracks, T.tag_counts(tracks), FEATS, out, min_count=_min_count(spark, sf, G.SHARE_DEN))
+    letter = S.sample_one(tracks.select("letter").distinct(), "letter", SEED)
+    one = S.sample_one(tracks.join(letter, "letter", "left_semi"), "track_id", SEED)
+    ranked = predict_job(spark, one, out, FEATS)
+    return ranked.select("track_id", "tag", F.round("margin", 6).alias("margin"), "rank")

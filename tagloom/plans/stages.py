@@ -13,6 +13,7 @@ from tagloom.config import materialize
 from tagloom.functions.hashing import unit_hash_sql
 from tagloom.operators import labels as L
 from tagloom.operators import scaling, score, tags
+from tagloom.operators.metrics import CURVE_AREAS_SQL
 from tagloom.sources import testdata as td
 
 # Fixed parameters of the catalogue queries.
@@ -44,22 +45,22 @@ def popular(spark: SparkSession, sf: str, share_den: int = SHARE_DEN) -> DataFra
     return tags.popular_tags_by_share(counts(spark, sf), n_tracks(spark, sf), share_den)
 
 
-def scaled(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
-    t = materialize(tracks(spark, sf), "tracks") if stored else tracks(spark, sf)
-    return scaling.standard_scale(t, FEATS)
+def stored_tracks(spark: SparkSession, sf: str) -> DataFrame:
+    """The tracks of ``sf``, written once per application."""
+    return materialize(tracks(spark, sf), "tracks", key=(sf,))
+
+
+def scaled(spark: SparkSession, sf: str) -> DataFrame:
+    return scaling.standard_scale(stored_tracks(spark, sf), FEATS)
 
 
 def examples(spark: SparkSession, sf: str, mode: str = "substring", ratio: str = "balanced") -> DataFrame:
-    """Examples from the tracks written once to the shared folder.
-
-    Building examples reads the tracks several times (scaler fit, counts,
-    positives, the labelling pass); each read of the written table replaces a
-    recomputation of the line-item aggregation.
-    """
-    return L.labelled_examples(
-        scaled(spark, sf, stored=True), popular(spark, sf), FEATS, mode=mode, seed=SEED, ratio=ratio,
-        train_fraction=TRAIN_FRACTION,
+    """The examples of ``sf``, written once per application and kind: several
+    queries read them, and each query reads them more than once."""
+    made = L.labelled_examples(
+        scaled(spark, sf), popular(spark, sf), FEATS, mode=mode, seed=SEED, ratio=ratio, train_fraction=TRAIN_FRACTION
     )
+    return materialize(made, "examples", key=(sf, mode, ratio))
 
 
 def weights(ex: DataFrame) -> DataFrame:
@@ -67,8 +68,7 @@ def weights(ex: DataFrame) -> DataFrame:
 
 
 def test_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    # both splits are read: the examples are written once, not labelled twice
-    ex = materialize(examples(spark, sf), "examples")
+    ex = examples(spark, sf)
     w = weights(ex)
     test = ex.filter(F.col("split") == "test")
     return score.with_prediction(score.with_margin(test, w, FEATS), "svm")
@@ -165,6 +165,68 @@ test_pred AS (
   FROM examples e JOIN weights w ON w.tag = e.tag WHERE e.split = 'test')"""
 
 
+def sql_sgd(
+    loss: str, step: float = 1.0, reg: float = 0.01, tol: float = 0.001, iterations: int = 100, feats=None
+) -> str:
+    """CTE ``model`` (tag, t, w, done): batched SGD as a recursion over ``train_x``
+    (tag, y, x), x ending in 1.0 for the intercept. Same rule, start and stop test
+    as the trainer."""
+    feats = FEATS if feats is None else feats
+    d = len(feats) + 1
+    start = "[" + ", ".join(["CAST(0 AS DOUBLE)"] * (d - 1) + ["CAST(1 AS DOUBLE)"]) + "]"
+    if loss == "hinge":
+        mult = "CASE WHEN (2 * y - 1) * m < 1 THEN -(2 * y - 1) ELSE 0 END"
+    else:
+        mult = "1 / (1 + exp(-m)) - y"
+    sums = ", ".join(f"sum(mult * x[{i + 1}])" for i in range(d))
+    eta = f"({step} / sqrt(t + 1))"
+    move = f"list_transform(range(1, {d} + 1), lambda i: w[i] * (1 - {eta} * {reg}) - {eta} * g[i] / n)"
+    norm = "sqrt(list_dot_product({0}, {0}))"
+    moved = f"list_transform(range(1, {d} + 1), lambda i: after[i] - w[i])"
+    return f"""
+model_steps AS (
+  SELECT DISTINCT tag, 0 AS t, {start} AS w, false AS done FROM train_x
+  UNION ALL
+  SELECT tag, t + 1, after, t >= 1 AND {norm.format(moved)} < {tol} * greatest({norm.format("after")}, 1)
+  FROM (SELECT *, {move} AS after
+        FROM (SELECT tag, any_value(t) AS t, any_value(w) AS w, count(*) AS n, [{sums}] AS g
+              FROM (SELECT tag, t, w, x, {mult} AS mult
+                    FROM (SELECT s.tag, s.t, s.w, e.x, e.y, list_dot_product(s.w, e.x) AS m
+                          FROM model_steps s JOIN train_x e ON e.tag = s.tag WHERE NOT s.done AND s.t < {iterations}))
+              GROUP BY tag))),
+model AS (SELECT tag, max(t) AS t, arg_max(w, t) AS w, arg_max(done, t) AS done FROM model_steps GROUP BY tag)"""
+
+
+def sql_x(alias: str = "e", feats=None) -> str:
+    return "[" + ", ".join(f"{alias}.{c}" for c in (FEATS if feats is None else feats)) + ", CAST(1 AS DOUBLE)]"
+
+
+def sql_model_predictions(kind: str, feats=None) -> str:
+    """CTE ``test_pred`` by ``model`` over the test examples."""
+    hit = "m > 0" if kind == "hinge" else "1 / (1 + exp(-m)) > 0.5"
+    return f"""
+test_pred AS (
+  SELECT tag, track_id, y, m AS margin, CAST(CASE WHEN {hit} THEN 1 ELSE 0 END AS DOUBLE) AS prediction
+  FROM (SELECT e.tag, e.track_id, e.y, list_dot_product(w.w, {sql_x(feats=feats)}) AS m
+        FROM examples e JOIN model w ON w.tag = e.tag WHERE e.split = 'test'))"""
+
+
+def sql_trained(loss: str) -> str:
+    """The trainer query: hold-out areas of every tag's model on 0/1 predictions."""
+    return sql_trained_over(loss, sql_examples_chain())
+
+
+def sql_trained_over(loss: str, chain: list[str], feats=None) -> str:
+    train = f"\ntrain_x AS (SELECT e.tag, e.y, {sql_x(feats=feats)} AS x FROM examples e WHERE e.split = 'train')"
+    scored = "\nscored AS (SELECT tag, y, prediction AS score FROM test_pred)"
+    parts = [*chain, train, sql_sgd(loss, feats=feats), sql_model_predictions(loss, feats), scored, CURVE_AREAS_SQL]
+    return (
+        with_ctes(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
+        + "SELECT a.tag, n_pos, n_neg, round(auroc, 6) AS auroc, round(auprc, 6) AS auprc, "
+        "CAST(m.t AS INTEGER) AS iterations, m.done AS converged FROM areas a JOIN model m ON m.tag = a.tag"
+    )
+
+
 def with_ctes(*parts: str) -> str:
     return "WITH " + ",".join(p.strip("\n") for p in parts) + "\n"
 

@@ -19,7 +19,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.config import METRIC_AUPRC_PREFIX, METRIC_AUROC_PREFIX, METRIC_TIME_PREFIX, TRACK_INFO_SEP
+from tagloom.config import (
+    METRIC_AUPRC_PREFIX,
+    METRIC_AUROC_PREFIX,
+    METRIC_TIME_PREFIX,
+    SEVEN_FEATURE_INDEXES,
+    TRACK_INFO_SEP,
+)
 from tagloom.functions.text import (
     BRACKET_GROUP_PATTERN,
     TAG_COUNT_LINE_PATTERN,
@@ -189,11 +195,12 @@ def legacy_line_labels(lines: DataFrame, tags: DataFrame, value_col: str = "valu
     The label is a case-sensitive substring test on the *printed* tag list
     (first lazily matched bracket group, quotes and separators included); the
     id is the text between the first two single quotes; the vector is the
-    second bracket group. ``tags`` is a small table (one row per tag, checked
-    by the caller) and is broadcast; the per-tag loop over all lines becomes
-    one nested-loop pass that emits only the positives (negatives are every
-    other line of the tag).
+    second bracket group. The distinct printed lists are matched to the tags once,
+    by their substrings, and joined back; only the positives are emitted
+    (negatives are every other line of the tag).
     """
+    from tagloom.operators.labels import substring_map
+
     v = F.col(value_col)
     groups = F.regexp_extract_all(v, F.lit(BRACKET_GROUP_PATTERN), 0)
     parsed = lines.select(
@@ -201,6 +208,12 @@ def legacy_line_labels(lines: DataFrame, tags: DataFrame, value_col: str = "valu
         F.get(groups, 0).alias("_tags_text"),
         parse_number_list(F.coalesce(F.get(groups, 1), F.lit(""))).alias("features"),
     )
-    hit = F.col("_tags_text").contains(F.col("tag"))
-    joined = parsed.join(F.broadcast(tags.select("tag")), hit, "inner")
+    found = substring_map(parsed.select(F.col("_tags_text").alias("text")), tags)
+    joined = parsed.join(found, F.col("_tags_text") == F.col("text"))
     return joined.select("tag", "track_id", F.lit(1.0).alias("y"), "features")
+
+
+def seven_features(parsed: DataFrame, names: list[str]) -> DataFrame:
+    """(track_id, <names>): the older seven-feature form of parsed track lines."""
+    picked = [F.get("features", F.lit(i)).alias(n) for i, n in zip(SEVEN_FEATURE_INDEXES, names, strict=True)]
+    return parsed.select("track_id", *picked)

@@ -31,14 +31,25 @@ def write_tag_counts(counts: DataFrame, path: str) -> None:
     counts.orderBy(F.desc("n"), F.asc("tag")).write.mode("overwrite").parquet(path)
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Per-tag metrics, partitioned by tag; only the tags present are replaced."""
-    (
-        metrics.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("tag")
-        .parquet(path)
-    )
+def append_results(results: DataFrame, path: str, run: int) -> None:
+    """Append per-tag results (weights or metrics) of run number ``run``. What
+    earlier runs wrote stays; a tag that is written again counts from its latest
+    run on (:func:`read_results`). Plain Parquet with ``tag`` as a column: tags
+    keep their type and a run with many tags makes few files."""
+    results.withColumn("run", F.lit(run).cast("bigint")).write.mode("append").parquet(path)
+
+
+def results_exist(spark: SparkSession, path: str) -> bool:
+    """Whether results were written at ``path``; a folder that can't be read is an error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The latest results of each tag, with their ``run``."""
+    everything = spark.read.parquet(path)
+    latest = everything.groupBy("tag").agg(F.max("run").alias("run"))
+    return everything.join(latest, ["tag", "run"], "left_semi")
 
 
 def write_metric_text(lines: DataFrame, path: str) -> None:
@@ -46,11 +57,6 @@ def write_metric_text(lines: DataFrame, path: str) -> None:
     lines.select("clean_tag", "value").write.mode("overwrite").partitionBy("clean_tag").text(path)
 
 
-def write_weights(model: DataFrame, path: str) -> None:
-    """The batched trainer's weight table (one row per tag), partitioned by nothing: it is small."""
-    model.write.mode("overwrite").parquet(path)
-
-
 def append_run_time(spark: SparkSession, path: str, job: str, started_at: float, seconds: float | None = None) -> None:
     """Append one (job, started_at, seconds) row to the run-time log."""
     secs = float(seconds if seconds is not None else time.time() - started_at)
