@@ -37,13 +37,6 @@ def features_array(cols: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def to_vector(c: Column | str) -> Column:
-    """ARRAY<DOUBLE> to an ML dense vector (for pyspark.ml estimators)."""
-    from pyspark.ml.functions import array_to_vector
-
-    return array_to_vector(F.col(c) if isinstance(c, str) else c)
-
-
 def round_sig(c: Column | str, digits: int = 8) -> Column:
     """Round to ``digits`` significant digits (NULL, NaN and 0 pass through).
 

@@ -71,13 +71,13 @@ def confusion_report_lines(report: DataFrame, group_col: str = "tag") -> DataFra
     """(tag, line_no, line): the confusion report as readable text lines."""
     lines = F.array(
         F.struct(F.lit(0).alias("line_no"), F.format_string(
-            "0 | n = %d | Recall = %s | Precision = %s", "n0", "recall0", "precision0").alias("line")),
+            "label 0: %d rows, recall %s, precision %s", "n0", "recall0", "precision0").alias("line")),
         F.struct(F.lit(1).alias("line_no"), F.format_string(
-            "1 | n = %d | Recall = %s | Precision = %s", "n1", "recall1", "precision1").alias("line")),
-        F.struct(F.lit(2).alias("line_no"), F.format_string("Test Error = %s", "test_error").alias("line")),
-        F.struct(F.lit(3).alias("line_no"), F.format_string("Positive Rate = %s", "positive_rate").alias("line")),
-        F.struct(F.lit(4).alias("line_no"), F.format_string("Mean Label = %s", "mean_label").alias("line")),
-        F.struct(F.lit(5).alias("line_no"), F.format_string("Mean Prediction = %s", "mean_prediction").alias("line")),
+            "label 1: %d rows, recall %s, precision %s", "n1", "recall1", "precision1").alias("line")),
+        F.struct(F.lit(2).alias("line_no"), F.format_string("test error %s", "test_error").alias("line")),
+        F.struct(F.lit(3).alias("line_no"), F.format_string("share of label 1 %s", "positive_rate").alias("line")),
+        F.struct(F.lit(4).alias("line_no"), F.format_string("mean label %s", "mean_label").alias("line")),
+        F.struct(F.lit(5).alias("line_no"), F.format_string("mean prediction %s", "mean_prediction").alias("line")),
     )
     return report.select(group_col, F.inline(lines))
 
@@ -115,7 +115,8 @@ def areas_of_points(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("s", [i / MAX_CUTS for i in range(1, MAX_CUTS)], accuracy).alias("_q"),
     )
-    step = F.greatest(F.floor(MAX_CUTS * F.lit(points_per_bucket) / F.col("_n")).cast("int"), F.lit(1))
+    cuts = F.lit(float(MAX_CUTS) * points_per_bucket) / F.col("_n")
+    step = F.floor(F.greatest(F.least(cuts, F.lit(float(MAX_CUTS))), F.lit(1.0))).cast("int")
     bounds = sizes.select(group_col, F.filter("_q", lambda q, i: (i + 1) % step == 0).alias("_bounds"))
     # One row a tag on the right: a plain join, so that adaptive execution may
     # broadcast it or split the rows of a hot tag.

@@ -87,13 +87,3 @@ def split_train_test(
 def sample_one(df: DataFrame, key: str = "track_id", seed: int = DEFAULT_SEED) -> DataFrame:
     """One row chosen by seed: the smallest draw wins (top-1, no full sort)."""
     return df.withColumn("_pick", unit_hash(key, salt=PICK_SALT, seed=seed)).orderBy("_pick", key).limit(1).drop("_pick")
-
-
-def sample_by(df: DataFrame, col: str, fractions: dict, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Plain stratified sampling (``DataFrame.sampleBy``); fractions above 1 are clamped."""
-    return df.sampleBy(col, {k: min(1.0, float(v)) for k, v in fractions.items()}, seed)
-
-
-def random_split(df: DataFrame, weights: Sequence[float], seed: int = DEFAULT_SEED) -> list[DataFrame]:
-    """Plain ``randomSplit`` (depends on partitioning; prefer :func:`split_index`)."""
-    return df.randomSplit(list(weights), seed)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions.vectors import array_dot
+
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """{feature: (mean, sample std)} from one aggregate; only 2 x d numbers reach the driver."""
@@ -55,9 +57,7 @@ def raw_weights(model: DataFrame, cols: Sequence[str], group_col: str = "tag") -
     scaled = F.transform(
         F.arrays_zip("weights", "std"), lambda z: F.when(z["std"] == 0, 0.0).otherwise(z["weights"] / z["std"])
     )
-    shift = F.aggregate(
-        F.zip_with("_raw", "mean", lambda w, m: w * m), F.lit(0.0), lambda total, v: total + v
-    )
+    shift = array_dot("_raw", "mean")
     out = model.withColumn("_raw", scaled)
     return out.select(
         group_col,

@@ -583,6 +583,24 @@ def q_confusion_report(spark, sf):
     return c.select(*ints, *[r6(x).alias(x) for x in c.columns if x not in ints])
 
 
+_REPORT_LINES_SQL = with_ctes(*_PRED_CHAIN) + f"""
+, report AS ({CONFUSION_SQL}),
+told AS (SELECT tag, CAST(n0 AS VARCHAR) AS n0, CAST(n1 AS VARCHAR) AS n1,
+  {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null') AS {c}" for c in (
+      "recall0", "precision0", "recall1", "precision1", "test_error", "positive_rate", "mean_label", "mean_prediction"))}
+  FROM report)
+SELECT tag, l.line_no, l.line FROM told, LATERAL (SELECT * FROM (VALUES
+  (0, 'label 0: ' || n0 || ' rows, recall ' || recall0 || ', precision ' || precision0),
+  (1, 'label 1: ' || n1 || ' rows, recall ' || recall1 || ', precision ' || precision1),
+  (2, 'test error ' || test_error), (3, 'share of label 1 ' || positive_rate),
+  (4, 'mean label ' || mean_label), (5, 'mean prediction ' || mean_prediction)) AS v(line_no, line)) l"""
+
+
+@query("confusion_report_lines", _REPORT_LINES_SQL)
+def q_confusion_report_lines(spark, sf):
+    return M.confusion_report_lines(q_confusion_report(spark, sf))
+
+
 def _areas_sql(score_col: str) -> str:
     scored = f"\nscored AS (SELECT tag, y, {score_col} AS score FROM test_pred)"
     return with_ctes(*_PRED_CHAIN, scored, M.CURVE_AREAS_SQL)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tagloom.config import DEFAULT_MIN_COUNT, DEFAULT_SEED, materialize, shared_dir
 from tagloom.functions.hashing import unit_hash_sql
-from tagloom.functions.vectors import round_sig, round_sig_sql
+from tagloom.functions.vectors import features_array, round_sig, round_sig_sql
 from tagloom.operators import labels as L
 from tagloom.operators import metrics as M
 from tagloom.operators import scaling
@@ -399,7 +399,7 @@ def q_artist_tables_round_trip(spark, sf):
 def q_binary_ingest(spark, sf):
     """Track files (JSON-lines stand-in for HDF5) -> binaryFile scan -> decoded rows."""
     path = shared_dir(spark, "files")
-    t = G.tracks(spark, sf).select("track_id", "tags", F.array(*FEATS).alias("features"), "letter")
+    t = G.tracks(spark, sf).select("track_id", "tags", features_array(FEATS).alias("features"), "letter")
     t.write.mode("overwrite").partitionBy("letter").json(path)
     got = B.read_track_files(spark, path, B.json_lines_decoder, "*.json", FEATS)
     return got.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(got))

@@ -136,11 +136,6 @@ artist_tags AS (
   FROM orders WHERE o_orderstatus = 'F')"""
 
 
-def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = read_table(spark, sf_dir, "customer")
-    return customer.select(F.col("c_custkey").cast("string").alias("artist_id"))
-
-
 def track_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """track_artist(artist_id, track_id)."""
     orders = read_table(spark, sf_dir, "orders")

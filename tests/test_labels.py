@@ -1,9 +1,10 @@
-"""Label modes, plan equivalence (broadcast vs shuffle) and the artist path."""
+"""Label modes, odd tag lists, examples and the artist path."""
 
 from pyspark.sql import functions as F
 
 from tagloom.operators import labels as L
 from tagloom.operators import tags as T
+from tagloom.operators.sampling import with_sample_draws
 
 
 def _tracks(spark):
@@ -39,31 +40,63 @@ def test_modes(spark):
     assert ci == [("pop", "4"), ("rock", "1"), ("rock", "2"), ("us", "2")]
 
 
-def test_shuffle_plans_match_broadcast(spark):
-    tags = spark.createDataFrame([("rock",), ("us",), ("pop",), ("ROCK",)], "tag string")
+def _carries(tags, tag, mode):
+    texts = [t for t in tags or [] if t is not None]
+    if mode == "exact":
+        return tag in texts
+    if mode == "substring":
+        return any(tag in t for t in texts)
+    return any(tag.lower() in t.lower() for t in texts)
+
+
+ODD = [
+    ("1", ["rock", "punk rock"]), ("2", ["Rock", None, "industrial"]), ("3", []), ("4", None), ("5", [None]),
+    ("6", ["pop", "pop", ""]), ("7", ["\u00e9t\u00e9 rock", "a\u0000b"]), ("8", [""]),
+]
+ODD_TAGS = ["", "rock", "ROCK", "us", "pop", "absent", "\u00e9t", "k", "b", "punk rock"]
+
+
+def test_odd_lists_in_every_mode(spark):
+    """NULL lists, NULL elements, empty tags and texts, in all modes, against plain code."""
+    tr = spark.createDataFrame([(i, t, 1.0) for i, t in ODD], "track_id string, tags array<string>, f double")
+    tags = spark.createDataFrame([(t,) for t in ODD_TAGS], "tag string")
+    for mode in L.MATCH_MODES:
+        want = sorted((tag, i) for tag in ODD_TAGS for i, t in ODD if _carries(t, tag, mode))
+        assert _pairs(L.positive_pairs(tr, tags, mode)) == want, mode
+        ex = L.labelled_examples(tr, tags, ["f"], mode=mode, buckets=16).collect()
+        assert sorted((r.tag, r.track_id) for r in ex if r.y == 1.0) == want
+        assert all(r.y in (0.0, 1.0) and r.split in ("train", "test") for r in ex)
+        assert not {(r.tag, r.track_id) for r in ex if r.y == 0.0} & set(want)
+        counts = {r.tag: r.n_positive for r in L.class_counts(tr, tags, mode).collect()}
+        assert counts == {tag: sum(1 for t, _ in want if t == tag) for tag in ODD_TAGS}
+
+
+def test_no_tags_and_no_nested_loop(spark):
     tr = _tracks(spark)
+    none = spark.createDataFrame([], "tag string")
     for mode in L.MATCH_MODES:
-        a = _pairs(L.positive_pairs(tr, tags, mode))
-        b = _pairs(L.positive_pairs(tr, tags, mode, max_broadcast_tags=0))
-        assert a == b, mode
+        assert L.positive_pairs(tr, none, mode).count() == 0
+        tags = spark.createDataFrame([("rock",), ("us",)], "tag string")
+        ex = L.labelled_examples(tr, tags, ["f"], mode=mode)
+        for df in (L.positive_pairs(tr, tags, mode), ex):
+            plan = df._jdf.queryExecution().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_examples_plans_match(spark):
+def test_examples_keep_positives_and_drawn_negatives(spark):
     tr = spark.range(400).select(
         F.col("id").cast("string").alias("track_id"),
         F.when(F.col("id") % 7 == 0, F.array(F.lit("rock"))).otherwise(F.array(F.lit("jazz"), F.lit("x"))).alias("tags"),
         (F.col("id") * 1.0).alias("f"),
     )
     tags = spark.createDataFrame([("rock",), ("jazz",)], "tag string")
-    for mode in ("exact", "substring"):
-        a = L.labelled_examples(tr, tags, ["f"], mode=mode).collect()
-        b = L.labelled_examples(tr, tags, ["f"], mode=mode, max_broadcast_tags=0, buckets=16).collect()
-        key = lambda r: (r.tag, r.track_id)
-        assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
-        pos = [r for r in a if r.y == 1.0]
-        assert sum(1 for r in pos if r.tag == "rock") == 58  # every positive kept
-        assert all(r.split in ("train", "test") for r in a)
-        assert len({key(r) for r in a}) == len(a)
+    draws = {r.track_id: r.u for r in with_sample_draws(tr).collect()}
+    for buckets in (1, 16, 4096):
+        ex = L.labelled_examples(tr, tags, ["f"], mode="exact", buckets=buckets).collect()
+        assert sum(1 for r in ex if r.tag == "rock" and r.y == 1.0) == 58  # every positive kept
+        kept = {r.track_id for r in ex if r.tag == "rock" and r.y == 0.0}
+        assert kept == {k for k, u in draws.items() if int(k) % 7 and u < 58 / 342}
+        assert len({(r.tag, r.track_id) for r in ex}) == len(ex)
 
 
 def test_artist_path(spark):

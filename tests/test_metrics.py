@@ -36,8 +36,8 @@ def test_curve_areas_match_evaluator(spark, ties):
 
 def test_buckets_do_not_change_result(spark):
     df = _data(spark, ties=True)
-    a = {r.tag: (r.auroc, r.auprc) for r in M.curve_areas(df, buckets=1).collect()}
-    b = {r.tag: (r.auroc, r.auprc) for r in M.curve_areas(df, buckets=32).collect()}
+    a = {r.tag: (r.auroc, r.auprc) for r in M.curve_areas(df).collect()}
+    b = {r.tag: (r.auroc, r.auprc) for r in M.curve_areas(df, points_per_bucket=3).collect()}
     for t in a:
         assert abs(a[t][0] - b[t][0]) < 1e-12 and abs(a[t][1] - b[t][1]) < 1e-12
 
@@ -68,9 +68,32 @@ def test_hot_tag_and_repartition(spark):
     rows = [("hot", float(rnd.random() < 0.4), rnd.gauss(0, 1)) for _ in range(3000)]
     rows += [(t, float(rnd.random() < 0.5), rnd.gauss(0, 1)) for t in ("a", "b") for _ in range(100)]
     df = spark.createDataFrame(rows, "tag string, y double, score double")
-    base = {r.tag: (r.auroc, r.auprc, r.n_pos, r.n_neg) for r in M.curve_areas(df, buckets=1).collect()}
-    for b, parts in ((16, 3), (64, 11)):
-        got = {r.tag: (r.auroc, r.auprc, r.n_pos, r.n_neg) for r in M.curve_areas(df.repartition(parts), buckets=b).collect()}
+    base = {r.tag: (r.auroc, r.auprc, r.n_pos, r.n_neg) for r in M.curve_areas(df).collect()}
+    for points, parts in ((200, 3), (10, 11)):
+        areas = M.curve_areas(df.repartition(parts), points_per_bucket=points)
+        got = {r.tag: (r.auroc, r.auprc, r.n_pos, r.n_neg) for r in areas.collect()}
         for t in base:
             assert got[t][2:] == base[t][2:]
             assert abs(got[t][0] - base[t][0]) < 1e-12 and abs(got[t][1] - base[t][1]) < 1e-12
+
+
+def test_large_counts_do_not_overflow(spark):
+    """Three billion rows of each class: the products leave the range of a long."""
+    n = 3_000_000_000
+    pts = spark.createDataFrame([("t", 2.0, n // 3, 0), ("t", 1.0, 2 * n // 3, n // 2), ("t", 0.0, 0, n // 2)],
+                                "tag string, s double, tp long, fp long")
+    r = M.areas_of_points(pts).first()
+    assert (r.n_pos, r.n_neg) == (n, n)
+    assert abs(r.auroc - (1 - 0.5 * 0.5 * 2 / 3)) < 1e-12
+
+
+def test_hot_tag_takes_many_buckets(spark):
+    """One tag with 20,000 points is cut into hundreds of ranges, the result unchanged."""
+    pts = spark.range(20_000).select(
+        F.lit("hot").alias("tag"), F.col("id").cast("double").alias("s"),
+        (F.col("id") % 3).alias("tp"), (1 + F.col("id") % 2).alias("fp"),
+    )
+    one, many = (M.areas_of_points(pts, points_per_bucket=n).first() for n in (10**9, 50))
+    assert abs(one.auroc - many.auroc) < 1e-12 and abs(one.auprc - many.auprc) < 1e-12
+    plan = M.areas_of_points(pts, points_per_bucket=50)
+    assert "_bucket" in plan._jdf.queryExecution().toString()

@@ -1,4 +1,4 @@
-"""Summary statistics, report lines; SQLite, binary-file and CSV sources."""
+"""Summary statistics, report lines; binary-file and CSV sources."""
 
 import json
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tagloom.operators import summary as SU
 from tagloom.sources import binary as B
 from tagloom.sources import sinks as K
-from tagloom.sources import sqlite as SQ
 
 
 def test_summary_quartiles_and_rounding(spark):
@@ -31,16 +30,12 @@ def test_summary_quartiles_and_rounding(spark):
 def test_report_lines(spark):
     ranked = spark.createDataFrame([("t1", "rock", 1.25, 1)], "track_id string, tag string, margin double, rank int")
     line = SU.prediction_report_lines(ranked).first().line
-    assert line == "rock" + " " * 24 + " | 1.250000"
+    assert line == "rock" + " " * 24 + " | 1.25"
 
 
-def test_sqlite_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([(f"a{i}", f"tag{i % 3}", i) for i in range(50)], "artist_id string, mbtag string, n long")
-    SQ.write_sqlite(df.repartition(3), str(tmp_path / "db"), "artist_mbtag")
-    back = SQ.read_sqlite(spark, str(tmp_path / "db"), "artist_mbtag", ["artist_id", "mbtag"], rows_per_partition=7)
-    assert back.columns == ["artist_id", "mbtag"]
-    assert back.rdd.getNumPartitions() >= 3
-    assert sorted(map(tuple, back.collect())) == sorted((f"a{i}", f"tag{i % 3}") for i in range(50))
+def test_report_prints_margins_in_full(spark):
+    ranked = spark.createDataFrame([("t1", "rock", 0.123456789012345, 1)], "track_id string, tag string, margin double, rank int")
+    assert SU.prediction_report_lines(ranked).first().line.endswith("| 0.123456789012345")
 
 
 def test_binary_files(spark, tmp_path):
