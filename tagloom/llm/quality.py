@@ -256,7 +256,12 @@ def train(known: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
         .groupBy("doc_id")
         .agg(F.max(label_col).alias("_label"))
     )
-    sample = known.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # The hash as a number in [0, 1): about 1.5 times the rows wanted lie below
+    # the cut, so that only so many are ordered, however many have labels.
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    both = known.join(marks, "doc_id").withColumn("_place", place)
+    cut = 1.5 * rows / max(1, both.count())
+    sample = both.filter(F.col("_place") < cut).orderBy("_place", "doc_id").limit(rows)
     got = sample.select("features", "_label").collect()  # TRAIN_ROWS rows of FEATURES numbers
     x = np.array([r[0] for r in got], float).reshape(len(got), len(FEATURES))
     return fit(x, np.array([r[1] for r in got], float))

@@ -36,7 +36,7 @@ REPEAT = 8
 MAIN_SHARE = 0.8
 #: Bytes of wrappers that are broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
-_SALTS = 32
+_SALTS = 1024
 
 #: Fixed values of the language: elements by what they mean for the text.
 BLOCKS = frozenset(
