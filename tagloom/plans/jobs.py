@@ -360,17 +360,29 @@ def q_partitioned_store_round_trip(spark, sf):
     return got.select("track_id", "letter", *_rounded_features(got))
 
 
-@job_query("text_glob_scan", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, array_to_string(tags, '|') AS tags, "
-           + _FEATS_SQL + " FROM tracks WHERE letter IN ('0', '1', '2', '3', '4', '5', '6', '7')")
-def q_text_glob_scan(spark, sf):
-    """Legacy text lines in letter folders, scanned by a folder glob and parsed."""
+def _text_glob(spark, sf, letters: str):
     path = shared_dir(spark, "text")
-    lines = LT.format_track_lines(G.tracks(spark, sf), FEATS)
+    lines = LT.format_track_lines(G.stored_tracks(spark, sf), FEATS)
     lines.write.mode("overwrite").partitionBy("letter").text(path)
-    parsed = LT.features_to_columns(LT.read_track_text(spark, f"{path}/letter=[0-7]"), FEATS)
+    parsed = LT.features_to_columns(LT.read_track_text(spark, f"{path}/letter=[{letters}]"), FEATS)
     return parsed.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(parsed))
 
 
+_GLOB_SQL = with_ctes(G.SQL_TRACKS) + "SELECT track_id, array_to_string(tags, '|') AS tags, " + _FEATS_SQL + " FROM tracks "
+
+
+@job_query("text_glob_scan", sql=_GLOB_SQL + "WHERE letter BETWEEN '0' AND '7'")
+def q_text_glob_scan(spark, sf):
+    """Legacy text lines in letter folders, scanned by a folder glob and parsed."""
+    return _text_glob(spark, sf, "0-7")
+
+
+@job_query("text_glob_scan_rest", sql=_GLOB_SQL + "WHERE letter NOT BETWEEN '0' AND '7'")
+def q_text_glob_scan_rest(spark, sf):
+    """The other folders of the same scan."""
+    return _text_glob(spark, sf, "89a-f")
+
+
 @job_query("partitioned_store_other_letters", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, letter, " + _FEATS_SQL
            + " FROM tracks")
 def q_partitioned_store_other_letters(spark, sf):
