@@ -137,6 +137,9 @@ class _Blocks:
         )
         self.spark, self.d = examples.sparkSession, len(feature_cols)
         packed = _pack(train, feature_cols, group_col)
+        cores = self.spark.sparkContext.defaultParallelism
+        if packed.rdd.getNumPartitions() < cores:  # every pass should use all cores
+            packed = packed.repartition(cores)
         # Without a stored copy a lost executor's blocks are packed again from the examples' own table.
         self.blocks = (materialize(packed, "blocks") if store else packed).persist(StorageLevel.MEMORY_AND_DISK)
         self.sizes = self.blocks.select(F.explode(F.arrays_zip("tags", "counts")).alias("z")).groupBy(
