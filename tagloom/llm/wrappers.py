@@ -51,15 +51,22 @@ HIDDEN = frozenset(
     "canvas audio video menu dialog search datalist".split()
 )
 CONTAINERS = frozenset("html body main article section div td table center".split())
-_ASIDE_WORDS = (
+_ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar "
-    "navigation sidebar side-bar footer header masthead cookie cookies consent notice notices gdpr popup modal overlay "
+    "navigation sidebar footer header masthead cookie cookies consent notice notices gdpr popup modal overlay "
     "newsletter subscribe signup login share sharing social comment comments respond disqus related recommended "
-    "breadcrumb breadcrumbs pagination toolbar widget alert"
-).split()
-_ASIDE = re.compile(r"(?:^|[\s_-])(?:" + "|".join(_ASIDE_WORDS) + r")(?:$|[\s_-])", re.I)
+    "breadcrumb breadcrumbs pagination toolbar widget alert".split()
+)
+#: Pieces that may stand beside them in a name; a name with any other piece (has-sidebar, entry-header) says nothing.
+_BESIDE = frozenset("site top bottom left right global area slot box bar list links buttons posts".split())
+#: Names that set nothing apart inside an article, where they hold its title.
+_HEADS = frozenset("header masthead banner".split())
+#: Names that set apart even an article, as a reader's comment is one.
+_NEVER = frozenset(
+    "comment comments respond disqus ad ads advert adverts advertisement advertising cookie cookies consent notice "
+    "notices related recommended".split()
+)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-_COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|respond|disqus|ads?|advert\w*|cookies?|consent|notices?|related)(?:$|[\s_-])", re.I)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -69,33 +76,67 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
-def _aside(name: str, attrs: str) -> bool:
-    """Whether an element is set apart from the article."""
-    if name in HIDDEN:
-        return True
+def _named(value: str) -> set[str]:
+    """The words of a class or id that set its element apart: only whole names count,
+    each piece of which is such a word or may stand beside one."""
+    out: set[str] = set()
+    for name in value.lower().replace("side-bar", "sidebar").split():
+        pieces = [x for x in re.split(r"[_-]", name) if x and not x.isdigit()]
+        words = [x for x in pieces if x in _ASIDE_WORDS]
+        if words and all(x in _ASIDE_WORDS or x in _BESIDE for x in pieces):
+            out.update(words)
+    return out
+
+
+def _aside(name: str, attrs: str, inside: bool) -> tuple[bool, bool, bool, str]:
+    """Whether an element is set apart by what it is, whether by a class or id, and
+    whether even if it holds an article; and its class in the path."""
     if not attrs or attrs.isspace():
-        return False
+        return name in HIDDEN, False, False, ""
+    hard, words, first = name in HIDDEN, set(), ""
     for key, *values in _ATTR.findall(attrs):
         key, value = key.lower(), next((v for v in values if v), "")
         if key == "hidden" and name not in ("article", "main", "body", "html"):
-            return True
-        if key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "role" and value.lower() in _ROLES:
-            return True
-        if key in ("class", "id") and name not in ("body", "html", "main"):
-            if (_COMMENT if name == "article" else _ASIDE).search(value):
-                return True
-    return False
-
-
-def blocks(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
-    """(path of containers, block element, aside, in an article, text) for each
-    block of text of ``page``, and ('', tag, ...) entries with empty text where a
-    block element opens ('<name') or closes ('</name')."""
-    stack: list[tuple[str, bool, bool]] = []  # name, aside, article
+            hard = True
+        elif key == "aria-hidden" and value.lower() == "true":
+            hard = True
+        elif key == "role" and value.lower() in _ROLES:
+            hard = True
+        elif key in ("class", "id"):
+            if key == "class" and value.strip():
+                first = re.sub(r"[\d/!]+", "#", value.split()[0])
+            if name not in ("body", "html", "main"):
+                words |= _named(value)
+    if name == "article":
+        words &= _NEVER
+    elif inside:
+        words -= _HEADS
+    return hard, bool(words), bool(words & _NEVER), first
+
+
+def blocks(page: str) -> list[tuple[str, str, bool, str]]:
+    """(path of containers, block element, aside, text) for each block of text of
+    ``page``, and ('', tag, ...) entries with empty text where a block element opens
+    ('<name') or closes ('</name'). Elements that a class or id sets apart are in the
+    path with a '!', unless they hold the only articles of the page, with more text
+    than is outside."""
+    out, plain, within = _parsed(page, frozenset())
+    if plain or not within:
+        return out
+    other = _parsed(page, frozenset(within))[0]
+    whole, more = (sum(len(x[3]) for x in y if not x[2] and "!" not in x[0]) for y in (out, other))
+    return other if more > 2 * whole else out
+
+
+def _parsed(page: str, cleared: frozenset[int]) -> tuple[list[tuple[str, str, bool, str]], bool, set[int]]:
+    """The blocks; whether an article is not set apart; and the places of the
+    elements that classes set apart and that hold an article. Those in ``cleared``
+    are not set apart."""
+    out: list[tuple[str, str, bool, str]] = []
+    stack: list[tuple[str, bool, bool, str, tuple[int, ...] | None]] = []  # name, aside, article, piece of path, soft
     text: list[str] = []
     at = 0
+    plain, within = False, set()
 
     def flush():
         if text:
@@ -105,21 +146,18 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
                 joined = references.unescape(joined)
             clean = " ".join(joined.split())
             if clean:
-                path = "/".join(n for n, _, _ in stack if n in CONTAINERS)
-                name = stack[-1][0] if stack else ""
-                off, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                return [(path, name, off, inside, clean)]
-        return []
+                path = "/".join(x[3] for x in stack if x[3])
+                out.append((path, stack[-1][0], stack[-1][1], clean) if stack else (path, "", False, clean))
 
     while True:
         m = _TOKEN.search(page, at)
         if m is None:
             text.append(page[at:])
-            yield from flush()
-            return
+            flush()
+            return out, plain, within
         if m.start() > at:
             text.append(page[at : m.start()])
-        at = m.end()
+        begin, at = m.start(), m.end()
         name = m["name"]
         if name is None:
             if m["cdata"]:
@@ -127,9 +165,9 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
             continue
         name = name.lower()
         if m["close"]:
-            if name in BLOCKS or any(n == name for n, _, _ in stack):
-                yield from flush()
-                yield "", f"</{name}", False, False, ""
+            if name in BLOCKS or any(x[0] == name for x in stack):
+                flush()
+                out.append(("", f"</{name}", False, ""))
                 # A closing tag without its opening one closes nothing.
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
@@ -137,7 +175,6 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
                         break
             continue
         attrs = m["attrs"]
-        off, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -146,28 +183,37 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
             text.append(" ")
             continue
         if name in BLOCKS:
-            yield from flush()
+            flush()
             # A paragraph ends where a block begins, a list item where the next does.
             while stack and (stack[-1][0] == "p" or stack[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option")):
                 stack.pop()
-            off, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        off, inside, held = (stack[-1][1], stack[-1][2], stack[-1][4]) if stack else (False, False, ())
         if name in VOID or attrs.endswith("/") and name not in BLOCKS:
             continue
-        apart = _aside(name, attrs) or name == "header" and not inside
+        hard, soft, never, first = _aside(name, attrs, inside)
+        hard = hard or name == "header" and not inside
+        soft = soft and begin not in cleared
+        # None: set apart by a class that holds for an article too.
+        holds = None if soft and never or held is None else (*held, begin) if soft else held
         if name in BLOCKS:
-            yield "", f"<{name}", off or apart, inside, ""
-            stack.append((name, off or apart, inside or name in ("article", "main") and not apart and not off))
-        elif apart and not off:
+            out.append(("", f"<{name}", off or hard, ""))
+            article = name in ("article", "main") and not hard and not off
+            if article:
+                plain = plain or holds == ()
+                within.update(holds or ())
+            piece = name + ("." + first if first else "") if name in CONTAINERS or soft else ""
+            stack.append((name, off or hard, inside or article and holds == (), piece + "!" if soft else piece, holds))
+        elif (hard or soft) and not off:
             # An inline element that is set apart: its text is a block of its own.
-            yield from flush()
-            stack.append((name, True, inside))
+            flush()
+            stack.append((name, hard, inside, name + "!" if soft else "", holds))
 
 
 def skeleton(page: str) -> list[list]:
     """The stream of ``page``: [tag] and [path, hash, length] for a text that is
-    not set apart."""
+    not set apart by its element."""
     out: list[list] = []
-    for path, name, off, _, text in blocks(page):
+    for path, name, off, text in blocks(page):
         if not text:
             out.append([name])
         elif not off:
@@ -175,6 +221,18 @@ def skeleton(page: str) -> list[list]:
     return out
 
 
+def _marked(path: str) -> bool:
+    """Whether a text of ``path`` is in an article or main element."""
+    return "!" not in path and any(x.split(".")[0] in ("article", "main") for x in path.split("/"))
+
+
+def _under(path: str, main: str) -> bool:
+    """Whether ``path`` is in the container ``main`` and not set apart inside it."""
+    if main and path != main and not path.startswith(main + "/"):
+        return False
+    return "!" not in path[len(main) :]
+
+
 def _form(item) -> str:
     """What an item must have in common with another to be aligned with it."""
     kind = item[0]
@@ -271,17 +329,22 @@ def infer(skeletons: list[list[list]]) -> dict:
 def main_text(page: str, wrapper: dict | None) -> str:
     """The text of the article: blocks inside article or main elements; without
     these, blocks in the wrapper's main container that the host does not show on
-    every page; what is set apart never counts."""
-    found = [x for x in blocks(page) if x[4] and not x[2]]
-    inside = [x[4] for x in found if x[3]]
+    every page. What a class sets apart counts only where the main container lies
+    there, or where the page has no other text and no article."""
+    all_blocks = blocks(page)
+    found = [(x[0], x[3]) for x in all_blocks if x[3] and not x[2]]
+    inside = [x[1] for x in found if _marked(x[0])]
     if inside:
         return "\n".join(inside)
+    plain = [x for x in found if "!" not in x[0]]
     if wrapper:
         main, shown = wrapper["main"], set(wrapper["shown"])
-        own = [x for x in found if crc32(x[4].encode()) not in shown]
-        there = [x for x in own if x[0] == main or x[0].startswith(main + "/") or not main]
-        found = there or own or found
-    return "\n".join(x[4] for x in found)
+        there = [x for x in found if crc32(x[1].encode()) not in shown and _under(x[0], main)]
+        own = [x for x in plain if crc32(x[1].encode()) not in shown]
+        plain = there or own or plain
+    if not plain and not any(x[1] in ("<article", "<main") for x in all_blocks):
+        plain = found
+    return "\n".join(x[1] for x in plain)
 
 
 def learn(pages: DataFrame) -> DataFrame:

@@ -88,3 +88,22 @@ def test_odd_rows(spark):
 def test_wrappers_by_join(spark, sf, monkeypatch):
     monkeypatch.setattr(wrappers, "BROADCAST_BYTES", -1)
     test_pages(spark, sf)
+
+
+def test_layout_classes_keep_the_article():
+    for before, after in [
+        ("<div class='content has-sidebar'><article>", "</article></div>"),
+        ("<div class='no-sidebar layout header-fixed'><p>", "</p></div>"),
+        ("<div class=sidebar><article>", "</article></div>"),
+        ("<div class=widget><p>", "</p></div>"),
+        ("<article class='post related'><p>r</p></article><article><header class=entry-header>", "</header></article>"),
+        ("<article><div class=header><h1>", "</h1></div><div class='site-footer'>no</div></article>"),
+    ]:
+        assert wrappers.main_text(f"<body>{before}the text{after}<footer>F</footer></body>", None) == "the text", before
+    page = "<div class='sidebar'><article>card</article></div><div><p>the whole of the text</p></div>"
+    assert wrappers.main_text(page, None) == "the whole of the text"
+    assert wrappers.main_text("<section id=comments><article>reader</article></section><p>a</p>", None) == "a"
+    # The wrapper overrules a class where the host's changing text is.
+    pages = [f"<body><div class=widget><p>{w * 30}</p></div><p>Imprint</p></body>" for w in ("a ", "b ", "c ", "d ")]
+    told = wrappers.infer([wrappers.skeleton(p) for p in pages])
+    assert wrappers.main_text(pages[0], told) == ("a " * 30).strip()
