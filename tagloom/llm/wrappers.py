@@ -1,16 +1,21 @@
 """HTML extraction with wrappers: union-free expressions inferred for each host.
 
-A page becomes a stream of tags and texts. Streams of pages of one host are
-aligned one after the other with the wrapper so far: equal tags and texts stay,
-different texts become slots, stretches that one side lacks become optional
-groups, and stretches that repeat at once become repeated groups. What a wrapper
-says of a host is the container that holds the changing text, and the texts that
-every page shows. Both decide for pages that don't mark their article.
+A page becomes a stream of tags and texts. Streams of a host's pages are aligned
+with the wrapper so far: equal tags and texts stay, different texts become slots,
+stretches that one side lacks become optional groups, and stretches that repeat
+at once become repeated groups. All distinct pages of a host take part: pages are
+aligned to partial wrappers of about ``FAN`` pages, these to partial wrappers of
+``FAN`` of them, and so on, so a host with a third of all pages spreads over many
+tasks at each step.
+
+What a wrapper says of a host is the container that holds the text of its slots,
+the containers that the changing text of single pages votes for (a host may have
+several templates), and the texts that most pages show, by counts over all pages.
+These choose the text of every page of the host; article and main elements are
+evidence for and after that choice, and the only rule for hosts without a wrapper.
 
 Streams leave the first pass as skeletons: tags, and a hash and a length for each
-text. Each host's wrapper is inferred from at most ``SAMPLE`` of its pages, those
-with the least hash of url and page, so a host with a third of all pages costs
-no more than another; every page is extracted whole.
+text.
 """
 
 from __future__ import annotations
@@ -18,9 +23,11 @@ from __future__ import annotations
 import html as references
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from zlib import crc32
+from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,15 +35,18 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.store import removed, stored, text_or_empty
 
-#: Pages that a host's wrapper is inferred from.
-SAMPLE = 4
+#: Wrappers that one step aligns, on average; the steps are as many as the largest host needs.
+FAN = 32
 #: Tokens of a repeated group at most.
 REPEAT = 8
 #: Share of the changing text that the main container holds.
 MAIN_SHARE = 0.8
+#: Share of a page's own text that a container of the host must hold to be the page's; of one in an article.
+PAGE_SHARE, MARKED_SHARE = 0.5, 0.25
+#: Pages at least, besides most of those with its container, that show a constant text; one in an article.
+SHOWN, SHOWN_MARKED = 3, 8
 #: Bytes of wrappers that are broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
-_SALTS = 1024
 
 #: Fixed values of the language: elements by what they mean for the text.
 BLOCKS = frozenset(
@@ -217,10 +227,15 @@ def skeleton(page: str) -> list[list]:
         if not text:
             out.append([name])
         elif not off:
-            out.append([path, crc32(text.encode()), len(text)])
+            out.append([path, _hash(text), len(text)])
     return out
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+@lru_cache(10_000)
 def _marked(path: str) -> bool:
     """Whether a text of ``path`` is in an article or main element."""
     return "!" not in path and any(x.split(".")[0] in ("article", "main") for x in path.split("/"))
@@ -278,114 +293,252 @@ def _merge(a: list, b: list) -> list:
     return out
 
 
-def _optional(items: list) -> list:
-    return [("opt", items)] if items else []
+def _flat(items: list) -> tuple[list, list]:
+    """``items`` without optional groups, and the number of the group of each (0: none)."""
+    out, groups = [], []
+    for k, item in enumerate(items, 1):
+        inner = item[1] if item[0] == "opt" else [item]
+        out += inner
+        groups += [k if item[0] == "opt" else 0] * len(inner)
+    return out, groups
 
 
 def align(a: list, b: list) -> list:
-    """The wrapper of two wrappers: mismatches become slots or optional groups."""
+    """The wrapper of two wrappers: mismatches become slots or optional groups. What
+    is optional on either side stays so, and is aligned like the rest."""
+    (a, ga), (b, gb) = _flat(a), _flat(b)
     left, right = [_form(x) for x in a], [_form(x) for x in b]
     out: list = []
-    for op, i, j, k, m in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
+    last = None
+
+    def add(items, keys):
+        nonlocal last
+        for item, key in zip(items, keys, strict=True):
+            if key is None:
+                out.append(item)
+            elif key == last:
+                out[-1][1].append(item)
+            else:
+                out.append(("opt", [item]))
+            last = key
+
+    for n, (op, i, j, k, m) in enumerate(SequenceMatcher(None, left, right, autojunk=False).get_opcodes()):
         if op == "equal":
-            out += _merge(a[i:j], b[k:m])
+            add(_merge(a[i:j], b[k:m]), [(x, y) if x or y else None for x, y in zip(ga[i:j], gb[k:m], strict=True)])
         else:
-            out += _optional(a[i:j]) + _optional(b[k:m])
+            add(a[i:j], [("a", n, x) for x in ga[i:j]])
+            add(b[k:m], [("b", n, x) for x in gb[k:m]])
     return out
 
 
-def infer(skeletons: list[list[list]]) -> dict:
-    """What the wrapper of a host's sample says: ``main``, the container that holds
-    the changing text, and ``shown``, hashes of texts that every page shows."""
+def _items(stream: list[list]) -> list:
+    return _fold([("tag", x[0]) if len(x) == 1 else ("text", x[0], x[1], x[2]) for x in stream])
 
-    def items(stream):
-        return _fold([("tag", x[0]) if len(x) == 1 else ("text", x[0], x[1], x[2]) for x in stream])
 
-    wrapper: list | None = None
-    for stream in skeletons:
-        wrapper = items(stream) if wrapper is None else align(wrapper, items(stream))
+def _deepest(sizes: dict[str, int]) -> str | None:
+    """The deepest container that holds ``MAIN_SHARE`` of the text of ``sizes`` by path."""
+    whole = sum(sizes.values())
+    if not whole:
+        return None
+    main, depth = "", 0
+    at = [(p.split("/") if p else [], n) for p, n in sizes.items()]
+    while True:
+        below: dict[str, int] = {}
+        for parts, n in at:
+            if len(parts) > depth:
+                below[parts[depth]] = below.get(parts[depth], 0) + n
+        piece = max(below, key=below.get, default=None)
+        if piece is None or below[piece] < MAIN_SHARE * whole:
+            return main
+        at = [(parts, n) for parts, n in at if len(parts) > depth and parts[depth] == piece]
+        main = f"{main}/{piece}" if depth else piece
+        depth += 1
+
+
+def vote(texts: list[tuple], shown) -> str | None:
+    """The container of most of the text of a page (path, hash, length) that is its own."""
     sizes: dict[str, int] = {}
-    shown: list[int] = []
+    for path, key, n in texts:
+        if key not in shown:
+            sizes[path] = sizes.get(path, 0) + n
+    return _deepest(sizes)
+
+
+def partial(stream: list[list], shown) -> dict:
+    """The wrapper of one page: ``items``, ``votes`` and ``pages``."""
+    own = vote([x for x in stream if len(x) > 1], shown)
+    return {"items": _items(stream), "votes": {} if own is None else {own: 1}, "pages": 1}
+
 
-    def walk(group, certain):
+def joined(a: dict | None, b: dict) -> dict:
+    """The wrapper of the pages of two wrappers."""
+    if a is None:
+        return b
+    votes = Counter(a["votes"])
+    votes.update(b["votes"])
+    return {"items": align(a["items"], b["items"]), "votes": dict(votes), "pages": a["pages"] + b["pages"]}
+
+
+def told(wrapper: dict, shown) -> dict:
+    """What a host's wrapper says: ``main``, the container that holds the text of its
+    slots; ``mains``, the containers of its pages, the likeliest first; ``shown``,
+    hashes of the texts that most pages show."""
+    sizes: dict[str, int] = {}
+
+    def walk(group):
         for item in group:
             if item[0] == "text":
-                if item[2] is not None and certain and len(skeletons) > 1:
-                    shown.append(item[2])
-                else:
-                    parts = item[1].split("/") if item[1] else []
-                    for n in range(len(parts) + 1):
-                        path = "/".join(parts[:n])
-                        sizes[path] = sizes.get(path, 0) + item[3]
+                if item[2] is None or item[2] not in shown:
+                    sizes[item[1]] = sizes.get(item[1], 0) + item[3]
             elif item[0] != "tag":
-                walk(item[1], certain and item[0] == "plus")
+                walk(item[1])
+
+    walk(wrapper["items"])
+    main = _deepest(sizes) or ""
+    votes = sorted(wrapper["votes"], key=lambda p: (-wrapper["votes"][p], p))
+    # A container of several templates' articles is not one template's.
+    first = [main] if any(p == main or main.startswith(p + "/") or not p for p in votes[:1]) else []
+    mains = [p for k, p in enumerate(dict.fromkeys(first + votes)) if not k or "!" not in p]
+    return {"main": main, "mains": mains, "shown": sorted(shown)}
+
+
+def constant(path: str, pages: int, there: int) -> bool:
+    """Whether a text that ``pages`` of the ``there`` pages with its container show is constant."""
+    return 2 * pages > there and pages >= (SHOWN_MARKED if _marked(path) else SHOWN)
 
-    walk(wrapper or [], True)
-    whole = sizes.get("", 0)
-    large = [p for p, n in sizes.items() if n >= MAIN_SHARE * whole]
-    return {"main": max(large, key=len, default=""), "shown": sorted(set(shown))}
+
+def infer(skeletons: list[list[list]]) -> dict:
+    """``told`` of the wrapper of a few pages."""
+    texts = [{(x[0], x[1]) for x in s if len(x) > 1} for s in skeletons]
+    by_text = Counter(x for t in texts for x in t)
+    by_path = Counter(p for t in texts for p in {p for p, _ in t})
+    shown = {key for (path, key), n in by_text.items() if constant(path, n, by_path[path])}
+    wrapper: dict | None = None
+    for stream in skeletons:
+        wrapper = joined(wrapper, partial(stream, shown))
+    return told(wrapper or {"items": [], "votes": {}}, shown)
 
 
 def main_text(page: str, wrapper: dict | None) -> str:
-    """The text of the article: blocks inside article or main elements; without
-    these, blocks in the wrapper's main container that the host does not show on
-    every page. What a class sets apart counts only where the main container lies
-    there, or where the page has no other text and no article."""
+    """The text of the article. With a wrapper: in the first of the host's main
+    containers that holds enough of the page's own text, the blocks that the host
+    does not show on most pages, or those in article or main elements if they are
+    most of these. Without: blocks inside article or main elements, or all. What a
+    class sets apart counts only where the main container lies there, or where the
+    page has no other text and no article."""
     all_blocks = blocks(page)
     found = [(x[0], x[3]) for x in all_blocks if x[3] and not x[2]]
-    inside = [x[1] for x in found if _marked(x[0])]
+    plain = [x for x in found if "!" not in x[0]]
+
+    def size(some):
+        return sum(len(x[1]) for x in some)
+
+    inside = [x[1] for x in plain if _marked(x[0])]
     if inside:
         return "\n".join(inside)
-    plain = [x for x in found if "!" not in x[0]]
     if wrapper:
-        main, shown = wrapper["main"], set(wrapper["shown"])
-        there = [x for x in found if crc32(x[1].encode()) not in shown and _under(x[0], main)]
-        own = [x for x in plain if crc32(x[1].encode()) not in shown]
-        plain = there or own or plain
+        shown = wrapper["shown"] if isinstance(wrapper["shown"], frozenset) else frozenset(wrapper["shown"])
+        own = [x for x in found if _hash(x[1]) not in shown] if shown else found
+        seen = [x for x in own if "!" not in x[0]]
+        chosen: list = []
+        for main in wrapper["mains"]:
+            there = [x for x in own if _under(x[0], main)]
+            whole = size(seen) + (size(there) if "!" in main else 0)
+            if there and size(there) >= (MARKED_SHARE if _marked(main) else PAGE_SHARE) * whole:
+                chosen = there
+                break
+        chosen = chosen or seen
+        inside = [x for x in chosen if _marked(x[0])]
+        plain = (inside if inside and 2 * size(inside) >= size(chosen) else chosen) or plain
+    else:
+        plain = [x for x in plain if _marked(x[0])] or plain
     if not plain and not any(x[1] in ("<article", "<main") for x in all_blocks):
         plain = found
     return "\n".join(x[1] for x in plain)
 
 
+_TEXTS = pa.list_(pa.struct([("path", pa.string()), ("text", pa.int64())]))
+
+
 def learn(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from ``pages`` (host, url, html); hosts with one page, and
-    pages without a host, get none."""
+    """(host, wrapper) from ``pages`` (host, url, html); hosts with one distinct page,
+    and pages without a host, get none."""
 
     def skeletons(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            told = [json.dumps(skeleton(p), separators=(",", ":")) for p in batch.column(1).to_pylist()]
+            made, texts = [], []
+            for page in batch.column(1).to_pylist():
+                stream = skeleton(page)
+                made.append(json.dumps(stream, separators=(",", ":")))
+                # Each distinct text with its container, and each container.
+                pairs = {(x[0], x[1]) for x in stream if len(x) > 1}
+                pairs |= {(p, None) for p, _ in pairs}
+                texts.append([{"path": p, "text": t} for p, t in pairs])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(told, pa.string())], ["host", "key", "skeleton"]
+                [batch.column(0), batch.column(2), pa.array(made, pa.string()), pa.array(texts, _TEXTS)],
+                ["host", "key", "skeleton", "texts"],
             )
 
-    def wrappers(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, held = None, []
+    def partials(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            made = []
+            for text, shown in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+                shown = frozenset(shown.as_py() or ())
+                made.append(json.dumps(partial(json.loads(text), shown), separators=(",", ":")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.string())], ["host", "key", "wrapper"])
+
+    def aligned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, key, wrapper = None, None, None
 
         def done():
-            hosts = [host] if len(held) > 1 else []
-            told = [json.dumps(infer(held), separators=(",", ":"))] if hosts else []
-            return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(told, pa.string())], ["host", "wrapper"])
+            cols = [pa.array([group[0]], pa.string()), pa.array([key], pa.int64()), pa.array([json.dumps(wrapper, separators=(",", ":"))])]
+            return pa.RecordBatch.from_arrays(cols, ["host", "key", "wrapper"])
 
         for batch in rows:
-            for h, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if h != host:
-                    if host is not None:
+            for h, salt, k, w in zip(*(batch.column(n).to_pylist() for n in range(4)), strict=True):
+                if (h, salt) != group:
+                    if group is not None:
                         yield done()
-                    host, held = h, []
-                held.append(json.loads(s))
-        if host is not None:
+                    group, key, wrapper = (h, salt), k, None
+                wrapper = joined(wrapper, json.loads(w))
+        if group is not None:
             yield done()
 
-    key = F.xxhash64("url", "html")
-    given = pages.filter("host <> ''").select("host", "html", key.alias("key"))
-    made = given.mapInArrow(skeletons, "host string, key long, skeleton string")
-    # A host's first pages by key: some of each share of its pages, then of those.
-    made = made.withColumn("salt", F.pmod("key", F.lit(_SALTS)))
-    for by in (("host", "salt"), ("host",)):
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy("key"))
-        made = made.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE).drop("rank")
-    dealt = made.select("host", "skeleton", "key").repartition("host").sortWithinPartitions("host", "key")
-    return dealt.select("host", "skeleton").mapInArrow(wrappers, "host string, wrapper string")
+    def ended(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            hosts, out = [], []
+            for h, w, shown in zip(*(batch.column(n).to_pylist() for n in range(3)), strict=True):
+                wrapper = json.loads(w)
+                if wrapper["pages"] > 1:
+                    hosts.append(h)
+                    out.append(json.dumps(told(wrapper, set(shown or ())), separators=(",", ":")))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(out, pa.string())], ["host", "wrapper"])
+
+    given = pages.filter("host <> ''").select("host", "html", F.xxhash64("html").alias("key"))
+    made = given.mapInArrow(skeletons, "host string, key long, skeleton string, texts array<struct<path:string,text:long>>")
+    made = stored(made.dropDuplicates(["host", "key"]), "skeletons")
+    largest = made.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    counts = made.select("host", F.explode("texts").alias("x")).groupBy("host", "x.path", "x.text").count().filter(F.col("count") >= SHOWN)
+    there = counts.filter("text IS NULL").select("host", "path", F.col("count").alias("there"))
+    marked = ~F.col("path").contains("!") & F.col("path").rlike(r"(^|/)(article|main)([./]|$)")
+    enough = F.when(marked, SHOWN_MARKED).otherwise(SHOWN)
+    shown = counts.filter("text IS NOT NULL").join(there, ["host", "path"]).filter(2 * F.col("count") > F.col("there"))
+    shown = shown.filter(F.col("count") >= enough).groupBy("host").agg(F.collect_set("text").alias("shown"))
+    shown = stored(shown, "shown")
+    dealt = made.join(shown, "host", "left").select("host", "key", "skeleton", "shown")
+    step = dealt.mapInArrow(partials, "host string, key long, wrapper string")
+    salts = 1
+    while salts * FAN < largest:
+        salts *= FAN
+    while salts:
+        salted = step.select("host", F.pmod("key", F.lit(salts)).alias("salt"), "key", "wrapper")
+        salted = salted.repartition("host", "salt").sortWithinPartitions("host", "salt", "key")
+        step = salted.mapInArrow(aligned, "host string, key long, wrapper string")
+        salts //= FAN
+    wrappers = step.join(shown, "host", "left").select("host", "wrapper", "shown").mapInArrow(ended, "host string, wrapper string")
+    out = stored(wrappers, "wrappers")
+    removed(made, shown)
+    return out
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -400,7 +553,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         text_or_empty(html_col).alias("html"),
         F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit(""))).alias("host"),
     )
-    wrappers = stored(learn(rows), "wrappers")
+    wrappers = learn(rows)
     size = wrappers.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0
     if size <= BROADCAST_BYTES:
         known = {r.host: r.wrapper for r in wrappers.collect()}  # its size is checked
@@ -420,6 +573,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     if len(parsed) > 10_000:
                         parsed.clear()
                     parsed[told] = json.loads(told)
+                    parsed[told]["shown"] = frozenset(parsed[told]["shown"])
                 texts.append(main_text(page, parsed.get(told) if told else None))
             counts = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -1,4 +1,5 @@
 import html
+import json
 import re
 
 from tagloom.llm import wrappers
@@ -107,3 +108,27 @@ def test_layout_classes_keep_the_article():
     pages = [f"<body><div class=widget><p>{w * 30}</p></div><p>Imprint</p></body>" for w in ("a ", "b ", "c ", "d ")]
     told = wrappers.infer([wrappers.skeleton(p) for p in pages])
     assert wrappers.main_text(pages[0], told) == ("a " * 30).strip()
+
+
+def test_all_pages_of_a_host(spark):
+    """Two templates, a notice on most pages, a paragraph that four pages share."""
+    words = lambda k, w: f"{w}{k} " * 25
+    rows, want = [], {}
+    for k in range(80):
+        notice = "<p>We moved to a new office</p>" if k % 10 else ""
+        same = "<p>The same words by chance</p>" if k in (3, 5, 7, 9) else ""
+        if k % 8:
+            body = f"<div class=top>{notice}</div><section class=text><p>{words(k, 'a')}</p>{same}</section>"
+        else:
+            body = f"<div class=top>{notice}</div><section class=text><p>note{k}</p></section><table><tr><td>{words(k, 'b')}</td></tr></table>"
+        rows.append((k, f"http://h.org/{k}", f"<html><body>{body}</body></html>"))
+        want[k] = words(k, "a" if k % 8 else "b").strip() + ("\nThe same words by chance" if same and k % 8 else "")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    assert all("office" not in t for t in got.values())
+    for k, t in want.items():
+        assert t in got[k], k
+        if k % 8:
+            assert got[k] == t
+    told = {r.host: json.loads(r.wrapper) for r in wrappers.learn(pages.selectExpr("'h.org' AS host", "url", "html")).collect()}
+    assert len(told["h.org"]["shown"]) == 1
