@@ -433,9 +433,6 @@ def main_text(page: str, wrapper: dict | None) -> str:
     def size(some):
         return sum(len(x[1]) for x in some)
 
-    inside = [x[1] for x in plain if _marked(x[0])]
-    if inside:
-        return "\n".join(inside)
     if wrapper:
         shown = wrapper["shown"] if isinstance(wrapper["shown"], frozenset) else frozenset(wrapper["shown"])
         own = [x for x in found if _hash(x[1]) not in shown] if shown else found

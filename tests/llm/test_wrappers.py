@@ -132,3 +132,20 @@ def test_all_pages_of_a_host(spark):
             assert got[k] == t
     told = {r.host: json.loads(r.wrapper) for r in wrappers.learn(pages.selectExpr("'h.org' AS host", "url", "html")).collect()}
     assert len(told["h.org"]["shown"]) == 1
+
+
+def test_wrapper_decides_on_marked_pages():
+    def teasers(k):
+        return "".join(f"<article class=card><h2>card {k} {n}</h2></article>" for n in range(3))
+
+    words = [f"w{k} " * 60 for k in range(12)]
+    # The main text is in a plain div, beside articles that are teasers.
+    pages = [f"<body><div class=story><p>{w}</p></div><div class=more>{teasers(k)}</div></body>" for k, w in enumerate(words)]
+    told = wrappers.infer([wrappers.skeleton(p) for p in pages])
+    assert [wrappers.main_text(p, told) for p in pages] == [w.strip() for w in words]
+    # A text inside every article of the host is not the page's own.
+    pages = [f"<body><div><article><p>{w}</p><p>Read more here</p></article></div><p>x{k}</p></body>" for k, w in enumerate(words)]
+    told = wrappers.infer([wrappers.skeleton(p) for p in pages])
+    assert [wrappers.main_text(p, told) for p in pages] == [w.strip() for w in words]
+    # Without a wrapper the tag decides.
+    assert wrappers.main_text(pages[0], None) == words[0].strip() + "\nRead more here"
