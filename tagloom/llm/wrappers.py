@@ -23,6 +23,7 @@ from __future__ import annotations
 import html as references
 import json
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -37,8 +38,6 @@ from tagloom.llm.store import removed, stored, text_or_empty
 
 #: Wrappers that one step aligns, on average; the steps are as many as the largest host needs.
 FAN = 32
-#: Tokens of a repeated group at most.
-REPEAT = 8
 #: Share of the changing text that the main container holds.
 MAIN_SHARE = 0.8
 #: Share of a page's own text that a container of the host must hold to be the page's; of one in an article.
@@ -258,25 +257,102 @@ def _form(item) -> str:
     return f"{kind}({' '.join(_form(x) for x in item[1])})"
 
 
+class _Siblings:
+    """Subtrees and texts that lie side by side, with stretches that repeat at once
+    made repeated groups, of any length: subtrees of equal form have equal numbers."""
+
+    def __init__(self, forms: dict):
+        self.forms, self.units = forms, []  # unit: its number, its items, whether it has text
+        self.at: dict[int, list[int]] = {}  # places of units by number
+        self.texts: list[int] = []  # places of units with text
+        self.plus: list[tuple[int, list[int]]] = []  # place of each group, and its units' numbers
+
+    def _cut(self, n: int) -> None:
+        for unit in self.units[n:]:
+            self.at[unit[0]].pop()
+        del self.units[n:]
+        while self.texts and self.texts[-1] >= n:
+            self.texts.pop()
+        while self.plus and self.plus[-1][0] >= n:
+            self.plus.pop()
+
+    def _put(self, unit: tuple[int, list, bool]) -> None:
+        self.at.setdefault(unit[0], []).append(len(self.units))
+        if unit[2]:
+            self.texts.append(len(self.units))
+        self.units.append(unit)
+
+    def _group(self, at: int, items: list, inner: list[int]) -> None:
+        number = self.forms.setdefault(("plus", *inner), len(self.forms))
+        self._cut(at)
+        self._put((number, [("plus", items)], True))
+        self.plus.append((at, inner))
+
+    def add(self, unit: tuple[int, list, bool]) -> None:
+        self._put(unit)
+        n = len(self.units)
+        for at, inner in reversed(self.plus):
+            tail = self.units[at + 1 :] if n - at - 1 == len(inner) else []
+            if tail and [x[0] for x in tail] == inner:
+                self._group(at, _merge(self.units[at][1][0][1], _items_of(tail)), inner)
+                return
+        # A group has text: it begins at the last unit with text or before.
+        last = self.texts[-1] if self.texts else -1
+        if 2 * (n - last) > n:
+            return
+        places = self.at[unit[0]]
+        for k in range(min(bisect_left(places, last), len(places) - 1) - 1, -1, -1):
+            size = n - 1 - places[k]
+            if 2 * size > n:
+                break
+            if all(self.units[n - j][0] == self.units[n - size - j][0] for j in range(1, size + 1)):
+                tail, before = self.units[n - size :], self.units[n - 2 * size : n - size]
+                self._group(n - 2 * size, _merge(_items_of(before), _items_of(tail)), [x[0] for x in tail])
+                return
+
+
+def _items_of(units: list) -> list:
+    return [item for unit in units for item in unit[1]]
+
+
 def _fold(items: list) -> list:
-    """``items`` with stretches that repeat at once made repeated groups."""
-    out: list = []
+    """``items`` with stretches that repeat at once made repeated groups, the inner
+    ones first. An opening tag that nothing closes is a sibling of what follows."""
+    forms: dict = {}
+    stack: list[tuple[tuple | None, _Siblings]] = [(None, _Siblings(forms))]
+    opened: Counter = Counter()
+
+    def unit(item):
+        return forms.setdefault(_form(item), len(forms)), [item], item[0] == "text"
+
+    def leave(n):
+        """Hand what is open above place ``n`` of the stack to its siblings."""
+        for item, above in stack[n + 1 :]:
+            opened[item[1]] -= 1
+            stack[n][1].add(unit(item))
+            for x in above.units:
+                stack[n][1].add(x)
+        del stack[n + 1 :]
+
     for item in items:
-        out.append(item)
-        for size in range(1, REPEAT + 1):
-            if len(out) < size + 1:
-                break
-            tail, form = out[-size:], [_form(x) for x in out[-size:]]
-            if not any(x[0] == "text" for x in tail):
+        if item[0] == "tag" and item[1].startswith("</"):
+            name = "<" + item[1][2:]
+            if not opened[name]:
+                stack[-1][1].add(unit(item))
                 continue
-            if out[-size - 1][0] == "plus" and [_form(x) for x in out[-size - 1][1]] == form:
-                out[-size - 1] = ("plus", _merge(out[-size - 1][1], tail))
-                del out[-size:]
-                break
-            if len(out) >= 2 * size and [_form(x) for x in out[-2 * size : -size]] == form:
-                out[-2 * size :] = [("plus", _merge(out[-2 * size : -size], tail))]
-                break
-    return out
+            leave(max(k for k in range(1, len(stack)) if stack[k][0][1] == name))
+            opened[name] -= 1
+            first, inner = stack.pop()
+            parts = [unit(first), *inner.units, unit(item)]
+            number = forms.setdefault(("tree", *(x[0] for x in parts)), len(forms))
+            stack[-1][1].add((number, _items_of(parts), any(x[2] for x in parts)))
+        elif item[0] == "tag":
+            opened[item[1]] += 1
+            stack.append((item, _Siblings(forms)))
+        else:
+            stack[-1][1].add(unit(item))
+    leave(0)
+    return _items_of(stack[0][1].units)
 
 
 def _merge(a: list, b: list) -> list:

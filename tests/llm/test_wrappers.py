@@ -149,3 +149,17 @@ def test_wrapper_decides_on_marked_pages():
     assert [wrappers.main_text(p, told) for p in pages] == [w.strip() for w in words]
     # Without a wrapper the tag decides.
     assert wrappers.main_text(pages[0], None) == words[0].strip() + "\nRead more here"
+
+
+def test_long_groups_fold():
+    card = "<div <h2 {0} </h2 <p {0}x </p <ul <li {0}y </li <li {0}z </li </ul <div q{0} </div <p more </p </div"
+    tags = lambda s: [("tag", t) if t[0] == "<" else ("text", "p", hash(t), len(t)) for t in s.split()]
+    two, five = (wrappers._fold(tags(" ".join(["<body", *(card.format(f"t{k}") for k in range(n)), "</body"]))) for n in (2, 5))
+    assert [x[0] for x in two] == [x[0] for x in five] == ["tag", "plus", "tag"]
+    both = wrappers.align(two, five)
+    assert [x[0] for x in both] == ["tag", "plus", "tag"]
+    assert [x[2] for x in both[1][1] if x[0] == "text"] == [None, None, None, hash("more")]
+    # Nothing closes these, and these were never opened.
+    assert [x[0] for x in wrappers._fold(tags("<li a <li b <li c </ul"))] == ["plus", "tag"]
+    deep = wrappers._fold(tags("<div " * 3000 + "x " + "</p " * 3000))
+    assert len(deep) == 6001
