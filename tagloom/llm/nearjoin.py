@@ -7,10 +7,10 @@ a probability equal to their similarity. Sets with equal paths share a bucket; a
 bucket with more than ``BUCKET`` classes is split by one more token (and, for a
 quarter of the paths, by a second token as well, which keeps the expected number
 of common paths of a similar pair level). Runs with fresh tokens repeat until
-the recall is reached: a pair at the threshold meets in one bucket of a run with
-probability 0.8 for each level, 1 - 0.2^8 over ``RUNS`` runs where buckets are
-small at once, and pairs that a bucket misses are still compared if any other
-link connects them.
+the target recall is reached, for a pair at the threshold all whose buckets are
+crowded: it meets in a run with probability 0.514 (``meeting``), so 0.9999 takes 13
+runs. Where buckets are small at once it meets with probability 0.8, and pairs
+that all buckets miss are still compared if any other link connects them.
 
 Buckets only nominate: their pairs are compared by sketch, and what is left
 forms candidate groups. Inside a group all pairs are compared exactly, by counts
@@ -21,6 +21,7 @@ they are found and never become rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,17 +36,35 @@ from tagloom.llm.wordarrays import ALNUM, Words, joined_hashes, mixed, slices
 SHINGLE = 5
 #: Similarity as a ratio of whole numbers, so that the test has no rounding.
 THRESHOLD = (4, 5)
-RUNS, LEVELS = 8, 4
+#: Target recall of a pair at the threshold whose buckets are crowded at every level.
+RECALL = 0.9999
+LEVELS = 4
 #: Classes in a bucket that are compared at once.
 BUCKET = 32
 #: Similarity of sketches from which a pair is a candidate: five standard
-#: deviations of a sketch of RUNS * LEVELS * 2 tokens below the threshold.
+#: deviations of a sketch of 64 tokens (8 runs) below the threshold, more with more runs.
 CANDIDATE = 0.55
 #: Classes and shingles of a block of a large group.
 BLOCK, BLOCK_SHINGLES = 256, 2_000_000
 UNNAMED = 1 << 62
-_TOKENS = RUNS * LEVELS * 2
-_SEEDS = mixed(np.arange(1, _TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def meeting(similarity: float) -> float:
+    """The probability that a pair meets in a run if all its buckets are crowded."""
+    met = 1.0
+    for _ in range(LEVELS - 1):
+        one = similarity * met
+        met = 0.75 * one + 0.25 * (1 - (1 - one) ** 2)
+    return similarity * met
+
+
+def runs_for(recall: float) -> int:
+    """Runs that miss a pair at the threshold with a probability of 1 - ``recall`` at most.
+    At least 8, which the sketch needs."""
+    if not 0 < recall < 1:
+        raise ValueError("recall must be between 0 and 1")
+    top, of = THRESHOLD
+    return max(8, math.ceil(math.log(1 - recall) / math.log(1 - meeting(top / of))))
 
 
 def _shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -66,9 +85,11 @@ def _shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return row[once], key[once]
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
+def _sketches(docs: DataFrame, runs: int) -> DataFrame:
     """(doc_id, node, k1, k2, n, mins, low) of ``docs`` (doc_id, node, text): a key of
     the set of shingles, its size, its least tokens and their low bytes."""
+    count = runs * LEVELS * 2
+    seeds = mixed(np.arange(1, count + 1, dtype=np.uint64)) | np.uint64(1)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -79,17 +100,17 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 have = np.flatnonzero(n)
                 at = np.cumsum(n)[have] - n[have]
                 k1, k2 = np.zeros(m, np.uint64), np.zeros(m, np.uint64)
-                mins = np.zeros((m, _TOKENS), np.uint32)
+                mins = np.zeros((m, count), np.uint32)
                 if len(have):
                     with np.errstate(over="ignore"):
                         k1[have] = np.add.reduceat(key, at)
                         k2[have] = np.add.reduceat(mixed(key + np.uint64(7)), at)
-                        for k in range(_TOKENS):
-                            tokens = ((key * _SEEDS[k]) >> np.uint64(32)).astype(np.uint32)
+                        for k in range(count):
+                            tokens = ((key * seeds[k]) >> np.uint64(32)).astype(np.uint32)
                             mins[have, k] = np.minimum.reduceat(tokens, at)
                 low = (mins & 0xFF).astype(np.uint8)
                 ints = pa.array(mins.reshape(-1).view(np.int32))
-                lists = pa.ListArray.from_arrays(np.arange(0, m * _TOKENS + 1, _TOKENS, dtype=np.int32), ints)
+                lists = pa.ListArray.from_arrays(np.arange(0, m * count + 1, count, dtype=np.int32), ints)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns[:2],
@@ -105,10 +126,10 @@ def _sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(batches, "doc_id long, node long, k1 long, k2 long, n long, mins array<int>, low binary")
 
 
-def _leaves(sets: DataFrame) -> list[DataFrame]:
+def _leaves(sets: DataFrame, runs: int) -> list[DataFrame]:
     """The buckets of all runs as tables (path, id, n)."""
     state = sets.select(
-        "id", F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1))).alias("run"), "mins"
+        "id", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"), "mins"
     ).select(
         "id",
         F.slice("mins", F.col("run") * (2 * LEVELS) + 1, F.lit(2 * LEVELS)).alias("tokens"),
@@ -279,7 +300,7 @@ def _node(id_col: str, text_col: str):
     return F.coalesce(F.col(id_col).cast("long"), unnamed)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
     """One row per input row: ``doc_id``; ``class_id``, the least id that links of
     similarity 0.8 or more connect it to; ``set_id``, the least id with the same
     set of shingles; ``n_copies``, the rows with that set; ``n_links``, the other
@@ -290,11 +311,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its own with no links. Rows that repeat an id count as copies; an id must
     not stand for two texts. Rows with a null id take part under a number of
     their text above ``UNNAMED``, which is theirs as a class only where no row with
-    an id is in the class. ``node`` is the id or that number.
+    an id is in the class. ``node`` is the id or that number. ``recall`` is the
+    probability that a pair at the threshold is compared, however crowded its buckets.
     """
+    runs = runs_for(recall)
     node, text = _node(id_col, text_col), text_or_empty(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), node.alias("node"), text.alias("text"))
-    base = stored(_sketches(rows), "sketches")
+    base = stored(_sketches(rows, runs), "sketches")
     worded = base.filter("n > 0")
     classes = stored(
         worded.groupBy("k1", "k2", "n").agg(F.min("node").alias("id"), F.count(F.lit(1)).alias("n_copies")), "classes"
@@ -302,7 +325,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # One row of each class carries its sketch; equal sets have equal sketches.
     named = worded.select(F.col("node").alias("id"), "mins", "low").dropDuplicates(["id"])
     sets = stored(named.join(classes.select("id", "n"), "id"), "sets")
-    leaves = _leaves(sets.select("id", "mins"))
+    leaves = _leaves(sets.select("id", "mins"), runs)
     buckets = leaves[0]
     for more in leaves[1:]:
         buckets = buckets.unionByName(more)
