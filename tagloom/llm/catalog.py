@@ -8,7 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, licenses, nearjoin, pii, quality, repeats, sharding, wrappers
+from tagloom.llm import (
+    bpe, crosstok, decontaminate, exact_dedup, langid, licenses, nearjoin, phrases, pii, quality, repeats, sharding, wrappers,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -211,6 +213,48 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_extract_all(t, '[^.,;:!?\x0A-\x0D]+')), '[^\x20\x09]+') AS w FROM t),
+g AS (SELECT lang, k, array_to_string(w[i + 1:i + k], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS f FROM g GROUP BY lang, phrase HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+x AS (SELECT DISTINCT b.lang, b.phrase FROM (
+        SELECT lang, array_to_string(w[i + 1:i + m], ' ') AS phrase, a
+        FROM (SELECT lang, w, a, m, unnest(range(0, k - m + 1)) AS i FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)) s
+      JOIN c b ON b.lang = s.lang AND b.phrase = s.phrase AND 100 * s.a >= 100 * b.a),
+cut AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS lp, array_to_string(w[j + 1:k], ' ') AS rp
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+s AS (SELECT cut.lang, cut.phrase, cut.a, l.f AS l, r.f AS r, n.n, j, (1000 * cut.a::HUGEINT * n.n) // (l.f::HUGEINT * r.f) AS score
+      FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = lp JOIN f r ON r.lang = cut.lang AND r.phrase = rp
+      JOIN n ON n.lang = cut.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+k AS (SELECT b.* FROM b ANTI JOIN x ON x.lang = b.lang AND x.phrase = b.phrase),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM k)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM o WHERE rank <= 2000
+"""
+
+
+def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return crosstok.align(table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = langid.identify(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -222,5 +266,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
+    "op11_collocations": op11_collocations,
+    "op12_cross_tokens": op12_cross_tokens,
+    "op13_language": op13_language,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": OP1_SQL,
+    "op2_decontaminate": OP2_SQL,
+    "op4_pii": _op4_sql(),
+    "op6_licenses": _op6_sql(),
+    "op7_near_join": OP7_SQL,
+    "op9_repeats": OP9_SQL,
+    "op11_collocations": OP11_SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_pii": _op4_sql(), "op6_licenses": _op6_sql(), "op7_near_join": OP7_SQL, "op9_repeats": OP9_SQL}

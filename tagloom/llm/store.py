@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.config import scratch_root, shared_dir
+
 #: Spark's setting that lets go of a query's shuffle files when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_base(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``. Only a
-    session on a local master, where driver and executors are one process, may
-    leave it unset; it then gets a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    base = tempfile.mkdtemp(prefix="tagloom-llm-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
-
 @contextmanager
 def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(_CLEANUP, None)
@@ -42,11 +28,12 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a fresh shared folder and read back. This cuts
-    the lineage: a lost executor costs a reread of its files, no recomputation,
-    and the shuffles behind the table are no longer needed on disk."""
+    """``df`` written as Parquet to a fresh folder among the application's own
+    intermediates and read back. This cuts the lineage: a lost executor costs a
+    reread of its files, no recomputation, and the shuffles behind the table are
+    no longer needed on disk. What is left of them goes when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_base(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = shared_dir(spark, f"llm-{name}")
     with _shuffles_dropped(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -55,7 +42,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def removed(*tables: DataFrame) -> None:
     """Delete the files of tables made by ``stored`` that no later frame reads."""
     for df in tables:
-        base = f"{shared_base(df.sparkSession)}/llm/"
+        base = f"{scratch_root(df.sparkSession)}/llm-"
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         at = jvm.org.apache.hadoop.fs.Path
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
