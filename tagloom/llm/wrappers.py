@@ -13,6 +13,10 @@ the containers that the changing text of single pages votes for (a host may have
 several templates), and the texts that most pages show, by counts over all pages.
 These choose the text of every page of the host; article and main elements are
 evidence for and after that choice, and the only rule for hosts without a wrapper.
+A text that most pages show is left out where it stands before or after all of the
+page's own text; between texts of the page's own in the main container, or as a
+heading before them, it is part of the article. The page's own headline before
+the main container goes with it.
 
 Streams leave the first pass as skeletons: tags, and a hash and a length for each
 text.
@@ -42,8 +46,8 @@ FAN = 32
 MAIN_SHARE = 0.8
 #: Share of a page's own text that a container of the host must hold to be the page's; of one in an article.
 PAGE_SHARE, MARKED_SHARE = 0.5, 0.25
-#: Pages at least, besides most of those with its container, that show a constant text; one in an article.
-SHOWN, SHOWN_MARKED = 3, 8
+#: Pages that tell a constant text from a coincidence, besides being most of those with its container.
+SHOWN = 3
 #: Bytes of wrappers that are broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
 
@@ -143,10 +147,18 @@ def _parsed(page: str, cleared: frozenset[int]) -> tuple[list[tuple[str, str, bo
     are not set apart."""
     out: list[tuple[str, str, bool, str]] = []
     stack: list[tuple[str, bool, bool, str, tuple[int, ...] | None]] = []  # name, aside, article, piece of path, soft
+    names: Counter = Counter()  # of the stack
     text: list[str] = []
     at = 0
     plain, within = False, set()
 
+    def push(*item):
+        stack.append(item)
+        names[item[0]] += 1
+
+    def pop():
+        names[stack.pop()[0]] -= 1
+
     def flush():
         if text:
             joined = "".join(text)
@@ -174,14 +186,14 @@ def _parsed(page: str, cleared: frozenset[int]) -> tuple[list[tuple[str, str, bo
             continue
         name = name.lower()
         if m["close"]:
-            if name in BLOCKS or any(x[0] == name for x in stack):
+            if name in BLOCKS or names[name]:
                 flush()
                 out.append(("", f"</{name}", False, ""))
                 # A closing tag without its opening one closes nothing.
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+                if names[name]:
+                    while stack[-1][0] != name:
+                        pop()
+                    pop()
             continue
         attrs = m["attrs"]
         if name in RAW:
@@ -195,7 +207,7 @@ def _parsed(page: str, cleared: frozenset[int]) -> tuple[list[tuple[str, str, bo
             flush()
             # A paragraph ends where a block begins, a list item where the next does.
             while stack and (stack[-1][0] == "p" or stack[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option")):
-                stack.pop()
+                pop()
         off, inside, held = (stack[-1][1], stack[-1][2], stack[-1][4]) if stack else (False, False, ())
         if name in VOID or attrs.endswith("/") and name not in BLOCKS:
             continue
@@ -211,11 +223,11 @@ def _parsed(page: str, cleared: frozenset[int]) -> tuple[list[tuple[str, str, bo
                 plain = plain or holds == ()
                 within.update(holds or ())
             piece = name + ("." + first if first else "") if name in CONTAINERS or soft else ""
-            stack.append((name, off or hard, inside or article and holds == (), piece + "!" if soft else piece, holds))
+            push(name, off or hard, inside or article and holds == (), piece + "!" if soft else piece, holds)
         elif (hard or soft) and not off:
             # An inline element that is set apart: its text is a block of its own.
             flush()
-            stack.append((name, hard, inside, name + "!" if soft else "", holds))
+            push(name, hard, inside, name + "!" if soft else "", holds)
 
 
 def skeleton(page: str) -> list[list]:
@@ -404,6 +416,49 @@ def align(a: list, b: list) -> list:
         else:
             add(a[i:j], [("a", n, x) for x in ga[i:j]])
             add(b[k:m], [("b", n, x) for x in gb[k:m]])
+    return _alternatives(out)
+
+
+def _subtrees(items: list) -> Iterator[list]:
+    """``items`` cut into elements with all they hold, and single items beside them."""
+    closed = {"<" + x[1][2:] for x in items if x[0] == "tag" and x[1].startswith("</")}
+    opened: list[str] = []
+    now: list = []
+    for item in items:
+        now.append(item)
+        name = item[1] if item[0] == "tag" else ""
+        if name.startswith("</"):
+            if opened and opened[-1] == name[2:]:
+                opened.pop()
+        elif name in closed:
+            opened.append(name[1:])
+        if not opened:
+            yield now
+            now = []
+    if now:
+        yield now
+
+
+def _alternatives(items: list) -> list:
+    """``items`` with optional groups that stand at one place folded: each form of an
+    element is there once, so a place grows with the forms that pages have there
+    and not with the pages."""
+    out: list = []
+    known: dict | None = None
+    for item in items:
+        if item[0] != "opt":
+            known = None
+            out.append(item)
+            continue
+        known = {} if known is None else known
+        for part in _subtrees(item[1]):
+            form = tuple(_form(x) for x in part)
+            if form in known:
+                at = known[form]
+                out[at] = ("opt", _merge(out[at][1], part))
+            else:
+                known[form] = len(out)
+                out.append(("opt", part))
     return out
 
 
@@ -478,9 +533,9 @@ def told(wrapper: dict, shown) -> dict:
     return {"main": main, "mains": mains, "shown": sorted(shown)}
 
 
-def constant(path: str, pages: int, there: int) -> bool:
+def constant(pages: int, there: int) -> bool:
     """Whether a text that ``pages`` of the ``there`` pages with its container show is constant."""
-    return 2 * pages > there and pages >= (SHOWN_MARKED if _marked(path) else SHOWN)
+    return 2 * pages > there and pages >= SHOWN
 
 
 def infer(skeletons: list[list[list]]) -> dict:
@@ -488,7 +543,7 @@ def infer(skeletons: list[list[list]]) -> dict:
     texts = [{(x[0], x[1]) for x in s if len(x) > 1} for s in skeletons]
     by_text = Counter(x for t in texts for x in t)
     by_path = Counter(p for t in texts for p in {p for p, _ in t})
-    shown = {key for (path, key), n in by_text.items() if constant(path, n, by_path[path])}
+    shown = {key for (path, key), n in by_text.items() if constant(n, by_path[path])}
     wrapper: dict | None = None
     for stream in skeletons:
         wrapper = joined(wrapper, partial(stream, shown))
@@ -499,11 +554,12 @@ def main_text(page: str, wrapper: dict | None) -> str:
     """The text of the article. With a wrapper: in the first of the host's main
     containers that holds enough of the page's own text, the blocks that the host
     does not show on most pages, or those in article or main elements if they are
-    most of these. Without: blocks inside article or main elements, or all. What a
-    class sets apart counts only where the main container lies there, or where the
-    page has no other text and no article."""
+    most of these; with them what the article's flow holds (``_flow``). Without:
+    blocks inside article or main elements, or all. What a class sets apart counts
+    only where the main container lies there, or where the page has no other text
+    and no article."""
     all_blocks = blocks(page)
-    found = [(x[0], x[3]) for x in all_blocks if x[3] and not x[2]]
+    found = [(x[0], x[3], x[1]) for x in all_blocks if x[3] and not x[2]]
     plain = [x for x in found if "!" not in x[0]]
 
     def size(some):
@@ -511,18 +567,21 @@ def main_text(page: str, wrapper: dict | None) -> str:
 
     if wrapper:
         shown = wrapper["shown"] if isinstance(wrapper["shown"], frozenset) else frozenset(wrapper["shown"])
-        own = [x for x in found if _hash(x[1]) not in shown] if shown else found
+        at = [i for i, x in enumerate(found) if not shown or _hash(x[1]) not in shown]
+        own = [found[i] for i in at]
         seen = [x for x in own if "!" not in x[0]]
-        chosen: list = []
         for main in wrapper["mains"]:
-            there = [x for x in own if _under(x[0], main)]
-            whole = size(seen) + (size(there) if "!" in main else 0)
-            if there and size(there) >= (MARKED_SHARE if _marked(main) else PAGE_SHARE) * whole:
-                chosen = there
+            there = [i for i in at if _under(found[i][0], main)]
+            held = size(found[i] for i in there)
+            whole = size(seen) + (held if "!" in main else 0)
+            if there and held >= (MARKED_SHARE if _marked(main) else PAGE_SHARE) * whole:
+                inside = [i for i in there if _marked(found[i][0])]
+                most = 2 * size(found[i] for i in inside) >= held
+                plain = _flow(found, inside if inside and most else there, at, main, bool(inside) and most)
                 break
-        chosen = chosen or seen
-        inside = [x for x in chosen if _marked(x[0])]
-        plain = (inside if inside and 2 * size(inside) >= size(chosen) else chosen) or plain
+        else:
+            inside = [x for x in seen if _marked(x[0])]
+            plain = (inside if inside and 2 * size(inside) >= size(seen) else seen) or plain
     else:
         plain = [x for x in plain if _marked(x[0])] or plain
     if not plain and not any(x[1] in ("<article", "<main") for x in all_blocks):
@@ -530,6 +589,32 @@ def main_text(page: str, wrapper: dict | None) -> str:
     return "\n".join(x[1] for x in plain)
 
 
+_HEADING = re.compile("h[1-6]")
+
+
+def _flow(found: list[tuple], chosen: list[int], own: list[int], main: str, marked: bool) -> list[tuple]:
+    """The blocks of an article: the ``chosen`` places of ``found``; what the host
+    shows on most pages if it stands between them in the main container, or is a
+    heading right before them; and the page's own h1 before the container, if
+    none is among them."""
+    taken, mine = set(chosen), set(own)
+
+    def inside(i):
+        return _under(found[i][0], main) and (not marked or _marked(found[i][0]))
+
+    for i in range(chosen[0] + 1, chosen[-1]):
+        if i not in mine and inside(i):
+            taken.add(i)
+    before = chosen[0] - 1
+    while before >= 0 and before not in mine and inside(before) and _HEADING.fullmatch(found[before][2]):
+        taken.add(before)
+        before -= 1
+    if not any(found[i][2] == "h1" for i in taken):
+        titles = [i for i in own if i < chosen[0] and found[i][2] == "h1" and "!" not in found[i][0]]
+        taken.update(titles[-1:])
+    return [found[i] for i in sorted(taken)]
+
+
 _TEXTS = pa.list_(pa.struct([("path", pa.string()), ("text", pa.int64())]))
 
 
@@ -593,10 +678,8 @@ def learn(pages: DataFrame) -> DataFrame:
     largest = made.groupBy("host").count().agg(F.max("count")).first()[0] or 0
     counts = made.select("host", F.explode("texts").alias("x")).groupBy("host", "x.path", "x.text").count().filter(F.col("count") >= SHOWN)
     there = counts.filter("text IS NULL").select("host", "path", F.col("count").alias("there"))
-    marked = ~F.col("path").contains("!") & F.col("path").rlike(r"(^|/)(article|main)([./]|$)")
-    enough = F.when(marked, SHOWN_MARKED).otherwise(SHOWN)
     shown = counts.filter("text IS NOT NULL").join(there, ["host", "path"]).filter(2 * F.col("count") > F.col("there"))
-    shown = shown.filter(F.col("count") >= enough).groupBy("host").agg(F.collect_set("text").alias("shown"))
+    shown = shown.groupBy("host").agg(F.collect_set("text").alias("shown"))
     shown = stored(shown, "shown")
     dealt = made.join(shown, "host", "left").select("host", "key", "skeleton", "shown")
     step = dealt.mapInArrow(partials, "host string, key long, wrapper string")

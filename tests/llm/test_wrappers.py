@@ -1,6 +1,8 @@
 import html
 import json
+import random
 import re
+import time
 
 from tagloom.llm import wrappers
 
@@ -163,3 +165,37 @@ def test_long_groups_fold():
     assert [x[0] for x in wrappers._fold(tags("<li a <li b <li c </ul"))] == ["plus", "tag"]
     deep = wrappers._fold(tags("<div " * 3000 + "x " + "</p " * 3000))
     assert len(deep) == 6001
+
+
+def test_headings_and_headlines_stay_on_hosts_of_any_size(spark):
+    """Shared headings inside the article and the headline before it, with 3 to 1,000 pages."""
+    words = [f"w{k} " * 60 for k in range(1000)]
+    for mark in ("div class=story", "article"):
+        body = "<h2>Introduction</h2><p>{w}</p><h2>Conclusion</h2><p>{w}end</p><p>Read more here</p>"
+        page = "<body><h1>Site</h1><div class=top><h1>Title {k}</h1></div><" + mark + ">" + body + "</" + mark.split()[0] + "><p>Imprint</p></body>"
+        for m in (3, 7, 8, 1000):
+            rows = [(k, f"http://{m}.org/{k}", page.format(k=k, w=w)) for k, w in enumerate(words[:m])]
+            pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+            for r in wrappers.extract(pages).collect():
+                w = words[r.page_id]
+                assert r.text == f"Title {r.page_id}\nIntroduction\n{w.strip()}\nConclusion\n{w}end", (mark, m)
+
+
+def test_wrappers_stay_small():
+    """A thousand pages of random blocks: the wrapper grows with the forms, not the pages."""
+    random.seed(1)
+    forms = ["<p>%s</p>", "<div><p>%s</p></div>", "<ul><li>%s</li><li>x</li></ul>", "<h2>%s</h2>", "<table><tr><td>%s</td></tr></table>"]
+    wrapper, sizes = None, []
+    for _ in range(1000):
+        body = "".join(random.choice(forms) % f"t{random.random()}" for _ in range(random.randint(5, 20)))
+        page = f"<body><div><p>Home</p></div><div class=story>{body}</div><p>Imprint</p></body>"
+        wrapper = wrappers.joined(wrapper, wrappers.partial(wrappers.skeleton(page), frozenset()))
+        sizes.append(len(json.dumps(wrapper)))
+    assert sizes[-1] < 50_000 and sizes[-1] < 2.5 * sizes[255]
+
+
+def test_deep_nesting_is_linear():
+    started = time.time()
+    for n in (20_000,):
+        assert wrappers.main_text("<div>" * n + "deep" + "</div>" * n, None) == "deep"
+    assert time.time() - started < 3
