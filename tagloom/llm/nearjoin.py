@@ -86,16 +86,16 @@ def _shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(docs: DataFrame, runs: int) -> DataFrame:
-    """(doc_id, node, k1, k2, n, mins, low) of ``docs`` (doc_id, node, text): a key of
+    """(doc_id, node, mark, k1, k2, n, mins, low) of ``docs`` (doc_id, node, mark, text): a key of
     the set of shingles, its size, its least tokens and their low bytes."""
     count = runs * LEVELS * 2
     seeds = mixed(np.arange(1, count + 1, dtype=np.uint64)) | np.uint64(1)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for part in slices(batch, 2):
+            for part in slices(batch, 3):
                 m = part.num_rows
-                row, key = _shingles(part.column(2))
+                row, key = _shingles(part.column(3))
                 n = np.bincount(row, minlength=m)
                 have = np.flatnonzero(n)
                 at = np.cumsum(n)[have] - n[have]
@@ -113,17 +113,17 @@ def _sketches(docs: DataFrame, runs: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(np.arange(0, m * count + 1, count, dtype=np.int32), ints)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[:2],
+                        *part.columns[:3],
                         pa.array(k1.view(np.int64)),
                         pa.array(k2.view(np.int64)),
                         pa.array(n, pa.int64()),
                         lists,
                         pa.array([x.tobytes() for x in low], pa.binary()),
                     ],
-                    ["doc_id", "node", "k1", "k2", "n", "mins", "low"],
+                    ["doc_id", "node", "mark", "k1", "k2", "n", "mins", "low"],
                 )
 
-    return docs.mapInArrow(batches, "doc_id long, node long, k1 long, k2 long, n long, mins array<int>, low binary")
+    return docs.mapInArrow(batches, "doc_id long, node long, mark long, k1 long, k2 long, n long, mins array<int>, low binary")
 
 
 def _leaves(sets: DataFrame, runs: int) -> list[DataFrame]:
@@ -300,31 +300,27 @@ def _node(id_col: str, text_col: str):
     return F.coalesce(F.col(id_col).cast("long"), unnamed)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
-    """One row per input row: ``doc_id``; ``class_id``, the least id that links of
-    similarity 0.8 or more connect it to; ``set_id``, the least id with the same
-    set of shingles; ``n_copies``, the rows with that set; ``n_links``, the other
-    sets it is linked to.
-
-    Words are as in the contracts, lower-cased. Texts of one to four words have
-    one shingle, all of them. A text without words, null included, is a class of
-    its own with no links. Rows that repeat an id count as copies; an id must
-    not stand for two texts. Rows with a null id take part under a number of
-    their text above ``UNNAMED``, which is theirs as a class only where no row with
-    an id is in the class. ``node`` is the id or that number. ``recall`` is the
-    probability that a pair at the threshold is compared, however crowded its buckets.
-    """
+def _told(docs: DataFrame, id_col: str, text_col: str, recall: float) -> DataFrame:
+    """``near_duplicates`` with two columns more: ``mark``, a hash of the text, and
+    ``first``, whether the row's text is the one that stands for its class."""
     runs = runs_for(recall)
     node, text = _node(id_col, text_col), text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), node.alias("node"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), node.alias("node"), F.xxhash64(text).alias("mark"), text.alias("text"))
     base = stored(_sketches(rows, runs), "sketches")
     worded = base.filter("n > 0")
-    classes = stored(
-        worded.groupBy("k1", "k2", "n").agg(F.min("node").alias("id"), F.count(F.lit(1)).alias("n_copies")), "classes"
-    )
+    one = F.min(F.struct("node", "mark"))
+    classes = worded.groupBy("k1", "k2", "n").agg(one.alias("one"), F.count(F.lit(1)).alias("n_copies"))
+    classes = stored(classes.select("k1", "k2", "n", "one.*", "n_copies"), "classes")
+    # A set goes by its least id; sets of texts that share one go by a number of their own.
+    shared = classes.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("node", "sets")
+    own = F.shiftrightunsigned(F.xxhash64("k1", "k2", "n"), 2) + F.lit(UNNAMED)
+    named = classes.join(shared, "node", "left").withColumn("id", F.when(F.col("sets").isNull(), F.col("node")).otherwise(own))
+    named = stored(named.drop("sets"), "classes")
+    removed(classes)
+    classes = named
     # One row of each class carries its sketch; equal sets have equal sketches.
-    named = worded.select(F.col("node").alias("id"), "mins", "low").dropDuplicates(["id"])
-    sets = stored(named.join(classes.select("id", "n"), "id"), "sets")
+    sketched = worded.select("node", "mark", "mins", "low").dropDuplicates(["node", "mark"])
+    sets = stored(sketched.join(classes.select("node", "mark", "id", "n"), ["node", "mark"]).drop("node", "mark"), "sets")
     leaves = _leaves(sets.select("id", "mins"), runs)
     buckets = leaves[0]
     for more in leaves[1:]:
@@ -342,36 +338,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         groups.join(cuts.select("group", blocks.alias("blocks")), "group")
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
         .select("group", "blocks", "block", "id")
+        .join(classes.select("id", "node", "mark"), "id")
     )
-    keyed = rows.join(placed, rows["node"] == placed["id"]).dropDuplicates(["id"])
+    keyed = rows.join(placed, ["node", "mark"]).dropDuplicates(["id"])
     members = stored(_members(keyed.select("group", "blocks", "block", "id", "text")), "members")
     pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "shingles"
     )
     found = stored(_compared(pairs), "found")
-    removed(members, groups)
+    removed(members, groups, sets)
     roots = stored(components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))), "roots")
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
-    told = stored(
-        classes.join(links, "id", "left")
-        .join(roots, "id", "left")
-        .select("k1", "k2", "n", "id", "n_copies", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
-        "told",
-    )
-    out = base.select("doc_id", "node", "k1", "k2", "n").join(told, ["k1", "k2", "n"], "left")
+    told = classes.join(links, "id", "left").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    told = stored(told.withColumn("n_links", F.coalesce("n_links", F.lit(0))), "told")
+    removed(classes, found, roots)
+    heads = told.groupBy("root").agg(F.min(F.struct("node", "mark")).alias("head"))
+    out = base.select("doc_id", "node", "mark", "k1", "k2", "n").join(
+        told.select("k1", "k2", "n", F.col("node").alias("set_id"), "n_copies", "n_links", "root"), ["k1", "k2", "n"], "left"
+    ).join(heads, "root", "left")
+    head = F.coalesce("head", F.struct("node", "mark"))
     return out.select(
         "doc_id",
-        F.coalesce("root", "node").alias("class_id"),
-        F.coalesce("id", "node").alias("set_id"),
+        head["node"].alias("class_id"),
+        F.coalesce("set_id", "node").alias("set_id"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.col("node").alias("node"),
+        "node",
+        "mark",
+        (head == F.struct("node", "mark")).alias("first"),
     )
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
+    """One row per input row: ``doc_id``; ``class_id``, the least id that links of
+    similarity 0.8 or more connect it to; ``set_id``, the least id with the same
+    set of shingles; ``n_copies``, the rows with that set; ``n_links``, the other
+    sets it is linked to.
+
+    Words are as in the contracts, lower-cased. Texts of one to four words have
+    one shingle, all of them. A text without words, null included, is a class of
+    its own with no links. Rows that repeat an id count as copies if their texts
+    have one set of shingles, and are compared by themselves if not; ids then show
+    the same number for different sets. Rows with a null id take part under a
+    number of their text above ``UNNAMED``, which is theirs as a class only where no
+    row with an id is in the class. ``node`` is the id or that number. ``recall`` is
+    the probability that a pair at the threshold is compared, however crowded its buckets.
+    """
+    return _told(docs, id_col, text_col, recall).drop("mark", "first")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, with the least id of each class."""
-    kept = near_duplicates(docs, id_col, text_col).filter("node = class_id").select(F.col("node").alias("_kept"))
+    """The rows of ``docs``, all columns, with the least id of each class; where that
+    id has several texts, the row with the text that is in the class."""
+    first = _told(docs, id_col, text_col, RECALL).filter("first").select(F.col("node").alias("_kept"), F.col("mark").alias("_text"))
     node = fresh(docs, "_node")
-    rows = docs.withColumn(node, _node(id_col, text_col))
-    return rows.join(kept, rows[node] == kept["_kept"], "left_semi").dropDuplicates([node]).drop(node)
+    mark = fresh(docs, "_mark")
+    rows = docs.withColumn(node, _node(id_col, text_col)).withColumn(mark, F.xxhash64(text_or_empty(text_col)))
+    same = (rows[node] == first["_kept"]) & (rows[mark] == first["_text"])
+    return rows.join(first, same, "left_semi").dropDuplicates([node, mark]).drop(node, mark)

@@ -73,6 +73,17 @@ def test_groups_and_noise(spark):
     check(spark, rows)
 
 
+def test_texts_that_share_an_id_are_kept(spark):
+    """Three distinct texts, two with one id, and near copies of each."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(1, a), (1, b), (2, c), (3, a + " end"), (4, b + " end"), (1, a), (5, "!!"), (5, "??"), (5, "??")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(tuple(r) for r in nearjoin.one_of_each(df).collect())
+    assert kept == sorted([(1, a), (1, b), (2, c), (5, "!!"), (5, "??")])
+    got = {(r.doc_id, r.class_id, r.set_id, r.n_copies, r.n_links) for r in nearjoin.near_duplicates(df).collect()}
+    assert got == {(1, 1, 1, 2, 1), (1, 1, 1, 1, 1), (2, 2, 2, 1, 0), (3, 1, 3, 1, 1), (4, 1, 4, 1, 1), (5, 5, 5, 1, 0)}
+
+
 def test_large_group_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(nearjoin, "BLOCK", 16)
     monkeypatch.setattr(nearjoin, "BUCKET", 4)
