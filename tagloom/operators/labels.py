@@ -8,15 +8,20 @@ Match modes:
 * ``exact``: the tag is one of the track's tags.
 
 One plan at every size. The distinct tag texts of the tracks (the vocabulary)
-are matched to the tag list once, by an equi join: for the substring modes the
-substrings of each distinct text, up to the longest tag's length, are its join
-keys. The map from text to tag is then joined to the tracks' tags. No track is
-tested against a tag it does not carry.
+are matched to the tag list once, through a positional q-gram index: a text has
+one entry for each place, the Q characters from there on. A tag of Q characters
+or more is looked up by its q-gram that the fewest places of texts have, a
+shorter one by the start of the entries, and what is found is verified in the
+text. The map from text to tag is then joined to the tracks' tags. No track is
+tested against a tag it does not carry, and a text makes no more rows than it has
+characters, however long the tags are.
 
 Negatives are never materialised in full: examples keep the positives plus a
-hash-drawn sample of negatives. The draw is bucketed and equi-joined to the
-buckets that each tag's fraction covers, so the join makes the rows that are
-kept and no more than one bucket's share beyond.
+hash-drawn sample of negatives, those whose draw lies below the tag's fraction.
+Draws are whole numbers below 2^32, so the interval of a tag's draws falls into
+cells of a fixed grid (16, 16^2, .. 16^8 cells), at most 15 of each size; a track
+lies in one cell of each size. Joined by cell they make the rows that are kept
+and no others. Cells that hold many tracks are split by a salt.
 
 A track whose tag list is NULL or empty carries no tag, and a NULL element is no
 tag; both are ordinary negatives. The empty tag is inside every text.
@@ -36,20 +41,54 @@ from tagloom.operators.tags import explode_tags
 MATCH_MODES = ("exact", "substring", "substring_ci")
 
 
+#: Characters of an entry of the q-gram index.
+Q = 3
+
+
+def _entries(texts: DataFrame, text: str) -> DataFrame:
+    """One row for each place of each text: ``_id`` (a hash of the text) and
+    ``_gram``, the Q characters from there on, fewer at the end."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    at = texts.select(F.xxhash64(text).alias("_id"), F.col(text), F.explode(places).alias("_at"))
+    return at.select("_id", F.substring(F.col(text), F.col("_at"), F.lit(Q)).alias("_gram"))
+
+
 def substring_map(texts: DataFrame, tags: DataFrame, ignore_case: bool = False) -> DataFrame:
-    """(text, tag) for each distinct ``text`` that contains a ``tag``: an equi join
-    of the texts' substrings, no longer than the longest tag, with the tags."""
+    """(text, tag) for each distinct ``text`` that contains a ``tag``.
+
+    Candidates come from the q-gram index as (hash of the text, tag); they are
+    verified on the text itself, so equal hashes of two texts do no harm. The
+    empty tag is inside every text.
+    """
     fold = F.lower if ignore_case else (lambda c: c)
     needles = tags.select("tag").distinct().withColumn("_key", fold(F.col("tag")))
-    longest = needles.agg(F.max(F.length("_key"))).first()[0]  # one number
-    if longest is None:
-        return texts.select("text").limit(0).select("text", F.lit("").alias("tag"))
     folded = texts.select("text").distinct().filter("text IS NOT NULL").withColumn("_t", fold(F.col("text")))
-    grams = F.expr(
-        f"array_distinct(concat(array(''), flatten(transform(sequence(1, greatest(length(_t), 1)), i -> "
-        f"transform(sequence(1, greatest(least({max(longest, 1)}, length(_t) - i + 1), 1)), n -> substring(_t, i, n))))))"
+    entries = _entries(folded, "_t")
+    long = needles.filter(F.length("_key") >= Q).select("tag", "_key", F.explode(
+        F.transform(F.sequence(F.lit(1), F.length("_key") - (Q - 1)), lambda i: F.substring(F.col("_key"), i, F.lit(Q)))
+    ).alias("_gram"))
+    # How many entries have each q-gram of a tag; a tag with one that none has is in no text.
+    known = entries.join(long.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rated = long.join(known, "_gram", "left").groupBy("tag", "_key").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_least")
+    )
+    by_gram = rated.filter("_least.n > 0").select("tag", "_key", F.col("_least.gram").alias("_gram"))
+    found = entries.join(by_gram, "_gram").select("_id", "tag", "_key")
+    for n in range(Q):
+        # Shorter tags, each length by the start of the entries; the empty tag has one entry a text.
+        short = needles.filter(F.length("_key") == n).select("tag", "_key", F.col("_key").alias("_gram"))
+        if n == 0:
+            own = folded.select(F.xxhash64("_t").alias("_id"), F.substring("_t", 1, 0).alias("_gram"))
+            # Folded, there is one empty tag at most: a table of one row.
+            part = own.join(F.broadcast(short), "_gram")
+        else:
+            start = F.substring("_gram", 1, n).alias("_gram")
+            part = entries.select("_id", start).filter(F.length("_gram") == n).join(short, "_gram")
+        found = found.unionByName(part.select("_id", "tag", "_key"))
+    pairs = found.distinct()
+    return (
+        folded.withColumn("_id", F.xxhash64("_t")).join(pairs, "_id").filter(F.contains("_t", "_key")).select("text", "tag")
     )
-    return folded.select("text", F.explode(grams).alias("_key")).join(needles, "_key").select("text", "tag")
 
 
 def positive_pairs(tracks: DataFrame, tags: DataFrame, mode: str = "substring", id_col: str = "track_id") -> DataFrame:
@@ -71,13 +110,15 @@ def class_counts(
     id_col: str = "track_id",
     ratio: str = "balanced",
     positives: DataFrame | None = None,
+    n_total: int | None = None,
 ) -> DataFrame:
     """(tag, n_total, n_positive, positive_rate, fraction) per tag.
 
-    ``n_total`` is one scalar (the track count); positives are counted per tag
-    from the sparse positive pairs with a map-side combined count.
+    ``n_total`` is one scalar, the track count, counted here if the caller doesn't
+    know it; positives are counted per tag from the sparse positive pairs with a
+    map-side combined count.
     """
-    n_total = tracks.count()
+    n_total = tracks.count() if n_total is None else n_total
     pairs = positive_pairs(tracks, tags, mode, id_col) if positives is None else positives
     pos = pairs.groupBy("tag").agg(F.count(F.lit(1)).alias("n_positive"))
     out = tags.select("tag").distinct().join(pos, "tag", "left").fillna(0, ["n_positive"])
@@ -91,6 +132,50 @@ def class_counts(
     )
 
 
+#: Grid of the draws: sizes of cells, and bits of a draw that each size adds.
+LEVELS, LEVEL_BITS = 8, 4
+_DRAWS = 1 << (LEVELS * LEVEL_BITS)
+
+
+def covered_cells(fractions: DataFrame, n_tracks: int, cell_rows: int, group_col: str = "tag") -> DataFrame:
+    """(tag, _level, _cell, _salt): the cells that make up [0, fraction) of each tag,
+    a cell that holds more than ``cell_rows`` of the tracks once for each salt.
+
+    Level 0 is the whole range; cell c of level k is [c, c + 1) * 2^32 / 16^k."""
+    ends = fractions.withColumn("_end", F.ceil(F.least(F.col("fraction"), F.lit(1.0)) * float(_DRAWS)).cast("bigint"))
+    steps = [F.struct(F.lit(0).alias("level"), F.shiftright("_end", LEVELS * LEVEL_BITS).alias("digit"), F.lit(0).cast("bigint").alias("before"))]
+    for level in range(1, LEVELS + 1):
+        shift = LEVEL_BITS * (LEVELS - level)
+        digit = F.shiftright("_end", shift).bitwiseAND((1 << LEVEL_BITS) - 1)
+        before = F.shiftright("_end", shift + LEVEL_BITS) * (1 << LEVEL_BITS)
+        steps.append(F.struct(F.lit(level).alias("level"), digit.alias("digit"), before.alias("before")))
+    digits = ends.select(group_col, F.explode(F.array(*steps)).alias("_s")).filter("_s.digit > 0")
+    cells = digits.select(
+        group_col, F.col("_s.level").alias("_level"),
+        F.explode(F.sequence(F.col("_s.before"), F.col("_s.before") + F.col("_s.digit") - 1)).alias("_cell"),
+    )
+    return cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), _salts("_level", n_tracks, cell_rows) - 1)))
+
+
+def _salts(level: str, n_tracks: int, cell_rows: int):
+    """How many parts a cell of a level is split into: what its share of the tracks asks for."""
+    parts = [max(1, -(-n_tracks // (cell_rows << (LEVEL_BITS * k)))) for k in range(LEVELS + 1)]
+    return F.get(F.array(*[F.lit(p) for p in parts]), F.col(level))
+
+
+def drawn_cells(draws: DataFrame, n_tracks: int, cell_rows: int, id_col: str) -> DataFrame:
+    """(id, _level, _cell, _salt): the cell of each level that a track's draw ``u`` lies in."""
+    rows = draws.select(id_col, (F.col("u") * float(_DRAWS)).cast("bigint").alias("_k"), F.xxhash64(id_col).alias("_h"))
+    cells = F.array(*[
+        F.struct(F.lit(k).alias("level"), F.shiftright("_k", LEVEL_BITS * (LEVELS - k)).alias("cell")) for k in range(LEVELS + 1)
+    ])
+    each = rows.select(id_col, "_h", F.explode(cells).alias("_c")).select(
+        id_col, "_h", F.col("_c.level").alias("_level"), F.col("_c.cell").alias("_cell")
+    )
+    salt = F.pmod(F.col("_h"), _salts("_level", n_tracks, cell_rows).cast("bigint")).cast("int")
+    return each.select(id_col, "_level", "_cell", salt.alias("_salt"))
+
+
 def labelled_examples(
     tracks: DataFrame,
     tags: DataFrame,
@@ -100,23 +185,22 @@ def labelled_examples(
     ratio: str = "balanced",
     train_fraction: float = DEFAULT_TRAIN_FRACTION,
     id_col: str = "track_id",
-    buckets: int = 4096,
+    cell_rows: int = 100_000,
 ) -> DataFrame:
     """examples(tag, track_id, y, split, <features>): rebalanced and split.
 
     Keeps every positive of every tag and each negative whose draw ``u`` is
     below the tag's fraction; ``split`` comes from a second draw ``v`` of the
-    track, so a track is in the same part for every tag.
+    track, so a track is in the same part for every tag. ``cell_rows`` is about
+    how many tracks meet under one key while negatives are drawn.
     """
     pos = materialize(positive_pairs(tracks, tags, mode, id_col), "positives")
-    counts = class_counts(tracks, tags, mode, id_col, ratio, positives=pos).select("tag", "fraction")
+    n_tracks = tracks.count()
+    counts = class_counts(tracks, tags, mode, id_col, ratio, positives=pos, n_total=n_tracks).select("tag", "fraction")
     drawn = with_sample_draws(tracks.select(id_col, *feature_cols), id_col, seed)
-    # A tag covers the buckets [0, ceil(fraction * buckets)) of the draw; keys
-    # meet in a bucket, and only the last one holds draws beyond the fraction.
-    last = F.greatest(F.ceil(F.col("fraction") * buckets).cast("int") - 1, F.lit(0))
-    covered = counts.withColumn("_b", F.explode(F.sequence(F.lit(0), last)))
-    draws = drawn.select(id_col, "u").withColumn("_b", F.floor(F.col("u") * buckets).cast("int"))
-    kept = draws.join(covered, "_b").filter(F.col("u") < F.col("fraction")).select("tag", id_col)
+    covered = covered_cells(counts, n_tracks, cell_rows)
+    cells = drawn_cells(drawn.select(id_col, "u"), n_tracks, cell_rows, id_col)
+    kept = cells.join(covered, ["_level", "_cell", "_salt"]).select("tag", id_col)
     negatives = kept.join(pos, ["tag", id_col], "left_anti").withColumn("y", F.lit(0.0))
     pairs = pos.withColumn("y", F.lit(1.0)).unionByName(negatives)
     out = drawn.join(pairs, id_col)

@@ -7,16 +7,16 @@ distinct scores in descending order (ties share one point); the ROC curve
 starts at (0, 0); the PR curve starts at recall 0 with the precision of the
 first point; areas are trapezoid sums.
 
-Plan, built to survive one tag holding a third of all rows:
+Plan, built to survive one tag holding a third of all rows: a prefix sum over
+ranges.
 
 1. rows are combined to one row per (tag, score) with map-side partial counts;
-2. each tag's distinct scores are cut into score ranges with
-   ``percentile_approx``, as many as its points ask for, so a big tag spreads
-   over many window partitions;
-3. per-(tag, bucket) totals (a small table) give each bucket's offset through
-   a window over bucket order;
-4. running sums inside (tag, bucket) plus the offset give the cumulative
-   counts at every point; the area terms are summed by tag.
+2. the points are dealt to ranges by (tag, score descending) and stored with the
+   number of their range, so a big tag spreads over many ranges and a range
+   holds many small tags;
+3. sums for each tag and range (a small table) give what lies above a range;
+4. running sums inside (tag, range) plus that carry give the cumulative counts
+   at every point; the area terms are summed by tag.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.config import materialize
+
 
 def confusion_report(
     pred: DataFrame, group_col: str = "tag", label: str = "y", prediction: str = "prediction"
@@ -83,51 +85,34 @@ def confusion_report_lines(report: DataFrame, group_col: str = "tag") -> DataFra
 
 
 def curve_areas(
-    scored: DataFrame,
-    group_col: str = "tag",
-    score: str = "score",
-    label: str = "y",
-    points_per_bucket: int = 50_000,
-    accuracy: int = 10000,
+    scored: DataFrame, group_col: str = "tag", score: str = "score", label: str = "y",
+    points_per_bucket: int | None = None,
 ) -> DataFrame:
     """(tag, n_pos, n_neg, auroc, auprc) for every tag at once."""
     pts = scored.groupBy(group_col, F.col(score).alias("s")).agg(
         F.sum(F.when(F.col(label) == 1.0, 1).otherwise(0)).cast("bigint").alias("tp"),
         F.sum(F.when(F.col(label) == 1.0, 0).otherwise(1)).cast("bigint").alias("fp"),
     )
-    return areas_of_points(pts, group_col, points_per_bucket, accuracy)
-
-
-#: Score ranges that one tag is cut into at most.
-MAX_CUTS = 1024
+    return areas_of_points(pts, group_col, points_per_bucket)
 
 
-def areas_of_points(
-    pts: DataFrame, group_col: str = "tag", points_per_bucket: int = 50_000, accuracy: int = 10000
-) -> DataFrame:
+def areas_of_points(pts: DataFrame, group_col: str = "tag", points_per_bucket: int | None = None) -> DataFrame:
     """The areas from counted points (tag, s, tp, fp), one per tag and score.
 
-    A tag's scores are cut at quantiles into as many buckets as its number of
-    points asks for, so a tag of any size spreads over tasks; what lies above a
-    bucket is added from a small table of bucket sums.
+    The points are dealt to as many ranges as the session has shuffle partitions,
+    or to ranges of about ``points_per_bucket``, for which they are counted
+    first. The ranges are stored before they are read twice: their ends come
+    from a sample, and must not be drawn anew.
     """
-    sizes = pts.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("s", [i / MAX_CUTS for i in range(1, MAX_CUTS)], accuracy).alias("_q"),
-    )
-    cuts = F.lit(float(MAX_CUTS) * points_per_bucket) / F.col("_n")
-    step = F.floor(F.greatest(F.least(cuts, F.lit(float(MAX_CUTS))), F.lit(1.0))).cast("int")
-    bounds = sizes.select(group_col, F.filter("_q", lambda q, i: (i + 1) % step == 0).alias("_bounds"))
-    # One row a tag on the right: a plain join, so that adaptive execution may
-    # broadcast it or split the rows of a hot tag.
-    pts = pts.join(bounds, group_col)
-    cut = F.size(F.filter("_bounds", lambda b: b >= F.col("s")))
-    pts = pts.withColumn("_bucket", cut).drop("_bounds")
-
-    per_bucket = pts.groupBy(group_col, "_bucket").agg(F.sum("tp").alias("_btp"), F.sum("fp").alias("_bfp"))
+    n = int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if points_per_bucket is not None:
+        n = max(1, -(-pts.count() // points_per_bucket))
+    dealt = pts.repartitionByRange(n, F.col(group_col), F.desc("s")).withColumn("_bucket", F.spark_partition_id())
+    pts = materialize(dealt, "points")
+    per_range = pts.groupBy(group_col, "_bucket").agg(F.sum("tp").alias("_btp"), F.sum("fp").alias("_bfp"))
     w_b = Window.partitionBy(group_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(group_col)
-    offsets = per_bucket.select(
+    offsets = per_range.select(
         group_col,
         "_bucket",
         F.coalesce(F.sum("_btp").over(w_b), F.lit(0)).alias("_otp"),

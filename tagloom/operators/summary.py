@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.config import (
@@ -17,6 +17,7 @@ from tagloom.config import (
     REPORT_TAG_HEADING,
     REPORT_TITLE,
     REPORT_TRACK,
+    materialize,
 )
 
 
@@ -38,23 +39,52 @@ def metric_means(summary: DataFrame, cols: Sequence[str] = ("auroc", "auprc")) -
     return summary.agg(F.count(F.lit(1)).alias("n_tags"), *[F.avg(c).alias(f"mean_{c}") for c in cols])
 
 
+def exact_quantiles(values: DataFrame, probs: Sequence[float], group_col: str = "metric", col: str = "v") -> DataFrame:
+    """(group, q0, q1, ..): exact, linearly interpolated quantiles of each group.
+
+    Selection by counting: equal values are counted, the counts dealt to ranges of
+    values and stored, and sums of the ranges tell which values have the ranks
+    in question. No task holds more than a range, whatever the size of a group.
+    """
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = values.filter(F.col(col).isNotNull()).groupBy(group_col, col).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = counted.repartitionByRange(n, group_col, col).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(dealt, "values")
+    before = Window.partitionBy(group_col).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = ranged.groupBy(group_col, "_range").agg(F.sum("_n").alias("_m")).select(
+        group_col, "_range",
+        F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"),
+        F.sum("_m").over(Window.partitionBy(group_col)).alias("_all"),
+    )
+    inside = Window.partitionBy(group_col, "_range").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.withColumn("_upto", F.sum("_n").over(inside)).join(per_range, [group_col, "_range"])
+    end = F.col("_before") + F.col("_upto")
+    aggs = []
+    for k, q in enumerate(probs):
+        place = (F.col("_all") - 1).cast("double") * float(q)
+        for name, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            aggs.append(F.max(F.when((rank < end) & (rank >= end - F.col("_n")), F.col(col))).alias(f"_{name}{k}"))
+        aggs.append(F.max(place - F.floor(place)).alias(f"_part{k}"))
+    picked = ranked.groupBy(group_col).agg(*aggs)
+    between = [
+        (F.col(f"_lo{k}") * (1.0 - F.col(f"_part{k}")) + F.col(f"_hi{k}") * F.col(f"_part{k}")).alias(f"q{k}")
+        for k in range(len(probs))
+    ]
+    return picked.select(group_col, *between)
+
+
 def summary_quartiles(summary: DataFrame, cols: Sequence[str] = ("auroc", "auprc")) -> DataFrame:
     """(metric, min, q1, median, mean, q3, max): exact, linearly interpolated quartiles."""
     aggs = []
     for c in cols:
-        aggs += [
-            F.min(c).alias(f"{c}__min"),
-            F.percentile(c, 0.25).alias(f"{c}__q1"),
-            F.percentile(c, 0.5).alias(f"{c}__median"),
-            F.avg(c).alias(f"{c}__mean"),
-            F.percentile(c, 0.75).alias(f"{c}__q3"),
-            F.max(c).alias(f"{c}__max"),
-        ]
-    wide = summary.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', `{c}__min`, `{c}__q1`, `{c}__median`, `{c}__mean`, `{c}__q3`, `{c}__max`" for c in cols
+        aggs += [F.min(c).alias(f"{c}__min"), F.avg(c).alias(f"{c}__mean"), F.max(c).alias(f"{c}__max")]
+    parts = ", ".join(f"'{c}', `{c}__min`, `{c}__mean`, `{c}__max`" for c in cols)
+    told = summary.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (metric, min, mean, max)")
+    values = summary.select(*[F.col(c).cast("double").alias(c) for c in cols]).selectExpr(
+        f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`" for c in cols) + ") AS (metric, v)"
     )
-    return wide.selectExpr(f"stack({len(cols)}, {parts}) AS (metric, min, q1, median, mean, q3, max)")
+    out = told.join(exact_quantiles(values, (0.25, 0.5, 0.75)), "metric", "left")
+    return out.select("metric", "min", F.col("q0").alias("q1"), F.col("q1").alias("median"), "mean", F.col("q2").alias("q3"), "max")
 
 
 def summary_rounded(summary: DataFrame, cols: Sequence[str] = ("auroc", "auprc"), digits: int = 2) -> DataFrame:

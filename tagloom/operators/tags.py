@@ -13,12 +13,16 @@ def tags_frame(spark, tags: list[str]) -> DataFrame:
     return spark.createDataFrame([(t,) for t in tags], "tag string")
 
 
-def preview(df: DataFrame, n: int = 4, enabled: bool = False, label: str = "") -> None:
-    """Log the first ``n`` rows when ``enabled`` (verbose runs); a no-op otherwise."""
-    if enabled:
-        import logging
-
-        logging.getLogger("tagloom").info("%s%s", f"{label}: " if label else "", df.limit(n).collect())
+def preview(df: DataFrame, n: int = 4, enabled: bool = False, label: str = "") -> list:
+    """Log and return the first ``n`` rows when ``enabled`` (verbose runs); otherwise
+    nothing is read."""
+    if not enabled:
+        return []
+    import logging
+
+    rows = df.take(n)
+    logging.getLogger("tagloom").info("%s%s", f"{label}: " if label else "", rows)
+    return rows
 
 
 def explode_tags(tracks: DataFrame, id_col: str = "track_id", tags_col: str = "tags") -> DataFrame:

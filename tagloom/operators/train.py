@@ -3,11 +3,18 @@
 Batched trainers
     All tags are trained at once. The examples are packed into blocks, one row
     for each Arrow batch: tag codes, labels and a feature matrix, sorted by tag.
-    The blocks are cached; each pass multiplies them with the broadcast weights
-    in NumPy and sums the partial gradients by (tag, feature) with a map-side
-    combined aggregate, the same plan for 11 features and for 64. Tags are taken
-    in portions of WEIGHTS_AT_ONCE numbers, so the driver holds no more than that
-    whatever the number of tags.
+    A pass multiplies the blocks with the weights in NumPy and sums the partial
+    gradients by (tag, feature).
+
+    The whole training is one barrier stage: its tasks hold their blocks, all
+    gather each other's partial sums in every pass (``allGather``) and take the
+    same step, so that a pass costs no job. A lost executor restarts the stage
+    from the stored examples. Tags are taken in portions, so that what all tasks
+    send in a pass is WEIGHTS_AT_ONCE numbers whatever the numbers of tags and
+    tasks. Where the blocks would not fit the tasks (BLOCK_BYTES each), or the
+    cluster allocates executors dynamically, which barrier stages exclude, a pass
+    is a job: it broadcasts the weights and sums by (tag, feature) with a
+    map-side combined aggregate. Both run the same steps on the same sums.
 
     ``train_linear_all_tags``: the library's SGD with an L2 updater and
     mini-batch fraction 1:
@@ -32,14 +39,18 @@ One-tag trainers (``train_one_tag``)
 
 from __future__ import annotations
 
+import base64
 import math
+import os
+import re
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import BarrierTaskContext, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +65,9 @@ from tagloom.config import (
 
 LOSSES = ("hinge", "logistic")
 
+#: Bytes of examples that one task of a barrier stage may hold.
+BLOCK_BYTES = 512 << 20
+
 
 def _gradient_sql(train_view: str, weights_view: str, feature_cols: Sequence[str], loss: str, group_col: str) -> str:
     """One iteration's gradient as SQL text over two views (fixed per training run)."""
@@ -125,6 +139,45 @@ def _pack(train: DataFrame, feature_cols: Sequence[str], group_col: str) -> Data
     return train.mapInPandas(pack, "tags array<string>, counts array<long>, y binary, x binary")
 
 
+def _sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, code: np.ndarray, n: np.ndarray, loss: str) -> np.ndarray:
+    """Gradient sums (features, intercept) and loss sums of rows that lie in runs:
+    ``n`` rows each for the weights ``w[code]``."""
+    d = x.shape[1]
+    each = np.repeat(w[code], n, axis=0)
+    m = np.einsum("ij,ij->i", x, each[:, :d]) + each[:, d]
+    s = 2.0 * y - 1.0
+    if loss == "hinge":
+        mult = np.where(s * m < 1.0, -s, 0.0)
+        cost = np.maximum(1.0 - s * m, 0.0)
+    else:
+        mult = 1.0 / (1.0 + np.exp(-np.clip(m, -700, 700))) - y
+        cost = np.logaddexp(0.0, -s * m)
+    first = np.cumsum(n) - n
+    return np.add.reduceat(np.column_stack([mult[:, None] * x, mult, cost]), first, axis=0)
+
+
+def _mine(block: dict, known: np.ndarray, place: np.ndarray, d: int):
+    """The rows of a block that belong to the ``known`` tags: x, y, codes, rows a code."""
+    names, counts = np.asarray(block["tags"], dtype=str), np.asarray(block["counts"])
+    at = np.minimum(np.searchsorted(known, names), len(known) - 1)
+    mine = known[at] == names
+    rows = np.repeat(mine, counts)
+    x, y = np.frombuffer(block["x"]).reshape(-1, d)[rows], np.frombuffer(block["y"])[rows]
+    return x, y, place[at[mine]], counts[mine]
+
+
+def _slots(spark) -> int:
+    """Tasks that surely run at the same time: the cores of a local master, or of
+    the executors that are registered."""
+    conf = spark.sparkContext.getConf()
+    local = re.fullmatch(r"local(?:\[(\d+|\*)(?:,\s*\d+)?\])?", spark.sparkContext.master)
+    if local:
+        return {None: 1, "*": os.cpu_count() or 1}.get(local[1]) or int(local[1])
+    executors = len(spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()) - 1
+    cores = int(conf.get("spark.executor.cores", "1")) // int(conf.get("spark.task.cpus", "1"))
+    return max(1, executors * max(1, cores))
+
+
 class _Blocks:
     """The packed examples of a training run and their gradient passes."""
 
@@ -136,19 +189,25 @@ class _Blocks:
             group_col, F.col("y").cast("double").alias("y"), *[F.col(c).cast("double") for c in feature_cols]
         )
         self.spark, self.d = examples.sparkSession, len(feature_cols)
-        packed = _pack(train, feature_cols, group_col)
-        cores = self.spark.sparkContext.defaultParallelism
-        if packed.rdd.getNumPartitions() < cores:  # every pass should use all cores
-            packed = packed.repartition(cores)
+        self.tasks = _slots(self.spark)
+        # A fixed number of partitions: a barrier stage starts all its tasks at once.
+        packed = _pack(train, feature_cols, group_col).repartition(self.tasks)
         # Without a stored copy a lost executor's blocks are packed again from the examples' own table.
-        self.blocks = (materialize(packed, "blocks") if store else packed).persist(StorageLevel.MEMORY_AND_DISK)
-        self.sizes = self.blocks.select(F.explode(F.arrays_zip("tags", "counts")).alias("z")).groupBy(
+        self.blocks = (materialize(packed, "blocks").repartition(self.tasks) if store else packed).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        sizes = self.blocks.select(F.explode(F.arrays_zip("tags", "counts")).alias("z")).groupBy(
             F.col("z.tags").alias("tag")
         ).agg(F.sum("z.counts").alias("n"))
+        self.sizes = materialize(sizes, "sizes")
+        rows = self.sizes.agg(F.sum("n")).first()[0] or 0
+        dynamic = self.spark.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true"
+        # The largest share of the rows that a task holds is not known: half as much again is allowed for.
+        self.one_stage = not dynamic and 1.5 * rows * (self.d + 1) * 8 <= BLOCK_BYTES * self.tasks
 
     def portions(self):
-        """Lists of (tag, n): all tags, WEIGHTS_AT_ONCE numbers of weights at a time."""
-        each = max(1, WEIGHTS_AT_ONCE // (self.d + 1))
+        """Lists of (tag, n): all tags, a bounded number of weights at a time."""
+        each = max(1, WEIGHTS_AT_ONCE // ((self.d + 2) * (self.tasks if self.one_stage else 1)))
         held = []
         # Tags arrive one partition at a time, sorted, and never all together.
         for r in self.sizes.orderBy("tag").toLocalIterator():
@@ -159,43 +218,77 @@ class _Blocks:
         if held:
             yield held
 
+    def solve(self, tags: list[str], n: np.ndarray, loss: str, method: Callable, options: dict):
+        """``method(gradient, n, d, **options)`` over these tags' examples; ``gradient(rows, w)``
+        gives the gradient sums and loss sums of the tags ``rows`` at weights ``w``."""
+        if self.one_stage:
+            return self._in_one_stage(tags, n, loss, method, options)
+        return method(lambda rows, w: self.gradients([tags[i] for i in rows], w, loss), n, self.d, **options)
+
+    def _in_one_stage(self, tags, n, loss, method, options):
+        known, place = np.unique(np.array(tags, dtype=str), return_index=True)
+        shared = self.spark.sparkContext.broadcast((known, place, n))
+        d = self.d
+
+        def train(batches):
+            context = BarrierTaskContext.get()
+            known, place, n = shared.value
+            held = []
+            for batch in batches:
+                for block in batch.to_pylist():
+                    x, y, code, count = _mine(block, known, place, d)
+                    if len(y):
+                        held.append((x, y, code, count))
+
+            def gradient(rows, w):
+                at = np.full(len(n), -1)
+                at[rows] = np.arange(len(rows))
+                out = np.zeros((len(rows), d + 2))
+                for x, y, code, count in held:
+                    live = at[code] >= 0
+                    if not live.all():
+                        keep = np.repeat(live, count)
+                        x, y, code, count = x[keep], y[keep], code[live], count[live]
+                    if len(y):
+                        out[at[code]] += _sums(x, y, w, at[code], count, loss)
+                # All tasks add the same parts in the same order, so all take the same step.
+                told = context.allGather(base64.b64encode(out.tobytes()).decode())
+                total = sum(np.frombuffer(base64.b64decode(part)).reshape(out.shape) for part in told)
+                return total[:, : d + 1], total[:, d + 1]
+
+            w, ended, done, cost = method(gradient, n, d, **options)
+            if context.partitionId() == 0:
+                rows = [w.astype(float).tolist(), ended.tolist(), done.tolist(), cost.tolist()]
+                kinds = [pa.list_(pa.float64()), pa.int32(), pa.bool_(), pa.float64()]
+                cols = [pa.array(range(len(n)), pa.int32()), *[pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]]
+                yield pa.RecordBatch.from_arrays(cols, ["code", "w", "ended", "done", "cost"])
+
+        told = self.blocks.mapInArrow(train, "code int, w array<double>, ended int, done boolean, cost double", barrier=True)
+        got = sorted(told.collect(), key=lambda r: r["code"])  # one portion's weights
+        shared.destroy()
+        w = np.array([r["w"] for r in got]).reshape(len(tags), d + 1)
+        return w, *[np.array([r[c] for r in got]) for c in ("ended", "done", "cost")]
+
     def gradients(self, tags: list[str], weights: np.ndarray, loss: str) -> tuple[np.ndarray, np.ndarray]:
-        """Gradient sums (tags x features + 1) and loss sums at ``weights``."""
-        order = np.argsort(np.array(tags, dtype=str), kind="stable")
-        shared = self.spark.sparkContext.broadcast((np.array(tags, dtype=str)[order], order, weights))
-        d, hinge = self.d, loss == "hinge"
+        """Gradient sums (tags x features + 1) and loss sums at ``weights``, by a job."""
+        known, place = np.unique(np.array(tags, dtype=str), return_index=True)
+        shared = self.spark.sparkContext.broadcast((known, place, weights))
+        d = self.d
 
         def step(batches):
-            known, place, w_all = shared.value
+            known, place, w = shared.value
             for pdf in batches:
-                for names, counts, y, x in zip(pdf["tags"], pdf["counts"], pdf["y"], pdf["x"]):
-                    names, counts = np.asarray(names, dtype=str), np.asarray(counts)
-                    at = np.minimum(np.searchsorted(known, names), len(known) - 1)
-                    mine = known[at] == names
-                    if not mine.any():
-                        continue
-                    rows = np.repeat(mine, counts)
-                    x = np.frombuffer(x).reshape(-1, d)[rows]
-                    y = np.frombuffer(y)[rows]
-                    code, n = place[at[mine]], counts[mine]
-                    w = np.repeat(w_all[code], n, axis=0)
-                    m = np.einsum("ij,ij->i", x, w[:, :d]) + w[:, d]
-                    s = 2.0 * y - 1.0
-                    if hinge:
-                        mult = np.where(s * m < 1.0, -s, 0.0)
-                        cost = np.maximum(1.0 - s * m, 0.0)
-                    else:
-                        mult = 1.0 / (1.0 + np.exp(-np.clip(m, -700, 700))) - y
-                        cost = np.logaddexp(0.0, -s * m)
-                    first = np.cumsum(n) - n
-                    sums = np.add.reduceat(np.column_stack([mult[:, None] * x, mult, cost]), first, axis=0)
-                    yield pd.DataFrame(
-                        {
-                            "code": np.repeat(code, d + 2),
-                            "k": np.tile(np.arange(d + 2, dtype=np.int32), len(code)),
-                            "v": sums.ravel(),
-                        }
-                    )
+                for block in pdf.to_dict("records"):
+                    x, y, code, n = _mine(block, known, place, d)
+                    if len(y):
+                        sums = _sums(x, y, w, code, n, loss)
+                        yield pd.DataFrame(
+                            {
+                                "code": np.repeat(code, d + 2),
+                                "k": np.tile(np.arange(d + 2, dtype=np.int32), len(code)),
+                                "v": sums.ravel(),
+                            }
+                        )
 
         parts = self.blocks.mapInPandas(step, "code long, k int, v double")
         got = parts.groupBy("code", "k").agg(F.sum("v").alias("v")).collect()  # WEIGHTS_AT_ONCE numbers at most
@@ -242,6 +335,11 @@ def train_linear_all_tags(
     """
     if loss not in LOSSES:
         raise ValueError(f"unknown loss {loss!r}")
+    options = {"iterations": iterations, "step": step, "reg": reg, "tol": tol, "intercept": intercept}
+    return _trained(examples, feature_cols, group_col, split, checkpoint, loss, _sgd, options)
+
+
+def _trained(examples, feature_cols, group_col, split, checkpoint, loss, method, options) -> DataFrame:
     spark, d = examples.sparkSession, len(feature_cols)
     blocks = _Blocks(examples, feature_cols, group_col, split, checkpoint)
     made = []
@@ -250,30 +348,36 @@ def train_linear_all_tags(
             started = time.time()
             tags = [t for t, _ in portion]
             n = np.array([c for _, c in portion], float)
-            w = np.zeros((len(tags), d + 1))
-            w[:, d] = 1.0 if intercept else 0.0
-            cost, ended, done = np.full(len(tags), np.nan), np.zeros(len(tags), int), np.zeros(len(tags), bool)
-            for t in range(1, iterations + 1):
-                live = np.flatnonzero(~done)
-                if not len(live):
-                    break
-                g, losses = blocks.gradients([tags[i] for i in live], w[live], loss)
-                if not intercept:
-                    g[:, d] = 0.0
-                eta = step / math.sqrt(t)
-                after = w[live] * (1.0 - eta * reg) - eta * g / n[live, None]
-                moved = np.linalg.norm(after - w[live], axis=1)
-                size = np.linalg.norm(after, axis=1)
-                if t > 1:
-                    done[live] = moved < tol * np.maximum(size, 1.0)
-                cost[live] = losses / n[live] + 0.5 * reg * size**2
-                w[live], ended[live] = after, t
+            w, ended, done, cost = blocks.solve(tags, n, loss, method, options)
             made.append(_portion_frame(spark, group_col, tags, w, d, ended, done, cost, time.time() - started))
         return _model_frame(spark, group_col, made)
     finally:
         blocks.close()
 
 
+def _sgd(gradient, n: np.ndarray, d: int, iterations: int, step: float, reg: float, tol: float, intercept: bool):
+    """Weights, iterations, whether converged, and losses of all tags by the SGD rule."""
+    w = np.zeros((len(n), d + 1))
+    w[:, d] = 1.0 if intercept else 0.0
+    cost, ended, done = np.full(len(n), np.nan), np.zeros(len(n), int), np.zeros(len(n), bool)
+    for t in range(1, iterations + 1):
+        live = np.flatnonzero(~done)
+        if not len(live):
+            break
+        g, losses = gradient(live, w[live])
+        if not intercept:
+            g = np.column_stack([g[:, :d], np.zeros(len(live))])
+        eta = step / math.sqrt(t)
+        after = w[live] * (1.0 - eta * reg) - eta * g / n[live, None]
+        moved = np.linalg.norm(after - w[live], axis=1)
+        size = np.linalg.norm(after, axis=1)
+        if t > 1:
+            done[live] = moved < tol * np.maximum(size, 1.0)
+        cost[live] = losses / n[live] + 0.5 * reg * size**2
+        w[live], ended[live] = after, t
+    return w, ended, done, cost
+
+
 def _portion_frame(spark, group_col, tags, w, d, ended, done, cost, seconds) -> DataFrame:
     rows = [
         (t, w[i, :d].tolist(), float(w[i, d]), int(ended[i]), bool(done[i]), float(cost[i]), seconds)
@@ -297,60 +401,54 @@ def train_lbfgs_all_tags(
     columns of ``train_linear_all_tags``. ``reg`` weighs half the squared norm of
     the weights without the intercept. A tag stops when no entry of the mean
     gradient is larger than ``tol``."""
-    spark, d = examples.sparkSession, len(feature_cols)
-    blocks = _Blocks(examples, feature_cols, group_col, split, checkpoint)
-    made = []
-    try:
-        for portion in blocks.portions():
-            started = time.time()
-            tags = [t for t, _ in portion]
-            n = np.array([c for _, c in portion], float)
-            penal = np.append(np.full(d, reg), 0.0)
-
-            def value(rows, w):
-                g, losses = blocks.gradients([tags[i] for i in rows], w, "logistic")
-                return losses / n[rows] + 0.5 * (penal * w**2).sum(axis=1), g / n[rows, None] + penal * w
-
-            w = np.zeros((len(tags), d + 1))
-            f, g = value(np.arange(len(tags)), w)
-            past: list[tuple[np.ndarray, np.ndarray]] = []
-            ended = np.zeros(len(tags), int)
-            done = np.abs(g).max(axis=1) <= tol
-            for t in range(1, iterations + 1):
-                live = np.flatnonzero(~done)
-                if not len(live):
-                    break
-                p = _lbfgs_direction(g, past)
-                size = np.ones(len(tags)) if past else 1.0 / np.maximum(np.abs(g).sum(axis=1), 1.0)
-                slope = (g * p).sum(axis=1)
-                w_new, f_new, g_new = w.copy(), f.copy(), g.copy()
-                todo, stuck = live, np.zeros(0, int)
-                for _ in range(30):
-                    trial = w[todo] + size[todo, None] * p[todo]
-                    f_t, g_t = value(todo, trial)
-                    good = f_t <= f[todo] + 1e-4 * size[todo] * slope[todo] + 1e-14 * np.abs(f[todo])
-                    ok = todo[good]
-                    w_new[ok], f_new[ok], g_new[ok] = trial[good], f_t[good], g_t[good]
-                    todo = todo[~good]
-                    if not len(todo):
-                        break
-                    size[todo] *= 0.5
-                else:
-                    stuck = todo
-                s, y = w_new - w, g_new - g
-                past = [*past, (s, y)][-memory:]
-                w, f, g = w_new, f_new, g_new
-                ended[live] = t
-                done |= np.abs(g).max(axis=1) <= tol
-                done_here = done.copy()
-                done_here[stuck] = True  # no smaller value along the direction: as close as the numbers allow
-                if done_here.all():
-                    break
-            converged = np.abs(g).max(axis=1) <= max(tol, 1e-6)
-            made.append(_portion_frame(spark, group_col, tags, w, d, ended, converged, f, time.time() - started))
-        return _model_frame(spark, group_col, made)
-    finally:
-        blocks.close()
+    options = {"iterations": iterations, "reg": reg, "tol": tol, "memory": memory}
+    return _trained(examples, feature_cols, group_col, split, checkpoint, "logistic", _lbfgs, options)
+
+
+def _lbfgs(gradient, n: np.ndarray, d: int, iterations: int, reg: float, tol: float, memory: int):
+    """As ``_sgd``, by L-BFGS with a backtracking line search."""
+    penal = np.append(np.full(d, reg), 0.0)
+
+    def value(rows, w):
+        g, losses = gradient(rows, w)
+        return losses / n[rows] + 0.5 * (penal * w**2).sum(axis=1), g / n[rows, None] + penal * w
+
+    w = np.zeros((len(n), d + 1))
+    f, g = value(np.arange(len(n)), w)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    ended = np.zeros(len(n), int)
+    done = np.abs(g).max(axis=1) <= tol
+    for t in range(1, iterations + 1):
+        live = np.flatnonzero(~done)
+        if not len(live):
+            break
+        p = _lbfgs_direction(g, past)
+        size = np.ones(len(n)) if past else 1.0 / np.maximum(np.abs(g).sum(axis=1), 1.0)
+        slope = (g * p).sum(axis=1)
+        w_new, f_new, g_new = w.copy(), f.copy(), g.copy()
+        todo, stuck = live, np.zeros(0, int)
+        for _ in range(30):
+            trial = w[todo] + size[todo, None] * p[todo]
+            f_t, g_t = value(todo, trial)
+            good = f_t <= f[todo] + 1e-4 * size[todo] * slope[todo] + 1e-14 * np.abs(f[todo])
+            ok = todo[good]
+            w_new[ok], f_new[ok], g_new[ok] = trial[good], f_t[good], g_t[good]
+            todo = todo[~good]
+            if not len(todo):
+                break
+            size[todo] *= 0.5
+        else:
+            stuck = todo
+        s, y = w_new - w, g_new - g
+        past = [*past, (s, y)][-memory:]
+        w, f, g = w_new, f_new, g_new
+        ended[live] = t
+        done |= np.abs(g).max(axis=1) <= tol
+        done_here = done.copy()
+        done_here[stuck] = True  # no smaller value along the direction: as close as the numbers allow
+        if done_here.all():
+            break
+    return w, ended, np.abs(g).max(axis=1) <= max(tol, 1e-6), f
 
 
 def _lbfgs_direction(g: np.ndarray, past: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:

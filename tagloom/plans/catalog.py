@@ -23,6 +23,7 @@ from tagloom.config import (
     REPORT_TITLE,
     REPORT_TRACK,
     SEVEN_FEATURE_INDEXES,
+    shared_dir,
 )
 from tagloom.functions.hashing import unit_hash_sql
 from tagloom.functions.text import clean_tag_name
@@ -39,6 +40,7 @@ from tagloom.operators import train as TR
 from tagloom.plans import stages as G
 from tagloom.plans.stages import FEATS, SEED, SHARE_DEN, with_ctes
 from tagloom.sources import legacy_text as LT
+from tagloom.sources import results as R
 from tagloom.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,9 +101,12 @@ def q_clean_tag_names(spark, sf):
     f"(SELECT tag FROM counts WHERE n * {SHARE_DEN // 2} >= (SELECT n_tracks FROM ntracks))",
 )
 def q_untrained_tags(spark, sf):
-    # "trained" = tags a previous run with twice the cut-off already covered
-    trained = G.popular(spark, sf, SHARE_DEN // 2).select("tag")
-    return T.untrained_tags(G.popular(spark, sf), trained)
+    """Popular tags without stored results, after a run over those of twice the cut-off."""
+    out = shared_dir(spark, "store")
+    run = R.Run(spark, out, 1)
+    run.write("weights", G.popular(spark, sf, SHARE_DEN // 2).withColumn("intercept", F.lit(0.0)))
+    run.commit()
+    return T.untrained_tags(G.popular(spark, sf), R.read_results(spark, f"{out}/weights"))
 
 
 # ---------------------------------------------------------------------------

@@ -19,7 +19,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.config import DEFAULT_MIN_COUNT, DEFAULT_SEED, materialize, shared_dir
@@ -37,6 +37,7 @@ from tagloom.plans.catalog import _SUMMARY_CHAIN_SQL, CONFUSION_SQL, ORACLE_SQL,
 from tagloom.plans.stages import FEATS, SEED, with_ctes
 from tagloom.sources import binary as B
 from tagloom.sources import legacy_text as LT
+from tagloom.sources import results as R
 from tagloom.sources import sinks as K
 from tagloom.sources import testdata as td
 
@@ -45,18 +46,34 @@ from tagloom.sources import testdata as td
 # ---------------------------------------------------------------------------
 
 
-def ingest_text_job(spark: SparkSession, text_glob: str, out: str, feature_names: Sequence[str]) -> DataFrame:
-    """Parse legacy text into the typed store; returns the rejected lines."""
+def ingest_text_job(
+    spark: SparkSession, text_glob: str, out: str, feature_names: Sequence[str], run_times: str | None = None
+) -> DataFrame:
+    """Parse legacy text into the typed store; returns the rejected lines. The
+    numbers of lines read and rejected come from the pass that writes the store."""
+    started = time.time()
     parsed = LT.read_track_text(spark, text_glob)
     typed = LT.features_to_columns(parsed, feature_names).withColumn("letter", F.substring("track_id", 3, 1))
+    seen = Observation()
+    rejected = F.coalesce(F.sum(F.when(F.col("parse_ok"), 0).otherwise(1)), F.lit(0))
+    typed = typed.observe(seen, F.count(F.lit(1)).alias("read"), rejected.alias("rejected"))
     K.write_track_store(typed.filter("parse_ok").drop("parse_ok"), out)
+    if run_times:
+        K.append_run_time(spark, run_times, "ingest", started, None, seen.get["read"], seen.get["rejected"])
     return parsed.filter(~F.col("parse_ok"))
 
 
 def ingest_files_job(spark: SparkSession, root: str, out: str, decoder=B.json_lines_decoder, glob: str = "*.h5",
-                     feature_names: Sequence[str] = td.PART_FEATURES) -> None:
-    tracks = B.read_track_files(spark, root, decoder, glob, feature_names)
-    K.write_track_store(tracks.drop("source_file"), out)
+                     feature_names: Sequence[str] = td.PART_FEATURES, run_times: str | None = None) -> DataFrame:
+    """Decode per-track files into the typed store; returns (source_file, error) of
+    those that could not be read."""
+    started, seen = time.time(), Observation()
+    found = B.read_track_files(spark, root, decoder, glob, feature_names)
+    told = found.observe(seen, F.count(F.lit(1)).alias("read"), F.count("error").alias("rejected"))
+    K.write_track_store(B.tracks_only(told).drop("source_file"), out)
+    if run_times:
+        K.append_run_time(spark, run_times, "ingest_files", started, None, seen.get["read"], seen.get["rejected"])
+    return B.rejects(found)
 
 
 def tag_count_job(spark: SparkSession, tracks: DataFrame, out: str, run_times: str | None = None) -> DataFrame:
@@ -79,6 +96,7 @@ def train_and_evaluate(
     score: str = "label",
     step: float = 1.0,
     reg: float | None = None,
+    intercept: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(model, metrics) for every tag of ``examples`` in one batched run.
 
@@ -99,7 +117,7 @@ def train_and_evaluate(
         loss = "hinge" if optimizer == "svm_sgd" else "logistic"
         model = TR.train_linear_all_tags(
             examples, feature_cols, loss=loss, iterations=iterations, step=step,
-            reg=0.01 if reg is None else reg, checkpoint=False,
+            reg=0.01 if reg is None else reg, intercept=intercept, checkpoint=False,
         )
     w = TR.weights_table(model, feature_cols)
     test = examples.filter(F.col("split") == "test")
@@ -131,35 +149,32 @@ def train_job(
     seed: int = DEFAULT_SEED,
     skip_trained: bool = True,
 ) -> DataFrame:
-    """Train every popular tag not yet trained; append weights, then metrics.
-
-    A tag is trained when it has weights and metrics; a run that ended in between
-    is made up for by the next one. Earlier runs' results stay as they are. The
-    scaler is stored beside the weights.
+    """Train every popular tag that has no stored results, and store weights and
+    metrics as one run: a run that ends on the way leaves neither, and the next
+    one trains its tags. Earlier runs' results stay as they are. The scaler is
+    stored beside the weights.
     """
     started = time.time()
-    at = {name: f"{out}/{name}" for name in ("weights", "metrics")}
-    there = all(K.results_exist(spark, path) for path in at.values())
-    popular, run = T.popular_tags(counts, min_count), 1
-    if there:
-        run = 1 + max(spark.read.parquet(path).agg(F.max("run")).first()[0] or 0 for path in at.values())
-        if skip_trained:
-            done = K.read_results(spark, at["weights"]).join(K.read_results(spark, at["metrics"]), "tag", "left_semi")
-            popular = T.untrained_tags(popular, done)
+    done, popular = R.committed(spark, out), T.popular_tags(counts, min_count)
+    if done and skip_trained:
+        popular = T.untrained_tags(popular, K.read_results(spark, f"{out}/weights"))
     popular = materialize(popular, "untrained")
-    if there and popular.isEmpty():
+    n_tags = popular.count()
+    if done and not n_tags:
         K.append_run_time(spark, f"{out}/run_times", "train", started)
-        return K.read_results(spark, at["metrics"])
+        return K.read_results(spark, f"{out}/metrics")
+    run = R.Run(spark, out, n_tags)
     tracks = materialize(tracks, "tracks")
     stats = scaling.fit_scaler(tracks, feature_cols)
     scaled = scaling.apply_scaler(tracks, stats, feature_cols)
     examples = L.labelled_examples(scaled, popular, feature_cols, mode=mode, seed=seed)
     model, metrics = train_and_evaluate(examples, feature_cols, optimizer, iterations)
     positives = L.class_counts(tracks, popular, mode).select("tag", "n_positive")
-    K.append_results(scaling.with_scaler(model, stats, feature_cols), at["weights"], run)
-    K.append_results(metrics.join(positives, "tag"), at["metrics"], run)
+    run.write("weights", scaling.with_scaler(model, stats, feature_cols))
+    run.write("metrics", metrics.join(positives, "tag"))
+    run.commit()
     K.append_run_time(spark, f"{out}/run_times", "train", started)
-    return K.read_results(spark, at["metrics"])
+    return K.read_results(spark, f"{out}/metrics")
 
 
 def predict_job(
@@ -413,7 +428,7 @@ def q_binary_ingest(spark, sf):
     path = shared_dir(spark, "files")
     t = G.tracks(spark, sf).select("track_id", "tags", features_array(FEATS).alias("features"), "letter")
     t.write.mode("overwrite").partitionBy("letter").json(path)
-    got = B.read_track_files(spark, path, B.json_lines_decoder, "*.json", FEATS)
+    got = B.tracks_only(B.read_track_files(spark, path, B.json_lines_decoder, "*.json", FEATS))
     return got.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(got))
 
 
@@ -600,10 +615,10 @@ def q_train_job_incremental(spark, sf):
     tracks = G.stored_tracks(spark, sf)
     counts = materialize(T.tag_counts(tracks), "counts")
     first = _min_count(spark, sf, G.SHARE_DEN // 2)
-    train_job(spark, tracks, counts, FEATS, out, min_count=first, iterations=5)
+    train_job(spark, tracks, counts, FEATS, out, min_count=first)
     old = materialize(K.read_results(spark, f"{out}/weights").select("tag", F.col("weights").alias("old")), "old")
-    train_job(spark, tracks, counts, FEATS, out, min_count=first, iterations=5)
-    train_job(spark, tracks, counts, FEATS, out, min_count=_min_count(spark, sf, G.SHARE_DEN), iterations=5)
+    train_job(spark, tracks, counts, FEATS, out, min_count=first)
+    train_job(spark, tracks, counts, FEATS, out, min_count=_min_count(spark, sf, G.SHARE_DEN))
     weights, metrics = (K.read_results(spark, f"{out}/{name}") for name in ("weights", "metrics"))
     told = metrics.select("tag", F.col("run").alias("_run"))
     both = weights.join(told, "tag", "full").join(old, "tag", "left")
@@ -633,3 +648,99 @@ def q_predict_from_store(spark, sf):
     one = S.sample_one(tracks.join(letter, "letter", "left_semi"), "track_id", SEED)
     ranked = predict_job(spark, one, out, FEATS)
     return ranked.select("track_id", "tag", F.round("margin", 6).alias("margin"), "rank")
+
+
+@job_query("model_of_one_tag", sql=with_ctes(
+    *G.sql_examples_chain(),
+    f"\ntrain_x AS (SELECT e.tag, e.y, {G.sql_x()} AS x FROM examples e WHERE e.split = 'train')", G.sql_sgd("hinge"),
+).replace("WITH ", "WITH RECURSIVE ", 1) + """
+, top AS (SELECT tag FROM popular ORDER BY n DESC, tag LIMIT 1)
+SELECT m.tag, CAST(1 AS BIGINT) AS run, CAST(m.t AS INTEGER) AS iterations, m.done AS converged,
+       CAST(i AS INTEGER) AS k, round(m.w[i], 6) AS weight
+FROM model m JOIN top USING (tag), (SELECT unnest(range(1, len(m.w) + 1)) AS i)""")
+def q_model_of_one_tag(spark, sf):
+    """One tag's model looked up in the store of all tags: the weights, intercept last."""
+    out = shared_dir(spark, "train-job")
+    tracks = G.stored_tracks(spark, sf)
+    train_job(spark, tracks, T.tag_counts(tracks), FEATS, out, min_count=_min_count(spark, sf, G.SHARE_DEN))
+    model = R.read_tag(spark, out, "weights", _top_tag(spark, sf))
+    whole = F.concat("weights", F.array("intercept"))
+    return model.select("tag", "run", "iterations", "converged", F.posexplode(whole).alias("k", "weight")).select(
+        "tag", "run", "iterations", "converged", (F.col("k") + 1).alias("k"), F.round("weight", 6).alias("weight")
+    )
+
+
+@job_query("train_svm_other_step", sql=G.sql_trained("hinge", step=0.25, intercept=False, reg=0.05))
+def q_train_svm_other_step(spark, sf):
+    """The trainer's parameters as they vary: another step and penalty, no intercept."""
+    model, metrics = train_and_evaluate(G.examples(spark, sf), FEATS, step=0.25, reg=0.05, intercept=False)
+    return _told(metrics)
+
+
+_BROKEN_LINES = "letter = '0'"
+
+
+def _written_lines(spark, sf) -> str:
+    """Legacy text of all tracks; the lines of one letter are cut off in the middle."""
+    path = shared_dir(spark, "text")
+    lines = LT.format_track_lines(G.stored_tracks(spark, sf), FEATS)
+    value = F.when(F.expr(_BROKEN_LINES), F.substring("value", 1, 15)).otherwise(F.col("value"))
+    lines.select(value.alias("value")).write.text(path)
+    return path
+
+
+@job_query("ingest_run_time_log", sql=with_ctes(G.SQL_TRACKS) + "SELECT 'ingest' AS job, true AS sane_seconds, "
+           f"CAST(count(*) AS BIGINT) AS rows_read, CAST(count(*) FILTER ({_BROKEN_LINES}) AS BIGINT) AS rows_rejected, "
+           f"CAST(count(*) FILTER (NOT ({_BROKEN_LINES})) AS BIGINT) AS n_stored FROM tracks")
+def q_ingest_run_time_log(spark, sf):
+    """Text with broken lines into the typed store; lines read and rejected are
+    observed while the store is written, and logged with the run's time."""
+    base = shared_dir(spark, "ingest")
+    ingest_text_job(spark, _written_lines(spark, sf), f"{base}/store", FEATS, f"{base}/run_times")
+    stored = K.read_track_store(spark, f"{base}/store").agg(F.count(F.lit(1)).alias("n_stored"), F.lit("ingest").alias("job"))
+    sane = (F.col("seconds") >= 0) & (F.col("seconds") < 86400) & (F.col("started_at") > 0)
+    log = spark.read.parquet(f"{base}/run_times")
+    return log.select("job", sane.alias("sane_seconds"), "rows_read", "rows_rejected").join(stored, "job")
+
+
+@job_query("text_to_models", sql=JOB_ORACLE_SQL["train_job_end_to_end"].replace(", true AS timed", ""))
+def q_text_to_models(spark, sf):
+    """From legacy text to stored models: lines -> typed store -> tag counts ->
+    every popular tag trained for 100 iterations -> summary of what is stored."""
+    base, text = shared_dir(spark, "text-job"), shared_dir(spark, "text")
+    LT.format_track_lines(G.stored_tracks(spark, sf), FEATS).select("value").write.text(text)
+    ingest_text_job(spark, text, f"{base}/store", FEATS, f"{base}/run_times")
+    store = K.read_track_store(spark, f"{base}/store").drop("letter")
+    counts = tag_count_job(spark, store, f"{base}/counts", f"{base}/run_times")
+    min_count = -(-store.count() // G.SHARE_DEN)
+    train_job(spark, store, counts, FEATS, f"{base}/models", min_count=min_count)
+    summary = SU.summarize_models(counts, K.read_results(spark, f"{base}/models/metrics"), min_count)
+    return summary.select(
+        "tag", "song_count", "n_positive", F.round("auroc", 6).alias("auroc"), F.round("auprc", 6).alias("auprc")
+    )
+
+
+@job_query("verbose_preview", sql=with_ctes(G.SQL_TRACKS) + "SELECT CAST(least(count(*), 4) AS BIGINT) AS n, true AS all_known "
+           "FROM tracks")
+def q_verbose_preview(spark, sf):
+    """The rows that a verbose run shows: four of the table's own."""
+    tracks = G.stored_tracks(spark, sf)
+    shown = T.preview(tracks.select("track_id", "letter"), 4, enabled=True, label="tracks")
+    rows = spark.createDataFrame(shown, "track_id string, letter string")
+    known = rows.join(tracks.select("track_id", F.col("letter").alias("_own")), "track_id", "left")
+    same = F.col("letter").cast("string").eqNullSafe(F.col("_own").cast("string"))
+    return known.agg(F.count(F.lit(1)).alias("n"), F.bool_and(same).alias("all_known"))
+
+
+@job_query("track_lines_ingest", sql=with_ctes(G.SQL_TRACKS) + "SELECT track_id, array_to_string(tags, '|') AS tags, "
+           + _FEATS_SQL + ", CAST(NULL AS VARCHAR) AS error FROM tracks UNION ALL SELECT NULL, NULL, "
+           + ", ".join("NULL" for _ in FEATS) + ", 'not a track: ' || track_id FROM tracks WHERE " + _BROKEN_LINES)
+def q_track_lines_ingest(spark, sf):
+    """Files of track records, cut at line ends; broken lines among them are told apart."""
+    path = shared_dir(spark, "files")
+    t = G.stored_tracks(spark, sf)
+    good = t.select("letter", F.to_json(F.struct("track_id", "tags", features_array(FEATS).alias("features"))).alias("value"))
+    broken = t.filter(_BROKEN_LINES).select("letter", F.col("track_id").alias("value"))
+    good.unionByName(broken).write.partitionBy("letter").text(path)
+    got = B.read_track_lines(spark, path, "*.txt", FEATS)
+    return got.select("track_id", F.array_join("tags", "|").alias("tags"), *_rounded_features(got), "error")

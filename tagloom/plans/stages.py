@@ -166,14 +166,15 @@ test_pred AS (
 
 
 def sql_sgd(
-    loss: str, step: float = 1.0, reg: float = 0.01, tol: float = 0.001, iterations: int = 100, feats=None
+    loss: str, step: float = 1.0, reg: float = 0.01, tol: float = 0.001, iterations: int = 100, feats=None,
+    intercept: bool = True,
 ) -> str:
     """CTE ``model`` (tag, t, w, done): batched SGD as a recursion over ``train_x``
-    (tag, y, x), x ending in 1.0 for the intercept. Same rule, start and stop test
-    as the trainer."""
+    (tag, y, x), x ending in 1.0 for the intercept (0.0 without one). Same rule,
+    start and stop test as the trainer."""
     feats = FEATS if feats is None else feats
     d = len(feats) + 1
-    start = "[" + ", ".join(["CAST(0 AS DOUBLE)"] * (d - 1) + ["CAST(1 AS DOUBLE)"]) + "]"
+    start = "[" + ", ".join(["CAST(0 AS DOUBLE)"] * (d - 1) + [f"CAST({int(intercept)} AS DOUBLE)"]) + "]"
     if loss == "hinge":
         mult = "CASE WHEN (2 * y - 1) * m < 1 THEN -(2 * y - 1) ELSE 0 END"
     else:
@@ -197,8 +198,9 @@ model_steps AS (
 model AS (SELECT tag, max(t) AS t, arg_max(w, t) AS w, arg_max(done, t) AS done FROM model_steps GROUP BY tag)"""
 
 
-def sql_x(alias: str = "e", feats=None) -> str:
-    return "[" + ", ".join(f"{alias}.{c}" for c in (FEATS if feats is None else feats)) + ", CAST(1 AS DOUBLE)]"
+def sql_x(alias: str = "e", feats=None, intercept: bool = True) -> str:
+    cols = ", ".join(f"{alias}.{c}" for c in (FEATS if feats is None else feats))
+    return f"[{cols}, CAST({int(intercept)} AS DOUBLE)]"
 
 
 def sql_model_predictions(kind: str, feats=None) -> str:
@@ -211,15 +213,17 @@ test_pred AS (
         FROM examples e JOIN model w ON w.tag = e.tag WHERE e.split = 'test'))"""
 
 
-def sql_trained(loss: str) -> str:
+def sql_trained(loss: str, **options) -> str:
     """The trainer query: hold-out areas of every tag's model on 0/1 predictions."""
-    return sql_trained_over(loss, sql_examples_chain())
+    return sql_trained_over(loss, sql_examples_chain(), **options)
 
 
-def sql_trained_over(loss: str, chain: list[str], feats=None) -> str:
-    train = f"\ntrain_x AS (SELECT e.tag, e.y, {sql_x(feats=feats)} AS x FROM examples e WHERE e.split = 'train')"
+def sql_trained_over(loss: str, chain: list[str], feats=None, **options) -> str:
+    x = sql_x(feats=feats, intercept=options.get("intercept", True))
+    train = f"\ntrain_x AS (SELECT e.tag, e.y, {x} AS x FROM examples e WHERE e.split = 'train')"
     scored = "\nscored AS (SELECT tag, y, prediction AS score FROM test_pred)"
-    parts = [*chain, train, sql_sgd(loss, feats=feats), sql_model_predictions(loss, feats), scored, CURVE_AREAS_SQL]
+    sgd = sql_sgd(loss, feats=feats, **options)
+    parts = [*chain, train, sgd, sql_model_predictions(loss, feats), scored, CURVE_AREAS_SQL]
     return (
         with_ctes(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
         + "SELECT a.tag, n_pos, n_neg, round(auroc, 6) AS auroc, round(auprc, 6) AS auprc, "

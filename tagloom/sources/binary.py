@@ -7,7 +7,12 @@ function ``bytes -> list[(track_id, tags, features)]``, so one file may hold
 one track (per-track files) or many (summary files).
 
 ``hdf5_decoder`` needs ``h5py``, which is optional; ``json_lines_decoder``
-reads the JSON-lines stand-in used in tests.
+reads the JSON-lines stand-in used in tests. A file that can't be decoded gives
+one row with its ``error`` and no track, and the others go on.
+
+``read_track_lines`` is for files of many records, one a line: the scan packs
+small files into one task and cuts large ones at line ends, so that no file has
+to fit a task; a line that can't be parsed is a row with an ``error``.
 """
 
 from __future__ import annotations
@@ -66,7 +71,10 @@ def read_track_files(
     glob: str = "*.h5",
     feature_names: Sequence[str] = TRACK_FEATURES,
 ) -> DataFrame:
-    """tracks(track_id, tags, features, <feature_names>..., letter, source_file)."""
+    """tracks(track_id, tags, features, <feature_names>..., source_file, error, letter).
+
+    ``error`` is null for tracks; a file that the decoder fails on is one row with
+    what it said (``tracks_only`` and ``rejects`` tell them apart)."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -79,13 +87,48 @@ def read_track_files(
         for pdf in batches:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                for tid, tags, feats in decoder(bytes(content)):
-                    rows.append((tid, tags, feats, path))
-            yield pd.DataFrame(rows, columns=["track_id", "tags", "features", "source_file"])
+                try:
+                    rows += [(tid, tags, feats, path, None) for tid, tags, feats in decoder(bytes(content))]
+                except ImportError:
+                    raise
+                except Exception as e:  # noqa: BLE001 - whatever a decoder says of a broken file is its row
+                    rows.append((None, None, None, path, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["track_id", "tags", "features", "source_file", "error"])
+
+    schema = "track_id string, tags array<string>, features array<double>, source_file string, error string"
+    return _named(files.mapInPandas(decode, schema), feature_names)
 
-    schema = "track_id string, tags array<string>, features array<double>, source_file string"
-    tracks = files.mapInPandas(decode, schema)
+
+def _named(tracks: DataFrame, feature_names: Sequence[str]) -> DataFrame:
     named = [F.get(F.col("features"), i).alias(n) for i, n in enumerate(feature_names)]
-    return tracks.select("track_id", "tags", "features", *named, "source_file").withColumn(
+    return tracks.select("track_id", "tags", "features", *named, "source_file", "error").withColumn(
         "letter", F.substring("track_id", 3, 1)
     )
+
+
+_LINE = "track_id string, tags array<string>, features array<double>, _broken string"
+
+
+def read_track_lines(
+    spark: SparkSession, root: str, glob: str = "*.json", feature_names: Sequence[str] = TRACK_FEATURES
+) -> DataFrame:
+    """The columns of ``read_track_files`` from files with one JSON object a line;
+    empty lines are no records."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("source_file")).filter(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    read = lines.select("source_file", "value", F.from_json("value", _LINE, options).alias("r"))
+    lacks = F.col("r._broken").isNotNull() | F.col("r.track_id").isNull() | F.col("r.features").isNull()
+    error = F.when(lacks, F.concat(F.lit("not a track: "), F.substring("value", 1, 200)))
+    own = [F.when(~lacks, F.col(f"r.{c}")).alias(c) for c in ("track_id", "features")]
+    tags = F.when(~lacks, F.coalesce("r.tags", F.array().cast("array<string>"))).alias("tags")
+    return _named(read.select(own[0], tags, own[1], "source_file", error.alias("error")), feature_names)
+
+
+def tracks_only(read: DataFrame) -> DataFrame:
+    return read.filter("error IS NULL").drop("error")
+
+
+def rejects(read: DataFrame) -> DataFrame:
+    """(source_file, error) of what could not be read."""
+    return read.filter("error IS NOT NULL").select("source_file", "error")

@@ -1,23 +1,28 @@
-"""Writers: the typed stores, per-tag results, models, run times, CSV reports.
+"""Writers: the typed stores, run times, CSV reports.
 
 All writes are distributed DataFrame writes into a path the caller gives
 (normally under the shared checkpoint folder); re-running a job overwrites
-its output, per tag where results are per tag.
+its output. Per-tag results of training runs are in ``results``.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.config import SUMMARY_HEADER
+from tagloom.sources.results import read_results  # noqa: F401 - read beside the writers here
 
 
 def write_track_store(tracks: DataFrame, path: str) -> None:
-    """Tracks as Parquet partitioned by ``letter`` (one write, no per-letter loop)."""
-    tracks.write.mode("overwrite").partitionBy("letter").parquet(path)
+    """Tracks as Parquet partitioned by ``letter`` (one write, no per-letter loop).
+    Each file is sorted by id and has Bloom filters on it, so that the look-up of one
+    track reads the row groups that may hold it."""
+    dealt = tracks.sortWithinPartitions("letter", "track_id").write.mode("overwrite").partitionBy("letter")
+    dealt.option("parquet.bloom.filter.enabled#track_id", "true").parquet(path)
 
 
 def read_track_store(spark: SparkSession, path: str, letter: str | None = None) -> DataFrame:
@@ -31,37 +36,27 @@ def write_tag_counts(counts: DataFrame, path: str) -> None:
     counts.orderBy(F.desc("n"), F.asc("tag")).write.mode("overwrite").parquet(path)
 
 
-def append_results(results: DataFrame, path: str, run: int) -> None:
-    """Append per-tag results (weights or metrics) of run number ``run``. What
-    earlier runs wrote stays; a tag that is written again counts from its latest
-    run on (:func:`read_results`). Plain Parquet with ``tag`` as a column: tags
-    keep their type and a run with many tags makes few files."""
-    results.withColumn("run", F.lit(run).cast("bigint")).write.mode("append").parquet(path)
-
-
-def results_exist(spark: SparkSession, path: str) -> bool:
-    """Whether results were written at ``path``; a folder that can't be read is an error."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """The latest results of each tag, with their ``run``."""
-    everything = spark.read.parquet(path)
-    latest = everything.groupBy("tag").agg(F.max("run").alias("run"))
-    return everything.join(latest, ["tag", "run"], "left_semi")
-
-
 def write_metric_text(lines: DataFrame, path: str) -> None:
     """Legacy three-line metric files, one folder per (clean) tag name."""
     lines.select("clean_tag", "value").write.mode("overwrite").partitionBy("clean_tag").text(path)
 
 
-def append_run_time(spark: SparkSession, path: str, job: str, started_at: float, seconds: float | None = None) -> None:
-    """Append one (job, started_at, seconds) row to the run-time log."""
+def append_run_time(
+    spark: SparkSession,
+    path: str,
+    job: str,
+    started_at: float,
+    seconds: float | None = None,
+    rows_read: int | None = None,
+    rows_rejected: int | None = None,
+) -> None:
+    """Append one (job, started_at, seconds, rows_read, rows_rejected) row to the
+    run-time log; the rows are null for jobs that don't tell them. Each row is a
+    partition (``entry``) of its own, so jobs that end at once don't meet."""
     secs = float(seconds if seconds is not None else time.time() - started_at)
-    row = spark.createDataFrame([(job, int(started_at), secs)], "job string, started_at bigint, seconds double")
-    row.write.mode("append").parquet(path)
+    row = [(job, int(started_at), secs, rows_read, rows_rejected)]
+    schema = "job string, started_at bigint, seconds double, rows_read bigint, rows_rejected bigint"
+    spark.createDataFrame(row, schema).coalesce(1).write.parquet(f"{path}/entry=r{uuid.uuid4().hex}")
 
 
 def write_summary_csv(summary: DataFrame, path: str, header_names: list[str] | None = None) -> None:

@@ -7,6 +7,7 @@ from tagloom import config
 from tagloom.operators import scaling
 from tagloom.operators import tags as T
 from tagloom.plans import jobs as J
+from tagloom.sources import results as R
 from tagloom.sources import sinks as K
 
 FEATS = ["a", "b"]
@@ -54,6 +55,91 @@ def test_weights_without_metrics_are_trained_again(spark, tmp_path):
     assert {r.tag for r in K.read_results(spark, f"{out}/metrics").collect()} == {"007", "1990"}
 
 
+def _one_row_a_tag(spark, out, tags):
+    for name in ("weights", "metrics"):
+        assert sorted(r.tag for r in K.read_results(spark, f"{out}/{name}").collect()) == sorted(tags)
+    runs = [{r.tag: r.run for r in K.read_results(spark, f"{out}/{name}").collect()} for name in ("weights", "metrics")]
+    assert runs[0] == runs[1]
+
+
+def test_a_run_that_dies_between_its_tables_leaves_nothing(spark, tmp_path, monkeypatch):
+    tracks, out = _tracks(spark), str(tmp_path / "models")
+    counts = T.tag_counts(tracks)
+    train = lambda n: J.train_job(spark, tracks, counts, FEATS, out, min_count=n, mode="exact", iterations=3)
+    write = R.Run.write
+
+    def dies(self, name, table):
+        if name == "metrics":
+            raise RuntimeError("lost")
+        write(self, name, table)
+
+    for n, tags in ((50, ["007", "1990"]), (20, ["007", "1990", "1e3"])):  # the first run of all, and a later one
+        monkeypatch.setattr(R.Run, "write", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            train(n)
+        monkeypatch.setattr(R.Run, "write", write)
+        train(n)
+        _one_row_a_tag(spark, out, tags)
+    assert len(J.predict_job(spark, tracks.limit(1), out, FEATS).collect()) == 3
+    assert [e.rows for e in R.committed(spark, out)] == [{"weights": 2, "metrics": 2}, {"weights": 1, "metrics": 1}]
+    # What the dead runs left is removed only when it has not changed for a while.
+    assert R.remove_uncommitted(spark, out, ["weights", "metrics"], 3600) == []
+    assert len(R.remove_uncommitted(spark, out, ["weights", "metrics"], -1)) == 2
+    _one_row_a_tag(spark, out, ["007", "1990", "1e3"])
+
+
+def test_a_run_that_dies_before_its_entry_is_not_seen(spark, tmp_path, monkeypatch):
+    tracks, out = _tracks(spark), str(tmp_path / "models")
+    counts = T.tag_counts(tracks)
+    monkeypatch.setattr(R.Run, "commit", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        J.train_job(spark, tracks, counts, FEATS, out, min_count=50, mode="exact", iterations=3)
+    with pytest.raises(FileNotFoundError):
+        K.read_results(spark, f"{out}/weights")
+
+
+def test_two_runs_at_once(spark, tmp_path):
+    """Both train the same tags; one of them counts, for both tables."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    tracks, out = _tracks(spark), str(tmp_path / "models")
+    counts = T.tag_counts(tracks)
+    train = lambda n: J.train_job(spark, tracks, counts, FEATS, out, min_count=50, mode="exact", iterations=n)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(train, (3, 4)))
+    _one_row_a_tag(spark, out, ["007", "1990"])
+    # Runs that start before either has ended have one number; the ids decide.
+    out = str(tmp_path / "other")
+    a, b = R.Run(spark, out, 1), R.Run(spark, out, 1)
+    assert a.number == b.number
+    for run, w in ((a, 1.0), (b, 2.0)):
+        for name in ("weights", "metrics"):
+            rows = spark.createDataFrame([("007", w)], "tag string, w double")
+            run.write(name, rows)
+    b.commit()
+    a.commit()
+    want = 1.0 if a.id > b.id else 2.0
+    for name in ("weights", "metrics"):
+        (row,) = R.read_tag(spark, out, name, "007").collect()
+        assert row.run == a.number and row.w == want
+
+
+def test_one_tag_is_read_from_one_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "TAGS_A_BUCKET", 10)
+    out = str(tmp_path / "models")
+    rows = spark.range(400).select(F.concat(F.lit("tag "), F.col("id").cast("string")).alias("tag"), F.col("id").alias("w"))
+    run = R.Run(spark, out, 400)
+    run.write("weights", rows)
+    run.commit()
+    assert run.buckets == 40 and K.read_results(spark, f"{out}/weights").count() == 400
+    for i in (0, 7, 399):
+        one = R.read_tag(spark, out, "weights", f"tag {i}")
+        assert [r.w for r in one.collect()] == [i]
+        assert len(one.inputFiles()) == 1
+        assert "PushedFilters: [IsNotNull(tag), EqualTo(tag,tag " in one._jdf.queryExecution().toString()
+    assert R.read_tag(spark, out, "weights", "absent").collect() == []
+
+
 def test_unreadable_metrics_are_an_error(spark, tmp_path):
     tracks, out = _tracks(spark), tmp_path / "models"
     for name in ("weights", "metrics"):
@@ -98,6 +184,62 @@ def test_files_to_store(spark, tmp_path):
     assert K.read_track_store(spark, str(tmp_path / "store")).count() == 120
 
 
+def test_broken_files_and_lines_are_told(spark, tmp_path):
+    """A broken file is a row, not the end; a large file is read by several tasks."""
+    from tagloom.sources import binary as B
+
+    root = tmp_path / "files"
+    root.mkdir()
+    good = '{"track_id": "TRX%d", "tags": ["a"], "features": [1.0, %d]}\n'
+    (root / "one.json").write_text("".join(good % (i, i) for i in range(5)))
+    (root / "two.json").write_text(good % (7, 7) + "not json\n")
+    (root / "three.json").write_bytes(b"\xff\xfe")
+    (root / "none.json").write_text("")
+    rejected = J.ingest_files_job(spark, str(root), str(tmp_path / "store"), glob="*.json", feature_names=FEATS, run_times=str(tmp_path / "times"))
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in rejected.collect()) == ["three.json", "two.json"]
+    assert K.read_track_store(spark, str(tmp_path / "store")).count() == 5
+    log = spark.read.parquet(str(tmp_path / "times")).first()
+    assert (log.job, log.rows_read, log.rows_rejected) == ("ingest_files", 7, 2)
+    # As records: only the broken lines are rejected.
+    lines = B.read_track_lines(spark, str(root), "*.json", FEATS)
+    assert B.tracks_only(lines).count() == 6 and B.rejects(lines).count() == 2
+    # One file of several splits, every record once.
+    big = tmp_path / "big"
+    big.mkdir()
+    (big / "all.json").write_text("".join(good % (i, i) for i in range(20_000)) + '{"track_id": null}\n{"tags": 3}\n\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        lines = B.read_track_lines(spark, str(big), "*.json", FEATS)
+        assert lines.rdd.getNumPartitions() >= 4
+        assert lines.filter("error IS NULL").agg(F.countDistinct("track_id"), F.sum("b")).first() == (20_000, 19_999 * 10_000.0)
+        assert B.rejects(lines).count() == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_observed_counts_of_text(spark, tmp_path):
+    from tagloom.sources import legacy_text as LT
+
+    lines = LT.format_track_lines(_tracks(spark).withColumn("track_id", F.concat(F.lit("TRX"), "track_id")), FEATS)
+    bad = spark.createDataFrame([("not a line",), ("",)], "value string")
+    lines.select("value").unionByName(bad).write.text(str(tmp_path / "text"))
+    J.ingest_text_job(spark, str(tmp_path / "text"), str(tmp_path / "store"), FEATS, str(tmp_path / "times"))
+    log = spark.read.parquet(str(tmp_path / "times")).first()
+    assert (log.rows_read, log.rows_rejected) == (122, 2)
+
+
+def test_preview(spark, caplog):
+    import logging
+
+    df = spark.range(100)
+    with caplog.at_level(logging.INFO, logger="tagloom"):
+        assert T.preview(df, 4) == [] and not caplog.records
+        rows = T.preview(df, 4, enabled=True, label="ids")
+        assert len(rows) == 4 and all(0 <= r.id < 100 for r in rows) and "ids: " in caplog.text
+        assert len(T.preview(df.limit(2), 4, enabled=True)) == 2
+
+
 def test_scaler_fitted_on_train_only(spark):
     df = spark.createDataFrame([(1.0, "train"), (3.0, "train"), (100.0, "test")], "a double, split string")
     got = [r.a for r in scaling.standard_scale(df, ["a"], fit_on="train").collect()]

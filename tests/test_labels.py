@@ -63,7 +63,7 @@ def test_odd_lists_in_every_mode(spark):
     for mode in L.MATCH_MODES:
         want = sorted((tag, i) for tag in ODD_TAGS for i, t in ODD if _carries(t, tag, mode))
         assert _pairs(L.positive_pairs(tr, tags, mode)) == want, mode
-        ex = L.labelled_examples(tr, tags, ["f"], mode=mode, buckets=16).collect()
+        ex = L.labelled_examples(tr, tags, ["f"], mode=mode, cell_rows=3).collect()
         assert sorted((r.tag, r.track_id) for r in ex if r.y == 1.0) == want
         assert all(r.y in (0.0, 1.0) and r.split in ("train", "test") for r in ex)
         assert not {(r.tag, r.track_id) for r in ex if r.y == 0.0} & set(want)
@@ -91,14 +91,71 @@ def test_examples_keep_positives_and_drawn_negatives(spark):
     )
     tags = spark.createDataFrame([("rock",), ("jazz",)], "tag string")
     draws = {r.track_id: r.u for r in with_sample_draws(tr).collect()}
-    for buckets in (1, 16, 4096):
-        ex = L.labelled_examples(tr, tags, ["f"], mode="exact", buckets=buckets).collect()
+    for cell_rows in (1, 30, 100_000):
+        ex = L.labelled_examples(tr, tags, ["f"], mode="exact", cell_rows=cell_rows).collect()
         assert sum(1 for r in ex if r.tag == "rock" and r.y == 1.0) == 58  # every positive kept
         kept = {r.track_id for r in ex if r.tag == "rock" and r.y == 0.0}
         assert kept == {k for k, u in draws.items() if int(k) % 7 and u < 58 / 342}
         assert len({(r.tag, r.track_id) for r in ex}) == len(ex)
 
 
+def test_cells_make_the_rows_that_are_kept(spark):
+    """Every (tag, track) below the fraction once, and nothing else, for odd fractions
+    and draws, whole cells split or not."""
+    edge = 1 / 2**32
+    fractions = [0.0, edge, 2 * edge, 0.5, 1 / 3, 1 / 16, 1.0 - edge, 1.0, 0.123456789, 15 / 16, 1e-12]
+    tags = spark.createDataFrame([(str(i), f) for i, f in enumerate(fractions)], "tag string, fraction double")
+    draws = sorted({0.0, edge, 2 * edge, 1 - edge, 0.5, 0.5 - edge, 1 / 16, 1 / 16 - edge, *[(i * 2654435761 % 2**32) * edge for i in range(300)]})
+    tracks = spark.createDataFrame([(f"t{i}", u) for i, u in enumerate(draws)], "track_id string, u double")
+    want = sorted((str(i), f"t{k}") for i, f in enumerate(fractions) for k, u in enumerate(draws) if u < f)
+    for cell_rows in (1, 7, 10**6):
+        covered = L.covered_cells(tags, len(draws), cell_rows)
+        cells = L.drawn_cells(tracks, len(draws), cell_rows, "track_id")
+        joined = cells.join(covered, ["_level", "_cell", "_salt"])
+        assert sorted((r.tag, r.track_id) for r in joined.collect()) == want
+        hot = cells.groupBy("_level", "_cell", "_salt").count().agg(F.max("count")).first()[0]
+        assert cell_rows > 7 or hot <= 4 * cell_rows + 4
+
+
+def _brute_map(texts, tags, fold):
+    low = str.lower if fold else str
+    return sorted((t, g) for t in set(texts) if t is not None for g in set(tags) if low(g) in low(t))
+
+
+def test_substring_map_with_long_and_short_tags(spark):
+    """A tag of 200 characters, tags shorter than a q-gram, repeats and overlaps."""
+    long = "".join(chr(97 + (i * i) % 23) for i in range(200))
+    texts = [long, "x" + long + "y", long[:-1], "aaaa", "aa", "a", "", "aAaB", "b" * 50, "ab" * 30, "\u00e9t\u00e9", "a\u0000b", None, "aaaa"]
+    tags = [long, "a", "aa", "aaa", "aaaaa", "ab", "ba", "b", "", "abab", "\u00e9t", "absent", "zz", "z", long[50:120], "A", "AB"]
+    tx = spark.createDataFrame([(t,) for t in texts], "text string")
+    tg = spark.createDataFrame([(t,) for t in tags], "tag string")
+    for fold in (False, True):
+        got = sorted((r.text, r.tag) for r in L.substring_map(tx, tg, fold).collect())
+        assert got == _brute_map(texts, tags, fold)
+
+
+def test_substring_map_random(spark):
+    import random
+
+    random.seed(7)
+    texts = ["".join(random.choices("abcA ", k=random.randint(0, 25))) for _ in range(400)]
+    tags = ["".join(random.choices("abcA ", k=random.randint(0, 7))) for _ in range(150)]
+    tx = spark.createDataFrame([(t,) for t in texts], "text string")
+    tg = spark.createDataFrame([(t,) for t in tags], "tag string")
+    for fold in (False, True):
+        got = sorted((r.text, r.tag) for r in L.substring_map(tx, tg, fold).collect())
+        assert got == _brute_map(texts, tags, fold)
+
+
+def test_a_text_makes_no_more_entries_than_characters(spark):
+    """However long the tags are, the index has one entry a place."""
+    text = "".join(chr(97 + i % 26) for i in range(399))
+    tx = spark.createDataFrame([(text,), ("",)], "text string")
+    assert L._entries(tx, "text").count() == 399 + 1
+    tg = spark.createDataFrame([(text[100:300],), ("z",)], "tag string")
+    assert sorted(r.tag for r in L.substring_map(tx, tg).collect()) == sorted([text[100:300], "z"])
+
+
 def test_artist_path(spark):
     at = spark.createDataFrame([("a1", "Rock"), ("a1", "pop"), ("a2", "jazz")], "artist_id string, mbtag string")
     ta = spark.createDataFrame([("a1", "t1"), ("a2", "t2"), ("a3", "t3")], "artist_id string, track_id string")

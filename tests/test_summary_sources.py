@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import summary as SU
@@ -58,3 +59,31 @@ def test_summary_csv(spark, tmp_path):
     assert back.tag == "rock, pop" and back.song_count == 5 and back.auroc == 0.5
     header = [p for p in (tmp_path / "csv").iterdir() if p.name.endswith(".csv")][0].read_text().splitlines()[0]
     assert header == "Tag,Song Count,AUROC,AUPRC,Time to Train"
+
+
+def test_exact_quantiles(spark):
+    """Odd and even sizes, ties, one value, nulls, many ranges, a column in several tasks."""
+    import random
+    import statistics
+
+    random.seed(4)
+    groups = {"a": [random.gauss(0, 1) for _ in range(501)], "b": [random.randint(0, 3) * 1.0 for _ in range(400)], "c": [2.5], "d": [1.0, 2.0]}
+    rows = [(g, v) for g, x in groups.items() for v in x] + [("a", None), ("e", None)]
+    df = spark.createDataFrame(rows, "metric string, v double").repartition(5)
+    got = {r.metric: r for r in SU.exact_quantiles(df, (0.0, 0.25, 0.5, 0.9, 1.0)).collect()}
+    assert set(got) == set(groups)
+    for g, x in groups.items():
+        x = sorted(x)
+        for k, q in enumerate((0.0, 0.25, 0.5, 0.9, 1.0)):
+            at = q * (len(x) - 1)
+            lo, hi = x[int(at)], x[min(int(at) + 1, len(x) - 1)]
+            assert abs(got[g][f"q{k}"] - (lo + (hi - lo) * (at - int(at)))) < 1e-12
+        assert got[g].q2 == statistics.median(x)
+
+
+def test_exact_quantiles_of_many_rows(spark):
+    """Ten million values in no order, each number once."""
+    n = 10_000_000
+    df = spark.range(n).selectExpr("'m' AS metric", f"CAST(id * 7919 % {n} AS DOUBLE) AS v")
+    r = SU.exact_quantiles(df, (0.25, 0.5, 0.9)).first()
+    assert [r.q0, r.q1, r.q2] == pytest.approx([q * (n - 1) for q in (0.25, 0.5, 0.9)], abs=1e-6)
