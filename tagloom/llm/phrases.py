@@ -1,9 +1,10 @@
 """Phrase collocation mining on sorted count streams.
 
-Counting takes three passes over the texts: words; pairs of words that are both
-frequent; longer phrases whose pairs are all frequent. What is frequent enough to
-go on is looked up in a Bloom filter of fixed size, which lets some rare phrases
-through but holds back no frequent one; the counts themselves are exact.
+Counting takes three passes over the texts: words; hashes of the pairs of words
+that are both frequent; phrases whose pairs are all frequent. What is frequent
+enough to go on is looked up in a Bloom filter of fixed size, which lets some rare
+phrases through but holds back no frequent one, as a pair's hash occurs as often
+as the pair or more; the counts of phrases themselves are exact.
 
 All phrases that reach ``LEAST`` make one count stream, which is sorted twice: by
 its words (prefix order) and by its words from the last to the first (suffix
@@ -147,19 +148,27 @@ class _Filter:
         return ((self.bits[a >> 3] >> (a & 7)) & (self.bits[b >> 3] >> (b & 7)) & 1).astype(bool)
 
 
-def _filter_of(phrases: DataFrame, words: int) -> bytes:
-    """The filter of (lang, phrase) rows, all of ``words`` words: FILTER_BITS bits
-    whatever the number of rows, gathered as bitmaps of 4 kB."""
+def _word_hashes(words: DataFrame) -> DataFrame:
+    """(h) of (lang, phrase) rows of one word each."""
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, 1):
-                part = _Part(piece)
-                hashes = joined_hashes(part.hash, words)[::words] if words > 1 else part.hash
-                at = np.concatenate(_places(hashes))
-                yield pa.RecordBatch.from_arrays([pa.array(at // 32_768), pa.array(at % 32_768)], ["bucket", "bit"])
+                yield pa.RecordBatch.from_arrays([pa.array(_Part(piece).hash.view(np.int64))], ["h"])
+
+    return words.select("lang", "phrase").mapInArrow(work, "h long")
+
+
+def _filter_of(hashes: DataFrame) -> bytes:
+    """The filter of rows (h): FILTER_BITS bits whatever the number of rows,
+    gathered as bitmaps of 4 kB."""
 
-    rows = phrases.select("lang", "phrase").mapInArrow(places, "bucket long, bit long")
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(_places(np.asarray(batch.column(0)).view(_U)))
+            yield pa.RecordBatch.from_arrays([pa.array(at // 32_768), pa.array(at % 32_768)], ["bucket", "bit"])
+
+    rows = hashes.mapInArrow(places, "bucket long, bit long")
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
         bits[r["bucket"] * 4096 : (r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
@@ -179,7 +188,8 @@ def _count_words(texts: DataFrame) -> DataFrame:
     return _summed(texts.mapInArrow(work, _COUNTED))
 
 
-def _count_pairs(texts: DataFrame, frequent: bytes) -> DataFrame:
+def _pair_hashes(texts: DataFrame, frequent: bytes) -> DataFrame:
+    """(h, n): how often each hash of two words occurs that are both frequent."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)  # FILTER_BITS bits
 
     def work(batches):
@@ -188,14 +198,16 @@ def _count_pairs(texts: DataFrame, frequent: bytes) -> DataFrame:
             for piece in slices(batch, 1):
                 part = _Part(piece)
                 often = known.has(part.hash)
-                at = np.flatnonzero((part.room[:-1] > 1) & often[:-1] & often[1:]) if len(part) else np.zeros(0, np.int64)
-                wide = int(part.ids.max(initial=0)) + 1
-                yield part.counted(at, part.ids[at] * wide + part.ids[at + 1 if len(at) else at], 2, part.lang)
+                on = (part.room[:-1] > 1) & often[:-1] & often[1:]
+                found, n = np.unique(joined_hashes(part.hash, 2)[on], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
-    return _summed(texts.mapInArrow(work, _COUNTED))
+    return texts.mapInArrow(work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def _count_longer(texts: DataFrame, frequent: bytes) -> DataFrame:
+def _count_phrases(texts: DataFrame, frequent: bytes) -> DataFrame:
+    """(lang, phrase, words, n) of the phrases of two words or more whose pairs all
+    pass the filter."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)  # FILTER_BITS bits
 
     def work(batches):
@@ -203,17 +215,18 @@ def _count_longer(texts: DataFrame, frequent: bytes) -> DataFrame:
         for batch in batches:
             for piece in slices(batch, 1):
                 part = _Part(piece)
-                if len(part) < 3:
+                if len(part) < 2:
                     continue
                 linked = known.has(joined_hashes(part.hash, 2)) & (part.room[:-1] > 1)
-                wide = int(part.ids.max(initial=0)) + 1
+                wide = int(part.ids.max()) + 1
                 at = np.flatnonzero(linked)
                 keys = part.ids[at] * wide + part.ids[at + 1]
-                for n in range(3, LONGEST + 1):
-                    on = (at + n - 2 < len(linked)) & linked[np.minimum(at + n - 2, len(linked) - 1)]
-                    _, rank = np.unique(keys[on], return_inverse=True)
-                    at = at[on]
-                    keys = rank.astype(np.int64) * wide + part.ids[at + n - 1]
+                for n in range(2, LONGEST + 1):
+                    if n > 2:
+                        on = (at + n - 2 < len(linked)) & linked[np.minimum(at + n - 2, len(linked) - 1)]
+                        _, rank = np.unique(keys[on], return_inverse=True)
+                        at = at[on]
+                        keys = rank.astype(np.int64) * wide + part.ids[at + n - 1]
                     if not len(at):
                         break
                     yield part.counted(at, keys, n, part.lang)
@@ -233,12 +246,12 @@ def count_stream(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     )
     words = stored(_count_words(texts), "words")
     totals = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    once = stored(words.filter(F.col("n") >= LEAST), "frequent1")
+    once = stored(words.filter(F.col("n") >= LEAST), "frequent")
     removed(words)
-    twice = stored(_count_pairs(texts, _filter_of(once, 1)).filter(F.col("n") >= LEAST), "frequent2")
-    more = stored(_count_longer(texts, _filter_of(twice, 2)).filter(F.col("n") >= LEAST), "frequent3")
-    stream = stored(once.unionByName(twice).unionByName(more).withColumnRenamed("n", "f"), "stream")
-    removed(once, twice, more)
+    pairs = stored(_pair_hashes(texts, _filter_of(_word_hashes(once))).filter(F.col("n") >= LEAST).select("h"), "pairs")
+    more = stored(_count_phrases(texts, _filter_of(pairs)).filter(F.col("n") >= LEAST), "frequent")
+    stream = stored(once.unionByName(more).withColumnRenamed("n", "f"), "stream")
+    removed(once, pairs, more)
     return stream, totals
 
 
