@@ -1,20 +1,16 @@
 """Linear classifiers: many tags in one batched job, or one tag with pyspark.ml.
 
 Batched trainers
-    All tags are trained at once. The examples are packed into blocks, one row
-    for each Arrow batch: tag codes, labels and a feature matrix, sorted by tag.
-    A pass multiplies the blocks with the weights in NumPy and sums the partial
-    gradients by (tag, feature).
-
-    The whole training is one barrier stage: its tasks hold their blocks, all
-    gather each other's partial sums in every pass (``allGather``) and take the
-    same step, so that a pass costs no job. A lost executor restarts the stage
-    from the stored examples. Tags are taken in portions, so that what all tasks
-    send in a pass is WEIGHTS_AT_ONCE numbers whatever the numbers of tags and
-    tasks. Where the blocks would not fit the tasks (BLOCK_BYTES each), or the
-    cluster allocates executors dynamically, which barrier stages exclude, a pass
-    is a job: it broadcasts the weights and sums by (tag, feature) with a
-    map-side combined aggregate. Both run the same steps on the same sums.
+    All tags are trained in the same jobs. A tag whose examples fit a task
+    (NUMBERS_A_TASK) is trained inside one: its rows meet there once, and all
+    passes over them cost no job. How many numbers a tag has is counted first.
+
+    The examples of larger tags are packed into blocks, one row for each Arrow
+    batch: tag codes, labels and a feature matrix, sorted by tag. The blocks are
+    cached; each pass multiplies them with the broadcast weights in NumPy and sums
+    the partial gradients by (tag, feature) with a map-side combined aggregate.
+    They are taken in portions of WEIGHTS_AT_ONCE numbers, so the driver holds no
+    more than that. Both run the same steps.
 
     ``train_linear_all_tags``: the library's SGD with an L2 updater and
     mini-batch fraction 1:
@@ -39,18 +35,15 @@ One-tag trainers (``train_one_tag``)
 
 from __future__ import annotations
 
-import base64
 import math
-import os
-import re
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import BarrierTaskContext, StorageLevel
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,8 +58,8 @@ from tagloom.config import (
 
 LOSSES = ("hinge", "logistic")
 
-#: Bytes of examples that one task of a barrier stage may hold.
-BLOCK_BYTES = 512 << 20
+#: Numbers (features and label, for each row) of a tag that one task may hold.
+NUMBERS_A_TASK = 16_000_000
 
 
 def _gradient_sql(train_view: str, weights_view: str, feature_cols: Sequence[str], loss: str, group_col: str) -> str:
@@ -139,21 +132,12 @@ def _pack(train: DataFrame, feature_cols: Sequence[str], group_col: str) -> Data
     return train.mapInPandas(pack, "tags array<string>, counts array<long>, y binary, x binary")
 
 
-def _sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, code: np.ndarray, n: np.ndarray, loss: str) -> np.ndarray:
-    """Gradient sums (features, intercept) and loss sums of rows that lie in runs:
-    ``n`` rows each for the weights ``w[code]``."""
-    d = x.shape[1]
-    each = np.repeat(w[code], n, axis=0)
-    m = np.einsum("ij,ij->i", x, each[:, :d]) + each[:, d]
+def _row_terms(m: np.ndarray, y: np.ndarray, loss: str) -> tuple[np.ndarray, np.ndarray]:
+    """What each row's features are multiplied by in the gradient, and its loss, at margins ``m``."""
     s = 2.0 * y - 1.0
     if loss == "hinge":
-        mult = np.where(s * m < 1.0, -s, 0.0)
-        cost = np.maximum(1.0 - s * m, 0.0)
-    else:
-        mult = 1.0 / (1.0 + np.exp(-np.clip(m, -700, 700))) - y
-        cost = np.logaddexp(0.0, -s * m)
-    first = np.cumsum(n) - n
-    return np.add.reduceat(np.column_stack([mult[:, None] * x, mult, cost]), first, axis=0)
+        return np.where(s * m < 1.0, -s, 0.0), np.maximum(1.0 - s * m, 0.0)
+    return 1.0 / (1.0 + np.exp(-np.clip(m, -700, 700))) - y, np.logaddexp(0.0, -s * m)
 
 
 def _mine(block: dict, known: np.ndarray, place: np.ndarray, d: int):
@@ -166,109 +150,31 @@ def _mine(block: dict, known: np.ndarray, place: np.ndarray, d: int):
     return x, y, place[at[mine]], counts[mine]
 
 
-def _slots(spark) -> int:
-    """Tasks that surely run at the same time: the cores of a local master, or of
-    the executors that are registered."""
-    conf = spark.sparkContext.getConf()
-    local = re.fullmatch(r"local(?:\[(\d+|\*)(?:,\s*\d+)?\])?", spark.sparkContext.master)
-    if local:
-        return {None: 1, "*": os.cpu_count() or 1}.get(local[1]) or int(local[1])
-    executors = len(spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()) - 1
-    cores = int(conf.get("spark.executor.cores", "1")) // int(conf.get("spark.task.cpus", "1"))
-    return max(1, executors * max(1, cores))
-
-
 class _Blocks:
-    """The packed examples of a training run and their gradient passes."""
-
-    def __init__(self, examples: DataFrame, feature_cols: Sequence[str], group_col: str, split: str | None, store: bool):
-        train = examples
-        if split is not None and "split" in examples.columns:
-            train = train.filter(F.col("split") == split)
-        train = train.select(
-            group_col, F.col("y").cast("double").alias("y"), *[F.col(c).cast("double") for c in feature_cols]
-        )
-        self.spark, self.d = examples.sparkSession, len(feature_cols)
-        self.tasks = _slots(self.spark)
-        # A fixed number of partitions: a barrier stage starts all its tasks at once.
-        packed = _pack(train, feature_cols, group_col).repartition(self.tasks)
+    """The packed examples of large tags and their gradient passes, a job each."""
+
+    def __init__(self, train: DataFrame, feature_cols: Sequence[str], group_col: str, store: bool):
+        self.spark, self.d = train.sparkSession, len(feature_cols)
+        packed = _pack(train, feature_cols, group_col)
+        cores = self.spark.sparkContext.defaultParallelism
+        if packed.rdd.getNumPartitions() < cores:  # every pass should use all cores
+            packed = packed.repartition(cores)
         # Without a stored copy a lost executor's blocks are packed again from the examples' own table.
-        self.blocks = (materialize(packed, "blocks").repartition(self.tasks) if store else packed).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        sizes = self.blocks.select(F.explode(F.arrays_zip("tags", "counts")).alias("z")).groupBy(
-            F.col("z.tags").alias("tag")
-        ).agg(F.sum("z.counts").alias("n"))
-        self.sizes = materialize(sizes, "sizes")
-        rows = self.sizes.agg(F.sum("n")).first()[0] or 0
-        dynamic = self.spark.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true"
-        # The largest share of the rows that a task holds is not known: half as much again is allowed for.
-        self.one_stage = not dynamic and 1.5 * rows * (self.d + 1) * 8 <= BLOCK_BYTES * self.tasks
-
-    def portions(self):
-        """Lists of (tag, n): all tags, a bounded number of weights at a time."""
-        each = max(1, WEIGHTS_AT_ONCE // ((self.d + 2) * (self.tasks if self.one_stage else 1)))
+        self.blocks = (materialize(packed, "blocks") if store else packed).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def portions(self, sizes: DataFrame, group_col: str):
+        """Lists of (tag, n): all tags, WEIGHTS_AT_ONCE numbers of weights at a time."""
+        each = max(1, WEIGHTS_AT_ONCE // (self.d + 1))
         held = []
         # Tags arrive one partition at a time, sorted, and never all together.
-        for r in self.sizes.orderBy("tag").toLocalIterator():
-            held.append((r["tag"], r["n"]))
+        for r in sizes.orderBy(group_col).toLocalIterator():
+            held.append((r[group_col], r["n"]))
             if len(held) == each:
                 yield held
                 held = []
         if held:
             yield held
 
-    def solve(self, tags: list[str], n: np.ndarray, loss: str, method: Callable, options: dict):
-        """``method(gradient, n, d, **options)`` over these tags' examples; ``gradient(rows, w)``
-        gives the gradient sums and loss sums of the tags ``rows`` at weights ``w``."""
-        if self.one_stage:
-            return self._in_one_stage(tags, n, loss, method, options)
-        return method(lambda rows, w: self.gradients([tags[i] for i in rows], w, loss), n, self.d, **options)
-
-    def _in_one_stage(self, tags, n, loss, method, options):
-        known, place = np.unique(np.array(tags, dtype=str), return_index=True)
-        shared = self.spark.sparkContext.broadcast((known, place, n))
-        d = self.d
-
-        def train(batches):
-            context = BarrierTaskContext.get()
-            known, place, n = shared.value
-            held = []
-            for batch in batches:
-                for block in batch.to_pylist():
-                    x, y, code, count = _mine(block, known, place, d)
-                    if len(y):
-                        held.append((x, y, code, count))
-
-            def gradient(rows, w):
-                at = np.full(len(n), -1)
-                at[rows] = np.arange(len(rows))
-                out = np.zeros((len(rows), d + 2))
-                for x, y, code, count in held:
-                    live = at[code] >= 0
-                    if not live.all():
-                        keep = np.repeat(live, count)
-                        x, y, code, count = x[keep], y[keep], code[live], count[live]
-                    if len(y):
-                        out[at[code]] += _sums(x, y, w, at[code], count, loss)
-                # All tasks add the same parts in the same order, so all take the same step.
-                told = context.allGather(base64.b64encode(out.tobytes()).decode())
-                total = sum(np.frombuffer(base64.b64decode(part)).reshape(out.shape) for part in told)
-                return total[:, : d + 1], total[:, d + 1]
-
-            w, ended, done, cost = method(gradient, n, d, **options)
-            if context.partitionId() == 0:
-                rows = [w.astype(float).tolist(), ended.tolist(), done.tolist(), cost.tolist()]
-                kinds = [pa.list_(pa.float64()), pa.int32(), pa.bool_(), pa.float64()]
-                cols = [pa.array(range(len(n)), pa.int32()), *[pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]]
-                yield pa.RecordBatch.from_arrays(cols, ["code", "w", "ended", "done", "cost"])
-
-        told = self.blocks.mapInArrow(train, "code int, w array<double>, ended int, done boolean, cost double", barrier=True)
-        got = sorted(told.collect(), key=lambda r: r["code"])  # one portion's weights
-        shared.destroy()
-        w = np.array([r["w"] for r in got]).reshape(len(tags), d + 1)
-        return w, *[np.array([r[c] for r in got]) for c in ("ended", "done", "cost")]
-
     def gradients(self, tags: list[str], weights: np.ndarray, loss: str) -> tuple[np.ndarray, np.ndarray]:
         """Gradient sums (tags x features + 1) and loss sums at ``weights``, by a job."""
         known, place = np.unique(np.array(tags, dtype=str), return_index=True)
@@ -281,7 +187,10 @@ class _Blocks:
                 for block in pdf.to_dict("records"):
                     x, y, code, n = _mine(block, known, place, d)
                     if len(y):
-                        sums = _sums(x, y, w, code, n, loss)
+                        each = np.repeat(w[code], n, axis=0)
+                        mult, cost = _row_terms(np.einsum("ij,ij->i", x, each[:, :d]) + each[:, d], y, loss)
+                        parts = np.column_stack([mult[:, None] * x, mult, cost])
+                        sums = np.add.reduceat(parts, np.cumsum(n) - n, axis=0)
                         yield pd.DataFrame(
                             {
                                 "code": np.repeat(code, d + 2),
@@ -330,8 +239,8 @@ def train_linear_all_tags(
     """Train one linear model per tag by SGD, all tags in the same jobs.
 
     Returns (tag, weights ARRAY<DOUBLE>, intercept, iterations, converged,
-    loss, batch_seconds); ``batch_seconds`` is the wall time of the portion of
-    tags that the tag was trained with, not of the tag alone.
+    loss, batch_seconds); ``batch_seconds`` is the time of the tag's own passes, or,
+    for a large tag, the wall time of the portion of tags it was trained with.
     """
     if loss not in LOSSES:
         raise ValueError(f"unknown loss {loss!r}")
@@ -340,15 +249,73 @@ def train_linear_all_tags(
 
 
 def _trained(examples, feature_cols, group_col, split, checkpoint, loss, method, options) -> DataFrame:
-    spark, d = examples.sparkSession, len(feature_cols)
-    blocks = _Blocks(examples, feature_cols, group_col, split, checkpoint)
+    d = len(feature_cols)
+    train = examples
+    if split is not None and "split" in examples.columns:
+        train = train.filter(F.col("split") == split)
+    train = train.select(
+        group_col, F.col("y").cast("double").alias("y"), *[F.col(c).cast("double") for c in feature_cols]
+    ).filter(F.col(group_col).isNotNull())
+    if checkpoint:
+        train = materialize(train, "train")
+    sizes = materialize(train.groupBy(group_col).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    most = NUMBERS_A_TASK // (d + 1)
+    large = sizes.filter(F.col("n") > most)
+    some_large = not large.isEmpty()
+    small = train.join(sizes.filter(F.col("n") <= most), group_col, "left_semi") if some_large else train
+    model = materialize(_in_tasks(small, feature_cols, group_col, loss, method, options), "model")
+    if some_large:
+        rest = train.join(large, group_col, "left_semi")
+        model = model.unionByName(_in_passes(rest, large, feature_cols, group_col, checkpoint, loss, method, options))
+    return model
+
+
+def _in_tasks(train: DataFrame, feature_cols, group_col: str, loss: str, method, options: dict) -> DataFrame:
+    """The models of tags that fit a task, each trained where its rows meet."""
+    cols, d = list(feature_cols), len(feature_cols)
+
+    def fit(key, table):
+        started = time.time()
+        x = np.column_stack([table.column(c).to_numpy() for c in cols]) if cols else np.zeros((table.num_rows, 0))
+        y = table.column("y").to_numpy()
+
+        def gradient(rows, w):
+            mult, cost = _row_terms(x @ w[0, :d] + w[0, d], y, loss)
+            return np.append(mult @ x, mult.sum())[None, :], np.array([cost.sum()])
+
+        w, ended, done, cost = method(gradient, np.array([float(len(y))]), d, **options)
+        told = {
+            group_col: pa.array([key[0].as_py()], pa.string()),
+            "weights": pa.array([w[0, :d].tolist()], pa.list_(pa.float64())),
+            "intercept": pa.array([float(w[0, d])], pa.float64()),
+            "iterations": pa.array([int(ended[0])], pa.int32()),
+            "converged": pa.array([bool(done[0])], pa.bool_()),
+            "loss": pa.array([float(cost[0])], pa.float64()),
+            "batch_seconds": pa.array([time.time() - started], pa.float64()),
+        }
+        return pa.table(told)
+
+    # A fixed number of partitions, several a core: tags differ in size.
+    tasks = 4 * train.sparkSession.sparkContext.defaultParallelism
+    dealt = train.repartition(max(tasks, int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))), group_col)
+    return dealt.groupBy(group_col).applyInArrow(fit, f"{group_col} string, {_MODEL_SCHEMA}")
+
+
+def _in_passes(train, sizes, feature_cols, group_col, checkpoint, loss, method, options) -> DataFrame:
+    """The models of larger tags, by a job for each pass over all of them."""
+    spark, d = train.sparkSession, len(feature_cols)
+    blocks = _Blocks(train, feature_cols, group_col, checkpoint)
     made = []
     try:
-        for portion in blocks.portions():
+        for portion in blocks.portions(sizes, group_col):
             started = time.time()
             tags = [t for t, _ in portion]
             n = np.array([c for _, c in portion], float)
-            w, ended, done, cost = blocks.solve(tags, n, loss, method, options)
+
+            def gradient(rows, w, tags=tags):
+                return blocks.gradients([tags[i] for i in rows], w, loss)
+
+            w, ended, done, cost = method(gradient, n, d, **options)
             made.append(_portion_frame(spark, group_col, tags, w, d, ended, done, cost, time.time() - started))
         return _model_frame(spark, group_col, made)
     finally:

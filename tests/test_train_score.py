@@ -93,6 +93,7 @@ def test_portions_of_tags_change_nothing(spark, monkeypatch):
     ex = _examples(spark)
     told = lambda df: sorted(tuple(r)[:6] for r in df.drop("batch_seconds").collect())
     whole = [told(f(ex, FEATS, iterations=5, split=None)) for f in (TR.train_linear_all_tags, TR.train_lbfgs_all_tags)]
+    monkeypatch.setattr(TR, "NUMBERS_A_TASK", 1)  # no tag fits a task
     monkeypatch.setattr(TR, "WEIGHTS_AT_ONCE", 1)  # one tag at a time
     parts = [told(f(ex, FEATS, iterations=5, split=None)) for f in (TR.train_linear_all_tags, TR.train_lbfgs_all_tags)]
     for a, b in zip(whole, parts):
@@ -100,6 +101,25 @@ def test_portions_of_tags_change_nothing(spark, monkeypatch):
         assert np.allclose([r[1] for r in a], [r[1] for r in b], atol=1e-12)
 
 
+def test_large_and_small_tags_together(spark, monkeypatch):
+    """Tags that fit a task and tags that don't are trained alike in one call."""
+    ex = _examples(spark)
+    ex = ex.filter((F.col("tag") == "label_0") | (F.col("track_id").cast("int") % 3 == 0))
+    told = lambda: {r.tag: r for r in TR.train_linear_all_tags(ex, FEATS, iterations=20, split=None).collect()}
+    whole = told()
+    monkeypatch.setattr(TR, "NUMBERS_A_TASK", 300 * (DIMS + 1))  # label_0 has 500 rows
+    parts = told()
+    assert set(whole) == set(parts) == {"label_0", "label_5"}
+    for tag, r in whole.items():
+        assert np.allclose(r.weights, parts[tag].weights, atol=1e-12) and r.iterations == parts[tag].iterations
+
+
+def test_no_examples(spark):
+    none = _examples(spark).limit(0)
+    assert TR.train_linear_all_tags(none, FEATS, split=None).collect() == []
+    assert TR.train_lbfgs_all_tags(none, FEATS, split=None).collect() == []
+
+
 def test_scoring_in_parts_ranks_alike(spark, monkeypatch):
     """Weights in several parts, small pieces of rows and ties give the same ranking."""
     feats = ["a", "b"]
