@@ -142,17 +142,20 @@ class Aligner:
         n_a, n_b = np.diff(in_a), np.diff(in_b)
         ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
         n_a, n_b = np.where(good, n_a, 0), np.where(good, n_b, 0)
+        # Ends are marked byte by byte; between two ends of either kind lies exactly one link.
         end_a, end_b = np.cumsum(self.a.byte_len[ids_a]), np.cumsum(self.b.size[ids_b])
-        # Between two ends of either kind lies exactly one link.
-        ends = np.union1d(end_a, end_b)
-        left, right = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        mark = np.zeros(1 + int(end_a[-1]) if len(end_a) else 1, np.uint8)
+        mark[end_a] = 1
+        mark[end_b] |= 2
+        ends = np.flatnonzero(mark)
+        in_a, in_b = (mark[ends] & 1) > 0, (mark[ends] & 2) > 0
+        in_both = in_a & in_b
+        left, right, group = (np.cumsum(x) - x for x in (in_a, in_b, in_both))
         pair = ids_a[left] * WIDTH + ids_b[right]
-        text_of_a = np.repeat(np.arange(len(texts)), n_a)
-        text = text_of_a[left]
-        both = np.intersect1d(end_a, end_b, assume_unique=True)
-        n_groups = np.bincount(text_of_a[np.searchsorted(end_a, both)], minlength=len(texts))
+        text = np.repeat(np.arange(len(texts)), n_a)[left]
+        n_groups = np.bincount(text[in_both], minlength=len(texts))
         n_links = np.bincount(text, minlength=len(texts))
-        shas = self._digests(ids_a, ids_b, end_a, end_b, both, n_a, n_b, good)
+        shas = self._digests(ids_a, ids_b, group[in_a], group[in_b], int(in_both.sum()), n_a, n_b, good)
         return good, n_a, n_b, n_groups, n_links, shas, text, pair
 
     def _plain_a(self, text: str) -> list[int]:
@@ -180,9 +183,8 @@ class Aligner:
             parts.append(mine)
         return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts])), good
 
-    def _digests(self, ids_a, ids_b, end_a, end_b, both, n_a, n_b, good) -> list[str]:
-        group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
-        per_a, per_b = np.bincount(group_a, minlength=len(both)), np.bincount(group_b, minlength=len(both))
+    def _digests(self, ids_a, ids_b, group_a, group_b, n_groups, n_a, n_b, good) -> list[str]:
+        per_a, per_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
         before_a, before_b = np.cumsum(per_a), np.cumsum(per_b) - per_b
         # In the digest's order each group's A ids come before its B ids.
         put_a = np.arange(len(ids_a)) + before_b[group_a]
