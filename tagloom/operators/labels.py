@@ -49,7 +49,8 @@ def _entries(texts: DataFrame, text: str) -> DataFrame:
     """One row for each place of each text: ``_id`` (a hash of the text) and
     ``_gram``, the Q characters from there on, fewer at the end."""
     places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    at = texts.select(F.xxhash64(text).alias("_id"), F.col(text), F.explode(places).alias("_at"))
+    own = F.col("_id") if "_id" in texts.columns else F.xxhash64(text)
+    at = texts.select(own.alias("_id"), F.col(text), F.explode(places).alias("_at"))
     return at.select("_id", F.substring(F.col(text), F.col("_at"), F.lit(Q)).alias("_gram"))
 
 
@@ -62,33 +63,42 @@ def substring_map(texts: DataFrame, tags: DataFrame, ignore_case: bool = False)
     """
     fold = F.lower if ignore_case else (lambda c: c)
     needles = tags.select("tag").distinct().withColumn("_key", fold(F.col("tag")))
+    # The distinct texts are read by each look-up: stored once, not worked out from the tracks again.
     folded = texts.select("text").distinct().filter("text IS NOT NULL").withColumn("_t", fold(F.col("text")))
+    folded = materialize(folded.withColumn("_id", F.xxhash64("_t")), "texts")
     entries = _entries(folded, "_t")
-    long = needles.filter(F.length("_key") >= Q).select("tag", "_key", F.explode(
-        F.transform(F.sequence(F.lit(1), F.length("_key") - (Q - 1)), lambda i: F.substring(F.col("_key"), i, F.lit(Q)))
-    ).alias("_gram"))
-    # How many entries have each q-gram of a tag; a tag with one that none has is in no text.
-    known = entries.join(long.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    rated = long.join(known, "_gram", "left").groupBy("tag", "_key").agg(
-        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_least")
-    )
-    by_gram = rated.filter("_least.n > 0").select("tag", "_key", F.col("_least.gram").alias("_gram"))
-    found = entries.join(by_gram, "_gram").select("_id", "tag", "_key")
-    for n in range(Q):
-        # Shorter tags, each length by the start of the entries; the empty tag has one entry a text.
-        short = needles.filter(F.length("_key") == n).select("tag", "_key", F.col("_key").alias("_gram"))
+    found = []
+    sizes = needles.select(F.least(F.length("_key"), F.lit(Q)).alias("n")).distinct()
+    for n in sorted(r["n"] for r in sizes.collect()):  # Q + 1 numbers at most
+        own = needles.filter((F.length("_key") >= Q) if n == Q else (F.length("_key") == n))
         if n == 0:
-            own = folded.select(F.xxhash64("_t").alias("_id"), F.substring("_t", 1, 0).alias("_gram"))
-            # Folded, there is one empty tag at most: a table of one row.
-            part = own.join(F.broadcast(short), "_gram")
+            # Folded, there is one empty tag: a table of one row, inside every text.
+            places, keys = folded.select("_id", F.substring("_t", 1, 0).alias("_gram")), F.broadcast(own.withColumn("_gram", F.col("_key")))
+        elif n < Q:
+            start = entries.select("_id", F.substring("_gram", 1, n).alias("_gram"))
+            places, keys = start.filter(F.length("_gram") == n), own.withColumn("_gram", F.col("_key"))
         else:
-            start = F.substring("_gram", 1, n).alias("_gram")
-            part = entries.select("_id", start).filter(F.length("_gram") == n).join(short, "_gram")
-        found = found.unionByName(part.select("_id", "tag", "_key"))
-    pairs = found.distinct()
-    return (
-        folded.withColumn("_id", F.xxhash64("_t")).join(pairs, "_id").filter(F.contains("_t", "_key")).select("text", "tag")
+            places, keys = entries, _rarest(entries, own)
+        found.append(places.join(keys, "_gram").select("_id", "tag", "_key"))
+    if not found:
+        return folded.limit(0).select("text", F.lit("").alias("tag"))
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return folded.join(pairs.distinct(), "_id").filter(F.contains("_t", "_key")).select("text", "tag")
+
+
+def _rarest(entries: DataFrame, needles: DataFrame) -> DataFrame:
+    """(tag, _key, _gram): each tag's q-gram that the fewest entries have. A tag with
+    a q-gram that no entry has is in no text and left out."""
+    starts = F.sequence(F.lit(1), F.length("_key") - (Q - 1))
+    grams = F.transform(starts, lambda i: F.substring(F.col("_key"), i, F.lit(Q)))
+    each = needles.select("tag", "_key", F.explode(grams).alias("_gram"))
+    known = entries.join(each.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rated = each.join(known, "_gram", "left").groupBy("tag", "_key").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_least")
     )
+    return rated.filter("_least.n > 0").select("tag", "_key", F.col("_least.gram").alias("_gram"))
 
 
 def positive_pairs(tracks: DataFrame, tags: DataFrame, mode: str = "substring", id_col: str = "track_id") -> DataFrame:
