@@ -476,10 +476,21 @@ def train_one_tag(
     return Pipeline(stages=stages).fit(examples)
 
 
+def _without_summaries(pipeline_model, spark):
+    """A copy of the fitted pipeline whose models lack their training summaries. A
+    summary holds its session, which can't be sent to tasks once anything in it was
+    observed; the model given keeps its own."""
+    out = pipeline_model.copy()
+    for stage in out.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(spark._jvm.scala.Option.empty())
+    return out
+
+
 def margins_from_pipeline(pipeline_model, df: DataFrame) -> DataFrame:
     """Adds ``margin`` (raw score of class 1) and ``prediction`` from a fitted pipeline."""
     from pyspark.ml.functions import vector_to_array
 
-    out = pipeline_model.transform(df)
+    out = _without_summaries(pipeline_model, df.sparkSession).transform(df)
     out = out.withColumn("margin", vector_to_array("rawPrediction")[1])
     return out.drop("_raw", "_scaled", "rawPrediction", "probability")

@@ -73,6 +73,20 @@ def test_one_tag_pipeline_round_trip(spark, tmp_path):
     assert a == b
 
 
+@pytest.mark.parametrize("model", ["logistic", "svm"])
+def test_fitted_pipeline_after_an_observation(spark, model):
+    """A session in which anything was observed can't be sent to tasks."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3 and seen.get["n"] == 3
+    ex = _examples(spark).filter(F.col("tag") == "label_0")
+    pm = TR.train_one_tag(ex, FEATS, model=model, iterations=20)
+    rows = TR.margins_from_pipeline(pm, ex).select("margin", "prediction").collect()
+    assert len(rows) == ex.count() and all((r.margin > 0) == (r.prediction == 1.0) for r in rows)
+    assert pm.stages[-1].hasSummary
+
+
 def test_lbfgs_matches_library(spark):
     """Against pyspark.ml's logistic regression, with a penalty so that a separable tag has a solution."""
     from pyspark.ml.classification import LogisticRegression
