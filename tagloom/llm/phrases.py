@@ -20,7 +20,7 @@ lockstep.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -35,6 +35,8 @@ from tagloom.llm.wordarrays import joined_hashes, mixed, slices, spread, text_by
 LONGEST, LEAST, KEPT = 5, 100, 2000
 #: Bits of the filter of frequent phrases; a multiple of the 32,768 of one of Spark's bitmaps.
 FILTER_BITS = 1 << 27
+#: Bytes of words that are spread out or joined to phrases at a time, eight or more of memory for each.
+CHUNK_BYTES = 1 << 18
 #: Phrases drawn for each range that a stream is cut into.
 DRAWS = 50
 
@@ -65,7 +67,7 @@ class _Part:
         self.sizes = np.flatnonzero(inside & (~after | edge[1:])) + 1 - starts
         row = np.searchsorted(at, starts, "right") - 1
         self.lang = np.asarray(langs.indices).astype(np.int64)[row]
-        cut = np.append(0, np.cumsum(_PIECE_END[data]))[starts]
+        cut = np.searchsorted(np.flatnonzero(_PIECE_END[data]), starts)
         # The words of a piece are numbered alike.
         piece = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (cut[1:] != cut[:-1]))) if len(starts) else starts
         ends = np.append(piece[1:], len(starts))
@@ -84,13 +86,18 @@ class _Part:
         _, first, ids = np.unique(self.hash, return_index=True, return_inverse=True)
         same = first[ids]
         alike = (self.sizes[same] == self.sizes) & (self.lang[same] == self.lang)
-        if alike.all() and (self.data[spread(self.starts, self.sizes)] == self.data[spread(self.starts[same], self.sizes)]).all():
+        if alike.all() and all(self._alike(same, a, b) for a, b in _chunks(self.sizes)):
             return ids.astype(np.int64)
         # Two words with one hash: numbers by the words themselves.
         told = [(int(c), self.data[a : a + n].tobytes()) for c, a, n in zip(self.lang, self.starts, self.sizes, strict=True)]
         number = {w: i for i, w in enumerate(dict.fromkeys(told))}
         return np.array([number[w] for w in told], np.int64)
 
+    def _alike(self, same: np.ndarray, a: int, b: int) -> bool:
+        """Whether the words ``a`` to ``b`` - 1 have the bytes of the words ``same``."""
+        here, there = (self.data[spread(x[a:b], self.sizes[a:b])] for x in (self.starts, self.starts[same]))
+        return bool((here == there).all())
+
     def phrases(self, at: np.ndarray, n: int) -> pa.Array:
         """The ``n`` words from each word in ``at`` on, joined by spaces."""
         which = (at[:, None] + np.arange(n)).ravel()
@@ -107,19 +114,38 @@ class _Part:
         offsets = np.append(0, stops - np.arange(1, len(stops) + 1)).astype(np.int32)
         return pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(flat[room])])
 
-    def counted(self, at: np.ndarray, keys: np.ndarray, n: int, of: np.ndarray) -> pa.RecordBatch:
+    def counted(self, at: np.ndarray, keys: np.ndarray, n: int, of: np.ndarray) -> Iterator[pa.RecordBatch]:
         """(lang, phrase, words, n) of the phrases at ``at``, equal where ``keys`` are."""
         _, first, count = np.unique(keys, return_index=True, return_counts=True)
         at = at[first]
-        langs = self.names.take(pa.array(of[at]))
-        return pa.RecordBatch.from_arrays(
-            [langs, self.phrases(at, n), pa.array(np.full(len(at), n, np.int32)), pa.array(count.astype(np.int64))],
-            ["lang", "phrase", "words", "n"],
-        )
+        # From each phrase's first byte to its last, what lies between words included.
+        wide = self.starts[at + n - 1] + self.sizes[at + n - 1] - self.starts[at]
+        for a, b in _chunks(wide):
+            langs = self.names.take(pa.array(of[at[a:b]]))
+            yield pa.RecordBatch.from_arrays(
+                [langs, self.phrases(at[a:b], n), pa.array(np.full(b - a, n, np.int32)), pa.array(count[a:b].astype(np.int64))],
+                ["lang", "phrase", "words", "n"],
+            )
+
+
+def _chunks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges (a, b) of entries of about CHUNK_BYTES; a larger entry is one by itself."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CHUNK_BYTES, "right")))
+        yield a, b
+        a = b
 
 
 def _bytes_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each stretch of bytes, wherever it lies."""
+    out = np.empty(len(starts), _U)
+    for a, b in _chunks(sizes):
+        out[a:b] = _hashes_of(data, starts[a:b], sizes[a:b])
+    return out
+
+
+def _hashes_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     with np.errstate(over="ignore"):
         x = mixed((data[spread(starts, sizes)].astype(_U) + _U(1)) * mixed(place.astype(_U) + _U(1)))
@@ -148,27 +174,28 @@ class _Filter:
         return ((self.bits[a >> 3] >> (a & 7)) & (self.bits[b >> 3] >> (b & 7)) & 1).astype(bool)
 
 
-def _word_hashes(words: DataFrame) -> DataFrame:
-    """(h) of (lang, phrase) rows of one word each."""
+def _words_hashed(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """Hashes of (lang, phrase) rows of one word each."""
+    for piece in slices(batch, 1):
+        yield _Part(piece).hash
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, 1):
-                yield pa.RecordBatch.from_arrays([pa.array(_Part(piece).hash.view(np.int64))], ["h"])
 
-    return words.select("lang", "phrase").mapInArrow(work, "h long")
+def _told_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield np.asarray(batch.column(0)).view(_U)
 
 
-def _filter_of(hashes: DataFrame) -> bytes:
-    """The filter of rows (h): FILTER_BITS bits whatever the number of rows,
-    gathered as bitmaps of 4 kB."""
+def _filter_of(table: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> bytes:
+    """The filter of the hashes of a table's rows: FILTER_BITS bits whatever their
+    number, gathered as bitmaps of 4 kB. Hashing and placing share one Python
+    worker; a second for each task would stay in memory for the passes that follow."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.concatenate(_places(np.asarray(batch.column(0)).view(_U)))
-            yield pa.RecordBatch.from_arrays([pa.array(at // 32_768), pa.array(at % 32_768)], ["bucket", "bit"])
+            for found in hashes(batch):
+                at = np.concatenate(_places(found))
+                yield pa.RecordBatch.from_arrays([pa.array(at // 32_768), pa.array(at % 32_768)], ["bucket", "bit"])
 
-    rows = hashes.mapInArrow(places, "bucket long, bit long")
+    rows = table.mapInArrow(places, "bucket long, bit long")
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
         bits[r["bucket"] * 4096 : (r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
@@ -183,7 +210,7 @@ def _count_words(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for piece in slices(batch, 1):
                 part = _Part(piece)
-                yield part.counted(np.arange(len(part)), part.ids, 1, part.lang)
+                yield from part.counted(np.arange(len(part)), part.ids, 1, part.lang)
 
     return _summed(texts.mapInArrow(work, _COUNTED))
 
@@ -229,7 +256,7 @@ def _count_phrases(texts: DataFrame, frequent: bytes) -> DataFrame:
                         keys = rank.astype(np.int64) * wide + part.ids[at + n - 1]
                     if not len(at):
                         break
-                    yield part.counted(at, keys, n, part.lang)
+                    yield from part.counted(at, keys, n, part.lang)
 
     return _summed(texts.mapInArrow(work, _COUNTED))
 
@@ -248,8 +275,8 @@ def count_stream(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     totals = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     once = stored(words.filter(F.col("n") >= LEAST), "frequent")
     removed(words)
-    pairs = stored(_pair_hashes(texts, _filter_of(_word_hashes(once))).filter(F.col("n") >= LEAST).select("h"), "pairs")
-    more = stored(_count_phrases(texts, _filter_of(pairs)).filter(F.col("n") >= LEAST), "frequent")
+    pairs = stored(_pair_hashes(texts, _filter_of(once.select("lang", "phrase"), _words_hashed)).filter(F.col("n") >= LEAST).select("h"), "pairs")
+    more = stored(_count_phrases(texts, _filter_of(pairs, _told_hashes)).filter(F.col("n") >= LEAST), "frequent")
     stream = stored(once.unionByName(more).withColumnRenamed("n", "f"), "stream")
     removed(once, pairs, more)
     return stream, totals

@@ -104,3 +104,20 @@ def test_products_beyond_64_bits():
     """The score's arithmetic on counts of a very large corpus."""
     a, n, x, y = 4 * 10**9, 9 * 10**14, 5 * 10**9, 6 * 10**9
     assert 1000 * a * n > 2**63 and 1000 * a * n // (x * y) == 120_000_000
+
+
+def test_phrases_of_a_slice_come_in_bounded_batches(monkeypatch):
+    """The counts of a slice do not depend on the batches' bytes, which have a limit."""
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(200)) + ". " + "x" * 500 for i in range(20)]
+    part = phrases._Part(pa.RecordBatch.from_arrays([pa.array(["en"] * 20), pa.array(texts)], ["lang", "text"]))
+    at = phrases.np.flatnonzero(part.room >= 3)
+    keys = part.hash[at] + part.hash[at + 1] * phrases._U(3) + part.hash[at + 2] * phrases._U(7)
+    whole = [r for b in part.counted(at, keys, 3, part.lang) for r in b.to_pylist()]
+    hashes = part._hashes()
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 300)
+    parts = list(part.counted(at, keys, 3, part.lang))
+    assert [r for b in parts for r in b.to_pylist()] == whole and len(parts) > 10
+    assert all(sum(map(len, b.column(1).to_pylist())) <= 300 for b in parts)
+    assert (part._hashes() == hashes).all() and len(part._ids()) == len(part)
