@@ -2,14 +2,17 @@
 
 Rows lie in old shards and are to lie in new ones whose row counts are at most
 one apart. An old shard numbered below the new number of shards goes on as the
-new shard of that number; what it holds beyond its capacity leaves, the smallest
-rows first, and the rows of shards that end leave all. Which shards may keep one
-row more than the others is the choice that decides about the bytes: a flow from
-the rows in question, in classes by size, over staying (free) or moving (the
-row's bytes) gives the transfers that move the fewest. A class that the flow
-splits is cut finer and solved again, so the network stays small for any number
-of shards and the result is the least by rows. The driver works on one count
-and one size a shard; all work on rows is DataFrame code.
+new shard of that number. The rows of each old shard fall into blocks by size
+class, cut also at the row that stays only if its shard keeps one row more than
+the others. A flow of all rows from the blocks to the new shards, staying free,
+moving at a row's bytes through a hub, gives how many rows each old shard gives
+up, the smallest first, how many each new shard takes, and which new shards hold
+one row more; its paths through the hub are the transfers. Of more than CLASSES
+shards of a kind, shards alike share their blocks; shards that share a block
+which the flow splits are cut finer and the flow is solved again, so the network
+stays small for any number of shards and the result is the least by rows. The
+driver works on a histogram, its rows bounded by old shards times size classes;
+all work on rows is DataFrame code.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.store import fresh, partitions, removed, stored
 
 OLD_SHARDS, NEW_SHARDS = 20, 24
-#: Size classes of one network, two at least.
+#: Shards of a kind that a network tells apart, two at least.
 CLASSES = 64
 
 
@@ -46,14 +49,16 @@ def min_cost_flow(n_nodes: int, arcs: list[tuple[int, int, int, int]], source: i
             d, u = heapq.heappop(heap)
             if d > best[u]:
                 continue
+            if u == sink:
+                break
             for e in out[u]:
                 if cap[e] and (reach := d + cost[e] + height[u] - height[to[e]]) < best.get(to[e], 1 << 200):
                     best[to[e]], via[to[e]] = reach, e
                     heapq.heappush(heap, (reach, to[e]))
         if sink not in best:
             return cap[1::2]
-        far = max(best.values())
-        height = [h + best.get(u, far) for u, h in enumerate(height)]
+        far = best[sink]
+        height = [h + min(best.get(u, far), far) for u, h in enumerate(height)]
         path, v = [], sink
         while v != source:
             path.append(via[v])
@@ -64,71 +69,125 @@ def min_cost_flow(n_nodes: int, arcs: list[tuple[int, int, int, int]], source: i
             cap[e ^ 1] += push
 
 
-def extra_rows(sizes: dict[int, int], forced: int, deficit: int, others: int, spare: int) -> set[int]:
-    """The over-full shards that keep one row more, so that the fewest bytes move.
+#: Of a shard with more rows than the common count: the rows that leave in any
+#: case, the one in question, those that stay; rows of other shards are BASE.
+FORCED, ASKED, BASE = 0, 1, 2
 
-    ``sizes``: for each over-full shard the bytes of the row in question;
-    ``forced``: rows that leave in any case; ``deficit``: rows that the other
-    shards lack of the common count; ``others``: how many of those may take one
-    row beyond it; ``spare``: how many shards hold one row more in the end."""
-    kept: set[int] = set()
+
+def _parts(shards: list[int]) -> list[list[int]]:
+    """CLASSES parts of equal length at most, in order."""
+    step = max(1, -(-len(shards) // CLASSES))
+    return [shards[i : i + step] for i in range(0, len(shards), step)]
+
+
+def _solved(groups: list[tuple[list[int], dict]], n_new: int, each: int, spare: int) -> list[tuple[int, int, int]]:
+    """For each group (shards, blocks) the rows that leave it, those that come and
+    how many of its shards hold one row more. The first ``n_new`` groups go on as
+    new shards, the others end. ``blocks``: (rows, bytes of a row) by zone and class."""
+    blocks = [(g, rows, cost) for g, (_, own) in enumerate(groups) for _, (rows, cost) in sorted(own.items())]
+    into = range(len(blocks), len(blocks) + n_new)
+    source, hub, extra, sink = range(len(blocks) + n_new, len(blocks) + n_new + 4)
+    arcs, leave, come, more = [(extra, sink, spare, 0)], [], [], []
+    for i, (g, rows, cost) in enumerate(blocks):
+        arcs.append((source, i, rows, 0))
+        if g < n_new:
+            arcs.append((i, into[g], rows, 0))
+        leave.append(len(arcs))
+        arcs.append((i, hub, rows, cost))
+    for g in range(n_new):
+        size = len(groups[g][0])
+        arcs.append((into[g], sink, each * size, 0))
+        come.append(len(arcs))
+        arcs.append((hub, into[g], (each + 1) * size, 0))
+        more.append(len(arcs))
+        arcs.append((into[g], extra, size, 0))
+    flow = min_cost_flow(sink + 1, arcs, source, sink)
+    gone = [0] * len(groups)
+    for (g, *_), at in zip(blocks, leave, strict=True):
+        gone[g] += flow[at]
+    return [(gone[g], *((flow[come[g]], flow[more[g]]) if g < n_new else (0, 0))) for g in range(len(groups))]
+
+
+def _shared(shards: list[int], blocks: dict[int, dict]) -> tuple[list[int], dict]:
+    """A group of shards with its blocks. Several shards share one block a zone, at
+    its least cost: no flow of least cost takes a part of a zone from such a group
+    but of the rows in question, and then the group is cut finer."""
+    if len(shards) == 1:
+        return shards, blocks[shards[0]]
+    out: dict = {}
+    for s in shards:
+        for (zone, _), (rows, cost) in blocks[s].items():
+            have = out.get((zone, 0), (0, cost))
+            out[zone, 0] = (have[0] + rows, min(have[1], cost))
+    if (FORCED, 0) in out:  # they leave before any row in question of the group does
+        rows, cost = out[FORCED, 0]
+        out[FORCED, 0] = (rows, min(cost, out[ASKED, 0][1]))
+    return shards, out
+
+
+def solve_flow(
+    blocks: dict[int, dict], over: list[int], under: list[int], ends: list[int], each: int, spare: int
+) -> tuple[dict[int, int], dict[int, int]]:
+    """Of the flow that moves the fewest bytes: the rows of each old shard that stay,
+    and the rows of each new shard in the end.
+
+    ``over``, ``under``: old shards that go on, with more rows than ``each`` and
+    with others; ``ends``: old shards that end. Shards that share blocks of which
+    the flow takes some are cut finer, until it treats all of a group alike."""
+    asked = {s: min(c for (zone, _), (_, c) in blocks[s].items() if zone == ASKED) for s in over}
+    order = sorted(over, key=lambda s: (asked[s], s))
+    # Costs with the place in that order behind the bytes: no two rows in question tie.
+    scale = len(order) + 1
+    costs = {s: {k: (rows, cost * scale) for k, (rows, cost) in own.items()} for s, own in blocks.items()}
+    for place, s in enumerate(order):
+        costs[s] |= {k: (rows, cost + place) for k, (rows, cost) in costs[s].items() if k[0] != FORCED}
+    lo, hi = 0, len(order)
     while True:
-        ordered = sorted(sizes, key=lambda s: (sizes[s], s))
-        step = max(1, -(-len(ordered) // CLASSES))
-        classes = [ordered[i : i + step] for i in range(0, len(ordered), step)]
-        source, hub, extra, sink = range(len(classes), len(classes) + 4)
-        arcs = [(source, hub, forced, 0), (hub, sink, deficit, 0), (hub, extra, others, 0), (extra, sink, spare, 0)]
-        stay = []
-        for i, shards in enumerate(classes):
-            arcs.append((source, i, len(shards), 0))
-            stay.append(len(arcs))
-            arcs.append((i, extra, len(shards), 0))
-            arcs.append((i, hub, len(shards), sizes[shards[0]]))
-        flow = min_cost_flow(sink + 1, arcs, source, sink)
-        told = [flow[at] for at in stay]
-        # Classes are in order of size, and whole ones stay from the top down; among
-        # classes of one cost the flow may choose any, so only their sum is taken.
-        left, sizes_open = sum(told), {}
-        for shards in reversed(classes):
-            if left >= len(shards):
-                kept.update(shards)
-                left -= len(shards)
-            elif left:
-                sizes_open, held, left = {s: sizes[s] for s in shards}, left, 0
-        if not sizes_open:
-            return kept
-        if len(sizes_open) == 1 or min(sizes_open.values()) == max(sizes_open.values()):
-            kept.update(sorted(sizes_open)[:held])
-            return kept
-        # The class that is split is solved by itself: so many stay, the others leave.
-        sizes, forced, deficit, others, spare = sizes_open, 0, len(sizes_open) - held, 0, held
+        tried = [p for p in (order[:lo], *_parts(order[lo:hi]), order[hi:]) if p]
+        groups = [_shared(p, costs) for p in (*tried, *_parts(under), *_parts(ends))]
+        n_new = len(groups) - len(_parts(ends))
+        told = _solved(groups, n_new, each, spare)
+        split = [p for p, (_, _, more) in zip(tried, told, strict=False) if 0 < more < len(p)]
+        if not split:
+            break
+        lo, hi = order.index(split[0][0]), order.index(split[0][-1]) + 1
+    stay, room = {}, {}
+    for g, ((p, _), (gone, _, more)) in enumerate(zip(groups, told, strict=True)):
+        for i, s in enumerate(p):
+            rows = sum(n for n, _ in blocks[s].values())
+            if g < n_new:
+                room[s] = each + (i < more)
+            stay[s] = rows - gone if len(p) == 1 else min(rows, room.get(s, 0))
+    return stay, room
 
 
-def plan_moves(counts: dict[int, int], question: dict[int, int], new_shards: int) -> dict[int, tuple[int, list]]:
+def plan_moves(
+    counts: dict[int, int], question: dict[int, int], new_shards: int, blocks: dict[int, dict] | None = None
+) -> dict[int, tuple[int, list]]:
     """For each old shard how many rows stay, and runs (lo, hi, shard, base): the
     leaving rows numbered ``lo`` to ``hi`` - 1 go to ``shard`` from slot ``base`` on.
 
     ``counts``: rows of each old shard; ``question``: for each one with more rows
     than the common count, and a number below ``new_shards``, the bytes of the
-    last row that leaves if it keeps no more than that count."""
+    last row that leaves if it keeps no more than that count; ``blocks``: for each
+    old shard its histogram, (rows, bytes of the smallest) by (zone, size class),
+    by default one class a zone."""
     each, spare = divmod(sum(counts.values()), new_shards)
     n = [counts.get(s, 0) for s in range(new_shards)]
     over = [s for s in range(new_shards) if n[s] > each]
-    forced = sum(n[s] - each - 1 for s in over) + sum(c for s, c in counts.items() if s >= new_shards)
-    deficit = sum(each - n[s] for s in range(new_shards) if n[s] <= each)
-    kept = extra_rows({s: question[s] for s in over}, forced, deficit, new_shards - len(over), spare)
-    room = [each + (s in kept) for s in range(new_shards)]
-    for s in range(new_shards):  # the other shards that hold one row more: which ones costs nothing
-        if spare - len(kept) <= 0:
-            break
-        if n[s] <= each:
-            kept.add(s)
-            room[s] += 1
-    stay = [min(n[s], room[s]) for s in range(new_shards)]
+    under = [s for s in range(new_shards) if n[s] <= each]
+    ends = [s for s in counts if s >= new_shards]
+    if blocks is None:
+        blocks = {s: {(BASE, 0): (c, 1)} for s, c in counts.items()}
+        for s in over:
+            q = question[s]
+            blocks[s] = {(FORCED, 0): (n[s] - each - 1, q), (ASKED, 0): (1, q), (BASE, 0): (each, q)}
+    stay, room = solve_flow({s: blocks.get(s, {}) for s in (*over, *under, *ends)}, over, under, ends, each, spare)
+    # The flow's paths through the hub: what leaves the old shards meets what the new ones take, in order.
     wanted = [(s, room[s] - stay[s]) for s in range(new_shards) if room[s] > stay[s]]
     out, at, used = {}, 0, 0
     for old in sorted(counts):
-        left = counts[old] - (stay[old] if old < new_shards else 0)
+        left = counts[old] - stay[old]
         runs, lo = [], 0
         while lo < left:
             shard, size = wanted[at]
@@ -186,12 +245,17 @@ def reshard(
     ranked = ranged.withColumn("in_part", F.row_number().over(inside) - 1).join(offsets, ["old", "part"])
     ranked = ranked.withColumn("rank", F.col("in_part") + F.col("offset"))
     each = sum(counts.values()) // new_shards
-    asked = [(s, n - each - 1) for s, n in counts.items() if s < new_shards and n > each]
-    question = {}
-    if asked:
-        last = spark.createDataFrame(asked, "old int, rank long")
-        question = {r.old: r.size for r in ranked.select("old", "rank", "size").join(F.broadcast(last), ["old", "rank"]).collect()}
-    moves = plan_moves(counts, question, new_shards)
+    # The histogram of the flow: rows and least size by old shard, zone and size class.
+    zones = spark.createDataFrame([(s, n - each - 1 if s < new_shards and n > each else -1) for s, n in counts.items()], "old int, asked long")
+    rank, asked = F.col("rank"), F.col("asked")
+    zone = F.when(rank < asked, FORCED).when(rank == asked, ASKED).otherwise(BASE)
+    size_class = F.length(F.bin("size"))
+    blocks: dict[int, dict] = {}
+    told = ranked.join(F.broadcast(zones), "old").groupBy("old", zone.alias("zone"), size_class.alias("class"))
+    for r in told.agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).collect():
+        blocks.setdefault(r["old"], {})[r["zone"], r["class"]] = (r["n"], r["least"])
+    question = {s: least for s, own in blocks.items() for (z, _), (_, least) in own.items() if z == ASKED}
+    moves = plan_moves(counts, question, new_shards, blocks)
     schema = "old int, leave long, runs array<struct<lo:long,hi:long,shard:int,base:long>>"
     plan = spark.createDataFrame([(s, counts[s] - stay, runs) for s, (stay, runs) in moves.items()], schema)  # one row a shard
     placed = ranked.join(F.broadcast(plan), "old")

@@ -172,3 +172,39 @@ def test_rewrite(spark, sf, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert sorted(r.doc_id for r in back.collect()) == sorted(r.doc_id for r in plan.collect() if r.shard in numbers)
     assert plan.filter("moved").count() == docs.count() // 4
+
+
+def test_the_flow_takes_all_rows_by_size_class(spark, sf, monkeypatch):
+    """Every row flows from its block (old shard and size class) to a new shard, and
+    the rows that leave are those that the flow sends through the hub."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    flow_of, nets = sharding.min_cost_flow, []
+
+    def seen(n_nodes, arcs, source, sink):
+        nets.append((arcs, source, sink, flow_of(n_nodes, arcs, source, sink)))
+        return nets[-1][3]
+
+    monkeypatch.setattr(sharding, "min_cost_flow", seen)
+    got = sharding.reshard(docs, old_shard=F.pmod("doc_id", F.lit(5)), old_shards=5, new_shards=7).collect()
+    arcs, source, sink, flow = nets[-1]
+    blocks = [a for a in arcs if a[0] == source]
+    assert sum(a[2] for a in blocks) == len(got) == sum(f for a, f in zip(arcs, flow) if a[0] == source)
+    assert len(blocks) >= len({(r.old_shard, r.size.bit_length()) for r in got})
+    hub = source + 1
+    assert sum(f for a, f in zip(arcs, flow) if a[1] == hub) == sum(r.moved for r in got)
+    into = Counter(r.shard for r in got if r.moved)
+    assert sorted(f for a, f in zip(arcs, flow) if a[0] == hub and f) == sorted(into.values())
+
+
+def test_more_shards_than_one_network_tells_apart():
+    """More shards than one network tells apart, all rows in question of one size."""
+    layout = {s: [64] * 12 for s in range(300)}
+    counts, question = told(layout, 310)
+    moves = sharding.plan_moves(counts, question, 310)
+    each, spare = divmod(300 * 12, 310)
+    held = Counter({s: stay for s, (stay, _) in moves.items()})
+    for _, runs in moves.values():
+        for lo, hi, shard, _ in runs:
+            held[shard] += hi - lo
+    assert Counter(held.values()) == {each + 1: spare, each: 310 - spare}
+    assert sum(12 - stay for stay, _ in moves.values()) == 300 * (12 - each) - spare
